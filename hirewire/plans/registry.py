@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from hirewire.plans import q_classify
+from hirewire.plans import q_classify, q_urls
 
-MODULES = [q_classify]
+MODULES = [q_classify, q_urls]
 
 
 def all_queries() -> dict:

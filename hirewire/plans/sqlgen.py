@@ -86,3 +86,69 @@ def role_category(t: str, d: str) -> str:
 
 def staleness_keep(posted: str, run_ts: str) -> str:
     return f"({posted} IS NULL OR {posted} >= TIMESTAMP '{run_ts}' - INTERVAL {dims.STALENESS_DAYS} DAY)"
+
+
+# ---------------------------------------------------------------------------
+# URLs: staged as CTEs (each stage reads the previous one's columns)
+# ---------------------------------------------------------------------------
+USES_PARAMS = ["", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
+               "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel"]
+
+
+def _unquote_plus(x: str) -> str:
+    return f"url_decode(replace({x}, '+', ' '))"
+
+
+def _quote_plus(x: str) -> str:
+    return f"replace(url_encode({x}), '%20', '+')"
+
+
+def url_split_ctes(src: str, url: str, prefix: str = "u", prestrip: bool = True) -> tuple[list[str], str]:
+    """CTEs adding _scheme, _netloc, _path, _query, _fragment to ``src`` (urlsplit + params cut)."""
+    s0 = py_strip(url) if prestrip else url
+    c1 = (f"{prefix}1 AS (SELECT *, regexp_replace(regexp_replace({s0}, '^[\\x00-\\x20]+', ''), "
+          f"'[\\t\\r\\n]', '', 'g') AS _s FROM {src})")
+    c2 = (f"{prefix}2 AS (SELECT *, lower(regexp_extract(_s, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)) AS _scheme, "
+          f"regexp_replace(_s, '^[A-Za-z][A-Za-z0-9+.\\-]*:', '') AS _r1 FROM {prefix}1)")
+    c3 = (f"{prefix}3 AS (SELECT *, CASE WHEN starts_with(_r1, '//') THEN regexp_extract(_r1, '^//([^/?#]*)', 1) "
+          f"ELSE '' END AS _netloc, CASE WHEN starts_with(_r1, '//') THEN regexp_replace(_r1, '^//[^/?#]*', '') "
+          f"ELSE _r1 END AS _r2 FROM {prefix}2)")
+    c4 = (f"{prefix}4 AS (SELECT *, regexp_extract(_r2, '(?s)^[^#]*#(.*)$', 1) AS _fragment, "
+          f"regexp_extract(_r2, '(?s)^([^#]*)', 1) AS _r3 FROM {prefix}3)")
+    c5 = (f"{prefix}5 AS (SELECT *, regexp_extract(_r3, '(?s)^[^?]*\\?(.*)$', 1) AS _query, "
+          f"regexp_extract(_r3, '(?s)^([^?]*)', 1) AS _p0 FROM {prefix}4)")
+    c6 = (f"{prefix}6 AS (SELECT *, CASE WHEN _scheme IN {sql_in(USES_PARAMS)} AND contains(_p0, ';') "
+          f"THEN regexp_replace(_p0, ';[^/]*$', '') ELSE _p0 END AS _path FROM {prefix}5)")
+    return [c1, c2, c3, c4, c5, c6], f"{prefix}6"
+
+
+def trim_path(p: str) -> str:
+    return f"CASE WHEN {p} = '/' THEN '/' ELSE regexp_replace({p}, '/+$', '') END"
+
+
+def query_pairs(q: str) -> str:
+    pair = ("{'k': " + _unquote_plus("split_part(seg, '=', 1)") + ", 'i': i, 'v': CASE WHEN contains(seg, '=') THEN "
+            + _unquote_plus("substr(seg, strpos(seg, '=') + 1)") + " ELSE '' END, 'keep': seg <> ''}")
+    return f"list_filter(list_transform(string_split({q}, '&'), lambda seg, i: {pair}), lambda p: p.keep)"
+
+
+def drop_tracking(pairs: str) -> str:
+    return f"list_filter({pairs}, lambda p: lower(p.k) NOT IN {sql_in(dims.TRACKING_PARAMS)})"
+
+
+def encode_params(sorted_pairs: str) -> str:
+    enc = f"{_quote_plus('p.k')} || '=' || {_quote_plus('p.v')}"
+    return f"array_to_string(list_transform({sorted_pairs}, lambda p: {enc}), '&')"
+
+
+def normalize_query(q: str) -> str:
+    return encode_params(f"list_sort({drop_tracking(query_pairs(q))})")
+
+
+def normalize_url_ctes(src: str, url: str, out: str, prefix: str = "n") -> tuple[list[str], str]:
+    ctes, last = url_split_ctes(src, url, prefix)
+    c7 = f"{prefix}7 AS (SELECT *, {normalize_query('_query')} AS _nq FROM {last})"
+    c8 = (f"{prefix}8 AS (SELECT *, CASE WHEN {url} IS NULL OR {url} = '' THEN {url} ELSE "
+          f"_scheme || '://' || _netloc || {trim_path('_path')} || CASE WHEN _nq <> '' THEN '?' || _nq ELSE '' END "
+          f"END AS {out} FROM {prefix}7)")
+    return ctes + [c7, c8], f"{prefix}8"

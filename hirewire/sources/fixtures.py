@@ -149,3 +149,47 @@ def postings_sql(alias: str = "postings") -> str:
 
 def run_ts() -> Column:
     return F.lit(RUN_TS).cast("timestamp_ntz")
+
+
+# URL variants appended to every page URL: scheme case, params, tracking names in any
+# case, duplicate keys, keyless and blank values, escapes, '+', '~', '*', fragments.
+URL_CASE_SUFFIXES = [  # 7
+    "", ";jsessionid=9?utm_medium=mail&UTM_Source=z&b=2", "?b=2&a=1&a=0&c&&d=", "?q=a+b%20c&t=%7E*~&bad=%zz%",
+    "/?Ref=x&source=y&keep=1#frag", "//?z=1&y=%C3%A9&x", "?a=%2B&a=+&a=",
+]
+
+
+def url_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page URL with each suffix (and an upper-cased scheme on odd pages)."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    base = F.when(F.col("page_id") % 2 == 1, F.regexp_replace("url", "^https?", "HTTPS")).otherwise(F.col("url"))
+    sfx = F.array(*[F.lit(x) for x in URL_CASE_SUFFIXES])
+    return pages.select("page_id", base.alias("base"), F.posexplode(sfx).alias("variant", "suffix")).select(
+        "page_id", "variant", F.concat("base", "suffix").alias("url"))
+
+
+def url_cases_sql(alias: str = "url_cases") -> str:
+    vals = ", ".join(f"({i}, {sql_str(s)})" for i, s in enumerate(URL_CASE_SUFFIXES))
+    return f"""{alias} AS (
+  SELECT page_id, variant,
+         CASE WHEN page_id % 2 = 1 THEN regexp_replace(url, '^https?', 'HTTPS') ELSE url END || suffix AS url
+  FROM pages CROSS JOIN (VALUES {vals}) AS s(variant, suffix))"""
+
+
+def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search-site result cards: eight searches, raw job URLs that repeat across searches."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id")
+    return ev.select(
+        (F.col("event_id") % 8).cast("int").alias("search_id"),
+        F.lit(0).alias("page_no"),
+        (F.col("event_id") / 8).cast("long").alias("item_pos"),
+        F.concat(F.lit("https://www.linkedin.com/jobs/view/"), (F.col("user_id") * 7 % 1009).cast("string"))
+         .alias("url"),
+    )
+
+
+def search_hits_sql(alias: str = "search_hits") -> str:
+    return f"""{alias} AS (
+  SELECT CAST(event_id % 8 AS INTEGER) AS search_id, 0 AS page_no, CAST(event_id // 8 AS BIGINT) AS item_pos,
+         'https://www.linkedin.com/jobs/view/' || CAST(user_id * 7 % 1009 AS VARCHAR) AS url
+  FROM events)"""
