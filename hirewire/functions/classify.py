@@ -10,10 +10,12 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewire.functions import dims
+from hirewire.functions.staging import materialize
+from hirewire.functions.sqlexpr import _array_sql, in_list, sq
 from hirewire.functions.text import col_, contains_any, literal_alternation, py_strip
 
 _SENIOR_RE = r"(?iU)\b(?:" + "|".join(dims.SENIOR_WORDS) + r")\b"
@@ -65,21 +67,24 @@ def country(location) -> Column:
     word means US, a two-letter code after a comma is read as a region code.
     """
     loc = col_(location)
-    low = F.lower(loc)
+    return _country_expr(loc, F.lower(loc))
+
+
+def _country_expr(loc: Column, low: Column) -> Column:
     region = F.regexp_extract(loc, _CITY_REGION_RE, 1)
     tokens = F.regexp_extract_all(loc, F.lit(_ABBREV_TOKEN_RE), 1)
-    first_code = F.get(F.filter(tokens, lambda x: x.isin(dims.US_STATE_ABBREVS + dims.CA_PROVINCE_ABBREVS)), 0)
+    first_code = F.get(F.filter(tokens, lambda x: in_list(x, dims.US_STATE_ABBREVS + dims.CA_PROVINCE_ABBREVS)), 0)
     us_only = [a for a in dims.CA_PROVINCE_ABBREVS if a not in dims.US_STATE_ABBREVS]
     return (F.when(loc.contains(dims.US_FLAG), F.lit("US"))
             .when(loc.contains(dims.CA_FLAG), F.lit("CA"))
             .when(contains_any(low, dims.CA_INDICATORS), F.lit("CA"))
             .when(contains_any(low, dims.US_INDICATORS), F.lit("US"))
-            .when(region.isin(us_only), F.lit("CA"))
-            .when(region.isin(dims.US_STATE_ABBREVS), F.lit("US"))
+            .when(in_list(region, us_only), F.lit("CA"))
+            .when(in_list(region, dims.US_STATE_ABBREVS), F.lit("US"))
             .when(contains_any(low, dims.CA_PROVINCE_NAMES), F.lit("CA"))
             .when(contains_any(low, dims.US_STATE_NAMES), F.lit("US"))
-            .when(first_code.isin(dims.US_STATE_ABBREVS), F.lit("US"))
-            .when(first_code.isin(dims.CA_PROVINCE_ABBREVS), F.lit("CA"))
+            .when(in_list(first_code, dims.US_STATE_ABBREVS), F.lit("US"))
+            .when(in_list(first_code, dims.CA_PROVINCE_ABBREVS), F.lit("CA"))
             .when(low.rlike(_CA_CITY_RE), F.lit("CA"))
             .when(low.rlike(_US_CITY_RE), F.lit("US"))
             .when(low.rlike(_REMOTE_RE), F.lit("US"))
@@ -94,6 +99,7 @@ def location_included(location) -> Column:
 
 # One literal alternation per group: 16 small regexes instead of 233 substring probes,
 # so the cascade stays inside whole-stage codegen's method-size limit.
+_arr_sql = lambda values: _array_sql(tuple(values))
 _GROUP_RES = [(name, literal_alternation(words)) for name, words in dims.CATEGORY_KEYWORDS]
 
 
@@ -118,3 +124,64 @@ def role_category(title, department=None) -> Column:
 
 def any_of(cols) -> Column:
     return reduce(lambda a, b: a | b, cols)
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cascade_sql(padded: str, otherwise: str) -> str:
+    whens = " ".join(f"WHEN {padded} RLIKE {sq(pat)} THEN {sq(name)}" for name, pat in _GROUP_RES)
+    return f"CASE {whens} ELSE {otherwise} END"
+
+
+def role_category_sql(t_pad: str, d_pad: str) -> str:
+    """C6 as one Spark SQL expression over already padded, lower-cased title/department columns."""
+    by_dept = f"CASE WHEN {d_pad} IS NOT NULL THEN {_cascade_sql(d_pad, sq(dims.DEFAULT_CATEGORY))} " \
+              f"ELSE {sq(dims.DEFAULT_CATEGORY)} END"
+    return _cascade_sql(t_pad, by_dept)
+
+
+def country_sql(loc: str, low: str) -> str:
+    """C4 as one Spark SQL expression (``low`` is the lower-cased location column)."""
+    codes = _arr_sql(dims.US_STATE_ABBREVS + dims.CA_PROVINCE_ABBREVS)
+    us, ca = _arr_sql(dims.US_STATE_ABBREVS), _arr_sql(dims.CA_PROVINCE_ABBREVS)
+    ca_only = _arr_sql([a for a in dims.CA_PROVINCE_ABBREVS if a not in dims.US_STATE_ABBREVS])
+    region = f"regexp_extract({loc}, {sq(_CITY_REGION_RE)}, 1)"
+    first = f"get(filter(regexp_extract_all({loc}, {sq(_ABBREV_TOKEN_RE)}, 1), x -> array_contains({codes}, x)), 0)"
+    lit_re = lambda words: sq(literal_alternation(words))
+    return f"""CASE
+      WHEN contains({loc}, {sq(dims.US_FLAG)}) THEN 'US'
+      WHEN contains({loc}, {sq(dims.CA_FLAG)}) THEN 'CA'
+      WHEN {low} RLIKE {lit_re(dims.CA_INDICATORS)} THEN 'CA'
+      WHEN {low} RLIKE {lit_re(dims.US_INDICATORS)} THEN 'US'
+      WHEN array_contains({ca_only}, {region}) THEN 'CA'
+      WHEN array_contains({us}, {region}) THEN 'US'
+      WHEN {low} RLIKE {lit_re(dims.CA_PROVINCE_NAMES)} THEN 'CA'
+      WHEN {low} RLIKE {lit_re(dims.US_STATE_NAMES)} THEN 'US'
+      WHEN array_contains({us}, {first}) THEN 'US'
+      WHEN array_contains({ca}, {first}) THEN 'CA'
+      WHEN {low} RLIKE {sq(_CA_CITY_RE)} THEN 'CA'
+      WHEN {low} RLIKE {sq(_US_CITY_RE)} THEN 'US'
+      WHEN {low} RLIKE {sq(_REMOTE_RE)} THEN 'US'
+      WHEN {low} RLIKE {sq(_ONSITE_RE)} THEN 'US'
+    END"""
+
+
+def with_role_category(df: DataFrame, title: str, department: str, out: str = "role_category") -> DataFrame:
+    """C6 staged: the padded title and the stripped, padded department are projected once
+    (inside the CASE they would be re-derived at every branch)."""
+    p = "_rc_"
+    dept = py_strip(F.coalesce(F.col(department), F.lit("")))
+    df = df.withColumns({p + "t": F.concat(F.lit(" "), F.lower(F.coalesce(F.col(title), F.lit(""))), F.lit(" ")),
+                         p + "d": dept})
+    d = F.col(p + "d")
+    df = df.withColumn(p + "dp", F.when(d != "", F.concat(F.lit(" "), F.lower(d), F.lit(" "))))
+    df = df.withColumn(p + "out", F.expr(role_category_sql(p + "t", p + "dp")))
+    return df.drop(p + "t", p + "d", p + "dp").withColumn(out, F.col(p + "out")).drop(p + "out")
+
+
+def with_country(df: DataFrame, location: str, out: str = "country") -> DataFrame:
+    """C4 staged on the lower-cased location."""
+    df = df.withColumn("_ct_low", F.lower(F.col(location)))
+    return materialize(df, {out: F.expr(country_sql(_ident(location), "_ct_low"))}).drop("_ct_low")

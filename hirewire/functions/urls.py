@@ -7,10 +7,12 @@ follows RFC 3986 the way Python's ``urlsplit``/``urlparse`` do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewire.functions import dims
+from hirewire.functions.staging import materialize
+from hirewire.functions.sqlexpr import in_list
 from hirewire.functions.text import col_, py_strip
 
 # FIXED VALUES: schemes whose last path segment may carry ``;params``.
@@ -38,7 +40,7 @@ def url_split(url, prestrip: bool = True) -> Column:
     rest = F.regexp_extract(rest, r"(?s)^([^#]*)", 1)
     query = F.regexp_extract(rest, r"(?s)^[^?]*\?(.*)\z", 1)
     path = F.regexp_extract(rest, r"(?s)^([^?]*)", 1)
-    path = F.when(scheme.isin(USES_PARAMS) & path.contains(";"),
+    path = F.when(in_list(scheme, USES_PARAMS) & path.contains(";"),
                   F.regexp_replace(path, r";[^/]*\z", "")).otherwise(path)
     return F.struct(scheme.alias("scheme"), netloc.alias("netloc"), path.alias("path"),
                     query.alias("query"), fragment.alias("fragment"))
@@ -75,7 +77,7 @@ def query_pairs(query) -> Column:
 
 def drop_tracking(pairs) -> Column:
     """Drop the tracking parameters, names compared lower-cased."""
-    return F.filter(col_(pairs), lambda p: ~F.lower(p["k"]).isin(dims.TRACKING_PARAMS))
+    return F.filter(col_(pairs), lambda p: ~in_list(F.lower(p["k"]), dims.TRACKING_PARAMS))
 
 
 def sort_params(pairs) -> Column:
@@ -102,3 +104,51 @@ def normalize_url(url) -> Column:
     out = F.concat(parts["scheme"], F.lit("://"), parts["netloc"], trim_path(parts["path"]),
                    F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")))
     return F.when(u.isNull() | (u == ""), u).otherwise(out)
+
+
+# ---------------------------------------------------------------------------
+# Staged forms. A Column is an expression tree, so reusing an intermediate (the
+# stripped URL, the remainder after the scheme...) copies it. These DataFrame
+# transformations project each intermediate once; Catalyst keeps the projections
+# apart because collapsing them would repeat non-trivial expressions.
+# ---------------------------------------------------------------------------
+
+def with_url_parts(df: DataFrame, url: str, prefix: str = "_u_", prestrip: bool = True) -> DataFrame:
+    """U1 staged: adds ``{prefix}scheme/netloc/path/query/fragment`` for column ``url``."""
+    p = prefix
+    s = py_strip(F.col(url)) if prestrip else F.col(url)
+    s = F.regexp_replace(F.regexp_replace(s, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    df = df.withColumn(p + "s", s)
+    S = F.col(p + "s")
+    df = df.withColumns({p + "scheme": F.lower(F.regexp_extract(S, _SCHEME_RE, 1)),
+                         p + "r1": F.regexp_replace(S, _SCHEME_RE, "")})
+    r1 = F.col(p + "r1")
+    has_net = r1.startswith("//")
+    df = df.withColumns({
+        p + "netloc": F.when(has_net, F.regexp_extract(r1, r"^//([^/?#]*)", 1)).otherwise(F.lit("")),
+        p + "r2": F.when(has_net, F.regexp_replace(r1, r"^//[^/?#]*", "")).otherwise(r1)})
+    r2 = F.col(p + "r2")
+    df = df.withColumns({p + "fragment": F.regexp_extract(r2, r"(?s)^[^#]*#(.*)\z", 1),
+                         p + "r3": F.regexp_extract(r2, r"(?s)^([^#]*)", 1)})
+    r3 = F.col(p + "r3")
+    df = df.withColumns({p + "query": F.regexp_extract(r3, r"(?s)^[^?]*\?(.*)\z", 1),
+                         p + "p0": F.regexp_extract(r3, r"(?s)^([^?]*)", 1)})
+    p0 = F.col(p + "p0")
+    df = df.withColumn(p + "path", F.when(in_list(F.col(p + "scheme"), USES_PARAMS) & p0.contains(";"),
+                                          F.regexp_replace(p0, r";[^/]*\z", "")).otherwise(p0))
+    return df.drop(p + "s", p + "r1", p + "r2", p + "r3", p + "p0")
+
+
+def with_normalized_url(df: DataFrame, src: str = "url", out: str = "url") -> DataFrame:
+    """U6 staged: ``out`` = normalised ``src`` (``out`` may equal ``src``)."""
+    p = "_nu_"
+    df = with_url_parts(df, src, p)
+    q = F.col(p + "query")
+    df = df.withColumn(p + "q", F.when(q == "", F.lit("")).otherwise(normalize_query(q)))
+    nq = F.col(p + "q")
+    u = F.col(src)
+    norm = F.concat(F.col(p + "scheme"), F.lit("://"), F.col(p + "netloc"), trim_path(F.col(p + "path")),
+                    F.when(nq != "", F.concat(F.lit("?"), nq)).otherwise(F.lit("")))
+    df = materialize(df, {p + "out": F.when(u.isNull() | (u == ""), u).otherwise(norm)})
+    df = df.drop(*[p + x for x in ("scheme", "netloc", "path", "query", "fragment", "q")])
+    return df.withColumn(out, F.col(p + "out")).drop(p + "out")

@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewire.functions.text import is_blank
-from hirewire.functions.urls import normalize_url
+from hirewire.functions import urls as U
 
 BROADCAST_KEYS_LIMIT = 2_000_000  # distinct URLs we are willing to ship to every executor
 
 
 def with_normalized_url(df: DataFrame, src: str = "url", out: str = "url") -> DataFrame:
-    return df.withColumn(out, normalize_url(F.col(src)))
+    return U.with_normalized_url(df, src, out)
 
 
 def quality_gate(df: DataFrame) -> Column:

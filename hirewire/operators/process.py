@@ -29,33 +29,29 @@ def _run_ts(run_ts) -> Column:
 def classify_all(raw: DataFrame, run_ts) -> DataFrame:
     """Every raw row plus its classification and F2 ``outcome`` (filtered_* or 'candidate')."""
     ts = _run_ts(run_ts)
-    staged = raw.select(
-        "*",
-        C.is_entry_level("title").alias("entry_level"),
-        C.country("location").alias("country"),
-    )
+    staged = C.with_country(raw.withColumn("entry_level", C.is_entry_level("title")), "location")
     fresh = D.staleness_keep("posted_date", ts)
     loc_ok = F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull()
     outcome = (F.when(~F.col("entry_level"), F.lit("filtered_title"))
                .when(~F.coalesce(loc_ok, F.lit(False)), F.lit("filtered_location"))
                .when(~fresh, F.lit("filtered_stale"))
                .otherwise(F.lit("candidate")))
+    staged = staged.withColumn("outcome", outcome)
+    staged = C.with_role_category(staged, "title", "department", "_role")
     return staged.select(
         "*",
-        outcome.alias("outcome"),
         F.when(F.col("entry_level"), C.experience_level("title")).alias("experience_level"),
         C.work_type("location").alias("work_type"),
-        F.when(outcome == "candidate", C.role_category("title", "department")).alias("role_category"),
-    )
+    ).withColumn("role_category", F.when(F.col("outcome") == "candidate", F.col("_role"))).drop("_role")
 
 
 def process_jobs(raw: DataFrame, run_ts, keep=()) -> DataFrame:
     """the survivors, projected to the 15 stored columns (+ ``keep`` passthrough columns)."""
     ts = _run_ts(run_ts)
-    kept = (raw.filter(C.is_entry_level("title"))
-               .withColumn("country", C.country("location"))
-               .filter(F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull())
-               .filter(D.staleness_keep("posted_date", ts)))
+    kept = C.with_country(raw.filter(C.is_entry_level("title")), "location")
+    kept = (kept.filter(F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull())
+                .filter(D.staleness_keep("posted_date", ts)))
+    kept = C.with_role_category(kept, "title", "department", "role_category")
     return kept.select(
         *[F.col(k) for k in keep],
         "platform", "title", "company", "location", "url",
@@ -66,7 +62,7 @@ def process_jobs(raw: DataFrame, run_ts, keep=()) -> DataFrame:
         F.coalesce("company_url", F.lit("")).alias("company_url"),
         F.col("platform").alias("ats_type"),
         C.work_type("location").alias("work_type"),
-        C.role_category("title", "department").alias("role_category"),
+        "role_category",
         "country",
         C.experience_level("title").alias("experience_level"),
     )

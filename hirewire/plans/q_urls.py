@@ -25,10 +25,8 @@ def _split_sql(select: str, src: str = "url_cases", col: str = "url") -> str:
 
 
 def u1_url_split(spark, sf_dir):
-    c = _cases(spark, sf_dir)
-    p = U.url_split("url")
-    return c.select("page_id", "variant", p["scheme"].alias("scheme"), p["netloc"].alias("netloc"),
-                    p["path"].alias("path"), p["query"].alias("query"), p["fragment"].alias("fragment"))
+    c = U.with_url_parts(_cases(spark, sf_dir), "url", "")
+    return c.select("page_id", "variant", "scheme", "netloc", "path", "query", "fragment")
 
 
 U1_SQL = _split_sql("page_id, variant, _scheme AS scheme, _netloc AS netloc, _path AS path, _query AS query, "
@@ -37,7 +35,7 @@ U1_SQL = _split_sql("page_id, variant, _scheme AS scheme, _netloc AS netloc, _pa
 
 def u2_path_trim(spark, sf_dir):
     c = _cases(spark, sf_dir)
-    return c.select("page_id", "variant", U.trim_path(U.url_split("url")["path"]).alias("path"))
+    return U.with_url_parts(c, "url", "_").select("page_id", "variant", U.trim_path("_path").alias("path"))
 
 
 U2_SQL = _split_sql(f"page_id, variant, {S.trim_path('_path')} AS path")
@@ -45,8 +43,8 @@ U2_SQL = _split_sql(f"page_id, variant, {S.trim_path('_path')} AS path")
 
 def u3_drop_tracking(spark, sf_dir):
     c = _cases(spark, sf_dir)
-    kept = U.drop_tracking(U.query_pairs(U.url_split("url")["query"]))
-    return c.select("page_id", "variant", F.array_join(F.transform(kept, lambda p: p["k"]), ",").alias("kept_names"))
+    kept = U.drop_tracking(U.query_pairs("_query"))
+    return U.with_url_parts(c, "url", "_").select("page_id", "variant", F.array_join(F.transform(kept, lambda p: p["k"]), ",").alias("kept_names"))
 
 
 U3_SQL = _split_sql("page_id, variant, array_to_string(list_transform("
@@ -55,8 +53,8 @@ U3_SQL = _split_sql("page_id, variant, array_to_string(list_transform("
 
 def u4_sort_params(spark, sf_dir):
     c = _cases(spark, sf_dir)
-    srt = U.sort_params(U.query_pairs(U.url_split("url")["query"]))
-    return c.select("page_id", "variant",
+    srt = U.sort_params(U.query_pairs("_query"))
+    return U.with_url_parts(c, "url", "_").select("page_id", "variant",
                     F.array_join(F.transform(srt, lambda p: F.concat(p["k"], F.lit(":"), p["v"])), "|").alias("pairs"))
 
 
@@ -66,7 +64,7 @@ U4_SQL = _split_sql("page_id, variant, array_to_string(list_transform("
 
 def u5_encode_params(spark, sf_dir):
     c = _cases(spark, sf_dir)
-    return c.select("page_id", "variant", U.normalize_query(U.url_split("url")["query"]).alias("query"))
+    return U.with_url_parts(c, "url", "_").select("page_id", "variant", U.normalize_query("_query").alias("query"))
 
 
 U5_SQL = _split_sql(f"page_id, variant, {S.normalize_query('_query')} AS query")
@@ -74,7 +72,7 @@ U5_SQL = _split_sql(f"page_id, variant, {S.normalize_query('_query')} AS query")
 
 def u6_normalize_url(spark, sf_dir):
     c = _cases(spark, sf_dir)
-    return c.select("page_id", "variant", "url", U.normalize_url("url").alias("normalized_url"))
+    return U.with_normalized_url(c, "url", "normalized_url").select("page_id", "variant", "url", "normalized_url")
 
 
 def _norm_sql(src_cte: str, src: str, url: str, out: str, select: str, tail: str = "") -> str:

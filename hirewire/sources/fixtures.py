@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirewire.functions.sqlexpr import array_lit, pick
+
 RUN_TS = "2024-02-15 00:00:00"
 
 TITLES = [  # 41
@@ -84,8 +86,7 @@ PLATFORM_CYCLE = [  # 14: the registry platforms
 
 
 def _pick(values, key: Column) -> Column:
-    arr = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.element_at(arr, (key % len(values)).cast("int") + 1)
+    return pick(values, key)
 
 
 def sql_str(v) -> str:
@@ -163,7 +164,7 @@ def url_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page URL with each suffix (and an upper-cased scheme on odd pages)."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     base = F.when(F.col("page_id") % 2 == 1, F.regexp_replace("url", "^https?", "HTTPS")).otherwise(F.col("url"))
-    sfx = F.array(*[F.lit(x) for x in URL_CASE_SUFFIXES])
+    sfx = array_lit(URL_CASE_SUFFIXES)
     return pages.select("page_id", base.alias("base"), F.posexplode(sfx).alias("variant", "suffix")).select(
         "page_id", "variant", F.concat("base", "suffix").alias("url"))
 
