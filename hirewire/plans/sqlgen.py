@@ -152,3 +152,81 @@ def normalize_url_ctes(src: str, url: str, out: str, prefix: str = "n") -> tuple
           f"_scheme || '://' || _netloc || {trim_path('_path')} || CASE WHEN _nq <> '' THEN '?' || _nq ELSE '' END "
           f"END AS {out} FROM {prefix}7)")
     return ctes + [c7, c8], f"{prefix}8"
+
+
+# ---------------------------------------------------------------------------
+# Domains and logos
+# ---------------------------------------------------------------------------
+def hostname(netloc: str) -> str:
+    info = f"regexp_extract({netloc}, '([^@]*)$', 1)"
+    return (f"lower(CASE WHEN contains({info}, '[') THEN regexp_extract({info}, '\\[([^\\]]*)', 1) "
+            f"ELSE split_part({info}, ':', 1) END)")
+
+
+def registrable(h: str) -> str:
+    parts = f"string_split({h}, '.')"
+    last2 = f"array_to_string({parts}[-2:], '.')"
+    last3 = f"array_to_string({parts}[-3:], '.')"
+    return (f"CASE WHEN len({parts}) <= 2 THEN {h} WHEN {last2} IN {sql_in(dims.MULTI_PART_TLDS)} "
+            f"THEN {last3} ELSE {last2} END")
+
+
+def domain_from_url_ctes(src: str, url: str, out: str, prefix: str = "d") -> tuple[list[str], str]:
+    raw = py_strip(url)
+    c0 = (f"{prefix}0 AS (SELECT *, {raw} AS _raw, CASE WHEN contains({raw}, '://') THEN {raw} "
+          f"ELSE 'http://' || {raw} END AS _din FROM {src})")
+    ctes, last = url_split_ctes(f"{prefix}0", "_din", prefix + "s", prestrip=False)
+    host0 = hostname("_netloc")
+    c7 = (f"{prefix}7 AS (SELECT *, CASE WHEN starts_with({host0}, 'www.') THEN substr({host0}, 5) ELSE {host0} END "
+          f"AS _host FROM {last})")
+    c8 = f"{prefix}8 AS (SELECT *, {registrable('_host')} AS _reg FROM {prefix}7)"
+    ok = (f"{url} IS NOT NULL AND _raw <> '' AND _scheme IN ('http', 'https') "
+          f"AND contains(_netloc, '[') = contains(_netloc, ']') AND _host <> '' AND contains(_host, '.') "
+          f"AND _reg NOT IN {sql_in(dims.NON_COMPANY_HOSTS)} AND _host NOT IN {sql_in(dims.NON_COMPANY_HOSTS)}")
+    drop = "_raw, _din, _s, _scheme, _r1, _netloc, _r2, _fragment, _r3, _query, _p0, _path, _host, _reg"
+    c9 = f"{prefix}9 AS (SELECT * EXCLUDE ({drop}), CASE WHEN {ok} THEN _reg END AS {out} FROM {prefix}8)"
+    return [c0] + ctes + [c7, c8, c9], f"{prefix}9"
+
+
+def domain_from_logo_url(lg: str) -> str:
+    param = f"regexp_extract({lg}, '[?&]domain=([^&]+)', 1)"
+
+    def between(marker: str) -> str:
+        seg = f"split_part(split_part({lg}, '{marker}', 2), '?', 1)"
+        return f"CASE WHEN {seg} <> '' THEN {seg} END"
+    fallback = (f"CASE WHEN contains({lg}, 'logo.clearbit.com/') THEN {between('logo.clearbit.com/')} "
+                f"WHEN contains({lg}, 'icon.horse/icon/') THEN {between('icon.horse/icon/')} END")
+    return (f"CASE WHEN {lg} IS NOT NULL AND {lg} <> '' THEN coalesce(CASE WHEN {param} <> '' THEN {param} END, "
+            f"{fallback}) END")
+
+
+def normalize_name(x: str) -> str:
+    s = f"regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9\\s]', ' ', 'g')"
+    return f"trim(regexp_replace({s}, '\\s+', ' ', 'g'))"
+
+
+def domain_from_name(x: str) -> str:
+    norm = normalize_name(x)
+    known = "CASE " + " ".join(f"WHEN {norm} = {sql_str(k)} THEN {sql_str(v)}"
+                               for k, v in dims.KNOWN_DOMAINS.items()) + " END"
+    noise = r"\b(" + "|".join(dims.NAME_NOISE_WORDS) + r")\b"
+    t1 = f"regexp_replace(regexp_replace({norm}, {sql_str(noise)}, ' ', 'g'), '[^a-z0-9]', '', 'g')"
+    t0 = f"regexp_replace({norm}, '[^a-z0-9]', '', 'g')"
+    tok = f"CASE WHEN length({t1}) >= 2 THEN {t1} ELSE {t0} END"
+    return (f"CASE WHEN {x} IS NULL OR {x} = '' OR {norm} = '' THEN NULL WHEN ({known}) IS NOT NULL THEN ({known}) "
+            f"WHEN length({tok}) >= 2 THEN {tok} || '.com' END")
+
+
+def favicon(d: str) -> str:
+    pre, post = dims.FAVICON_TEMPLATE.split("{domain}")
+    return f"CASE WHEN {d} IS NOT NULL AND {d} <> '' THEN {sql_str(pre)} || {d} || {sql_str(post)} ELSE '' END"
+
+
+def real_logo(lg: str) -> str:
+    return (f"({lg} IS NOT NULL AND {lg} <> '' AND starts_with({lg}, 'http') AND NOT "
+            f"{contains_any(lg, dims.GENERATED_LOGO_MARKERS)})")
+
+
+def search_logo(c: str) -> str:
+    guess = f"(replace(lower({c}), ' ', '') || '.com')"
+    return f"CASE WHEN {c} IS NOT NULL AND {c} <> '' THEN {favicon(guess)} ELSE '' END"
