@@ -139,3 +139,45 @@ def contains_any(c, needles) -> Column:
     if len(needles) <= 4:
         return reduce(lambda a, b: a | b, [c.contains(n) for n in needles])
     return c.rlike(literal_alternation(needles))
+
+
+def salary_from_metadata(items) -> Column:
+    """T9 over ``array<variant>``: struct(salary, broken).
+
+    ``salary`` is the value of the first object item whose lower-cased ``name`` contains
+    salary/compensation/pay and whose value is truthy ('' when none). ``broken`` is true
+    when an object item with a NULL or non-string name is reached first -- reading that
+    name fails, so the whole record is dropped.
+    """
+    arr = col_(items)
+    name_t = lambda it: F.schema_of_variant(F.try_variant_get(it, "$.name", "variant"))
+    is_obj = lambda it: F.schema_of_variant(it).startswith("OBJECT")
+    name = lambda it: F.lower(F.coalesce(F.try_variant_get(it, "$.name", "string"), F.lit("")))
+    val = lambda it: F.try_variant_get(it, "$.value", "variant")
+    truthy_val = lambda it: variant_truthy(val(it))
+    bad = lambda it: is_obj(it) & F.try_variant_get(it, "$.name", "variant").isNotNull() \
+        & (name_t(it) != "STRING")
+    hit = lambda it: is_obj(it) & (name_t(it) == "STRING") & contains_any(name(it), dims.SALARY_METADATA_WORDS) \
+        & F.coalesce(truthy_val(it), F.lit(False))
+    idx = F.transform(arr, lambda it, i: F.struct(
+        F.when(bad(it), i).alias("bad_at"), F.when(hit(it), i).alias("hit_at")))
+    first_bad = F.array_min(F.transform(idx, lambda s: s["bad_at"]))
+    first_hit = F.array_min(F.transform(idx, lambda s: s["hit_at"]))
+    value = F.try_variant_get(F.get(arr, first_hit), "$.value", "string")
+    broken = first_bad.isNotNull() & (first_hit.isNull() | (first_bad < first_hit))
+    return F.struct(F.when(first_hit.isNotNull(), value).otherwise(F.lit("")).alias("salary"),
+                    broken.alias("broken"))
+
+
+def variant_truthy(v) -> Column:
+    """Python truthiness of a JSON value held in a VARIANT (NULL when the path is absent)."""
+    v = col_(v)
+    t = F.schema_of_variant(v)
+    js = F.to_json(v)
+    return (F.when(v.isNull(), F.lit(None).cast("boolean"))
+            .when(t == "VOID", F.lit(False))
+            .when(t == "BOOLEAN", js == "true")
+            .when(t == "STRING", js != '""')
+            .when(t.startswith("ARRAY"), js != "[]")
+            .when(t.startswith("OBJECT"), js != "{}")
+            .otherwise(F.coalesce(v.try_cast("double") != 0, F.lit(True))))

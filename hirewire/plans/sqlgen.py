@@ -230,3 +230,48 @@ def real_logo(lg: str) -> str:
 def search_logo(c: str) -> str:
     guess = f"(replace(lower({c}), ' ', '') || '.com')"
     return f"CASE WHEN {c} IS NOT NULL AND {c} <> '' THEN {favicon(guess)} ELSE '' END"
+
+
+# ---------------------------------------------------------------------------
+# Text
+# ---------------------------------------------------------------------------
+PY_WS_RE2 = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+NL = "chr(10)"
+
+
+def strip_re(x: str) -> str:
+    return f"regexp_replace({x}, '^{PY_WS_RE2}+|{PY_WS_RE2}+$', '', 'g')"
+
+
+def unescape4(x: str) -> str:
+    """One-pass decode for the four entities the generated pages contain (&amp; last)."""
+    out = x
+    for ent, ch in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        out = f"replace({out}, {sql_str(ent)}, {sql_str(ch)})"
+    return out
+
+
+def strip_tags_nl(x: str) -> str:
+    s = f"regexp_replace({x}, '<[^>]+>', {NL}, 'g')"
+    s = f"regexp_replace({s}, '\\n{{3,}}', {NL} || {NL}, 'g')"
+    return strip_re(s)
+
+
+def truncate_ellipsis(x: str, n: int) -> str:
+    return f"CASE WHEN length({x}) > {n} THEN substr({x}, 1, {n}) || '...' ELSE {x} END"
+
+
+def collapse_ws(x: str) -> str:
+    return strip_re(f"regexp_replace({x}, '{PY_WS_RE2}+', ' ', 'g')")
+
+
+def clean_cell(x: str) -> str:
+    s = f"regexp_replace({unescape4(f'coalesce({x}, {chr(39)}{chr(39)})')}, '<[^>]+>', ' ', 'g')"
+    s = strip_re(f"regexp_replace({s}, '{PY_WS_RE2}{{2,}}', ' ', 'g')")
+    return strip_re(f"regexp_replace({s}, '^,+|,+$', '', 'g')")
+
+
+def salary_by_patterns(x: str, patterns) -> str:
+    hits = [f"CASE WHEN regexp_matches({x}, {sql_str('(?i)' + p)}) THEN regexp_extract({x}, {sql_str('(?i)' + p)}, 0) END"
+            for p in patterns]
+    return f"coalesce({', '.join(hits)}, '')"
