@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from hirewire.plans import q_classify, q_domains, q_text, q_urls
+from hirewire.plans import q_classify, q_dates, q_domains, q_text, q_urls
 
-MODULES = [q_classify, q_urls, q_domains, q_text]
+MODULES = [q_classify, q_urls, q_domains, q_text, q_dates]
 
 
 def all_queries() -> dict:
