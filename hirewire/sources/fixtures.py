@@ -194,3 +194,61 @@ def search_hits_sql(alias: str = "search_hits") -> str:
   SELECT CAST(event_id % 8 AS INTEGER) AS search_id, 0 AS page_no, CAST(event_id // 8 AS BIGINT) AS item_pos,
          'https://www.linkedin.com/jobs/view/' || CAST(user_id * 7 % 1009 AS VARCHAR) AS url
   FROM events)"""
+
+
+# Registry fixture: one entry per supplier, grouped into documents of at most
+# REGISTRY_DOC_SIZE entries (a group's size is fixed, never data-dependent).
+REGISTRY_DOC_SIZE = 50
+REGISTRY_PLATFORMS = PLATFORM_CYCLE + ["linkedin", "GreenHouse", "smartrecruiters"]  # 17
+# 'enabled' variants by s_suppkey % 11 (None = key absent).
+ENABLED_JSON = [None, "true", "false", '"false"', "0", '""', "[]", "{}", "null", "1", '"yes"']
+
+
+def registry_entry_json() -> Column:
+    """The JSON text of one registry entry, built from a ``supplier`` row."""
+    k = F.col("s_suppkey")
+    # A JSON scalar: the value part of to_json({"v": c}).
+    js = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)
+    field = lambda name, c: F.concat(F.lit(f'"{name}":'), js(c))
+    platform = pick(REGISTRY_PLATFORMS, k)
+    name = F.col("s_name")
+    slug = F.concat(F.lit("slug"), k.cast("string"))
+    parts = [
+        field("company_name", name),
+        field("ats_platform", platform),
+        F.when(k % 19 == 0, F.lit(None)).when(k % 23 == 0, F.lit('"board_slug":null'))
+         .otherwise(field("board_slug", slug)),
+        F.when(k % 11 != 0, F.concat(F.lit('"enabled":'), pick(ENABLED_JSON, k))),
+        field("company_url", F.concat(F.lit("https://www."), F.lower(F.regexp_replace(name, "#", "")), F.lit(".com"))),
+        F.when(k % 3 == 0, field("company_logo_url", F.concat(F.lit("https://logo.clearbit.com/s"), k.cast("string"),
+                                                             F.lit(".io")))),
+        F.when(k % 4 != 0, field("workday_url_template", F.concat(
+            F.lit("https://acme"), k.cast("string"), F.lit(".wd5.myworkdayjobs.com/wday/cxs/acme/External")))),
+        F.when(k % 5 != 0, field("oracle_host", F.concat(F.lit("fa-"), k.cast("string"), F.lit(".oraclecloud.com")))),
+        F.when(k % 5 == 1, field("oracle_careers_host", F.concat(F.lit("jobs.s"), k.cast("string"), F.lit(".com")))),
+        F.when(k % 6 != 0, field("eightfold_host", F.concat(F.lit("s"), k.cast("string"), F.lit(".eightfold.ai")))),
+        F.when(k % 7 != 0, field("eightfold_domain", F.concat(F.lit("s"), k.cast("string"), F.lit(".com")))),
+        F.when(k % 4 != 1, field("taleo_host", F.concat(F.lit("s"), k.cast("string"), F.lit(".taleo.net")))),
+        F.when(k % 4 != 2, field("taleo_portal", k.cast("string"))),
+        F.when(k % 8 != 0, field("sf_host", F.concat(F.lit("jobs.s"), k.cast("string"), F.lit(".com")))),
+        F.when(k % 9 == 0, field("sf_mode", F.lit("csb"))),
+        F.when(k % 10 != 0, field("phenom_host", F.concat(F.lit("careers.s"), k.cast("string"), F.lit(".com")))),
+        F.when(k % 12 != 0, field("tp_host", F.concat(F.lit("join.s"), k.cast("string"), F.lit(".com")))),
+        F.when(k % 13 == 0, field("bamboohr_subdomain", F.concat(F.lit("bhr"), k.cast("string")))),
+        F.when(k % 13 == 1, field("jobvite_company", F.concat(F.lit("jv"), k.cast("string")))),
+    ]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+def registry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{"companies": [...]}`` documents of at most REGISTRY_DOC_SIZE suppliers each, plus one
+    document per region that has no ``companies`` key."""
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name")
+    doc = (F.col("s_suppkey") / REGISTRY_DOC_SIZE).cast("long")
+    entries = sup.select(doc.alias("doc_id"), F.struct("s_suppkey", registry_entry_json().alias("j")).alias("e"))
+    docs = entries.groupBy("doc_id").agg(F.sort_array(F.collect_list("e")).alias("es"))
+    body = F.concat(F.lit('{"companies":['), F.array_join(F.transform("es", lambda x: x["j"]), ","), F.lit("]}"))
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet").select(
+        (F.lit(1_000_000) + F.col("r_regionkey")).cast("long").alias("doc_id"),
+        F.concat(F.lit('{"region":"'), F.col("r_name"), F.lit('"}')).alias("text"))
+    return docs.select("doc_id", body.alias("text")).unionByName(regions)
