@@ -20,3 +20,26 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+_WRITTEN: dict = {}
+
+
+def written_table(spark: SparkSession, name: str, sf_dir: str, build, partition_by=None) -> DataFrame:
+    """Build a derived table once per session, write it under the shared ``spark.checkpoint.dir``
+    (lineage cut, re-readable by any executor), and read it back."""
+    import hashlib
+
+    from hirewire.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark)
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _WRITTEN:
+        tag = hashlib.sha1(f"{key}".encode()).hexdigest()[:12]
+        path = f"{base.rstrip('/')}/tables/{name}-{tag}"
+        w = build(spark, sf_dir).write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
