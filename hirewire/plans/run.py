@@ -44,6 +44,11 @@ def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_sear
     pages = join_companies(usable, companies)
     pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
     frames = [platform_raw_jobs(pages, p) for p in (platforms or dims.PLATFORMS)]
+    # M3: a body that breaks greenhouse/lever/ashby parsing fails the whole company (no rows).
+    from hirewire.operators.metrics import body_errors
+    failed = body_errors(usable).where("broken").select("platform", "company_seq").distinct()
+    frames = [f.join(failed, ["platform", "company_seq"], "left_anti") if p in ("greenhouse", "lever", "ashby")
+              else f for f, p in zip(frames, platforms or dims.PLATFORMS)]
     if with_search:
         frames.append(search_raw_jobs(landing))
     return LD.union_platforms(frames)
@@ -68,3 +73,69 @@ class RunResult:
     new_jobs: DataFrame      # rows to append (K4 enriched, 17 columns + defaults)
     outcomes: DataFrame      # every raw job with its F2 outcome
     stats: DataFrame         # M1 one-row counters
+
+
+def platform_ranks(companies: DataFrame) -> DataFrame:
+    """Registry order of first appearance per platform; the search site comes last (<= 15 rows)."""
+    from hirewire.sources.registry import group_by_platform
+    g = group_by_platform(companies).select(F.col("ats_platform").alias("platform"), "platform_rank")
+    return g.unionByName(g.sparkSession.createDataFrame([(dims.SEARCH_PLATFORM, 10_000)],
+                                                       "platform string, platform_rank int"))
+
+
+def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataFrame, run_ts,
+             platform: str | None = None, company: str | None = None, checkpoint: bool = True):
+    """Everything of a run except the write. Returns (new_rows, outcomes, stats, success)."""
+    from hirewire.operators import dedup as K
+    from hirewire.operators import metrics as M
+    from hirewire.operators import sink as SK
+    from hirewire.operators.process import ORDER_COLS, classify_all
+    from hirewire.sources.registry import scope
+
+    scoped = scope(companies, platform, company)
+    platforms = [platform] if platform else dims.PLATFORMS
+    # The search site runs only without a platform filter (a company filter does not stop it).
+    raw = raw_jobs(landing, scoped, platforms, with_search=platform is None)
+    ranked = raw.join(F.broadcast(platform_ranks(scoped)), "platform", "left") \
+                .fillna({"platform_rank": 10_000})
+    classified = classify_all(ranked, run_ts)
+    is_cand = F.col("outcome") == "candidate"
+    staged = K.with_normalized_url(classified.withColumn("_cand_url", F.when(is_cand, F.col("url"))),
+                                   "_cand_url", "_cand_url")
+    staged = staged.withColumn("url", F.when(is_cand, F.col("_cand_url")).otherwise(F.col("url"))).drop("_cand_url")
+    staged = staged.withColumn("gate_ok", is_cand & K.quality_gate(staged))
+    if checkpoint:
+        # One reliable checkpoint (shared checkpoint dir): every later action reads it, and a
+        # lost executor does not send the run back to parsing payloads.
+        staged = staged.checkpoint(eager=True)
+    cand = staged.where(is_cand)
+    winners = K.first_wins(cand.where("gate_ok"), "url", ORDER_COLS)
+    new = K.new_only(winners, target_urls)
+    new_rows = SK.enrich(new.select(*[c for c in new.columns if c not in ("company_domain",)]))
+    key = ["platform", "company_seq", "search_id", "page_no", "item_pos"]
+    new_keys = new.select(*key).withColumn("is_new", F.lit(True))
+    filtered = staged.where(~is_cand).select(*key, "outcome")
+    judged = cand.join(new_keys, key, "left").select(
+        *key, F.when(~F.col("gate_ok"), F.lit("gate_reject")).when(F.col("is_new"), F.lit("new"))
+        .otherwise(F.lit("duplicate")).alias("outcome"))
+    outcomes = filtered.unionByName(judged)
+    success = M.company_success(scoped, landing.where(F.col("platform") != dims.SEARCH_PLATFORM))
+    stats = M.run_stats(outcomes, success)
+    return new_rows, outcomes, stats, success
+
+
+def run(spark, landing: DataFrame, companies: DataFrame, target: str, run_ts, batch_id: str,
+        platform: str | None = None, company: str | None = None):
+    """A1: run the pipeline and append the new rows to ``target``; returns the stats row.
+    Replaying a ``batch_id`` rewrites only its own partition (the anti-join ignores it)."""
+    from hirewire.operators import metrics as M
+    from hirewire.operators import sink as SK
+
+    if platform == dims.SEARCH_PLATFORM:
+        platform = "__none__"  # the search site is not a registry platform: nothing to scrape
+    target_urls = SK.stored_urls(spark, target, exclude_batch=batch_id)
+    new_rows, outcomes, stats, success = plan_run(spark, landing, companies, target_urls, run_ts, platform, company)
+    SK.append(SK.to_stored(new_rows, run_ts, batch_id), target)
+    row = stats.collect()[0]
+    M.check_health(row)
+    return row
