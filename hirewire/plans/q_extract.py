@@ -18,7 +18,8 @@ from hirewire.sources import fixtures_landing as FL
 from hirewire.sources import landing as LD
 from hirewire.sources.fixtures import sql_list, sql_str
 
-OUT = ["company_seq", "item_key", "title", "company", "location", "url", "posted_date", "department", "company_url"]
+OUT = ["company_seq", "item_key", "title", "company", "location", "url", "posted_date", "department", "company_url",
+       "company_logo"]
 
 
 def landing_table(spark, sf_dir):
@@ -48,15 +49,21 @@ it AS (
          CAST(posting_id AS VARCHAR) AS pid,
          list_extract({sql_list(X.COMPANIES)}, ((posting_id % {FL.N_COMPANIES}) % {len(X.COMPANIES)}) + 1) AS company,
          CASE WHEN (posting_id % {FL.N_COMPANIES}) % 4 <> 0
-              THEN 'https://www.co' || CAST(posting_id % {FL.N_COMPANIES} AS VARCHAR) || '.com' ELSE '' END AS reg_url
+              THEN 'https://www.co' || CAST(posting_id % {FL.N_COMPANIES} AS VARCHAR) || '.com' ELSE '' END AS reg_url,
+         CASE WHEN (posting_id % {FL.N_COMPANIES}) % 3 = 0
+              THEN 'https://logo.clearbit.com/co' || CAST(posting_id % {FL.N_COMPANIES} AS VARCHAR) || '.com' ELSE '' END
+           AS reg_logo
   FROM postings WHERE (posting_id % {FL.N_COMPANIES}) % 43 <> 0)"""
 
 
 def _sel(platform: str, item_key: str, title: str, location: str, url: str, posted: str, department: str,
-         company_url: str = "reg_url", where: str = "TRUE", with_base: bool = True) -> str:
+         company_url: str = "reg_url", where: str = "TRUE", with_base: bool = True,
+         page_sql: str = "0", pos_sql: str = "idx", platform_rank_sql: str = "0") -> str:
     return (f"WITH {_BASE}\n" if with_base else "") + (f"SELECT CAST(k AS BIGINT) AS company_seq, {item_key} AS item_key, {title} AS title, "
             f"company, {location} AS location, {url} AS url, {posted} AS posted_date, {department} AS department, "
-            f"{company_url} AS company_url\nFROM it WHERE platform = {sql_str(platform)} AND ({where})")
+            f"{company_url} AS company_url, reg_logo AS company_logo, {platform_rank_sql} AS platform_rank, "
+            f"{page_sql} AS page_no, {pos_sql} AS item_pos, CAST(e AS BIGINT) AS e, {sql_str(platform)} AS platform"
+            f"\nFROM it WHERE platform = {sql_str(platform)} AND ({where})")
 
 
 TRUTHY_TITLE = "title IS NOT NULL AND title <> ''"
@@ -151,8 +158,7 @@ def p16_search_results(spark, sf_dir):
 
 _SEARCH_LOCS = sql_list([s[1] for s in dims.SEARCHES])
 _FAV_PRE, _FAV_POST = dims.FAVICON_TEMPLATE.split("{domain}")
-P16_SQL = f"""WITH {X.postings_sql()},
-cards AS (
+P16_CTES = f"""cards AS (
   SELECT posting_id // {FL.SEARCH_CARDS} AS search_id, posting_id AS e, title, company, location, posted_date,
          row_number() OVER (PARTITION BY posting_id // {FL.SEARCH_CARDS} ORDER BY posting_id) - 1 AS item_pos
   FROM postings),
@@ -169,7 +175,9 @@ parsed AS (
          CASE WHEN location IS NULL THEN 'Somewhere' ELSE {S.strip_re('location')} END AS location,
          'https://www.linkedin.com/jobs/view/' || CAST(e * 31 % 100003 AS VARCHAR) AS url,
          CAST(CAST(d AS DATE) AS TIMESTAMP) AS posted_date
-  FROM joined)
+  FROM joined)"""
+P16_SQL = f"""WITH {X.postings_sql()},
+{P16_CTES}
 SELECT search_id, item_pos, title, company, location, url, posted_date,
        CASE WHEN company <> '' THEN {sql_str(_FAV_PRE)} || replace(lower(company), ' ', '') || '.com' || {sql_str(_FAV_POST)}
             ELSE '' END AS company_logo
@@ -178,5 +186,9 @@ FROM parsed WHERE title <> ''"""
 _IDS = {"greenhouse": "P1", "lever": "P2", "ashby": "P3", "workday": "P4", "oracle": "P5", "eightfold": "P6",
         "taleo": "P7", "successfactors": "P8_P9", "phenom": "P10", "bamboohr": "P11", "breezy": "P12",
         "recruitee": "P13", "jobvite": "P14", "talentplatform": "P15"}
-QUERIES = {f"{_IDS[p]}_extract_{p}": (_platform_query(p), SQL[p]) for p in dims.PLATFORMS}
+def _only_out(sql: str) -> str:
+    return f"SELECT {', '.join(OUT)} FROM ({sql})"
+
+
+QUERIES = {f"{_IDS[p]}_extract_{p}": (_platform_query(p), _only_out(SQL[p])) for p in dims.PLATFORMS}
 QUERIES["P16_search_results"] = (p16_search_results, P16_SQL)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from hirewire.plans import q_classify, q_dates, q_domains, q_extract, q_registry, q_text, q_urls
+from hirewire.plans import q_classify, q_dates, q_domains, q_extract, q_registry, q_run, q_text, q_urls
 
-MODULES = [q_classify, q_urls, q_domains, q_text, q_dates, q_registry, q_extract]
+MODULES = [q_classify, q_urls, q_domains, q_text, q_dates, q_registry, q_extract, q_run]
 
 
 def all_queries() -> dict:
