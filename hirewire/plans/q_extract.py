@@ -34,7 +34,7 @@ def companies_table(spark, sf_dir):
 def _platform_query(platform: str):
     def q(spark, sf_dir):
         land = landing_table(spark, sf_dir).where(F.col("platform") == platform)
-        pages = join_companies(LD.usable_pages(land), companies_table(spark, sf_dir))
+        pages = join_companies(LD.usable_pages(LD.co_partition(land)), companies_table(spark, sf_dir))
         pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
         return platform_raw_jobs(pages, platform).select(*OUT)
     q.__name__ = f"extract_{platform}"

@@ -40,7 +40,7 @@ def platform_raw_jobs(pages: DataFrame, platform: str) -> DataFrame:
 
 def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_search: bool = True) -> DataFrame:
     """S8, S9, S7 dispatch, S15 union: the ``raw_job`` rows of a run with arrival-order columns."""
-    usable = LD.usable_pages(landing.where(F.col("platform") != dims.SEARCH_PLATFORM))
+    usable = LD.usable_pages(LD.co_partition(landing.where(F.col("platform") != dims.SEARCH_PLATFORM)))
     pages = join_companies(usable, companies)
     pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
     frames = [platform_raw_jobs(pages, p) for p in (platforms or dims.PLATFORMS)]
@@ -57,7 +57,7 @@ def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_sear
 def search_raw_jobs(landing: DataFrame) -> DataFrame:
     """P16 then S16: search-site cards; within the run the first raw URL wins across searches."""
     from hirewire.operators.dedup import first_wins
-    pages = LD.usable_pages(landing.where(F.col("platform") == dims.SEARCH_PLATFORM)) \
+    pages = LD.usable_pages(LD.co_partition(landing.where(F.col("platform") == dims.SEARCH_PLATFORM))) \
               .withColumn("raw", F.lit(None).cast("variant")).withColumn("board_slug", F.lit(None).cast("string")) \
               .withColumn("company_name", F.lit(""))
     size, max_pages, first = dims.PAGE_POLICY["linkedin"]

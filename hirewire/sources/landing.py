@@ -29,25 +29,29 @@ def usable_pages(landing: DataFrame) -> DataFrame:
     """One outcome per request. Rate-limited/timed-out attempts are retried up to the
     platform's attempt budget; the first other answer decides: 2xx gives the body, anything
     else (404, 5xx, other errors) gives none. Requests without a usable body are kept with
-    ``ok = false`` so pagination can stop at them."""
+    ``ok = false`` so pagination can stop at them.
+
+    One aggregate: ``min`` over the non-retryable attempts (NULL when every attempt in the
+    budget was retryable). Partitioning the input by company beforehand (see
+    ``co_partition``) lets this aggregate and the page windows share a single shuffle."""
     budget = F.coalesce(F.element_at(F.create_map(*[x for k, v in MAX_ATTEMPTS.items()
                                                     for x in (F.lit(k), F.lit(v))]), F.col("platform")), F.lit(3))
     tried = landing.where(F.col("attempt") < budget)
-    final = tried.where(~F.col("status").isin(RETRYABLE))
-    # First non-retryable answer per request: min over (attempt, ...) -- map-side partial aggregate.
     cols = [c for c in landing.columns if c not in REQUEST_KEY and c != "attempt"]
-    first = final.groupBy(*REQUEST_KEY).agg(F.min(F.struct("attempt", *cols)).alias("a"))
-    answered = first.select(*REQUEST_KEY, *[F.col(f"a.{c}").alias(c) for c in cols])
-    gave_up = tried.groupBy(*REQUEST_KEY).agg(F.max("run_ts").alias("run_ts")) \
-                   .join(answered.select(*REQUEST_KEY), REQUEST_KEY, "left_anti") \
-                   .select(*REQUEST_KEY, "run_ts", F.lit(None).cast("int").alias("status"),
-                           F.lit(None).cast("string").alias("body"))
-    out = answered.unionByName(gave_up, allowMissingColumns=True)
-    ok = F.col("status").between(200, 299)
-    return out.select(*REQUEST_KEY, "run_ts", "status", F.when(ok, F.col("body")).alias("body"),
+    final = F.when(~F.col("status").isin(RETRYABLE), F.struct("attempt", *cols))
+    agg = tried.groupBy(*REQUEST_KEY).agg(F.min(final).alias("a"), F.max("run_ts").alias("_ts"))
+    ok = F.col("a.status").between(200, 299)
+    return agg.select(*REQUEST_KEY, F.coalesce(F.col("a.run_ts"), F.col("_ts")).alias("run_ts"),
+                      F.col("a.status").alias("status"), F.when(ok, F.col("a.body")).alias("body"),
                       F.coalesce(ok, F.lit(False)).alias("ok"))
 
 
+def co_partition(landing: DataFrame) -> DataFrame:
+    """Hash-partition landed requests by (platform, company, search): S8's per-request
+    aggregate and S10/S11's per-company windows are then satisfied without another shuffle."""
+    return landing.repartition("platform", "company_seq", "search_id")
+
+
 def config_ok(platform: Column, raw: Column, board_slug: Column) -> Column:
     """The company yields nothing when its platform's configuration is missing."""
     has = lambda k: F.trim(opt(raw, k)) != ""
@@ -88,10 +92,13 @@ def page_prefix(pages: DataFrame, stop: Column, max_pages: int, first_page: int
 
 
 def attach_details(items: DataFrame, details: DataFrame, cap: int, order=("page_no", "item_pos"),
-                   key=("platform", "company_seq")) -> DataFrame:
+                   key=("platform", "company_seq"), window_key=("platform", "company_seq", "search_id")) -> DataFrame:
     """The detail body joins only to the first ``cap`` items of a company (list order,
     after pre-filters); later items get ''. ``details``: platform, company_seq, item_key, detail."""
-    w = Window.partitionBy(*key).orderBy(*order)
+    # search_id is constant per company for board pages; keeping it in the window key
+    # reuses the (platform, company, search) partitioning of the pages.
+    wk = [k for k in window_key if k in items.columns]
+    w = Window.partitionBy(*wk).orderBy(*order)
     ranked = items.withColumn("_rn", F.row_number().over(w))
     joined = ranked.join(details, list(key) + ["item_key"], "left")
     return joined.withColumn("detail", F.when(F.col("_rn") <= cap, F.coalesce("detail", F.lit("")))
