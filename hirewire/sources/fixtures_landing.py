@@ -245,27 +245,71 @@ def _details(it: DataFrame, platform: str) -> DataFrame:
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``landing`` table for one run over every platform."""
+    """The ``landing`` table for one run over every platform, built in one pass: every item
+    gets its vendor-shaped JSON (or HTML row) and page number, items are grouped into page
+    bodies per (platform, company, kind, page), and the company total comes from a window
+    over the same partitioning (one shuffle for the list pages)."""
+    from pyspark.sql import Window
+
     it = items(spark, sf_dir)
-    totals = it.groupBy("platform", "company_seq").agg(F.count(F.lit(1)).alias("n"))
-    pages = None
-    for p in dims.PLATFORMS:
-        pg = _pages_for(it, p, totals).withColumn("item_key", F.lit(""))
-        pages = pg if pages is None else pages.unionByName(pg)
-    for p in sorted({"oracle", "eightfold", "bamboohr"}):
-        pages = pages.unionByName(_details(it, p))
-    k = F.col("company_seq")
-    status = F.when(k % 43 == 0, F.lit(404)).otherwise(F.lit(200))
-    ok = pages.select("*", status.alias("status"), F.lit(1).alias("attempt"))
-    limited = pages.where(k % 7 == 0).select("*", F.lit(429).alias("status"), F.lit(0).alias("attempt")) \
-                   .withColumn("body", F.lit(None).cast("string"))
-    first = pages.where(k % 7 != 0).select("*", status.alias("status"), F.lit(0).alias("attempt"))
-    ok = ok.where(k % 7 == 0)
-    out = first.unionByName(limited).unionByName(ok)
-    return out.select(X.run_ts().alias("run_ts"), "platform", k.cast("long").alias("company_seq"),
-                      F.lit(0).alias("search_id"), "kind", F.col("page_no").cast("int").alias("page_no"),
-                      "item_key", F.col("status").cast("int").alias("status"), F.col("attempt").cast("int").alias("attempt"),
-                      "body")
+    plat, k = F.col("platform"), F.col("company_seq")
+    is_rmk = (plat == "successfactors") & (k % 3 == 0)
+    size, first, j = F.lit(CHUNK), F.lit(0), F.lit(None).cast("string")
+    for p in reversed(dims.PLATFORMS):
+        size = F.when(plat == p, F.lit(PAGE_SIZE.get(p, CHUNK))).otherwise(size)
+        first = F.when(plat == p, F.lit(FIRST_PAGE.get(p, 0))).otherwise(first)
+        if p != "jobvite":
+            j = F.when(plat == p, _item_json(p)).otherwise(j)
+    size = F.when(is_rmk, F.lit(PAGE_SIZE["rmk"])).otherwise(size)
+    first = F.when(is_rmk, F.lit(0)).otherwise(first)
+    j = F.when(is_rmk, _rmk_row()).when(plat == "jobvite", _jobvite_row()).otherwise(j)
+    kind = F.when(is_rmk | (plat == "jobvite"), F.lit("html_list")).otherwise(F.lit("list"))
+    staged = it.select("platform", "company_seq", "idx", kind.alias("kind"),
+                       ((F.col("idx") / size).cast("int") + first).alias("page_no"), j.alias("j"))
+    staged = staged.repartition("platform", "company_seq")
+    g = staged.groupBy("platform", "company_seq", "kind", "page_no") \
+              .agg(F.sort_array(F.collect_list(F.struct("idx", "j"))).alias("xs"), F.count(F.lit(1)).alias("m"))
+    g = g.withColumn("n", F.sum("m").over(Window.partitionBy("platform", "company_seq")))
+    n = F.col("n").cast("string")
+    items_json = F.array_join(F.transform("xs", lambda x: x["j"]), ",")
+    body = F.lit(None).cast("string")
+    for p in reversed(dims.PLATFORMS):
+        if p == "jobvite":
+            continue
+        pre, post = _WRAP[p]
+        head = F.concat(F.lit(pre.split("{n}")[0]), n, F.lit(pre.split("{n}")[1])) if "{n}" in pre else F.lit(pre)
+        if p == "workday":
+            head = F.when(k % 5 == 0, F.lit('{"jobPostings":[')).otherwise(head)
+        body = F.when(plat == p, F.concat(head, items_json, F.lit(post))).otherwise(body)
+    rows_html = lambda sep: F.array_join(F.transform("xs", lambda x: x["j"]), sep)
+    body = (F.when(is_rmk, F.concat(F.lit("<html><table>"), rows_html("\n"), F.lit("</table></html>")))
+            .when(plat == "jobvite", F.concat(F.lit('<table class="jv-job-list">'), rows_html(""), F.lit("</table>")))
+            .otherwise(body))
+    pages = g.select("platform", "company_seq", "page_no", "kind", F.lit("").alias("item_key"), body.alias("body"))
+    details = _all_details(it)
+    allp = pages.unionByName(details)
+    # Attempts: companies with k % 7 == 0 are rate-limited once before each answer.
+    kk = F.col("company_seq")
+    att = allp.select("*", F.explode(F.when(kk % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+                      .alias("attempt"))
+    limited = (kk % 7 == 0) & (F.col("attempt") == 0)
+    status = F.when(limited, F.lit(429)).when(kk % 43 == 0, F.lit(404)).otherwise(F.lit(200))
+    return att.select(X.run_ts().alias("run_ts"), "platform", kk.cast("long").alias("company_seq"),
+                      F.lit(0).alias("search_id"), "kind", F.col("page_no").cast("int").alias("page_no"), "item_key",
+                      status.cast("int").alias("status"), F.col("attempt").cast("int").alias("attempt"),
+                      F.when(~limited, F.col("body")).alias("body"))
+
+
+def _all_details(it: DataFrame) -> DataFrame:
+    html = F.col("html")
+    plat = F.col("platform")
+    body = (F.when(plat == "oracle", F.concat(F.lit('{"items":['), _obj(ExternalDescriptionStr=_j(html),
+                                              ExternalQualificationsStr=F.lit('"<p>Degree</p>"')), F.lit("]}")))
+            .when(plat == "eightfold", _obj(data=_obj(jobDescription=_j(html))))
+            .otherwise(_obj(result=_obj(jobOpening=_obj(description=_j(html))))))
+    return it.where(plat.isin("oracle", "eightfold", "bamboohr")).select(
+        "platform", "company_seq", F.lit(0).alias("page_no"), F.lit("detail").alias("kind"),
+        F.col("posting_id").cast("string").alias("item_key"), body.alias("body"))
 
 
 # --- search-site result pages -----------------------------------------------------
