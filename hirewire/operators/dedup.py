@@ -37,14 +37,18 @@ def first_wins(df: DataFrame, key: str | list[str], order: list[str]) -> DataFra
 
 
 def new_only(batch: DataFrame, target_urls: DataFrame, key: str = "url",
-             broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
+             broadcast_limit: int = BROADCAST_KEYS_LIMIT, materialize: bool = True) -> DataFrame:
     """K3: rows of ``batch`` whose key is not already stored.
 
     The stored side only contributes its key column. When the batch's distinct keys are
     few (counted, not guessed) they are broadcast into a semi-join against the stored
     keys, so the large table is scanned once without being shuffled; otherwise a
-    shuffled anti-join runs (AQE splits skewed partitions).
+    shuffled anti-join runs (AQE splits skewed partitions). The batch is checkpointed
+    first (shared checkpoint dir), so the count, the key set and the final anti-join
+    read it instead of deriving it three times.
     """
+    if materialize:
+        batch = batch.checkpoint(eager=True)
     target_keys = target_urls.select(F.col(key)).where(F.col(key).isNotNull())
     batch_keys = batch.select(key).distinct()
     n = batch_keys.count()
