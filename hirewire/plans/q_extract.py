@@ -192,3 +192,89 @@ def _only_out(sql: str) -> str:
 
 QUERIES = {f"{_IDS[p]}_extract_{p}": (_platform_query(p), _only_out(SQL[p])) for p in dims.PLATFORMS}
 QUERIES["P16_search_results"] = (p16_search_results, P16_SQL)
+
+
+# --- S7, S8, S9, S11 on the landed fixture ---------------------------------------
+
+def s7_platform_dispatch(spark, sf_dir):
+    """Raw jobs per platform after dispatching every landed page to its parser (search site included)."""
+    from hirewire.plans.run import raw_jobs
+    rj = raw_jobs(landing_table(spark, sf_dir), companies_table(spark, sf_dir))
+    return rj.groupBy("platform").agg(F.count(F.lit(1)).alias("raw_jobs"))
+
+
+def _s7_sql() -> str:
+    parts = [SQL[p].replace(f"WITH {_BASE}\n", "", 1) for p in dims.PLATFORMS]
+    return ("WITH " + _BASE.replace("WITH ", "") + ",\n" + P16_CTES + ",\nraw AS (" + "\nUNION ALL\n".join(parts)
+            + ")\nSELECT platform, count(*) AS raw_jobs FROM raw GROUP BY ALL\n"
+            "UNION ALL SELECT 'linkedin', count(*) FROM parsed WHERE title <> ''")
+
+
+def s8_response_status_filter(spark, sf_dir):
+    """One outcome per landed list request: usable or not (404s and exhausted retries are not)."""
+    land = landing_table(spark, sf_dir).where(F.col("kind") != "detail")
+    u = LD.usable_pages(LD.co_partition(land.where(F.col("platform") != dims.SEARCH_PLATFORM)))
+    return u.select("platform", "company_seq", "kind", "page_no", "ok")
+
+
+def _s8_sql() -> str:
+    size = "CASE " + " ".join(f"WHEN platform = {sql_str(p)} THEN {FL.PAGE_SIZE.get(p, FL.CHUNK)}"
+                              for p in dims.PLATFORMS) + f" ELSE {FL.CHUNK} END"
+    first = "CASE " + " ".join(f"WHEN platform = {sql_str(p)} THEN {v}" for p, v in FL.FIRST_PAGE.items()) + " ELSE 0 END"
+    rmk = "(platform = 'successfactors' AND k % 3 = 0)"
+    return f"""WITH {X.postings_sql()},
+it AS (SELECT platform, posting_id % {FL.N_COMPANIES} AS k, posting_id // {FL.N_COMPANIES} AS idx FROM postings)
+SELECT DISTINCT platform, CAST(k AS BIGINT) AS company_seq,
+       CASE WHEN {rmk} OR platform = 'jobvite' THEN 'html_list' ELSE 'list' END AS kind,
+       CAST(CASE WHEN {rmk} THEN idx // {FL.PAGE_SIZE['rmk']} ELSE idx // ({size}) + ({first}) END AS INTEGER) AS page_no,
+       k % 43 <> 0 AS ok
+FROM it"""
+
+
+def s9_company_config_gate(spark, sf_dir):
+    co = companies_table(spark, sf_dir)
+    return co.select("company_seq", F.col("ats_platform").alias("platform"),
+                     LD.config_ok(F.col("ats_platform"), F.col("raw"), F.col("board_slug")).alias("config_ok"))
+
+
+S9_SQL = (f"SELECT DISTINCT CAST(event_id % {FL.N_COMPANIES} AS BIGINT) AS company_seq, "
+          f"list_extract({sql_list(X.PLATFORM_CYCLE)}, ((event_id % {FL.N_COMPANIES}) % 14) + 1) AS platform, "
+          f"NOT ((event_id % {FL.N_COMPANIES}) % 14 = 3 AND (event_id % {FL.N_COMPANIES}) % 29 = 0) AS config_ok "
+          f"FROM events")
+
+
+def s11_detail_join_cap(spark, sf_dir):
+    """Descriptions attached from detail payloads, only for the first N items of a company."""
+    from hirewire.plans.run import join_companies, platform_raw_jobs
+    land = landing_table(spark, sf_dir).where(F.col("platform").isin(*sorted(dims.DETAIL_CAPS)))
+    pages = join_companies(LD.usable_pages(LD.co_partition(land)), companies_table(spark, sf_dir))
+    frames = [platform_raw_jobs(pages, p).withColumn("platform", F.lit(p)) for p in sorted(dims.DETAIL_CAPS)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select("platform", "item_key", "description")
+
+
+def _s11_sql() -> str:
+    html = "('<p>' || coalesce(title, '') || ' &amp; team</p><ul><li>Ship it</li></ul>')"
+    text = lambda h: S.strip_tags_nl(S.unescape4(h))
+    desc = {"oracle": S.truncate_ellipsis(text(f"({html} || chr(10) || '<p>Degree</p>')"), 5000),
+            "eightfold": S.truncate_ellipsis(text(html), 5000),
+            "bamboohr": f"substr({text(html)}, 1, 5000)"}
+    parts = []
+    for p in sorted(dims.DETAIL_CAPS):
+        base = SQL[p].replace(f"WITH {_BASE}\n", "", 1)
+        parts.append(f"SELECT '{p}' AS platform, item_key, CASE WHEN row_number() OVER (PARTITION BY company_seq "
+                     f"ORDER BY page_no, item_pos) <= {dims.DETAIL_CAPS[p]} THEN {desc[p]} ELSE '' END AS description "
+                     f"FROM ({base.replace('SELECT CAST(k AS BIGINT) AS company_seq,', 'SELECT title AS title_raw_, CAST(k AS BIGINT) AS company_seq,')}) "
+                     f"x")
+    sql = "WITH " + _BASE.replace("WITH ", "") + "\n" + "\nUNION ALL\n".join(parts)
+    return sql.replace("coalesce(title, '')", "coalesce(title_raw_, '')")
+
+
+QUERIES.update({
+    "S7_platform_dispatch": (s7_platform_dispatch, _s7_sql()),
+    "S8_response_status_filter": (s8_response_status_filter, _s8_sql()),
+    "S9_company_config_gate": (s9_company_config_gate, S9_SQL),
+    "S11_detail_join_cap": (s11_detail_join_cap, _s11_sql()),
+})
