@@ -96,11 +96,12 @@ def _finish(df: DataFrame, keep: Column, **cols) -> DataFrame:
         "description": F.lit(""),
         "posted_date": F.lit(None).cast("timestamp_ntz"),
     }
+    mode = cols.pop("description_mode", F.lit(DESC_NONE))
     base.update(cols)
     out = df.where(F.coalesce(keep, F.lit(False)))
     return out.select(*PROV, "item_pos", F.col("item_key").cast("string").alias("item_key"),
                       *[base[c].cast("timestamp_ntz").alias(c) if c == "posted_date" else base[c].cast("string").alias(c)
-                        for c in RAW_JOB_COLS])
+                        for c in RAW_JOB_COLS], mode.cast("int").alias("description_mode"))
 
 
 def _html_desc(c: Column, n: int, ellipsis: bool) -> Column:
@@ -108,6 +109,39 @@ def _html_desc(c: Column, n: int, ellipsis: bool) -> Column:
     return T.truncate_ellipsis(txt, n) if ellipsis else T.truncate_plain(txt, n)
 
 
+# --- descriptions: cleaned late --------------------------------------------------
+# Parsers keep the raw description text plus a recipe code; the cleanup (the one Arrow
+# UDF, tag stripping, truncation) runs only on rows that will be stored.
+DESC_NONE, DESC_HTML_3000_ELLIPSIS, DESC_TEXT_3000_ELLIPSIS, DESC_TEXT_3000, DESC_HTML_5000_ELLIPSIS, \
+    DESC_SPACES_3000, DESC_HTML_5000 = range(7)
+_NEEDS_UNESCAPE = [DESC_HTML_3000_ELLIPSIS, DESC_TEXT_3000_ELLIPSIS, DESC_TEXT_3000, DESC_HTML_5000_ELLIPSIS,
+                   DESC_HTML_5000]
+
+
+def finish_descriptions(df: DataFrame) -> DataFrame:
+    """Apply each row's description recipe (no-op when the frame carries finished text)."""
+    if "description_mode" not in df.columns:
+        return df
+    m, src = F.col("description_mode"), F.col("description")
+    df = df.withColumn("_dun", T.html_unescape(F.when(m.isin(_NEEDS_UNESCAPE), src)))
+    un = F.col("_dun")
+    df = df.withColumns({"_dtext": T.strip_tags_nl(un), "_dplain": T.py_strip(un)})
+    text, plain = F.col("_dtext"), F.col("_dplain")
+    out = (F.when(m == DESC_HTML_3000_ELLIPSIS, T.truncate_ellipsis(text, 3000))
+           .when(m == DESC_TEXT_3000_ELLIPSIS, T.truncate_ellipsis(plain, 3000))
+           .when(m == DESC_TEXT_3000, T.truncate_plain(plain, 3000))
+           .when(m == DESC_HTML_5000_ELLIPSIS, T.truncate_ellipsis(text, 5000))
+           .when(m == DESC_SPACES_3000, T.truncate_plain(T.collapse_ws(src), 3000))
+           .when(m == DESC_HTML_5000, T.truncate_plain(text, 5000))
+           .otherwise(F.lit("")))
+    return df.withColumn("description", out).drop("_dun", "_dtext", "_dplain", "description_mode")
+
+
+def _desc(src: Column, mode: int, when: Column | None = None) -> tuple[Column, Column]:
+    ok = when if when is not None else nz(src).isNotNull()
+    return (F.when(ok, src).otherwise(F.lit("")), F.when(ok, F.lit(mode)).otherwise(F.lit(DESC_NONE)))
+
+
 # --- pagination (S10 per vendor) ---------------------------------------------
 
 def _paged(pages: DataFrame, n_items: Column, stop: Column, policy: str, extra: dict | None = None) -> DataFrame:
@@ -152,7 +186,7 @@ def greenhouse(pages: DataFrame) -> DataFrame:
         department=F.when(F.coalesce(F.size(deps), F.lit(0)) > 0, vget(dep0, "name")).otherwise(F.lit("")),
         salary_range=salary,
         company_url=F.lit(""),
-        description=F.when(nz(content).isNotNull(), _html_desc(content, 3000, True)).otherwise(F.lit("")),
+        description=_desc(content, DESC_HTML_3000_ELLIPSIS)[0], description_mode=_desc(content, DESC_HTML_3000_ELLIPSIS)[1],
     )
 
 
@@ -183,8 +217,7 @@ def lever(pages: DataFrame) -> DataFrame:
         employment_type=vget(cat, "commitment"),
         salary_range=F.when(T.py_strip(combined) != "", T.salary_from_text_postings(combined)).otherwise(F.lit("")),
         company_url=F.lit(""),
-        description=F.when(plain != "", T.truncate_ellipsis(T.py_strip(T.html_unescape(plain)), 3000))
-                     .otherwise(F.lit("")),
+        description=_desc(plain, DESC_TEXT_3000_ELLIPSIS)[0], description_mode=_desc(plain, DESC_TEXT_3000_ELLIPSIS)[1],
     )
 
 
@@ -197,9 +230,9 @@ def ashby(pages: DataFrame) -> DataFrame:
     loc, dep = vv(i, "location"), vv(i, "department")
     html = or_(vget(i, "descriptionHtml"), vget(i, "description"))
     plain = vget(i, "descriptionPlain")
-    desc = (F.when(html.isNotNull(), _html_desc(html, 3000, True))
-            .when(nz(plain).isNotNull(), T.truncate_plain(T.py_strip(T.html_unescape(plain)), 3000))
-            .otherwise(F.lit("")))
+    desc = F.when(truthy(html), html).when(truthy(plain), plain).otherwise(F.lit(""))
+    desc_mode = (F.when(truthy(html), F.lit(DESC_HTML_3000_ELLIPSIS))
+                 .when(truthy(plain), F.lit(DESC_TEXT_3000)).otherwise(F.lit(DESC_NONE)))
     url = or_(vget(i, "applyUrl"), vget(i, "jobUrl"))
     keep = truthy(vget(i, "title")) & truthy(url)
     return _finish(
@@ -211,7 +244,7 @@ def ashby(pages: DataFrame) -> DataFrame:
         department=F.when(is_obj(dep), vget(dep, "name")).otherwise(vget(i, "department")),
         employment_type=vget(i, "employmentType"),
         company_url=F.lit(""),
-        description=desc,
+        description=desc, description_mode=desc_mode,
     )
 
 
@@ -290,7 +323,7 @@ def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
                                    k)), F.lit("")) for k in
                  ("ExternalDescriptionStr", "ExternalResponsibilitiesStr", "ExternalQualificationsStr")]
         joined = T.join_nonempty(parts, "\n")
-        det = _detail_text(details, F.when(joined != "", _html_desc(joined, 5000, True)).otherwise(F.lit("")))
+        det = _detail_text(details, joined)
         na = LD.attach_details(na, det, dims.DETAIL_CAPS["oracle"])
     else:
         na = na.withColumn("detail", F.lit(""))
@@ -308,7 +341,8 @@ def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         location=oracle_location(vs(i, "PrimaryLocation"), sec),
         posted_date=D.iso_or_prefix(nz(vs(i, "PostedDate"))),
         department=or_(vget(i, "JobFamily"), vget(i, "JobFunction")),
-        description=F.col("detail"),
+        description=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[0],
+        description_mode=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[1],
     )
 
 
@@ -344,7 +378,7 @@ def eightfold(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
            .withColumn("item_key", py_str(vv(i, "id")))
     if details is not None:
         html = nz(F.try_variant_get(F.try_parse_json("body"), "$.data.jobDescription", "string"))
-        det = _detail_text(details, F.when(html.isNotNull(), _html_desc(html, 5000, True)).otherwise(F.lit("")))
+        det = _detail_text(details, F.coalesce(html, F.lit("")))
         na = LD.attach_details(na, det, dims.DETAIL_CAPS["eightfold"])
     else:
         na = na.withColumn("detail", F.lit(""))
@@ -365,7 +399,8 @@ def eightfold(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         na, keep,
         title=or_(vget(i, "name"), vget(i, "title"), F.lit("")), url=url, location=F.col("_loc"),
         posted_date=D.epoch_auto(ts.try_cast("string")),
-        department=dep_s, description=F.col("detail"),
+        department=dep_s, description=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[0],
+        description_mode=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[1],
     )
 
 
@@ -508,7 +543,7 @@ def phenom(pages: DataFrame) -> DataFrame:
         url=or_(vs(i, "applyUrl"), F.concat(F.lit("https://"), host, F.lit("/job/"), py_str(seq))),
         posted_date=D.iso_or_prefix(nz(F.try_variant_get(vv(i, "postedDate"), "$", "string"))),
         department=vget(i, "category"),
-        description=F.when(teaser.isNotNull(), T.truncate_plain(T.collapse_ws(teaser), 3000)).otherwise(F.lit("")),
+        description=_desc(teaser, DESC_SPACES_3000)[0], description_mode=_desc(teaser, DESC_SPACES_3000)[1],
     )
 
 
@@ -530,8 +565,7 @@ def bamboohr(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     it = it.withColumn("item_key", py_str(vv(i, "id")))
     if details is not None:
         html = nz(F.try_variant_get(F.try_parse_json("body"), "$.result.jobOpening.description", "string"))
-        det = _detail_text(details, F.when(html.isNotNull(), T.truncate_plain(T.html_to_text(html), 5000))
-                           .otherwise(F.lit("")))
+        det = _detail_text(details, F.coalesce(html, F.lit("")))
         it = LD.attach_details(it, det, dims.DETAIL_CAPS["bamboohr"])
     else:
         it = it.withColumn("detail", F.lit(""))
@@ -542,7 +576,8 @@ def bamboohr(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         it, keep,
         title=T.py_strip(title), location=bamboohr_location(i),
         url=F.concat(F.lit("https://"), sub, F.lit(".bamboohr.com/careers/"), py_str(vv(i, "id"))),
-        department=vget(i, "departmentLabel"), description=F.col("detail"),
+        department=vget(i, "departmentLabel"), description=_desc(F.col("detail"), DESC_HTML_5000)[0],
+        description_mode=_desc(F.col("detail"), DESC_HTML_5000)[1],
     )
 
 
@@ -569,7 +604,7 @@ def breezy(pages: DataFrame) -> DataFrame:
         posted_date=D.iso_naive(nz(or_(F.try_variant_get(vv(i, "published_date"), "$", "string"),
                                        F.try_variant_get(vv(i, "creation_date"), "$", "string")))),
         department=or_(vs(i, "department"), F.lit("")),
-        description=F.when(html.isNotNull(), T.truncate_plain(T.html_to_text(html), 5000)).otherwise(F.lit("")),
+        description=_desc(html, DESC_HTML_5000)[0], description_mode=_desc(html, DESC_HTML_5000)[1],
     )
 
 
@@ -590,8 +625,8 @@ def recruitee(pages: DataFrame) -> DataFrame:
         title=T.py_strip(vget(i, "title")), location=loc, url=url,
         posted_date=D.iso_or_prefix(nz(F.try_variant_get(vv(i, "published_at"), "$", "string"))),
         department=vget(i, "department"),
-        description=F.when(T.py_strip(raw_desc) != "", T.truncate_plain(T.html_to_text(raw_desc), 5000))
-                     .otherwise(F.lit("")),
+        description=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[0],
+        description_mode=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[1],
     )
 
 
@@ -641,8 +676,8 @@ def talentplatform(pages: DataFrame) -> DataFrame:
         title=T.py_strip(vget(dd, "title")), location=loc, url=url,
         posted_date=D.iso_or_prefix(nz(F.try_variant_get(vv(dd, "posted_date"), "$", "string"))),
         department=vget(dd, "department"),
-        description=F.when(T.py_strip(raw_desc) != "", T.truncate_plain(T.html_to_text(raw_desc), 5000))
-                     .otherwise(F.lit("")),
+        description=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[0],
+        description_mode=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[1],
     )
 
 

@@ -252,7 +252,8 @@ def s11_detail_join_cap(spark, sf_dir):
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.select("platform", "item_key", "description")
+    from hirewire.operators.extract import finish_descriptions
+    return finish_descriptions(out).select("platform", "item_key", "description")
 
 
 def _s11_sql() -> str:

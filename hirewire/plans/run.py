@@ -112,6 +112,7 @@ def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataF
     winners = K.first_wins(cand.where("gate_ok"), "url", ORDER_COLS)
     new = K.new_only(winners, target_urls)
     new_rows = SK.enrich(new.select(*[c for c in new.columns if c not in ("company_domain",)]))
+    new_rows = P.finish_descriptions(new_rows)  # the Arrow UDF runs only on rows being stored
     key = ["platform", "company_seq", "search_id", "page_no", "item_pos"]
     new_keys = new.select(*key).withColumn("is_new", F.lit(True))
     filtered = staged.where(~is_cand).select(*key, "outcome")
