@@ -260,12 +260,18 @@ def workday_location(text: Column, external_path: Column) -> Column:
             .otherwise(text)
 
 
-def workday(pages: DataFrame) -> DataFrame:
+def workday_pages(pages: DataFrame) -> DataFrame:
+    """S10 for workday: stop on an empty or undecodable page, or once offset >= total
+    (a missing total counts as 0, so such a board stops after its first page)."""
     d = _doc(pages)
     posts = F.try_variant_get("doc", "$.jobPostings", "array<variant>")
     total = F.coalesce(F.try_variant_get("doc", "$.total", "long"), F.lit(0))
-    kept = _paged(d, F.size(posts), (F.coalesce(F.size(posts), F.lit(0)) == 0) | F.col("doc").isNull()
+    return _paged(d, F.size(posts), (F.coalesce(F.size(posts), F.lit(0)) == 0) | F.col("doc").isNull()
                   | ((F.col("page_no") + 1) * 20 >= total), "workday")
+
+
+def workday(pages: DataFrame) -> DataFrame:
+    kept = workday_pages(pages)
     it = _explode(kept, F.try_variant_get("doc", "$.jobPostings", "array<variant>"))
     i = F.col("it")
     base = F.regexp_replace(F.trim(opt(F.col("raw"), "workday_url_template")), "/+$", "")

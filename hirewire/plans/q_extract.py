@@ -279,3 +279,22 @@ QUERIES.update({
     "S9_company_config_gate": (s9_company_config_gate, S9_SQL),
     "S11_detail_join_cap": (s11_detail_join_cap, _s11_sql()),
 })
+
+
+def s10_page_prefix(spark, sf_dir):
+    """Workday pages kept by the page loop (the stop rule, page cap, and missing-page cut)."""
+    from hirewire.operators.extract import workday_pages
+    land = landing_table(spark, sf_dir).where(F.col("platform") == "workday")
+    kept = workday_pages(LD.usable_pages(LD.co_partition(land)))
+    return kept.select("company_seq", "page_no",
+                       F.size(F.try_variant_get("doc", "$.jobPostings", "array<variant>")).alias("n_items"))
+
+
+S10_SQL = f"""WITH {X.postings_sql()},
+it AS (SELECT posting_id % {FL.N_COMPANIES} AS k, (posting_id // {FL.N_COMPANIES}) // {FL.PAGE_SIZE['workday']} AS page
+       FROM postings WHERE platform = 'workday')
+SELECT CAST(k AS BIGINT) AS company_seq, CAST(page AS INTEGER) AS page_no, CAST(count(*) AS INTEGER) AS n_items
+FROM it WHERE k % 43 <> 0 AND NOT (k % 5 = 0 AND page > 0) AND page < {dims.PAGE_POLICY['workday'][1]}
+GROUP BY ALL"""
+
+QUERIES["S10_page_prefix"] = (s10_page_prefix, S10_SQL)
