@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hirewire.functions import dims
 from hirewire.plans import sqlgen as S
 from hirewire.plans.common import written_table
-from hirewire.plans.run import join_companies, platform_raw_jobs, search_raw_jobs
+from hirewire.plans.run import drop_failed_companies, join_companies, platform_raw_jobs, search_raw_jobs
 from hirewire.sources import fixtures as X
 from hirewire.sources import fixtures_landing as FL
 from hirewire.sources import landing as LD
@@ -34,9 +34,10 @@ def companies_table(spark, sf_dir):
 def _platform_query(platform: str):
     def q(spark, sf_dir):
         land = landing_table(spark, sf_dir).where(F.col("platform") == platform)
-        pages = join_companies(LD.usable_pages(LD.co_partition(land)), companies_table(spark, sf_dir))
+        usable = LD.usable_pages(LD.co_partition(land))
+        pages = join_companies(usable, companies_table(spark, sf_dir))
         pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
-        return platform_raw_jobs(pages, platform).select(*OUT)
+        return drop_failed_companies(platform_raw_jobs(pages, platform), usable, platform).select(*OUT)
     q.__name__ = f"extract_{platform}"
     q.__doc__ = f"Parse the landed {platform} payloads into raw jobs."
     return q
@@ -67,17 +68,19 @@ def _sel(platform: str, item_key: str, title: str, location: str, url: str, post
 
 
 TRUTHY_TITLE = "title IS NOT NULL AND title <> ''"
+# Companies whose landed payload includes an undecodable chunk fail as a whole (M3).
+TRUTHY_NOT_FAILED = f"{TRUTHY_TITLE} AND k % {FL.BROKEN_MOD} <> 0"
 KS = "CAST(k AS VARCHAR)"
 SQL = {
     "greenhouse": _sel("greenhouse", "pid", "title", "coalesce(location, '')",
                        f"'https://boards.greenhouse.io/b' || {KS} || '/jobs/' || pid",
-                       "date_trunc('second', posted_date)", "coalesce(department, '')", "''", TRUTHY_TITLE),
+                       "date_trunc('second', posted_date)", "coalesce(department, '')", "''", TRUTHY_NOT_FAILED),
     "lever": _sel("lever", f"'https://jobs.lever.co/b' || {KS} || '/' || pid", "title", "coalesce(location, '')",
                   f"'https://jobs.lever.co/b' || {KS} || '/' || pid", "date_trunc('millisecond', posted_date)",
-                  "coalesce(nullif(department, ''), '')", "''", TRUTHY_TITLE),
+                  "coalesce(nullif(department, ''), '')", "''", TRUTHY_NOT_FAILED),
     "ashby": _sel("ashby", f"'https://jobs.ashbyhq.com/b' || {KS} || '/' || pid", "title", "coalesce(location, '')",
                   f"'https://jobs.ashbyhq.com/b' || {KS} || '/' || pid", "date_trunc('second', posted_date)",
-                  "coalesce(department, '')", "''", TRUTHY_TITLE),
+                  "coalesce(department, '')", "''", TRUTHY_NOT_FAILED),
 }
 
 _WD_CITY = f"list_extract({sql_list(FL.WORKDAY_CITIES)}, (e % {len(FL.WORKDAY_CITIES)}) + 1)"
@@ -228,7 +231,10 @@ SELECT DISTINCT platform, CAST(k AS BIGINT) AS company_seq,
        CASE WHEN {rmk} OR platform = 'jobvite' THEN 'html_list' ELSE 'list' END AS kind,
        CAST(CASE WHEN {rmk} THEN idx // {FL.PAGE_SIZE['rmk']} ELSE idx // ({size}) + ({first}) END AS INTEGER) AS page_no,
        k % 43 <> 0 AS ok
-FROM it"""
+FROM it
+UNION
+SELECT DISTINCT platform, CAST(k AS BIGINT), 'list', {FL.BROKEN_PAGE}, k % 43 <> 0 FROM it
+WHERE platform IN ('greenhouse', 'lever', 'ashby') AND k % {FL.BROKEN_MOD} = 0"""
 
 
 def s9_company_config_gate(spark, sf_dir):

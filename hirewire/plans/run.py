@@ -28,6 +28,16 @@ def join_companies(pages: DataFrame, companies: DataFrame) -> DataFrame:
     return pages.join(side, ["platform", "company_seq"], "inner")
 
 
+def drop_failed_companies(frame: DataFrame, usable: DataFrame, platform: str) -> DataFrame:
+    """M3: a body that breaks greenhouse/lever/ashby parsing fails the whole company (no rows)."""
+    if platform not in ("greenhouse", "lever", "ashby"):
+        return frame
+    from hirewire.operators.metrics import body_errors
+    failed = body_errors(usable.where(F.col("platform") == platform)).where("broken") \
+        .select("platform", "company_seq").distinct()
+    return frame.join(failed, ["platform", "company_seq"], "left_anti")
+
+
 def platform_raw_jobs(pages: DataFrame, platform: str) -> DataFrame:
     sel = pages.where(F.col("platform") == platform)
     fn = P.EXTRACTORS[platform]
@@ -43,12 +53,7 @@ def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_sear
     usable = LD.usable_pages(LD.co_partition(landing.where(F.col("platform") != dims.SEARCH_PLATFORM)))
     pages = join_companies(usable, companies)
     pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
-    frames = [platform_raw_jobs(pages, p) for p in (platforms or dims.PLATFORMS)]
-    # M3: a body that breaks greenhouse/lever/ashby parsing fails the whole company (no rows).
-    from hirewire.operators.metrics import body_errors
-    failed = body_errors(usable).where("broken").select("platform", "company_seq").distinct()
-    frames = [f.join(failed, ["platform", "company_seq"], "left_anti") if p in ("greenhouse", "lever", "ashby")
-              else f for f, p in zip(frames, platforms or dims.PLATFORMS)]
+    frames = [drop_failed_companies(platform_raw_jobs(pages, p), usable, p) for p in (platforms or dims.PLATFORMS)]
     if with_search:
         frames.append(search_raw_jobs(landing))
     return LD.union_platforms(frames)

@@ -6,7 +6,8 @@ from arithmetic, not from a window. Each body holds at most one page of items, s
 group grows with the data. Single-payload boards land as page-size chunks and every
 chunk is read. Anomalies: companies with ``k % 7 == 0`` are rate-limited once per page
 before succeeding; ``k % 43 == 0`` get 404 for every page; workday companies with
-``k % 5 == 0`` omit ``total`` (pagination stops after the first page).
+``k % 5 == 0`` omit ``total`` (pagination stops after the first page); greenhouse, lever
+and ashby companies with ``k % 53 == 0`` also land one undecodable chunk.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ PAGE_SIZE = {"workday": 20, "oracle": 50, "eightfold": 50, "taleo": 25, "success
              "phenom": 20, "talentplatform": 100}
 FIRST_PAGE = {"taleo": 1, "talentplatform": 1}
 WORKDAY_CITIES = ["Ottawa", "New-York", "Austin", "Remote-US", "Berlin"]
+BROKEN_PLATFORMS = ["greenhouse", "lever", "ashby"]
+BROKEN_MOD = 53
+BROKEN_PAGE = 99
 
 
 def _j(c: Column) -> Column:
@@ -287,7 +291,11 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(body))
     pages = g.select("platform", "company_seq", "page_no", "kind", F.lit("").alias("item_key"), body.alias("body"))
     details = _all_details(it)
-    allp = pages.unionByName(details)
+    # Boards that do not guard their JSON decode: an undecodable extra chunk fails the company.
+    broken = it.where(plat.isin(*BROKEN_PLATFORMS) & (k % BROKEN_MOD == 0)).select("platform", "company_seq").distinct() \
+               .select("platform", "company_seq", F.lit(BROKEN_PAGE).alias("page_no"), F.lit("list").alias("kind"),
+                       F.lit("").alias("item_key"), F.lit('{"jobs": [{"title": "cut off').alias("body"))
+    allp = pages.unionByName(details).unionByName(broken)
     # Attempts: companies with k % 7 == 0 are rate-limited once before each answer.
     kk = F.col("company_seq")
     att = allp.select("*", F.explode(F.when(kk % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
