@@ -12,19 +12,35 @@ from pyspark.sql import functions as F
 from hirewire.functions import dims
 from hirewire.functions.text import col_, py_strip
 
-# The ISO shapes Python's ``fromisoformat`` accepts and Spark's cast can read once the
-# pieces are re-assembled; Spark alone takes ``2026`` or ``2026-06`` and those stay NULL.
-_ISO_RE = (r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})(?:\.(\d+))?)?)?)?"
+# The ISO shapes Python's ``fromisoformat`` accepts: a calendar date (extended or basic) or a
+# week date, then an optional time (extended or basic) and offset. Spark's own cast alone
+# would also take ``2026`` or ``2026-06``, which must stay NULL, so the pieces are matched
+# here and re-assembled into the one canonical form the cast reads.
+_ISO_RE = (r"^(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2})|(\d{4})-?W(\d{2})(?:-?([1-7]))?)"
+           r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:\.(\d+))?)?)?)?"
            r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)?$")
 
 
+def _week_date(year: Column, week: Column, day: Column) -> Column:
+    """ISO week date -> date; NULL when the week does not exist in that year."""
+    jan4 = F.make_date(year, F.lit(1), F.lit(4))
+    monday1 = F.date_sub(jan4, F.weekday(jan4))
+    d = F.date_add(monday1, (week - 1) * 7 + day - 1)
+    return F.when(week.between(1, 53) & (F.weekofyear(d) == week), d)
+
+
 def iso_naive(c) -> Column:
     """ISO-8601 text (``Z`` allowed) -> naive wall-clock timestamp, offset dropped."""
     s = col_(c)
     part = lambda i: F.regexp_extract(s, _ISO_RE, i)
     two = lambda x: F.when(x == "", F.lit("00")).otherwise(x)
-    frac = F.substring(part(5), 1, 6)
-    text = F.concat(part(1), F.lit(" "), two(part(2)), F.lit(":"), two(part(3)), F.lit(":"), two(part(4)),
+    dash = lambda a, b, cc: F.concat(part(a), F.lit("-"), part(b), F.lit("-"), part(cc))
+    week = _week_date(part(7).try_cast("int"), part(8).try_cast("int"),
+                      F.when(part(9) == "", F.lit(1)).otherwise(part(9).try_cast("int")))
+    date = (F.when(part(1) != "", dash(1, 2, 3)).when(part(4) != "", dash(4, 5, 6))
+            .otherwise(F.date_format(week, "yyyy-MM-dd")))
+    frac = F.substring(part(13), 1, 6)
+    text = F.concat(date, F.lit(" "), two(part(10)), F.lit(":"), two(part(11)), F.lit(":"), two(part(12)),
                     F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")))
     return F.when(s.rlike(_ISO_RE), text.try_cast("timestamp_ntz"))
 

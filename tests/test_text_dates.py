@@ -39,3 +39,13 @@ def test_dates(spark):
     assert keep == [True, False, True]
     assert col(spark, ["Jan 5, 2024", "5/1/2024", "13/5/2024", "x"], D.multi_format) == [
         dt.datetime(2024, 1, 5), dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 13), None]
+
+
+def test_iso_basic_and_week_forms(spark):
+    cases = {"20260627": dt.datetime(2026, 6, 27), "20260627T100000": dt.datetime(2026, 6, 27, 10),
+             "2026-06-27T100000": dt.datetime(2026, 6, 27, 10), "20260627T10:00:00": dt.datetime(2026, 6, 27, 10),
+             "2026-W26-6": dt.datetime(2026, 6, 27), "2026W266": dt.datetime(2026, 6, 27),
+             "2026-W26": dt.datetime(2026, 6, 22), "2026-W26-6T10:00": dt.datetime(2026, 6, 27, 10),
+             "20260627T100000Z": dt.datetime(2026, 6, 27, 10), "2026-06-2": None, "2026-06-27T1": None,
+             "2026-W53-1": dt.datetime(2026, 12, 28), "2025-W53-1": None, "2026-02-30": None}
+    assert dict(zip(cases, col(spark, list(cases), D.iso_naive))) == cases
