@@ -39,22 +39,31 @@ def configure(spark: SparkSession) -> SparkSession:
     """Settings every job relies on, applied to an existing session too (the driver's)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    if is_local(spark):
+        # Python workers on this machine find the package where the driver found it; clusters install or ship it
+        env = spark.sparkContext.environment
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only set one when it is unset (tests, local runs)."""
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local session that has none gets a folder of its own;
+    on a cluster, where executors don't see each other's disks, a missing setting is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="hirewire-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def default_sf_dir(sf: str = "0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", f"/root/testdata/sf{sf}")
