@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirewire.llm import bpe, packing, simhash, token_records
+from hirewire.llm import bpe, packing, secret_scan, simhash, token_records, toxicity
 from hirewire.llm.common import shared_path, table
 from hirewire.llm.tokens import public_path
 
@@ -20,12 +20,24 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2, seed=42)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(documents, model, threshold=0.3)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", F.size("spans").alias("n_toxic_tokens"))
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "token-records")
     manifest = token_records.write_records(table(spark, sf_dir, "documents"), folder, public_path("word_bpe_49k.json"), END_ID)
     return token_records.with_crc(token_records.read_records(manifest, folder))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return secret_scan.digest(secret_scan.scan(documents, secret_scan.train(documents)))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"), END_ID, size=1024)
 
@@ -33,6 +45,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_codec": (op1_bpe_codec, None),
     "op4_simhash_dedup": (op4_simhash_dedup, None),
+    "op7_toxicity": (op7_toxicity, None),
     "op8_token_records": (op8_token_records, None),
+    "op9_secret_scan": (op9_secret_scan, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
