@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirewire.llm import bpe, packing, secret_scan, simhash, token_records, toxicity
+from hirewire.llm import bpe, packing, quality, secret_scan, simhash, token_records, toxicity
 from hirewire.llm.common import shared_path, table
 from hirewire.llm.tokens import public_path
 
@@ -16,6 +16,42 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept")
+
+
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS ls FROM documents),
+place AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM w WHERE len(ws) >= 8),
+gram AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 7], ' ')) AS n FROM place),
+step AS (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS s FROM gram WHERE n > 1),
+rep AS (SELECT doc_id, sum(s)::BIGINT AS n FROM step GROUP BY doc_id),
+base AS (SELECT w.doc_id, source, substr(md5(t), 1, 16) AS doc, len(ws) AS n_words,
+    length(regexp_replace(t, '[ \t-\r]', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+    FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+line AS (SELECT doc_id, source, substr(md5(t), 1, 16) AS doc, unnest(ls) AS x FROM w),
+hashed AS (SELECT doc_id, source, doc,
+    substr(md5(trim(regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '[ \t-\r]+', ' ', 'g'))), 1, 16) AS line,
+    len(list_filter(regexp_split_to_array(x, '[ \t-\r]+'), lambda y: y <> '')) AS n FROM line),
+keyed AS (SELECT *, min(line) OVER (PARTITION BY doc_id) AS key FROM hashed),
+hosts AS (SELECT source, count(DISTINCT key) AS n_host FROM keyed GROUP BY source),
+common AS (SELECT k.source, k.line, min(k.doc) AS first FROM keyed k GROUP BY k.source, k.line
+    HAVING count(DISTINCT k.key) > 20
+    AND 100 * count(DISTINCT k.key) > 1.0 * (SELECT n_host FROM hosts h WHERE h.source IS NOT DISTINCT FROM k.source)),
+gone AS (SELECT k.doc_id, sum(k.n)::BIGINT AS removed FROM keyed k JOIN common c
+    ON k.source IS NOT DISTINCT FROM c.source AND k.line = c.line AND k.doc <> c.first GROUP BY k.doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed, coalesce(removed, 0) AS n_removed_words,
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * coalesce(removed, 0) <= 80 * n_words AS kept
+FROM base b LEFT JOIN gone ON gone.doc_id = b.doc_id
+"""
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2, seed=42)
 
@@ -44,6 +80,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_codec": (op1_bpe_codec, None),
+    "op2_quality_rules": (op2_quality_rules, OP2_SQL),
     "op4_simhash_dedup": (op4_simhash_dedup, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_token_records": (op8_token_records, None),

@@ -4,7 +4,7 @@ A record file is a run of frames, one for each document in ascending doc_id orde
 
     length   u64, of the payload in bytes
     check    u32, masked CRC-32C of the 8 length bytes
-    payload  i64 doc_id, then the ids as u32
+    payload  i64 doc_id, then the ids, as u16 where the vocabulary allows and as u32 else
     check    u32, masked CRC-32C of the payload
 
 all little-endian; masked(c) = ((c >> 15 | c << 17) + 0xa282ead8) mod 2^32. That is the framing of the
@@ -108,14 +108,14 @@ def _store(path: str):
 
 
 MANIFEST = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("file", T.StringType()),
-                         T.StructField("records", T.LongType()), T.StructField("tokens", T.LongType())])
+                         T.StructField("id_bytes", T.IntegerType()), T.StructField("records", T.LongType()), T.StructField("tokens", T.LongType())])
 
 
 def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """Encode each whole text with the tokenizer file ``path``, append ``end_id`` and write record files in
     ascending id order below ``folder``, which all executors must reach. Returns the manifest: part (ascending
-    as the ids do), file, records, tokens.
+    as the ids do), file, id_bytes (width of an id), records, tokens.
 
     A range exchange on the id deals out the documents; each task streams its part to one file, so memory is
     a batch. Null texts: empty; null ids come first; repeated ids: by text; an empty table: an empty manifest."""
@@ -126,6 +126,7 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = No
 
         encoder, part = library_encoder(path), TaskContext.get().partitionId()
         end = b"" if end_id is None else struct.pack("<I", end_id)
+        width = id_bytes(encoder, end_id)
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
@@ -133,7 +134,7 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = No
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = encoder.encode(text) + end
-                data = frame(struct.pack("<q", NO_ID if doc is None else doc) + ids)
+                data = frame(struct.pack("<q", NO_ID if doc is None else doc) + (ids if width == 4 else narrow(ids)))
                 if stream is None:
                     stream = store.open_output_stream(f"{base}/{name}.rec")
                 stream.write(data)
@@ -145,7 +146,7 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = No
             with store.open_output_stream(f"{base}/{name}.idx") as index:
                 index.write(np.array(offsets, "<u8").tobytes())
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [f"{name}.rec"],
-                                              "records": [len(offsets)], "tokens": [tokens]})
+                                              "id_bytes": pa.array([width], pa.int32()), "records": [len(offsets)], "tokens": [tokens]})
 
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
@@ -154,6 +155,20 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = No
     return df.sparkSession.read.schema(MANIFEST).parquet(manifest)
 
 
+def id_bytes(encoder, end_id: int | None) -> int:
+    """Bytes of an id in a file: 2 if no id of the vocabulary needs more."""
+    largest = max(encoder.split.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
+    return 2 if max(largest, end_id or 0) < 1 << 16 else 4
+
+
+def narrow(ids: bytes) -> bytes:
+    return np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+
+
+def wide(ids: bytes, width: int) -> bytes:
+    return ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
 def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
     """Read the files that the manifest names, checksums verified: (id, start, n_tokens, ids binary).
 
@@ -162,13 +177,13 @@ def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         for b in batches:
-            for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for file, start, width in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 rows: list[tuple] = []
                 held = 0
                 with store.open_input_stream(f"{base}/{file}", buffer_size=1 << 20) as stream:
                     for payload in unframe(stream):
-                        doc, n = struct.unpack("<q", payload[:8])[0], (len(payload) - 8) // 4
-                        rows.append((None if doc == NO_ID else doc, start, n, payload[8:]))
+                        doc, n = struct.unpack("<q", payload[:8])[0], (len(payload) - 8) // width
+                        rows.append((None if doc == NO_ID else doc, start, n, wide(payload[8:], width)))
                         start, held = start + n, held + len(payload)
                         if held >= 4 << 20:
                             yield batch(rows)
@@ -181,9 +196,9 @@ def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Da
                                           ["id", "start", "n_tokens", "ids"])
 
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.select("part", "file", before.cast("long").alias("start"))
+    files = manifest.select("part", "file", "id_bytes", before.cast("long").alias("start"))
     spread = files.repartition(manifest.sparkSession.sparkContext.defaultParallelism * 4, "file")
-    out = spread.select("file", "start").mapInArrow(run, "id long, start long, n_tokens long, ids binary")
+    out = spread.select("file", "start", "id_bytes").mapInArrow(run, "id long, start long, n_tokens long, ids binary")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -192,8 +207,8 @@ def with_crc(records: DataFrame) -> DataFrame:
     return records.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-def read_record(folder: str, file: str, number: int) -> tuple[int | None, np.ndarray]:
-    """One record by its number in a file, by way of the offset index: (id, ids)."""
+def read_record(folder: str, file: str, number: int, width: int) -> tuple[int | None, np.ndarray]:
+    """One record by its number in a file of ids of ``width`` bytes, by way of the offset index: (id, ids)."""
     store, base = _store(folder)
     with store.open_input_file(f"{base}/{file.removesuffix('.rec')}.idx") as index:
         index.seek(8 * number)
@@ -202,4 +217,4 @@ def read_record(folder: str, file: str, number: int) -> tuple[int | None, np.nda
         data.seek(at)
         payload = next(unframe(data))
     doc = struct.unpack("<q", payload[:8])[0]
-    return (None if doc == NO_ID else doc), np.frombuffer(payload[8:], "<u4")
+    return (None if doc == NO_ID else doc), np.frombuffer(wide(payload[8:], width), "<u4")

@@ -3,19 +3,18 @@
 A chunk is a piece of text that no token can leave: for vocabularies whose words are split at white space,
 the runs between white space; for byte-level vocabularies whose words carry the space before them, a space
 and what follows it up to the next one. Texts in which that isn't sure (runs of white space, special tokens)
-go through the library whole. The cache of chunks is bounded; when it is full it starts anew.
+go through the library whole. The cache of chunks is bounded.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
-#: Chunks and words kept per Python worker before the caches start anew.
-CACHE_SIZE = 600_000
+#: Chunks and words in one generation of a Python worker's caches.
+CACHE_SIZE = 400_000
 #: Below this code point the character classes and case rules of all Unicode versions agree.
 STABLE = "ɐ"
 CONTROL_SPACES = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the tokenizers' patterns
@@ -28,18 +27,23 @@ def byte_alphabet() -> list[str]:
 
 
 class Cache(dict):
-    """A bounded dict that computes what it lacks."""
+    """A bounded dict that computes what it lacks. When it is full it becomes the older generation, from which
+    what is asked for again comes back, and the generation before is dropped."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.older = compute, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if len(key) <= 64:
-            if len(self) >= CACHE_SIZE:
-                self.clear()
-            self[key] = value
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > 64:
+                return value
+        if len(self) >= CACHE_SIZE:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -101,19 +105,47 @@ class LibraryEncoder:
     def __init__(self, path: str):
         self.split = Splitting(path)
         self.model = self.split.tokenizer.model
-        self.by_word = Cache(lambda w: np.array([t.id for t in self.model.tokenize(w)], "<u4").tobytes())
-        self.by_chunk = Cache(self._chunk)
+        self.words = self.split.kind == "words"
+        self.by_word = Cache(self._word)
+        self.by_chunk = Cache(self._words_chunk if self.words else self._spaces_chunk)
+
+    def _word(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _own(self, chunk: str) -> bytes:
         return b"".join(map(self.by_word.__getitem__, self.split.words(chunk)))
 
-    def _chunk(self, chunk: str) -> bytes:
-        if self.split.kind == "words":
-            return self._own(chunk)
-        body = chunk[1:] if chunk[:1] == "\n" else chunk
-        if not body or body[0].isspace() or body[-1].isspace():
-            raise NotAlone
-        return self._own("\n") + self._own(body) if body is not chunk else self._own(f" {chunk}")
+    def _words_chunk(self, chunk: str) -> bytes:
+        """Most chunks are a word, or one with a mark behind it; their parts are chunks as well."""
+        if chunk.isascii():
+            if chunk.isalpha():
+                low = chunk.lower()
+                return self._word(low) if low == chunk else self.by_chunk[low]
+            if len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[:-1].isalpha():
+                return self.by_chunk[chunk[:-1]] + self.by_word[chunk[-1]]
+        return self._own(chunk)
+
+    def _spaces_chunk(self, chunk: str) -> bytes:
+        if chunk.isascii():
+            if chunk.isalpha():
+                return self._word(self.space + chunk)
+            if len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[:-1].isalpha():
+                return self.by_chunk[chunk[:-1]] + self.by_word[chunk[-1]]
+        if chunk[:1] == "\n":
+            body = chunk[1:]
+            if body and not body[0].isspace() and not body[-1].isspace():
+                return self.by_word[self.newline] + self._own(body)
+        elif chunk and not chunk[0].isspace() and not chunk[-1].isspace():
+            return self._own(f" {chunk}")
+        raise NotAlone
+
+    @property
+    def space(self) -> str:
+        return self.split.alphabet[0x20]
+
+    @property
+    def newline(self) -> str:
+        return self.split.alphabet[0x0A]
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -121,12 +153,12 @@ class LibraryEncoder:
         chunks = self.split.chunks(text)
         if chunks is not None:
             try:
-                if self.split.kind == "words":
+                if self.words:
                     return b"".join(map(self.by_chunk.__getitem__, chunks))
                 return self._own(chunks[0]) + b"".join(map(self.by_chunk.__getitem__, chunks[1:]))
             except NotAlone:
                 pass
-        return np.array(self.split.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.split.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 class NotAlone(Exception):
