@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirewire.llm import bpe, packing, quality, secret_scan, simhash, token_records, toxicity
+from hirewire.llm import bpe, packing, quality, secret_scan, sharding, simhash, token_records, toxicity, url_filter
 from hirewire.llm.common import shared_path, table
 from hirewire.llm.tokens import public_path
 
@@ -52,10 +52,25 @@ FROM base b LEFT JOIN gone ON gone.doc_id = b.doc_id
 """
 
 
+URL_RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"),
+             url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, URL_RULES, url_filter.train(pages))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2, seed=42)
 
 
+def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.reshard(table(spark, sf_dir, "documents"), shared_path(spark, "reshard"), old_shards=32, new_shards=40)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+                       F.col("old").alias("old_shard"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.train(documents, table(spark, sf_dir, "labels"))
@@ -81,7 +96,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_codec": (op1_bpe_codec, None),
     "op2_quality_rules": (op2_quality_rules, OP2_SQL),
+    "op3_url_filter": (op3_url_filter, None),
     "op4_simhash_dedup": (op4_simhash_dedup, None),
+    "op5_reshard": (op5_reshard, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_token_records": (op8_token_records, None),
     "op9_secret_scan": (op9_secret_scan, None),
