@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirewire.llm import bpe, packing, quality, secret_scan, sharding, simhash, token_records, toxicity, url_filter
+from hirewire.llm import bpe, embedding_dedup, packing, quality, secret_scan, sharding, simhash, token_records, toxicity, url_filter
 from hirewire.llm.common import shared_path, table
 from hirewire.llm.tokens import public_path
 
@@ -71,6 +71,10 @@ def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("old").alias("old_shard"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.98)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.train(documents, table(spark, sf_dir, "labels"))
@@ -99,6 +103,7 @@ QUERIES = {
     "op3_url_filter": (op3_url_filter, None),
     "op4_simhash_dedup": (op4_simhash_dedup, None),
     "op5_reshard": (op5_reshard, None),
+    "op6_embedding_dedup": (op6_embedding_dedup, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_token_records": (op8_token_records, None),
     "op9_secret_scan": (op9_secret_scan, None),
