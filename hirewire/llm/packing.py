@@ -16,6 +16,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,9 +123,7 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
     start_of = np.searchsorted(lengths, np.arange(size + 2))
 
     @F.pandas_udf("sequence_id long, offset long")
-    def placed(length, rank):
-        import pandas as pd
-
+    def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         n, r = length.to_numpy(), rank.to_numpy()
         at = np.empty(len(n), np.int64)
         for x in np.unique(n):

@@ -14,6 +14,7 @@ import string
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -185,9 +186,7 @@ def redact(df: DataFrame, model: MarkovPair, text_col: str = "text", length_col:
     small_batches(df.sparkSession)
 
     @F.pandas_udf("string")
-    def clean(texts):
-        import pandas as pd
-
+    def clean(texts: pd.Series) -> pd.Series:
         return pd.Series([redacted_text(t, model, mark) for t in texts], dtype=object)
 
     old, new = F.col(f"`{text_col}`"), clean(F.col(f"`{text_col}`").cast("string"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,9 +54,7 @@ def with_fingerprints(df: DataFrame, name: str, text_col: str = "text", words_pe
     small_batches(df.sparkSession)
 
     @F.pandas_udf("long")
-    def fp(texts):
-        import pandas as pd
-
+    def fp(texts: pd.Series) -> pd.Series:
         return pd.Series([v - (1 << 64) if (v := fingerprint(t, words_per_shingle, seed)) >> 63 else v for t in texts], dtype="int64")
 
     return df.withColumn(name, fp(F.col(f"`{text_col}`").cast("string")))

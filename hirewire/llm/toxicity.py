@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -323,9 +324,7 @@ def keep_clean(df: DataFrame, model: Crf, text_col: str = "text", threshold: flo
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[object]) -> Iterator[object]:
-        import pandas as pd
-
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         crf = shared.value
         known: dict[str, float] = {}
         for texts in batches:
