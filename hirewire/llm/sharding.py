@@ -95,19 +95,17 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[in
 
 def deal_blocks(blocks: list[tuple], flow: dict[tuple[int, int], int]) -> dict[tuple, int]:
     """{block key: new shard}: blocks (old shard, ..., bytes) dealt to meet the flow, large ones first, each to the
-    shard that still lacks most from its old shard; old shards that lack more later take what others overfilled."""
+    shard that still lacks most from its old shard, less what other old shards have overfilled it by."""
     lacks: dict[int, dict[int, int]] = {}
     for (i, j), amount in flow.items():
         lacks.setdefault(i, {})[j] = amount
     dealt, over = {}, {}
     for *key, size in sorted(blocks, key=lambda b: (-b[-1], b[:-1])):
-        mine = lacks.setdefault(key[0], {key[0]: 0})
-        j = max(mine, key=lambda k: (mine[k] - over.get(k, 0) if mine[k] > 0 else mine[k] - over.get(k, 0) - 1, k == key[0], -k))
+        mine = lacks[key[0]]
+        j = max(mine, key=lambda k: (mine[k] - over.get(k, 0), k == key[0], -k))
         dealt[tuple(key)] = j
-        mine[j] -= size
-        if mine[j] < 0:
-            over[j] = over.get(j, 0) - mine[j]
-            mine[j] = 0
+        over[j] = over.get(j, 0) + max(0, size - mine[j])
+        mine[j] = max(0, mine[j] - size)
     return dealt
 
 
@@ -115,11 +113,29 @@ def plan(documents: DataFrame, old_shards: int, new_shards: int) -> dict[tuple,
     """{(old, size_class, part): new shard} for ``documents`` with id and size."""
     blocks = documents.withColumns(block_columns("id", "size", old_shards)).groupBy("old", "size_class", "part").agg(F.sum("size").alias("n"))
     rows = [tuple(r) for r in blocks.collect()]  # at most old shards * 64 size classes * parts
+    alone = larger_than_share(rows, new_shards)
+    rows = [r for r in rows if r[:3] not in alone]
     supply = [0] * old_shards
     for r in rows:
         supply[r[0]] += r[3]
-    flow = min_cost_flow(supply, capacities(sum(supply), new_shards), lambda i, j: int(i != j))
-    return deal_blocks(rows, flow)
+    free = [j for j in range(new_shards) if j not in set(alone.values())]
+    flow = min_cost_flow(supply, capacities(sum(supply), len(free)), lambda i, j: int(i != free[j]))
+    return {**alone, **deal_blocks(rows, {(i, free[j]): n for (i, j), n in flow.items()})}
+
+
+def larger_than_share(blocks: list[tuple], shards: int) -> dict[tuple, int]:
+    """{block key: new shard} of blocks (a very long document, as a rule) larger than an equal share of what is left
+    to the other shards: each fills a shard of its own, its old one if that is free."""
+    left, alone, taken = sum(b[3] for b in blocks), {}, set()
+    for b in sorted(blocks, key=lambda b: (-b[3], b[:3])):
+        n = shards - len(alone)
+        if n < 2 or b[3] * n <= left:
+            break
+        j = b[0] if b[0] < shards and b[0] not in taken else min(j for j in range(shards) if j not in taken)
+        alone[b[:3]] = j
+        taken.add(j)
+        left -= b[3]
+    return alone
 
 
 def with_shards(documents: DataFrame, dealt: dict[tuple, int], old_shards: int) -> DataFrame:

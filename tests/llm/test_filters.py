@@ -1,0 +1,216 @@
+"""Quality rules, URL filter, toxicity and secret scans against brute force and on odd rows."""
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hirewire.llm import quality, secret_scan, toxicity, url_filter
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    words, lines = WORDS.findall(text), [x for x in text.split("\n") if WORDS.search(x)]
+    at = defaultdict(list)
+    for i in range(len(words) - 7):
+        at[tuple(words[i:i + 8])].append(i)
+    covered = {j for places in at.values() if len(places) > 1 for i in places for j in range(i, i + 8)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def test_base_counts(spark, documents, odd_rows):
+    draw = random.Random(1)
+    rows = odd_rows + [(100 + k, " ".join(draw.choice("abc#") for _ in range(draw.randint(0, 60))) + draw.choice(["", "\nx\nx", "\r\n", " y"])) for k in range(60)]
+    df = documents(rows).withColumn("n_words", F.lit("clash")).withColumn("_w", F.lit(1))
+    out = quality.base_counts(df).select("doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert tuple(r)[2:] == base(r["text"]), r["doc_id"]
+
+
+def test_common_lines(spark, documents):
+    """A line of many documents goes from all but its first; copies of one text count as one document."""
+    letters = lambda n: chr(97 + n // 26) + chr(97 + n % 26)
+    own = [" ".join(f"w{letters(k)}x{letters(i)}" for i in range(30)) for k in range(40)]
+    rows = [(k, f"{own[k]}\nSubscribe  to NEWS 2024", "hot") for k in range(40)]
+    rows += [(100 + k, own[0].replace("waa", "copy"), "hot") for k in range(60)]
+    rows += [(200 + k, "\n".join(["subscribe to news 7"] * 12 + [f"only {letters(k)} " * 5]), "hot") for k in range(3)]
+    rows += [(300, f"{own[1]}\nsubscribe to news 1", "cold"), (301, None, None), (301, None, None)]
+    got = {(r["doc_id"], r["source"]): r for r in quality.judge(documents(rows).withColumn("kept", F.lit("clash"))).collect()}
+    assert len(quality.judge(documents(rows)).collect()) == len(rows)
+    removed = [got[k, "hot"]["n_removed_words"] for k in range(40)]
+    whole = removed + [got[200 + k, "hot"]["n_removed_words"] for k in range(3)]
+    assert Counter(x > 0 for x in whole) == {True: 42, False: 1}
+    assert set(removed) <= {0, 4} and all(got[k, "hot"]["kept"] for k in range(40))
+    assert all(got[100 + k, "hot"]["n_removed_words"] == 0 and got[100 + k, "hot"]["kept"] for k in range(60))
+    assert sum(not got[200 + k, "hot"]["kept"] for k in range(3)) >= 2  # depleted
+    assert got[300, "cold"]["n_removed_words"] == 0 and got[301, None]["base_failed"]
+    kept = {r["doc_id"]: r for r in quality.keep_good(documents(rows)).collect()}
+    assert sum("NEWS" in kept[k]["text"] for k in range(40)) <= 1
+    assert all(kept[k]["n_chars"] == len(kept[k]["text"]) for k in range(40)) and 301 not in kept
+    assert quality.judge(documents([])).count() == 0
+
+
+RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("org", "/fr/", "allow")]
+
+
+def pages(spark, urls, html="<p>the quick brown fox and the lazy dog win free games</p>"):
+    return spark.createDataFrame([(i, u, html) for i, u in urls], "page_id long, url string, html string")
+
+
+def test_urls_and_rules():
+    assert url_filter.parse("HTTP://WWW.Ex.COM/Path/a?q#f") == ("www.ex.com", "/Path/a")
+    assert url_filter.parse("x://h?q=/a") == ("h", "") and url_filter.parse("x://h#/a") == ("h", "") and url_filter.parse("a://b/c#d?e") == ("b", "/c")
+    assert url_filter.parse(None) == url_filter.parse("no url") == url_filter.parse("") == ("", "") and url_filter.parse("a://É.Com") == ("É.com", "")
+    rules = url_filter.Rules(RULES)
+    verdict = lambda u: (lambda r: r and r.text)(rules.of(*url_filter.parse(u)))
+    assert verdict("http://a.example.net/en/x") == "example.net/en/" and verdict("http://a.example.net/de/x") == "net/"
+    assert verdict("http://anet/x") is None and verdict("http://a.net") is None and verdict("http://a.org/fr/") == "org/fr/"
+
+
+def test_segmentation_is_the_best_one():
+    counts = {"casino": 5, "win": 50, "in": 400, "free": 30, "cas": 1, "o": 1, "bets": 5, "a": 500}
+    s = url_filter.Segmenter.from_counts(counts, 1000, seeds=())
+
+    def cost(parts):
+        return sum(s.log_p.get(w, s.unknown - 2.3 * len(w)) for w in parts)
+
+    def splits(x):
+        return [[]] if not x else [[x[:i], *rest] for i in range(1, len(x) + 1) for rest in splits(x[i:])]
+
+    for text in ("casinowin", "freebets", "ina", "zzwin", "cas"):
+        assert cost(s.words(text)) == pytest.approx(max(map(cost, splits(text))))
+    assert s.words("casinowin") == ["casino", "win"]
+
+
+def test_url_model(spark):
+    urls = [(i, f"http://shop{i % 7}.example.com/en/{i}") for i in range(200)] + [(1000 + i, f"http://casino-win.example.com/en/{i}") for i in range(30)]
+    urls += [(2000, "http://casinowin.example.org/x"), (2001, None), (2001, None), (None, "nothing"), (2002, "http://" + "a" * 3000 + "/")]
+    df = pages(spark, urls).withColumn("verdict", F.lit("clash"))
+    got = url_filter.judge(df, RULES, url_filter.train(df)).collect()
+    assert len(got) == len(urls)
+    by = {r["page_id"]: r for r in got}
+    assert all(by[i]["verdict"] == "allow" for i in range(200)) and all(by[1000 + i]["verdict"] == "block" for i in range(30))
+    assert by[2000]["verdict"] == "block" and by[2001]["verdict"] == "allow" and by[2001]["host"] == ""
+    none = pages(spark, [])
+    assert url_filter.judge(none, RULES, url_filter.train(none)).count() == 0
+
+
+def test_bayes_against_brute_force(spark):
+    urls = [(i, f"http://{h}.example.com/{p}") for i, (h, p) in enumerate([("casino", "a/b"), ("dog", "a"), ("fox-games", "b"), ("win-casino", "c"), ("dog", "c/a")])]
+    df = pages(spark, urls)
+    m = url_filter.train(df)
+    tokens = [m.tokens(*url_filter.parse(u)) for _, u in urls]
+    block = [any(t in m.seeds for t in ts if t[0] != "/") for ts in tokens]
+    counts = [Counter(t for ts, b in zip(tokens, block) if b == k for t in ts) for k in (False, True)]
+    vocabulary = {t for ts in tokens for t in ts}
+    for ts in tokens:
+        p = [np.log(sum(b == k for b in block) + 0.5) + sum(np.log((counts[k][t] + 1) / (sum(counts[k].values()) + len(vocabulary))) for t in ts) for k in (0, 1)]
+        assert m.prior + sum(m.odds[t] for t in ts) == pytest.approx(p[1] - p[0])
+
+
+def test_marginals_are_exact():
+    draw = np.random.default_rng(0)
+    for _ in range(6):
+        lengths = draw.integers(0, 900, 5)
+        e, trans, start = draw.normal(-2, 4, lengths.sum()), draw.normal(0, 1.5, (2, 2)), draw.normal()
+        ends = np.cumsum(lengths)
+        f, b = toxicity.marginals(e, ends - lengths, trans, start)
+        got = 1 / (1 + np.exp(-(f + b)))
+        for begin, end in zip(ends - lengths, ends):
+            if begin == end:
+                continue
+            x = e[begin:end]
+            fw, bw = np.zeros((len(x), 2)), np.zeros((len(x), 2))
+            fw[0] = [0, start + x[0]]
+            for t in range(1, len(x)):
+                fw[t] = [np.logaddexp(fw[t - 1, 0] + trans[0, j], fw[t - 1, 1] + trans[1, j]) + j * x[t] for j in (0, 1)]
+            for t in range(len(x) - 2, -1, -1):
+                bw[t] = [np.logaddexp(trans[i, 0] + bw[t + 1, 0], trans[i, 1] + x[t + 1] + bw[t + 1, 1]) for i in (0, 1)]
+            m = fw + bw
+            assert np.abs(1 / (1 + np.exp(m[:, 0] - m[:, 1])) - got[begin:end]).max() < 1e-8
+
+
+def toxic_corpus(n, seed=0):
+    draw = random.Random(seed)
+    syllables = ["ba", "lo", "min", "ter", "su", "ka", "ri", "no", "dal", "ven"]
+    word = lambda: "".join(draw.choice(syllables) for _ in range(draw.randint(1, 4)))
+    out = []
+    for i in range(n):
+        ws = [word() for _ in range(draw.randint(20, 120))]
+        bad = i % 5 == 0
+        for _ in range(draw.randint(2, 4) if bad else 0):
+            ws.insert(draw.randrange(len(ws)), draw.choice(["grotz", "fump", "xarg"]) + draw.choice(["", "ed", "ing", "les"]))
+        out.append((i, " ".join(ws), int(bad)))
+    return out
+
+
+def test_toxicity_on_held_out_rows(spark, documents, odd_rows):
+    corpus = toxic_corpus(900)
+    df = documents([(i, t) for i, t, _ in corpus])
+    labels = spark.createDataFrame([(i, y) for i, _, y in corpus] + [(None, 1), (5, None)], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    scored = toxicity.score_documents(df.withColumn("score", F.lit("clash")), model).withColumn("held", toxicity.held_out("doc_id")).collect()
+    truth = {i: y for i, _, y in corpus}
+    held = [r for r in scored if r["held"]]
+    assert len(held) > 150
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
+    text = {i: t for i, t, _ in corpus}
+    spans = [text[r["doc_id"]][s["start"]:s["end"]] for r in held for s in r["spans"]]
+    assert spans and sum(bool(re.match("grotz|fump|xarg", s)) for s in spans) >= 0.95 * len(spans)
+    odd = toxicity.score_documents(documents(odd_rows), model).collect()
+    assert len(odd) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in odd)
+    assert len({r["score"] for r in odd if r["doc_id"] in (1, 2, 3)}) == 1 and not any(r["predicted"] for r in odd if r["doc_id"] in (1, 2))
+    kept = {r["doc_id"] for r in toxicity.keep_clean(df, model).collect()}
+    assert kept == {r["doc_id"] for r in scored if not r["predicted"]}
+    assert toxicity.score_documents(documents([]), model).count() == 0
+
+
+def test_toxicity_without_usable_labels(spark, documents):
+    df = documents([(1, "a b"), (2, None)])
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r["score"] for r in toxicity.score_documents(df, toxicity.train(df, none)).collect()} == {0.0}
+    assert 0 <= toxicity.fit(["same"] * 4, [0, 1, 0, 1]).score([np.zeros(0)])[0] <= 1
+
+
+ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def plain_spans(t):
+    s = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 12]
+    s += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+    s += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+    return [(a, secret_scan.KINDS[k], b) for a, k, b in sorted(s)]
+
+
+def test_base_spans_against_plain_patterns():
+    draw = random.Random(4)
+    bits = ["password", "ſecret", "TOKEN", "api_key", "apikey", "=", ":", " ", '"', "'", "abcdef0123456789", "AKIA", "ABCDEFGH12345678", "x", "é", "secret", "=:", "0" * 15]
+    for _ in range(4000):
+        t = "".join(draw.choice(bits) for _ in range(draw.randint(1, 12)))
+        found = sorted(secret_scan.base_spans(t), key=lambda x: (x[0], secret_scan.KINDS.index(x[1])))
+        assert found == plain_spans(t), t
+
+
+def test_secret_scan(spark, documents, odd_rows):
+    plain = " ".join(["ordinary words and getUserAccountByIdentifier some_longer_identifier_name v2_release_candidate"] * 40)
+    rows = [*odd_rows, *((20 + k, plain) for k in range(20)), (90, "é key dGhpc0lzQVNlY3JldEtleTEyMzQ1Njc4OTA= end"), (91, "x ghp_9fQ2mZx7LbT4vKc8RwYp3JdNs6Hg1AeUtBoI y"),
+            (92, 'a TOKEN: "deadbeefdeadbeef00" z'), (93, "1234567890123456"), (94, "--------------------------------")]
+    df = documents(rows).withColumn("spans", F.lit("clash"))
+    model = secret_scan.train(df)
+    out = {r["doc_id"]: r for r in secret_scan.digest(secret_scan.scan(df, model)).collect()}
+    assert secret_scan.scan(df, model).count() == len(rows)
+    assert out[90]["n_markov"] == 1 and out[91]["n_markov"] == 1 and out[94]["spans"] == "" and out[20]["spans"] == ""
+    assert out[92]["spans"] == "assign:2:28,hex:10:28" or out[92]["spans"].startswith("assign:2:")
+    assert (out[93]["n_hex"], out[93]["n_markov"]) == (1, 0)
+    assert out[1]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    clean = {r["doc_id"]: r for r in secret_scan.redact(documents(rows), model).collect()}
+    assert clean[91]["text"] == "x [secret] y" and clean[91]["n_chars"] == len(clean[91]["text"]) and clean[1]["text"] is None
+    assert clean[20]["text"] == plain and clean[92]["text"].count("[secret]") == 1
+    empty = documents([])
+    assert secret_scan.scan(empty, secret_scan.train(empty)).count() == 0
