@@ -34,6 +34,7 @@ from hirewire.llm.tokens import library_encoder
 
 NO_ID = -(1 << 63)  # stands in a payload for a null doc_id
 BLOCK = 2048  # bytes that one table lookup of the checksum covers
+ROWS = np.arange(BLOCK, dtype=np.int32) * 256  # where the table of each place in a block begins
 
 
 @lru_cache(maxsize=1)
@@ -47,7 +48,7 @@ def _crc_tables() -> tuple[np.ndarray, np.ndarray]:
     at[BLOCK - 1] = one
     for i in range(BLOCK - 2, -1, -1):
         at[i] = one[at[i + 1] & 0xFF] ^ (at[i + 1] >> 8)
-    return at, at[:4].copy()
+    return at.ravel(), at[:4].copy()
 
 
 def crc32c(data: bytes) -> int:
@@ -60,7 +61,7 @@ def crc32c(data: bytes) -> int:
     if head:
         register = _short(at, values[:head], register)
     for start in range(head, n, BLOCK):
-        block = int(np.bitwise_xor.reduce(at[np.arange(BLOCK), values[start:start + BLOCK]]))
+        block = int(np.bitwise_xor.reduce(at.take(ROWS + values[start:start + BLOCK])))
         for k in range(4):
             block ^= int(by_register[k][(register >> 8 * k) & 0xFF])
         register = block
@@ -72,11 +73,11 @@ def _short(at: np.ndarray, values: np.ndarray, register: int) -> int:
     n = len(values)
     if n < 4:
         for v in values.tolist():
-            register = int(at[BLOCK - 1][(register ^ v) & 0xFF]) ^ (register >> 8)
+            register = int(at[ROWS[-1] + ((register ^ v) & 0xFF)]) ^ (register >> 8)
         return register
     mixed = values.copy()
     mixed[:4] ^= np.frombuffer(struct.pack("<I", register), np.uint8)
-    return int(np.bitwise_xor.reduce(at[np.arange(BLOCK - n, BLOCK), mixed]))
+    return int(np.bitwise_xor.reduce(at.take(ROWS[BLOCK - n:] + mixed)))
 
 
 def masked(crc: int) -> int:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -17,6 +18,8 @@ from functools import lru_cache
 CACHE_SIZE = 400_000
 #: Below this code point the character classes and case rules of all Unicode versions agree.
 STABLE = "ɐ"
+UNSTABLE = re.compile("[^\x00-\u024f]|İ")
+MARK = re.compile(r"(?<=[a-z])([.,])(?=\s)")
 CONTROL_SPACES = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the tokenizers' patterns
 
 
@@ -89,6 +92,8 @@ class Splitting:
         if self.kind == "whole" or any(s in text for s in self.special) or any(c in text for c in CONTROL_SPACES):
             return None
         if self.kind == "words":
+            if text.isascii() or not UNSTABLE.search(text):
+                text = MARK.sub(r" \1", text.lower())  # a mark behind a letter is a word of its own: fewer distinct chunks
             return text.split()
         if " \n" in text:
             return None
@@ -118,9 +123,8 @@ class LibraryEncoder:
     def _words_chunk(self, chunk: str) -> bytes:
         """Most chunks are a word, or one with a mark behind it; their parts are chunks as well."""
         if chunk.isascii():
-            if chunk.isalpha():
-                low = chunk.lower()
-                return self._word(low) if low == chunk else self.by_chunk[low]
+            if chunk.isalpha() and chunk.islower():
+                return self._word(chunk)
             if len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[:-1].isalpha():
                 return self.by_chunk[chunk[:-1]] + self.by_word[chunk[-1]]
         return self._own(chunk)
