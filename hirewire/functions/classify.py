@@ -8,15 +8,14 @@ an ordered scan, while staying inside whole-stage codegen.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewire.functions import dims
 from hirewire.functions.staging import materialize
-from hirewire.functions.sqlexpr import _array_sql, in_list, sq
-from hirewire.functions.text import col_, contains_any, literal_alternation, py_strip
+from hirewire.functions.sqlexpr import _array_sql, sq
+from hirewire.functions.text import col_, literal_alternation, py_strip
 
 _SENIOR_RE = r"(?iU)\b(?:" + "|".join(dims.SENIOR_WORDS) + r")\b"
 _INTERN_RE = r"(?iU)\b(?:" + "|".join(dims.INTERN_WORDS) + r")\b"
@@ -41,17 +40,6 @@ def experience_level(title) -> Column:
     return F.when(col_(title).rlike(_INTERN_RE), F.lit("internship")).otherwise(F.lit("new_grad"))
 
 
-def new_grad_rule(title) -> Column:
-    """Diagnostic: index of the first new-grad rule that matches (does not change the result)."""
-    t = col_(title)
-    rules = dims.NEW_GRAD_RULES + [r"\s+I(?=\n?\z)", r"\s+I\b(?![A-Za-z])"]
-    expr = F.lit(None).cast("int")
-    for i, r in reversed(list(enumerate(rules))):
-        flags = "(?U)" if i >= len(dims.NEW_GRAD_RULES) else "(?iU)"
-        expr = F.when(t.rlike(flags + r), F.lit(i)).otherwise(expr)
-    return expr
-
-
 def work_type(location) -> Column:
     """Remote, else hybrid, else onsite (whole words, lower-cased text)."""
     low = F.lower(col_(location))
@@ -60,72 +48,12 @@ def work_type(location) -> Column:
             .otherwise(F.lit("onsite")))
 
 
-def country(location) -> Column:
-    """C4: the ordered US/CA cascade; NULL when nothing matches.
-
-    Quirks kept on purpose: the bare substring 'can' means Canada, 'usa' inside a
-    word means US, a two-letter code after a comma is read as a region code.
-    """
-    loc = col_(location)
-    return _country_expr(loc, F.lower(loc))
-
-
-def _country_expr(loc: Column, low: Column) -> Column:
-    region = F.regexp_extract(loc, _CITY_REGION_RE, 1)
-    tokens = F.regexp_extract_all(loc, F.lit(_ABBREV_TOKEN_RE), 1)
-    first_code = F.get(F.filter(tokens, lambda x: in_list(x, dims.US_STATE_ABBREVS + dims.CA_PROVINCE_ABBREVS)), 0)
-    us_only = [a for a in dims.CA_PROVINCE_ABBREVS if a not in dims.US_STATE_ABBREVS]
-    return (F.when(loc.contains(dims.US_FLAG), F.lit("US"))
-            .when(loc.contains(dims.CA_FLAG), F.lit("CA"))
-            .when(contains_any(low, dims.CA_INDICATORS), F.lit("CA"))
-            .when(contains_any(low, dims.US_INDICATORS), F.lit("US"))
-            .when(in_list(region, us_only), F.lit("CA"))
-            .when(in_list(region, dims.US_STATE_ABBREVS), F.lit("US"))
-            .when(contains_any(low, dims.CA_PROVINCE_NAMES), F.lit("CA"))
-            .when(contains_any(low, dims.US_STATE_NAMES), F.lit("US"))
-            .when(in_list(first_code, dims.US_STATE_ABBREVS), F.lit("US"))
-            .when(in_list(first_code, dims.CA_PROVINCE_ABBREVS), F.lit("CA"))
-            .when(low.rlike(_CA_CITY_RE), F.lit("CA"))
-            .when(low.rlike(_US_CITY_RE), F.lit("US"))
-            .when(low.rlike(_REMOTE_RE), F.lit("US"))
-            .when(low.rlike(_ONSITE_RE), F.lit("US")))
-
-
-def location_included(location) -> Column:
-    """A non-empty location with a country."""
-    loc = col_(location)
-    return F.coalesce(loc.isNotNull() & (loc != "") & country(loc).isNotNull(), F.lit(False))
-
-
 # One literal alternation per group: 16 small regexes instead of 233 substring probes,
 # so the cascade stays inside whole-stage codegen's method-size limit.
 _arr_sql = lambda values: _array_sql(tuple(values))
 _GROUP_RES = [(name, literal_alternation(words)) for name, words in dims.CATEGORY_KEYWORDS]
 
 
-def _category_cascade(padded: Column, otherwise: Column) -> Column:
-    expr = otherwise
-    for name, pattern in reversed(_GROUP_RES):
-        expr = F.when(padded.rlike(pattern), F.lit(name)).otherwise(expr)
-    return expr
-
-
-def role_category(title, department=None) -> Column:
-    """First keyword group hit in ' title ', else in ' department ' (if not blank), else Other."""
-    t_pad = F.concat(F.lit(" "), F.lower(F.coalesce(col_(title), F.lit(""))), F.lit(" "))
-    other = F.lit(dims.DEFAULT_CATEGORY)
-    if department is None:
-        return _category_cascade(t_pad, other)
-    dept = py_strip(F.coalesce(col_(department), F.lit("")))
-    d_pad = F.concat(F.lit(" "), F.lower(dept), F.lit(" "))
-    by_dept = F.when(dept != "", _category_cascade(d_pad, other)).otherwise(other)
-    return _category_cascade(t_pad, by_dept)
-
-
-def any_of(cols) -> Column:
-    return reduce(lambda a, b: a | b, cols)
-
-
 def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -136,14 +64,17 @@ def _cascade_sql(padded: str, otherwise: str) -> str:
 
 
 def role_category_sql(t_pad: str, d_pad: str) -> str:
-    """C6 as one Spark SQL expression over already padded, lower-cased title/department columns."""
+    """C6 as one Spark SQL expression over already padded, lower-cased title/department columns: the first keyword
+    group hit in the title, else in the department (if not blank), else Other."""
     by_dept = f"CASE WHEN {d_pad} IS NOT NULL THEN {_cascade_sql(d_pad, sq(dims.DEFAULT_CATEGORY))} " \
               f"ELSE {sq(dims.DEFAULT_CATEGORY)} END"
     return _cascade_sql(t_pad, by_dept)
 
 
 def country_sql(loc: str, low: str) -> str:
-    """C4 as one Spark SQL expression (``low`` is the lower-cased location column)."""
+    """C4 as one Spark SQL expression (``low`` is the lower-cased location column): the ordered US/CA cascade; NULL
+    when nothing matches. Quirks kept on purpose: the bare substring 'can' means Canada, 'usa' inside a word
+    means US, a two-letter code after a comma is read as a region code."""
     codes = _arr_sql(dims.US_STATE_ABBREVS + dims.CA_PROVINCE_ABBREVS)
     us, ca = _arr_sql(dims.US_STATE_ABBREVS), _arr_sql(dims.CA_PROVINCE_ABBREVS)
     ca_only = _arr_sql([a for a in dims.CA_PROVINCE_ABBREVS if a not in dims.US_STATE_ABBREVS])
@@ -181,6 +112,11 @@ def with_role_category(df: DataFrame, title: str, department: str, out: str = "r
     return df.drop(p + "t", p + "d", p + "dp").withColumn(out, F.col(p + "out")).drop(p + "out")
 
 
+def located() -> Column:
+    """A non-empty location with a country."""
+    return F.coalesce(F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull(), F.lit(False))
+
+
 def with_country(df: DataFrame, location: str, out: str = "country") -> DataFrame:
     """C4 staged on the lower-cased location."""
     df = df.withColumn("_ct_low", F.lower(F.col(location)))

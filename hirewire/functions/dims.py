@@ -23,10 +23,6 @@ REQUIRED_REGISTRY_KEYS = ["company_name", "ats_platform", "board_slug"]
 SENIOR_WORDS = ["senior", "staff", "principal", "lead", "manager", "director", "vp", r"head\s+of"]
 INTERN_WORDS = ["intern", "internship", "co-?op"]
 # Diagnostic only: a match and a miss both end as new_grad.
-NEW_GRAD_RULES = [
-    r"\bnew\s+grad(?:uate)?\b", r"\bentry[\s-]level\b", r"\bjunior\b", r"\bassociate\b",
-    r"\b0-2\s+years?\b", r"\bearly\s+career\b", r"\buniversity\b",
-]
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES -- geography
@@ -269,13 +265,6 @@ DATE_FORMATS = [("%b %d, %Y", "MMM d, yyyy"), ("%B %d, %Y", "MMMM d, yyyy"),
 STALENESS_DAYS = 30
 EIGHTFOLD_NA_MARKERS = ["canada", "united states", "usa", "u.s."]
 ORACLE_NA_COUNTRIES = ["US", "CA"]
-DETAIL_CAPS = {"oracle": 200, "eightfold": 150, "bamboohr": 120}
-# (page size, max pages, first page number) per paginated platform.
-PAGE_POLICY = {
-    "workday": (20, 10, 0), "oracle": (50, 16, 0), "eightfold": (50, 20, 0),
-    "taleo": (25, 24, 1), "successfactors_csb": (10, 30, 0), "successfactors_rmk": (25, 16, 0),
-    "phenom": (20, 20, 0), "talentplatform": (100, 15, 1), "linkedin": (25, 1, 0),
-}
 # The eight searches of the search site: (keywords, location, geo id).
 SEARCHES = [
     ("intern software engineer", "Canada", "101174742"),
@@ -296,4 +285,6 @@ SINK_DEFAULTS = {
     "industry_score": 0, "match_label": "", "applicant_count": None,
     "github_source_id": None, "last_viewed_at": None,
 }
-JOB_STATUSES = ["new", "applying", "waiting_answer", "applied", "failed", "skipped"]
+# URL schemes whose last path segment carries ;parameters.
+USES_PARAMS = ["", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
+               "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel"]

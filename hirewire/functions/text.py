@@ -36,16 +36,6 @@ def is_blank(c) -> Column:
     return c.isNull() | (py_strip(c) == "")
 
 
-def nullif_empty(c) -> Column:
-    """Python ``x or ...`` treats '' like None."""
-    c = col_(c)
-    return F.when(c != "", c)
-
-
-def first_truthy(*cols) -> Column:
-    return F.coalesce(*[nullif_empty(c) for c in cols])
-
-
 @pandas_udf(StringType())
 def _html_unescape_batch(s: pd.Series) -> pd.Series:
     import html

@@ -16,8 +16,6 @@ from hirewire.functions.sqlexpr import in_list
 from hirewire.functions.text import col_, py_strip
 
 # FIXED VALUES: schemes whose last path segment may carry ``;params``.
-USES_PARAMS = ["", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
-               "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel"]
 
 _SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 
@@ -40,7 +38,7 @@ def url_split(url, prestrip: bool = True) -> Column:
     rest = F.regexp_extract(rest, r"(?s)^([^#]*)", 1)
     query = F.regexp_extract(rest, r"(?s)^[^?]*\?(.*)\z", 1)
     path = F.regexp_extract(rest, r"(?s)^([^?]*)", 1)
-    path = F.when(in_list(scheme, USES_PARAMS) & path.contains(";"),
+    path = F.when(in_list(scheme, dims.USES_PARAMS) & path.contains(";"),
                   F.regexp_replace(path, r";[^/]*\z", "")).otherwise(path)
     return F.struct(scheme.alias("scheme"), netloc.alias("netloc"), path.alias("path"),
                     query.alias("query"), fragment.alias("fragment"))
@@ -134,7 +132,7 @@ def with_url_parts(df: DataFrame, url: str, prefix: str = "_u_", prestrip: bool
     df = df.withColumns({p + "query": F.regexp_extract(r3, r"(?s)^[^?]*\?(.*)\z", 1),
                          p + "p0": F.regexp_extract(r3, r"(?s)^([^?]*)", 1)})
     p0 = F.col(p + "p0")
-    df = df.withColumn(p + "path", F.when(in_list(F.col(p + "scheme"), USES_PARAMS) & p0.contains(";"),
+    df = df.withColumn(p + "path", F.when(in_list(F.col(p + "scheme"), dims.USES_PARAMS) & p0.contains(";"),
                                           F.regexp_replace(p0, r";[^/]*\z", "")).otherwise(p0))
     return df.drop(p + "s", p + "r1", p + "r2", p + "r3", p + "p0")
 

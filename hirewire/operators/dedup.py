@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from hirewire.functions.text import is_blank
 from hirewire.functions import urls as U
 
-BROADCAST_KEYS_LIMIT = 2_000_000  # distinct URLs we are willing to ship to every executor
-
-
 def with_normalized_url(df: DataFrame, src: str = "url", out: str = "url") -> DataFrame:
     return U.with_normalized_url(df, src, out)
 
@@ -36,23 +33,10 @@ def first_wins(df: DataFrame, key: str | list[str], order: list[str]) -> DataFra
     return win.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
-def new_only(batch: DataFrame, target_urls: DataFrame, key: str = "url",
-             broadcast_limit: int = BROADCAST_KEYS_LIMIT, materialize: bool = True) -> DataFrame:
+def new_only(batch: DataFrame, target_urls: DataFrame, key: str = "url") -> DataFrame:
     """K3: rows of ``batch`` whose key is not already stored.
 
-    The stored side only contributes its key column. When the batch's distinct keys are
-    few (counted, not guessed) they are broadcast into a semi-join against the stored
-    keys, so the large table is scanned once without being shuffled; otherwise a
-    shuffled anti-join runs (AQE splits skewed partitions). The batch is checkpointed
-    first (shared checkpoint dir), so the count, the key set and the final anti-join
-    read it instead of deriving it three times.
-    """
-    if materialize:
-        batch = batch.checkpoint(eager=True)
-    target_keys = target_urls.select(F.col(key)).where(F.col(key).isNotNull())
-    batch_keys = batch.select(key).distinct()
-    n = batch_keys.count()
-    if n <= broadcast_limit:
-        seen = target_keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
-        return batch.join(F.broadcast(seen), key, "left_anti")
-    return batch.join(target_keys, key, "left_anti")
+    A plain anti-join on the key column of the stored table: Spark picks the join by the sizes it knows or
+    sees at run time, and a hot key needs no care, as the batch has each key once."""
+    stored = target_urls.select(F.col(key)).where(F.col(key).isNotNull())
+    return batch.join(stored, key, "left_anti")

@@ -24,7 +24,7 @@ from hirewire.sources.registry import opt
 
 RAW_JOB_COLS = ["title", "company", "location", "url", "posted_date", "department", "salary_range",
                 "company_logo", "company_domain", "company_url", "employment_type", "description"]
-PROV = ["platform", "company_seq", "search_id", "page_no", "run_ts"]
+PROV = ["run_ts", "platform", "company_seq", "search_id", "page_no"]
 COMPANY = ["company_name", "board_slug", "raw"]
 
 
@@ -104,18 +104,10 @@ def _finish(df: DataFrame, keep: Column, **cols) -> DataFrame:
                         for c in RAW_JOB_COLS], mode.cast("int").alias("description_mode"))
 
 
-def _html_desc(c: Column, n: int, ellipsis: bool) -> Column:
-    txt = T.html_to_text(c)
-    return T.truncate_ellipsis(txt, n) if ellipsis else T.truncate_plain(txt, n)
-
-
 # --- descriptions: cleaned late --------------------------------------------------
 # Parsers keep the raw description text plus a recipe code; the cleanup (the one Arrow
-# UDF, tag stripping, truncation) runs only on rows that will be stored.
-DESC_NONE, DESC_HTML_3000_ELLIPSIS, DESC_TEXT_3000_ELLIPSIS, DESC_TEXT_3000, DESC_HTML_5000_ELLIPSIS, \
-    DESC_SPACES_3000, DESC_HTML_5000 = range(7)
-_NEEDS_UNESCAPE = [DESC_HTML_3000_ELLIPSIS, DESC_TEXT_3000_ELLIPSIS, DESC_TEXT_3000, DESC_HTML_5000_ELLIPSIS,
-                   DESC_HTML_5000]
+# UDF, tag stripping) runs only on rows that will be stored. Texts are kept whole.
+DESC_NONE, DESC_HTML, DESC_TEXT, DESC_SPACES = range(4)
 
 
 def finish_descriptions(df: DataFrame) -> DataFrame:
@@ -123,18 +115,10 @@ def finish_descriptions(df: DataFrame) -> DataFrame:
     if "description_mode" not in df.columns:
         return df
     m, src = F.col("description_mode"), F.col("description")
-    df = df.withColumn("_dun", T.html_unescape(F.when(m.isin(_NEEDS_UNESCAPE), src)))
-    un = F.col("_dun")
-    df = df.withColumns({"_dtext": T.strip_tags_nl(un), "_dplain": T.py_strip(un)})
-    text, plain = F.col("_dtext"), F.col("_dplain")
-    out = (F.when(m == DESC_HTML_3000_ELLIPSIS, T.truncate_ellipsis(text, 3000))
-           .when(m == DESC_TEXT_3000_ELLIPSIS, T.truncate_ellipsis(plain, 3000))
-           .when(m == DESC_TEXT_3000, T.truncate_plain(plain, 3000))
-           .when(m == DESC_HTML_5000_ELLIPSIS, T.truncate_ellipsis(text, 5000))
-           .when(m == DESC_SPACES_3000, T.truncate_plain(T.collapse_ws(src), 3000))
-           .when(m == DESC_HTML_5000, T.truncate_plain(text, 5000))
-           .otherwise(F.lit("")))
-    return df.withColumn("description", out).drop("_dun", "_dtext", "_dplain", "description_mode")
+    df = df.withColumn("_dun", T.html_unescape(F.when(m.isin(DESC_HTML, DESC_TEXT), src)))
+    out = (F.when(m == DESC_HTML, T.strip_tags_nl(F.col("_dun"))).when(m == DESC_TEXT, T.py_strip(F.col("_dun")))
+           .when(m == DESC_SPACES, T.collapse_ws(src)).otherwise(F.lit("")))
+    return df.withColumn("description", out).drop("_dun", "description_mode")
 
 
 def _desc(src: Column, mode: int, when: Column | None = None) -> tuple[Column, Column]:
@@ -142,24 +126,6 @@ def _desc(src: Column, mode: int, when: Column | None = None) -> tuple[Column, C
     return (F.when(ok, src).otherwise(F.lit("")), F.when(ok, F.lit(mode)).otherwise(F.lit(DESC_NONE)))
 
 
-# --- pagination (S10 per vendor) ---------------------------------------------
-
-def _paged(pages: DataFrame, n_items: Column, stop: Column, policy: str, extra: dict | None = None) -> DataFrame:
-    size, max_pages, first = dims.PAGE_POLICY[policy]
-    staged = pages.withColumn("_n", F.coalesce(n_items, F.lit(0)))
-    for k, v in (extra or {}).items():
-        staged = staged.withColumn(k, v)
-    return LD.page_prefix(staged, stop, max_pages, first).drop("_n", *(extra or {}).keys())
-
-
-def _carry(key_variant: Column) -> Column:
-    """``total = data.get(key, total)``: the last page that carried the key (null resets it)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("platform", "company_seq", "search_id").orderBy("page_no") \
-              .rowsBetween(Window.unboundedPreceding, 0)
-    return F.try_variant_get(F.last(key_variant, ignorenulls=True).over(w), "$", "long")
-
-
 # --- P1 greenhouse --------------------------------------------------------------
 
 def greenhouse(pages: DataFrame) -> DataFrame:
@@ -186,7 +152,7 @@ def greenhouse(pages: DataFrame) -> DataFrame:
         department=F.when(F.coalesce(F.size(deps), F.lit(0)) > 0, vget(dep0, "name")).otherwise(F.lit("")),
         salary_range=salary,
         company_url=F.lit(""),
-        description=_desc(content, DESC_HTML_3000_ELLIPSIS)[0], description_mode=_desc(content, DESC_HTML_3000_ELLIPSIS)[1],
+        description=_desc(content, DESC_HTML)[0], description_mode=_desc(content, DESC_HTML)[1],
     )
 
 
@@ -217,7 +183,7 @@ def lever(pages: DataFrame) -> DataFrame:
         employment_type=vget(cat, "commitment"),
         salary_range=F.when(T.py_strip(combined) != "", T.salary_from_text_postings(combined)).otherwise(F.lit("")),
         company_url=F.lit(""),
-        description=_desc(plain, DESC_TEXT_3000_ELLIPSIS)[0], description_mode=_desc(plain, DESC_TEXT_3000_ELLIPSIS)[1],
+        description=_desc(plain, DESC_TEXT)[0], description_mode=_desc(plain, DESC_TEXT)[1],
     )
 
 
@@ -231,8 +197,8 @@ def ashby(pages: DataFrame) -> DataFrame:
     html = or_(vget(i, "descriptionHtml"), vget(i, "description"))
     plain = vget(i, "descriptionPlain")
     desc = F.when(truthy(html), html).when(truthy(plain), plain).otherwise(F.lit(""))
-    desc_mode = (F.when(truthy(html), F.lit(DESC_HTML_3000_ELLIPSIS))
-                 .when(truthy(plain), F.lit(DESC_TEXT_3000)).otherwise(F.lit(DESC_NONE)))
+    desc_mode = (F.when(truthy(html), F.lit(DESC_HTML))
+                 .when(truthy(plain), F.lit(DESC_TEXT)).otherwise(F.lit(DESC_NONE)))
     url = or_(vget(i, "applyUrl"), vget(i, "jobUrl"))
     keep = truthy(vget(i, "title")) & truthy(url)
     return _finish(
@@ -260,19 +226,8 @@ def workday_location(text: Column, external_path: Column) -> Column:
             .otherwise(text)
 
 
-def workday_pages(pages: DataFrame) -> DataFrame:
-    """S10 for workday: stop on an empty or undecodable page, or once offset >= total
-    (a missing total counts as 0, so such a board stops after its first page)."""
-    d = _doc(pages)
-    posts = F.try_variant_get("doc", "$.jobPostings", "array<variant>")
-    total = F.coalesce(F.try_variant_get("doc", "$.total", "long"), F.lit(0))
-    return _paged(d, F.size(posts), (F.coalesce(F.size(posts), F.lit(0)) == 0) | F.col("doc").isNull()
-                  | ((F.col("page_no") + 1) * 20 >= total), "workday")
-
-
 def workday(pages: DataFrame) -> DataFrame:
-    kept = workday_pages(pages)
-    it = _explode(kept, F.try_variant_get("doc", "$.jobPostings", "array<variant>"))
+    it = _explode(_doc(pages), F.try_variant_get("doc", "$.jobPostings", "array<variant>"))
     i = F.col("it")
     base = F.regexp_replace(F.trim(opt(F.col("raw"), "workday_url_template")), "/+$", "")
     root = F.regexp_extract(base, r"^(https://[^/]+)/wday/cxs/[^/]+/([^/]+)", 1)
@@ -309,17 +264,12 @@ def oracle_na(primary_country: Column, secondary: Column) -> Column:
 
 
 def _detail_text(details: DataFrame, pick: Column) -> DataFrame:
-    return details.select("platform", "company_seq", "item_key", pick.alias("detail"))
+    return details.select("run_ts", "platform", "company_seq", "item_key", pick.alias("detail"))
 
 
 def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     d = _doc(pages)
-    block = F.get(F.try_variant_get("doc", "$.items", "array<variant>"), 0)
-    reqs = F.try_variant_get(block, "$.requisitionList", "array<variant>")
-    total = F.coalesce(nz(F.try_variant_get(block, "$.TotalJobsCount", "long").cast("string")).cast("long"), F.lit(0))
-    kept = _paged(d, F.size(reqs), (F.coalesce(F.size(reqs), F.lit(0)) == 0)
-                  | ((F.col("page_no") + 1) * 50 >= total), "oracle")
-    it = _explode(kept, F.try_variant_get(F.get(F.try_variant_get("doc", "$.items", "array<variant>"), 0),
+    it = _explode(d, F.try_variant_get(F.get(F.try_variant_get("doc", "$.items", "array<variant>"), 0),
                                           "$.requisitionList", "array<variant>"))
     i = F.col("it")
     sec = F.coalesce(F.try_variant_get(i, "$.secondaryLocations", "array<variant>"), F.array().cast("array<variant>"))
@@ -330,7 +280,7 @@ def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
                  ("ExternalDescriptionStr", "ExternalResponsibilitiesStr", "ExternalQualificationsStr")]
         joined = T.join_nonempty(parts, "\n")
         det = _detail_text(details, joined)
-        na = LD.attach_details(na, det, dims.DETAIL_CAPS["oracle"])
+        na = LD.attach_details(na, det)
     else:
         na = na.withColumn("detail", F.lit(""))
     site = F.trim(or_(opt(F.col("raw"), "oracle_site"), F.lit("CX_1")))
@@ -347,8 +297,8 @@ def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         location=oracle_location(vs(i, "PrimaryLocation"), sec),
         posted_date=D.iso_or_prefix(nz(vs(i, "PostedDate"))),
         department=or_(vget(i, "JobFamily"), vget(i, "JobFunction")),
-        description=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[0],
-        description_mode=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[1],
+        description=_desc(F.col("detail"), DESC_HTML)[0],
+        description_mode=_desc(F.col("detail"), DESC_HTML)[1],
     )
 
 
@@ -368,16 +318,8 @@ def eightfold_location(pos: Column) -> Column:
 
 
 def eightfold(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    from pyspark.sql import Window
     d = _doc(pages)
-    batch = F.try_variant_get("doc", "$.data.positions", "array<variant>")
-    w = Window.partitionBy("platform", "company_seq", "search_id").orderBy("page_no") \
-              .rowsBetween(Window.unboundedPreceding, 0)
-    total = F.coalesce(F.try_variant_get("doc", "$.data.count", "long"), F.lit(0))
-    kept = _paged(d, F.size(batch), (F.coalesce(F.size(batch), F.lit(0)) == 0)
-                  | ((total > 0) & (F.col("_seen") >= total)), "eightfold",
-                  extra={"_seen": F.sum(F.coalesce(F.size(batch), F.lit(0))).over(w)})
-    it = _explode(kept, F.try_variant_get("doc", "$.data.positions", "array<variant>"))
+    it = _explode(d, F.try_variant_get("doc", "$.data.positions", "array<variant>"))
     i = F.col("it")
     loc = eightfold_location(i)
     na = it.withColumn("_loc", loc).where(T.contains_any(F.lower("_loc"), dims.EIGHTFOLD_NA_MARKERS)) \
@@ -385,7 +327,7 @@ def eightfold(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     if details is not None:
         html = nz(F.try_variant_get(F.try_parse_json("body"), "$.data.jobDescription", "string"))
         det = _detail_text(details, F.coalesce(html, F.lit("")))
-        na = LD.attach_details(na, det, dims.DETAIL_CAPS["eightfold"])
+        na = LD.attach_details(na, det)
     else:
         na = na.withColumn("detail", F.lit(""))
     host = F.regexp_replace(F.trim(opt(F.col("raw"), "eightfold_host")), "/+$", "")
@@ -405,8 +347,8 @@ def eightfold(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         na, keep,
         title=or_(vget(i, "name"), vget(i, "title"), F.lit("")), url=url, location=F.col("_loc"),
         posted_date=D.epoch_auto(ts.try_cast("string")),
-        department=dep_s, description=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[0],
-        description_mode=_desc(F.col("detail"), DESC_HTML_5000_ELLIPSIS)[1],
+        department=dep_s, description=_desc(F.col("detail"), DESC_HTML)[0],
+        description_mode=_desc(F.col("detail"), DESC_HTML)[1],
     )
 
 
@@ -430,12 +372,7 @@ def taleo_location(column: Column, loc_cols: Column) -> Column:
 
 def taleo(pages: DataFrame) -> DataFrame:
     d = _doc(pages)
-    reqs = F.try_variant_get("doc", "$.requisitionList", "array<variant>")
-    total = _carry(F.try_variant_get("doc", "$.pagingData.totalCount", "variant"))
-    kept = _paged(d, F.size(reqs), (F.coalesce(F.size(reqs), F.lit(0)) == 0)
-                  | (F.col("_total").isNotNull() & (F.col("page_no") * 25 >= F.col("_total"))), "taleo",
-                  extra={"_total": total})
-    it = _explode(kept, F.try_variant_get("doc", "$.requisitionList", "array<variant>"))
+    it = _explode(d, F.try_variant_get("doc", "$.requisitionList", "array<variant>"))
     i = F.col("it")
     column = F.try_variant_get(i, "$.column", "array<variant>")
     title = T.py_strip(py_str(F.get(column, 0)))
@@ -468,12 +405,7 @@ def sf_clean_location(v: Column) -> Column:
 
 def successfactors_csb(pages: DataFrame) -> DataFrame:
     d = _doc(pages)
-    res = F.try_variant_get("doc", "$.jobSearchResult", "array<variant>")
-    total = _carry(F.try_variant_get("doc", "$.totalJobs", "variant"))
-    kept = _paged(d, F.size(res), (F.coalesce(F.size(res), F.lit(0)) == 0)
-                  | (F.col("_total").isNotNull() & ((F.col("page_no") + 1) * 10 >= F.col("_total"))),
-                  "successfactors_csb", extra={"_total": total})
-    it = _explode(kept, F.try_variant_get("doc", "$.jobSearchResult", "array<variant>"))
+    it = _explode(d, F.try_variant_get("doc", "$.jobSearchResult", "array<variant>"))
     it = materialize(it, {"r": F.coalesce(F.when(T.variant_truthy(vv(F.col("it"), "response")),
                                                  vv(F.col("it"), "response")), F.parse_json(F.lit("{}")))})
     r = F.col("r")
@@ -488,6 +420,7 @@ def successfactors_csb(pages: DataFrame) -> DataFrame:
     )
 
 
+# The page patterns of this board and, below, of jobvite and the search site.
 _RMK_ROW = r'(?s)<tr[^>]*class="data-row"[^>]*>(.*?)</tr>'
 
 
@@ -501,11 +434,8 @@ def rmk_location(slug: Column, title: Column) -> Column:
 
 
 def successfactors_rmk(pages: DataFrame) -> DataFrame:
-    rows = F.regexp_extract_all("body", F.lit(_RMK_ROW), 1)
-    kept = _paged(pages.withColumn("doc", F.lit(None)), F.size(rows),
-                  (F.size(rows) == 0) | (F.size(rows) < 25), "successfactors_rmk")
-    it = kept.select(*[c for c in kept.columns if c not in ("body", "doc")],
-                     F.posexplode(F.regexp_extract_all("body", F.lit(_RMK_ROW), 1)).alias("item_pos", "row"))
+    it = pages.select(*[c for c in pages.columns if c != "body"],
+                      F.posexplode(F.regexp_extract_all("body", F.lit(_RMK_ROW), 1)).alias("item_pos", "row"))
     row = F.col("row")
     href_re = r'href="(/job/([^"]+?)/(\d+)/?)"'
     href, slug = F.regexp_extract(row, href_re, 1), F.regexp_extract(row, href_re, 2)
@@ -524,8 +454,6 @@ def successfactors(pages: DataFrame) -> DataFrame:
     csb = successfactors_csb(pages.where(F.col("kind") == "list"))
     rmk_pages = pages.where((F.col("kind") == "html_list") & mode.isin("auto", "rmk"))
     rmk = successfactors_rmk(rmk_pages)
-    forced = pages.where(mode == "csb").select("platform", "company_seq").distinct()
-    rmk = rmk.join(forced, ["platform", "company_seq"], "left_anti")
     return LD.prefer(csb, rmk)
 
 
@@ -533,9 +461,7 @@ def successfactors(pages: DataFrame) -> DataFrame:
 
 def phenom(pages: DataFrame) -> DataFrame:
     d = _doc(pages)
-    jobs = F.try_variant_get("doc", "$.refineSearch.data.jobs", "array<variant>")
-    kept = _paged(d, F.size(jobs), (F.coalesce(F.size(jobs), F.lit(0)) == 0) | (F.size(jobs) < 20), "phenom")
-    it = _explode(kept, F.try_variant_get("doc", "$.refineSearch.data.jobs", "array<variant>"))
+    it = _explode(d, F.try_variant_get("doc", "$.refineSearch.data.jobs", "array<variant>"))
     i = F.col("it")
     seq = F.coalesce(F.when(T.variant_truthy(vv(i, "jobSeqNo")), vv(i, "jobSeqNo")),
                      F.when(T.variant_truthy(vv(i, "jobId")), vv(i, "jobId")))
@@ -549,7 +475,7 @@ def phenom(pages: DataFrame) -> DataFrame:
         url=or_(vs(i, "applyUrl"), F.concat(F.lit("https://"), host, F.lit("/job/"), py_str(seq))),
         posted_date=D.iso_or_prefix(nz(F.try_variant_get(vv(i, "postedDate"), "$", "string"))),
         department=vget(i, "category"),
-        description=_desc(teaser, DESC_SPACES_3000)[0], description_mode=_desc(teaser, DESC_SPACES_3000)[1],
+        description=_desc(teaser, DESC_SPACES)[0], description_mode=_desc(teaser, DESC_SPACES)[1],
     )
 
 
@@ -572,7 +498,7 @@ def bamboohr(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     if details is not None:
         html = nz(F.try_variant_get(F.try_parse_json("body"), "$.result.jobOpening.description", "string"))
         det = _detail_text(details, F.coalesce(html, F.lit("")))
-        it = LD.attach_details(it, det, dims.DETAIL_CAPS["bamboohr"])
+        it = LD.attach_details(it, det)
     else:
         it = it.withColumn("detail", F.lit(""))
     sub = T.py_strip(or_(opt(F.col("raw"), "bamboohr_subdomain"), F.col("board_slug"), F.lit("")))
@@ -582,8 +508,8 @@ def bamboohr(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         it, keep,
         title=T.py_strip(title), location=bamboohr_location(i),
         url=F.concat(F.lit("https://"), sub, F.lit(".bamboohr.com/careers/"), py_str(vv(i, "id"))),
-        department=vget(i, "departmentLabel"), description=_desc(F.col("detail"), DESC_HTML_5000)[0],
-        description_mode=_desc(F.col("detail"), DESC_HTML_5000)[1],
+        department=vget(i, "departmentLabel"), description=_desc(F.col("detail"), DESC_HTML)[0],
+        description_mode=_desc(F.col("detail"), DESC_HTML)[1],
     )
 
 
@@ -610,7 +536,7 @@ def breezy(pages: DataFrame) -> DataFrame:
         posted_date=D.iso_naive(nz(or_(F.try_variant_get(vv(i, "published_date"), "$", "string"),
                                        F.try_variant_get(vv(i, "creation_date"), "$", "string")))),
         department=or_(vs(i, "department"), F.lit("")),
-        description=_desc(html, DESC_HTML_5000)[0], description_mode=_desc(html, DESC_HTML_5000)[1],
+        description=_desc(html, DESC_HTML)[0], description_mode=_desc(html, DESC_HTML)[1],
     )
 
 
@@ -631,8 +557,8 @@ def recruitee(pages: DataFrame) -> DataFrame:
         title=T.py_strip(vget(i, "title")), location=loc, url=url,
         posted_date=D.iso_or_prefix(nz(F.try_variant_get(vv(i, "published_at"), "$", "string"))),
         department=vget(i, "department"),
-        description=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[0],
-        description_mode=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[1],
+        description=_desc(raw_desc, DESC_HTML, T.py_strip(raw_desc) != "")[0],
+        description_mode=_desc(raw_desc, DESC_HTML, T.py_strip(raw_desc) != "")[1],
     )
 
 
@@ -659,12 +585,7 @@ def jobvite(pages: DataFrame) -> DataFrame:
 
 def talentplatform(pages: DataFrame) -> DataFrame:
     d = _doc(pages)
-    jobs = F.try_variant_get("doc", "$.jobs", "array<variant>")
-    total = _carry(F.try_variant_get("doc", "$.totalCount", "variant"))
-    kept = _paged(d, F.size(jobs), (F.coalesce(F.size(jobs), F.lit(0)) == 0)
-                  | (F.col("_total").isNotNull() & (F.col("page_no") * 100 >= F.col("_total"))), "talentplatform",
-                  extra={"_total": total})
-    it = _explode(kept, F.try_variant_get("doc", "$.jobs", "array<variant>"))
+    it = _explode(d, F.try_variant_get("doc", "$.jobs", "array<variant>"))
     it = materialize(it, {"dd": F.coalesce(F.when(T.variant_truthy(vv(F.col("it"), "data")), vv(F.col("it"), "data")),
                                            F.parse_json(F.lit("{}")))})
     dd = F.col("dd")
@@ -682,8 +603,8 @@ def talentplatform(pages: DataFrame) -> DataFrame:
         title=T.py_strip(vget(dd, "title")), location=loc, url=url,
         posted_date=D.iso_or_prefix(nz(F.try_variant_get(vv(dd, "posted_date"), "$", "string"))),
         department=vget(dd, "department"),
-        description=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[0],
-        description_mode=_desc(raw_desc, DESC_HTML_5000, T.py_strip(raw_desc) != "")[1],
+        description=_desc(raw_desc, DESC_HTML, T.py_strip(raw_desc) != "")[0],
+        description_mode=_desc(raw_desc, DESC_HTML, T.py_strip(raw_desc) != "")[1],
     )
 
 

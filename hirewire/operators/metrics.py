@@ -5,30 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirewire.sources.landing import usable_pages
+from hirewire.sources.landing import good_answer
 
 COUNTERS = ["total_companies", "companies_succeeded", "companies_failed", "total_jobs_found", "jobs_after_filter",
             "new_jobs_stored", "duplicates_skipped", "db_errors"]
 
 
-def body_errors(usable: DataFrame) -> DataFrame:
-    """M3 input: pages whose body breaks a parser as a whole (undecodable JSON, or a non-object
-    document where an object is read) for the boards that do not guard their decode."""
+UNGUARDED = ["greenhouse", "lever", "ashby"]  # boards whose parsers don't guard the decoding of a body
+
+
+def failed_companies(landing: DataFrame) -> DataFrame:
+    """M3 input: (run_ts, platform, company_seq) of the companies of which a good list answer breaks the parser as
+    a whole: undecodable JSON, or no object where one is read. Only the three boards that don't guard
+    their decode are scanned."""
     doc = F.try_parse_json("body")
-    t = F.schema_of_variant(doc)
-    broken = (F.col("body").isNotNull() &
-              (((F.col("platform").isin("greenhouse", "ashby")) & (doc.isNull() | ~t.startswith("OBJECT")))
-               | ((F.col("platform") == "lever") & doc.isNull())))
-    return usable.where(F.col("kind") == "list").select("platform", "company_seq", broken.alias("broken"))
+    bad = doc.isNull() | ((F.col("platform") != "lever") & ~F.schema_of_variant(doc).startswith("OBJECT"))
+    lists = landing.where(F.col("platform").isin(UNGUARDED) & (F.col("kind") == "list") & good_answer())
+    return lists.where(F.coalesce(bad, F.lit(True))).select("run_ts", "platform", "company_seq").distinct()
 
 
-def company_success(companies: DataFrame, landing: DataFrame) -> DataFrame:
-    """M3: per company, failed when any of its pages broke its parser; no pages is a success."""
-    errs = body_errors(usable_pages(landing)).groupBy("platform", "company_seq") \
-        .agg(F.max(F.col("broken").cast("int")).alias("failed"))
-    c = companies.select("company_seq", F.col("ats_platform").alias("platform"))
-    return c.join(errs, ["platform", "company_seq"], "left") \
-            .select("platform", "company_seq", F.coalesce("failed", F.lit(0)).cast("boolean").alias("failed"))
+def company_success(companies: DataFrame, failed: DataFrame) -> DataFrame:
+    """M3: per company, failed when it failed in one of the runs; no pages is a success."""
+    f = failed.select(F.col("platform").alias("ats_platform"), "company_seq").distinct().withColumn("failed", F.lit(True))
+    return companies.select("company_seq", "ats_platform").join(f, ["ats_platform", "company_seq"], "left") \
+        .select(F.col("ats_platform").alias("platform"), "company_seq", F.coalesce("failed", F.lit(False)).alias("failed"))
 
 
 def run_stats(outcomes: DataFrame, success: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def run_stats(outcomes: DataFrame, success: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("jobs_after_filter"),
         F.count_if(job & (F.col("outcome") == "new")).alias("new_jobs_stored"),
         F.count_if(job & F.col("outcome").isin("duplicate", "gate_reject")).alias("duplicates_skipped"),
-        F.lit(0).cast("long").alias("db_errors"),
+        F.count_if(job & (F.col("outcome") == "db_error")).alias("db_errors"),
         F.count_if(job & ~F.col("outcome").startswith("filtered")).alias("candidates"))
 
 
@@ -64,6 +64,11 @@ def parse_counts(raw: DataFrame) -> DataFrame:
     return raw.groupBy("platform", "company_seq").agg(F.count(F.lit(1)).alias("jobs_parsed"))
 
 
+def total_stats(rows: list) -> dict:
+    """The counters of several batches, summed."""
+    return {k: sum(r[k] for r in rows) for k in COUNTERS}
+
+
 def check_health(stats_row) -> None:
     """M4/M5: fail the run on write errors with nothing stored, or on output that vanished."""
     if stats_row["db_errors"] > 0 and stats_row["new_jobs_stored"] == 0:

@@ -16,6 +16,7 @@ from hirewire.functions.text import col_
 
 # Provenance columns that fix arrival order (first-wins dedup) and lineage.
 ORDER_COLS = ["platform_rank", "company_seq", "page_no", "item_pos"]
+RUN_ORDER = ["run_ts", "platform_rank", "company_seq", "search_id", "page_no", "item_pos"]
 
 JOB_COLS = ["platform", "title", "company", "location", "url", "description", "posted_date",
             "salary_range", "company_logo", "company_url", "ats_type", "work_type", "role_category",
@@ -31,9 +32,8 @@ def classify_all(raw: DataFrame, run_ts) -> DataFrame:
     ts = _run_ts(run_ts)
     staged = C.with_country(raw.withColumn("entry_level", C.is_entry_level("title")), "location")
     fresh = D.staleness_keep("posted_date", ts)
-    loc_ok = F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull()
     outcome = (F.when(~F.col("entry_level"), F.lit("filtered_title"))
-               .when(~F.coalesce(loc_ok, F.lit(False)), F.lit("filtered_location"))
+               .when(~C.located(), F.lit("filtered_location"))
                .when(~fresh, F.lit("filtered_stale"))
                .otherwise(F.lit("candidate")))
     staged = staged.withColumn("outcome", outcome)
@@ -49,7 +49,7 @@ def process_jobs(raw: DataFrame, run_ts, keep=()) -> DataFrame:
     """the survivors, projected to the 15 stored columns (+ ``keep`` passthrough columns)."""
     ts = _run_ts(run_ts)
     kept = C.with_country(raw.filter(C.is_entry_level("title")), "location")
-    kept = (kept.filter(F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull())
+    kept = (kept.filter(C.located())
                 .filter(D.staleness_keep("posted_date", ts)))
     kept = C.with_role_category(kept, "title", "department", "role_category")
     return kept.select(

@@ -7,9 +7,10 @@ same rows instead of adding more; the new-only anti-join excludes the current ba
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from hirewire.functions import dims
 from hirewire.functions.domains import with_resolved_logo
@@ -18,6 +19,16 @@ STORED_COLS = ["platform", "title", "company", "location", "url", "description",
                "company_logo", "company_domain", "company_url", "ats_type", "source_platform", "work_type",
                "role_category", "country", "experience_level"]
 EVOLVED_COLS = {"company_domain": "", "company_url": ""}
+_TYPES = {"posted_date": "timestamp_ntz"}
+_DEFAULT_TYPES = {k: "timestamp_ntz" if k == "last_viewed_at" else "int" if v is None or isinstance(v, int) else "string"
+                  for k, v in dims.SINK_DEFAULTS.items()}
+STORED_SCHEMA = ", ".join([f"{c} {_TYPES.get(c, 'string')}" for c in STORED_COLS] + [f"{c} {t}" for c, t in _DEFAULT_TYPES.items()]
+                          + ["scraped_at timestamp_ntz", "batch_id string"])
+
+
+def unstorable(cols) -> Column:
+    """A row the database rejects: a text with a NUL character."""
+    return F.coalesce(reduce(lambda a, b: a | b, [F.col(c).contains("\x00") for c in cols]), F.lit(False))
 
 
 def enrich(new_rows: DataFrame) -> DataFrame:
@@ -35,11 +46,7 @@ def to_stored(df: DataFrame, run_ts, batch_id: str) -> DataFrame:
     cols = [F.col(c) for c in STORED_COLS if c != "source_platform"] + [F.lit("ats").alias("source_platform")]
     defaults = []
     for k, v in dims.SINK_DEFAULTS.items():
-        if v is None:
-            typ = "timestamp_ntz" if k == "last_viewed_at" else "int"
-            defaults.append(F.lit(None).cast(typ).alias(k))
-        else:
-            defaults.append(F.lit(v).alias(k))
+        defaults.append(F.lit(v).cast(_DEFAULT_TYPES[k]).alias(k))
     return df.select(*cols, *defaults, ts.alias("scraped_at"), F.lit(batch_id).alias("batch_id"))
 
 
@@ -49,13 +56,19 @@ def append(df: DataFrame, path: str) -> None:
        .partitionBy("batch_id").parquet(path))
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """K6 on read: merge schemas across batches and add the evolved columns ('' when absent)."""
-    try:
-        df = spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table's folder is there, asked of its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_target(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """K6 on read: None for a table that isn't there yet; any other failure is raised, as taking it for an empty
+    table would store every URL again. The schema is fixed (``STORED_SCHEMA`` unless given): columns that
+    older batches lack come back as NULL, so no footers are merged, and ``conform`` fills them in."""
+    if not exists(spark, path):
         return None
-    return conform(df)
+    return conform(spark.read.schema(schema or STORED_SCHEMA).parquet(path))
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -9,19 +9,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a narrow input across the cores before CPU-heavy per-row work.
-
-    Only when the scan yields fewer splits than the cluster has cores (small or
-    unsplittable files); a large input keeps its scan partitioning and pays no shuffle.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 _WRITTEN: dict = {}
 
 

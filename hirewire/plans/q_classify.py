@@ -9,14 +9,13 @@ from hirewire.functions import classify as C
 from hirewire.functions import dates as D
 from hirewire.operators.process import classify_all, process_jobs
 from hirewire.plans import sqlgen as S
-from hirewire.plans.common import spread
 from hirewire.sources import fixtures as X
 
 P = X.postings_sql()
 
 
 def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(X.postings(spark, sf_dir))
+    return X.postings(spark, sf_dir)
 
 
 def flagship(spark, sf_dir):
@@ -65,17 +64,14 @@ C3_SQL = f"WITH {P} SELECT posting_id, {S.work_type('location')} AS work_type FR
 
 
 def c4_country(spark, sf_dir):
-    p = _postings(spark, sf_dir)
-    return p.select("posting_id", "location", C.country("location").alias("country"))
+    return C.with_country(_postings(spark, sf_dir), "location").select("posting_id", "location", "country")
 
 
 C4_SQL = f"WITH {P} SELECT posting_id, location, {S.country('location')} AS country FROM postings"
 
 
 def c5_location_filter(spark, sf_dir):
-    p = _postings(spark, sf_dir).withColumn("country", C.country("location"))
-    kept = p.filter(F.col("location").isNotNull() & (F.col("location") != "") & F.col("country").isNotNull())
-    return kept.select("posting_id", "country", C.work_type("location").alias("work_type"))
+    return C.with_country(_postings(spark, sf_dir), "location").where(C.located()).select("posting_id", "country", C.work_type("location").alias("work_type"))
 
 
 C5_SQL = f"""WITH {P}, c AS (SELECT *, {S.country('location')} AS country FROM postings)
@@ -84,8 +80,7 @@ WHERE location IS NOT NULL AND location <> '' AND country IS NOT NULL"""
 
 
 def c6_role_category(spark, sf_dir):
-    p = _postings(spark, sf_dir)
-    return p.select("posting_id", C.role_category("title", "department").alias("role_category"))
+    return C.with_role_category(_postings(spark, sf_dir), "title", "department").select("posting_id", "role_category")
 
 
 C6_SQL = f"WITH {P} SELECT posting_id, {S.role_category('title', 'department')} AS role_category FROM postings"

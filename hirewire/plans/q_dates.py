@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from hirewire.functions import dates as D
 from hirewire.functions.sqlexpr import pick
 from hirewire.functions.text import variant_truthy
-from hirewire.plans.common import spread, table
+from hirewire.plans.common import table
 from hirewire.sources import fixtures as X
-from hirewire.sources.fixtures import sql_list
 
 ISO_SUFFIXES = ["Z", "-05:00", "+02:30", "", ".123456Z", " junk", ".5+0100"]
 # FIXED VALUES: English month names as strptime's %b / %B read them.
@@ -19,7 +18,7 @@ MONTHS = ["January", "February", "March", "April", "May", "June", "July", "Augus
 
 
 def _events(spark, sf_dir):
-    return spread(table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts")))
+    return table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 _ISO_FMT_SPARK = "yyyy-MM-dd'T'HH:mm:ss"
@@ -71,8 +70,8 @@ FROM events"""
 
 
 def _orders(spark, sf_dir):
-    return spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("d")))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("d"))
 
 
 def d4_iso_or_prefix(spark, sf_dir):

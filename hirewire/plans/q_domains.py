@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hirewire.functions import domains as L
 from hirewire.functions import urls as U
 from hirewire.plans import sqlgen as S
-from hirewire.plans.common import spread, table
+from hirewire.plans.common import table
 from hirewire.sources import fixtures as X
 
 P = X.postings_sql()
@@ -20,7 +20,7 @@ def _url_inputs(spark, sf_dir) -> DataFrame:
                                                    F.col("url"))
     posts = X.postings(spark, sf_dir).select(F.lit("posting").alias("source"), F.col("posting_id").alias("id"),
                                               F.col("company_url").alias("url"))
-    return spread(pages.unionByName(posts))
+    return pages.unionByName(posts)
 
 
 _URL_INPUTS_SQL = (f"{P},\nurl_inputs AS (SELECT 'page' AS source, page_id AS id, url FROM pages "
@@ -33,7 +33,7 @@ def _name_inputs(spark, sf_dir) -> DataFrame:
                                                   F.col("p_name").alias("name"))
     posts = X.postings(spark, sf_dir).select(F.lit("posting").alias("source"), F.col("posting_id").alias("id"),
                                               F.col("company").alias("name"))
-    return spread(parts.unionByName(posts))
+    return parts.unionByName(posts)
 
 
 _NAME_INPUTS_SQL = (f"{P},\nname_inputs AS (SELECT 'part' AS source, p_partkey AS id, p_name AS name FROM part "
@@ -50,7 +50,7 @@ def _l1_sql() -> str:
 
 
 def l2_registrable(spark, sf_dir):
-    pages = U.with_url_parts(spread(table(spark, sf_dir, "pages").select("page_id", "url")), "url", "_")
+    pages = U.with_url_parts(table(spark, sf_dir, "pages").select("page_id", "url"), "url", "_")
     host = pages.select("page_id", L.hostname(F.col("_netloc")).alias("host"))
     return host.select("page_id", "host", L.registrable("host").alias("registrable"))
 
@@ -84,7 +84,7 @@ L5_SQL = f"WITH {_NAME_INPUTS_SQL} SELECT source, id, {S.domain_from_name('name'
 
 
 def l6_resolve_domain(spark, sf_dir):
-    p = spread(X.postings(spark, sf_dir))
+    p = X.postings(spark, sf_dir)
     r = L.with_resolved_logo(p, "company", "company_url", "company_logo", "_logo", "domain")
     return r.select("posting_id", F.when(F.col("domain") != "", F.col("domain")).alias("domain"))
 
@@ -102,7 +102,7 @@ def _l6_sql() -> str:
 
 
 def l7_resolve_logo(spark, sf_dir):
-    p = spread(X.postings(spark, sf_dir))
+    p = X.postings(spark, sf_dir)
     r = L.with_resolved_logo(p, "company", "company_url", "company_logo", "logo", "domain")
     return r.select("posting_id", "logo", "domain")
 

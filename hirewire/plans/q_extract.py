@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from hirewire.functions import dims
 from hirewire.plans import sqlgen as S
 from hirewire.plans.common import written_table
-from hirewire.plans.run import drop_failed_companies, join_companies, platform_raw_jobs, search_raw_jobs
+from hirewire.operators.extract import finish_descriptions
+from hirewire.operators.metrics import failed_companies
+from hirewire.plans.run import board_pages, drop_failed_companies, platform_raw_jobs, raw_jobs, search_raw_jobs
 from hirewire.sources import fixtures as X
 from hirewire.sources import fixtures_landing as FL
 from hirewire.sources import landing as LD
 from hirewire.sources.fixtures import sql_list, sql_str
 
-OUT = ["company_seq", "item_key", "title", "company", "location", "url", "posted_date", "department", "company_url",
-       "company_logo"]
+OUT = ["run_ts", "company_seq", "item_key", "title", "company", "location", "url", "posted_date", "department", "company_url",
+       "company_logo", "description", "salary_range", "employment_type"]
 
 
 def landing_table(spark, sf_dir):
@@ -34,15 +36,16 @@ def companies_table(spark, sf_dir):
 def _platform_query(platform: str):
     def q(spark, sf_dir):
         land = landing_table(spark, sf_dir).where(F.col("platform") == platform)
-        usable = LD.usable_pages(LD.co_partition(land))
-        pages = join_companies(usable, companies_table(spark, sf_dir))
-        pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
-        return drop_failed_companies(platform_raw_jobs(pages, platform), usable, platform).select(*OUT)
+        jobs = platform_raw_jobs(board_pages(land, companies_table(spark, sf_dir)), platform)
+        return finish_descriptions(drop_failed_companies(jobs, failed_companies(land), platform)).select(*OUT)
     q.__name__ = f"extract_{platform}"
-    q.__doc__ = f"Parse the landed {platform} payloads into raw jobs."
+    q.__doc__ = f"Parse the landed {platform} payloads of all runs into raw jobs."
     return q
 
 
+# Both landed runs; the second one has some companies again, with items that the first one lacks.
+_RUNS = f"(VALUES (1, TIMESTAMP '{X.RUN_TS}'), (2, TIMESTAMP '{FL.SECOND_RUN}')) r(run, run_ts)"
+_LANDED = (f"(CASE WHEN (posting_id % {FL.N_COMPANIES}) % 11 <> 0 THEN run = 1 WHEN posting_id % 5 = 4 THEN run = 2 ELSE TRUE END)")
 _BASE = f"""{X.postings_sql()},
 it AS (
   SELECT posting_id AS e, platform, title, location, department, posted_date,
@@ -53,18 +56,25 @@ it AS (
               THEN 'https://www.co' || CAST(posting_id % {FL.N_COMPANIES} AS VARCHAR) || '.com' ELSE '' END AS reg_url,
          CASE WHEN (posting_id % {FL.N_COMPANIES}) % 3 = 0
               THEN 'https://logo.clearbit.com/co' || CAST(posting_id % {FL.N_COMPANIES} AS VARCHAR) || '.com' ELSE '' END
-           AS reg_logo
-  FROM postings WHERE (posting_id % {FL.N_COMPANIES}) % 43 <> 0)"""
+           AS reg_logo,
+         '<p>' || coalesce(title, '') || ' &amp; team</p><ul>'
+           || repeat('<li>Ship it</li>', CASE WHEN posting_id % 50 = 0 THEN 400 ELSE 1 END) || '</ul>' AS html,
+         run_ts
+  FROM postings, {_RUNS} WHERE (posting_id % {FL.N_COMPANIES}) % 43 <> 0 AND {_LANDED})"""
+
+
+_TEXT = S.strip_tags_nl(S.unescape4("html"))
 
 
 def _sel(platform: str, item_key: str, title: str, location: str, url: str, posted: str, department: str,
-         company_url: str = "reg_url", where: str = "TRUE", with_base: bool = True,
-         page_sql: str = "0", pos_sql: str = "idx", platform_rank_sql: str = "0") -> str:
-    return (f"WITH {_BASE}\n" if with_base else "") + (f"SELECT CAST(k AS BIGINT) AS company_seq, {item_key} AS item_key, {title} AS title, "
-            f"company, {location} AS location, {url} AS url, {posted} AS posted_date, {department} AS department, "
-            f"{company_url} AS company_url, reg_logo AS company_logo, {platform_rank_sql} AS platform_rank, "
-            f"{page_sql} AS page_no, {pos_sql} AS item_pos, CAST(e AS BIGINT) AS e, {sql_str(platform)} AS platform"
-            f"\nFROM it WHERE platform = {sql_str(platform)} AND ({where})")
+         company_url: str = "reg_url", where: str = "TRUE", with_base: bool = True, description: str = "''",
+         salary: str = "''", employment: str = "CAST(NULL AS VARCHAR)") -> str:
+    return (f"WITH {_BASE}\n" if with_base else "") + (
+        f"SELECT run_ts, CAST(k AS BIGINT) AS company_seq, {item_key} AS item_key, {title} AS title, company, {location} AS location, "
+        f"{url} AS url, {posted} AS posted_date, {department} AS department, {company_url} AS company_url, reg_logo AS company_logo, "
+        f"{description} AS description, {salary} AS salary_range, {employment} AS employment_type, 0 AS platform_rank, 0 AS page_no, "
+        f"idx AS item_pos, CAST(e AS BIGINT) AS e, {sql_str(platform)} AS platform"
+        f"\nFROM it WHERE platform = {sql_str(platform)} AND ({where})")
 
 
 TRUTHY_TITLE = "title IS NOT NULL AND title <> ''"
@@ -74,13 +84,18 @@ KS = "CAST(k AS VARCHAR)"
 SQL = {
     "greenhouse": _sel("greenhouse", "pid", "title", "coalesce(location, '')",
                        f"'https://boards.greenhouse.io/b' || {KS} || '/jobs/' || pid",
-                       "date_trunc('second', posted_date)", "coalesce(department, '')", "''", TRUTHY_NOT_FAILED),
+                       "date_trunc('second', posted_date)", "coalesce(department, '')", "''", f"{TRUTHY_NOT_FAILED} AND e % 30 <> 7",
+                       description=S.strip_tags_nl(S.unescape4("(html || CASE WHEN e % 6 = 1 THEN '<p>$90,000 - $120,000</p>' ELSE '' END)")),
+                       salary="CASE WHEN e % 6 = 0 THEN '$10 to $20' WHEN e % 6 = 1 THEN '$90,000 - $120,000' ELSE '' END"),
     "lever": _sel("lever", f"'https://jobs.lever.co/b' || {KS} || '/' || pid", "title", "coalesce(location, '')",
                   f"'https://jobs.lever.co/b' || {KS} || '/' || pid", "date_trunc('millisecond', posted_date)",
-                  "coalesce(nullif(department, ''), '')", "''", TRUTHY_NOT_FAILED),
+                  "coalesce(nullif(department, ''), '')", "''", TRUTHY_NOT_FAILED, description=S.strip_re(S.unescape4("title")),
+                  salary="CASE WHEN e % 4 = 0 THEN '$50/hr' ELSE '' END", employment="'Full-time'"),
     "ashby": _sel("ashby", f"'https://jobs.ashbyhq.com/b' || {KS} || '/' || pid", "title", "coalesce(location, '')",
                   f"'https://jobs.ashbyhq.com/b' || {KS} || '/' || pid", "date_trunc('second', posted_date)",
-                  "coalesce(department, '')", "''", TRUTHY_NOT_FAILED),
+                  "coalesce(department, '')", "''", TRUTHY_NOT_FAILED,
+                  description=f"CASE WHEN e % 3 <> 0 THEN {_TEXT} ELSE {S.strip_re(S.unescape4(chr(40) + chr(39) + ' plain ' + chr(39) + ' || title)'))} END",
+                  employment="CASE WHEN e % 2 = 0 THEN 'FullTime' ELSE '' END"),
 }
 
 _WD_CITY = f"list_extract({sql_list(FL.WORKDAY_CITIES)}, (e % {len(FL.WORKDAY_CITIES)}) + 1)"
@@ -90,8 +105,8 @@ SQL["workday"] = _sel(
     f"CASE WHEN e % 3 = 0 THEN {_WD_CITY_SP} || ' (2 Locations)' WHEN coalesce(location, '') = '' THEN {_WD_CITY_SP} "
     f"ELSE location END",
     f"'https://acme' || {KS} || '.wd5.myworkdayjobs.com/External/job/' || {_WD_CITY} || '/Role_R' || pid",
-    f"TIMESTAMP '{X.RUN_TS}' - to_days(CAST(e % 40 AS INTEGER))", "CAST(NULL AS VARCHAR)", "reg_url",
-    f"{TRUTHY_TITLE} AND k % 29 <> 0 AND NOT (k % 5 = 0 AND idx >= 20)")
+    "run_ts - to_days(CAST(e % 40 AS INTEGER))", "CAST(NULL AS VARCHAR)", "reg_url",
+    f"{TRUTHY_TITLE} AND k % 29 <> 0")
 SQL["oracle"] = _sel(
     "oracle", "pid", "title",
     "CASE WHEN e % 5 = 0 THEN CASE WHEN coalesce(location, '') <> '' THEN location || ' (+1 more)' ELSE 'Toronto' END "
@@ -99,14 +114,16 @@ SQL["oracle"] = _sel(
     f"CASE WHEN k % 2 = 0 THEN 'https://jobs.co' || {KS} || '.com/en/sites/CX_1/job/' || pid "
     f"ELSE 'https://fa' || {KS} || '.oraclecloud.com/hcmUI/CandidateExperience/en/sites/CX_1/job/' || pid END",
     "date_trunc('day', posted_date)", "coalesce(nullif(department, ''), '')", "reg_url",
-    f"{TRUTHY_TITLE} AND (e % 3 <> 2 OR e % 5 = 0)")
+    f"{TRUTHY_TITLE} AND (e % 3 <> 2 OR e % 5 = 0)", description=S.strip_tags_nl(S.unescape4("(html || chr(10) || '<p>Degree</p>')")))
 _NA = " OR ".join(f"contains(lower(coalesce(location, '')), {sql_str(m)})" for m in dims.EIGHTFOLD_NA_MARKERS)
 SQL["eightfold"] = _sel(
     "eightfold", "pid", "title", "coalesce(location, '')",
     f"'https://s' || {KS} || '.eightfold.ai/careers/job/' || pid", "date_trunc('second', posted_date)",
-    "department", "reg_url", f"{TRUTHY_TITLE} AND ({_NA})")
+    "department", "reg_url", f"{TRUTHY_TITLE} AND ({_NA})", description=_TEXT)
+_NO_BRACKETS = "regexp_replace(coalesce(location, ''), '[\\[\\]\"]', '', 'g')"
 SQL["taleo"] = _sel(
-    "taleo", "pid", f"CASE WHEN title IS NULL THEN 'None' ELSE {S.strip_re('title')} END", "coalesce(location, '')",
+    "taleo", "pid", f"CASE WHEN title IS NULL THEN 'None' ELSE {S.strip_re('title')} END",
+    f"CASE WHEN e % 7 = 1 THEN {S.strip_re(_NO_BRACKETS)} ELSE coalesce(location, '') END",
     f"'https://co' || {KS} || '.taleo.net/careersection/2/jobdetail.ftl?job=' || pid || '&lang=en'",
     "date_trunc('day', posted_date)", "CAST(NULL AS VARCHAR)", "reg_url",
     f"title IS NULL OR {S.strip_re('title')} <> ''")
@@ -125,22 +142,24 @@ SQL["successfactors"] = (
 SQL["phenom"] = _sel(
     "phenom", "'JS' || pid", S.strip_re("title"), "coalesce(nullif(location, ''), '')",
     f"'https://careers.co' || {KS} || '.com/job/JS' || pid", "date_trunc('second', posted_date)",
-    "coalesce(department, '')", "reg_url", TRUTHY_TITLE)
+    "coalesce(department, '')", "reg_url", TRUTHY_TITLE, description=S.collapse_ws("('  ' || coalesce(title, '') || chr(10) || '  team ')"))
 _SUB = lambda pre: f"CASE WHEN k % 2 = 0 THEN '{pre}' || {KS} ELSE 'b' || {KS} END"
 SQL["bamboohr"] = _sel(
     "bamboohr", "pid", S.strip_re("title"),
-    "CASE WHEN coalesce(location, '') <> '' THEN location WHEN e % 4 = 0 THEN 'Remote' ELSE 'Hybrid' END",
+    "CASE WHEN e % 3 = 0 THEN coalesce(nullif(location, '') || ', ON', 'ON') WHEN coalesce(location, '') <> '' THEN location "
+    "WHEN e % 4 = 0 THEN 'Remote' ELSE 'Hybrid' END",
     f"'https://' || {_SUB('bhr')} || '.bamboohr.com/careers/' || pid", "CAST(NULL AS TIMESTAMP)",
-    "coalesce(department, '')", "reg_url", TRUTHY_TITLE)
+    "coalesce(department, '')", "reg_url", TRUTHY_TITLE, description=_TEXT)
 _BZ_URL = f"CASE WHEN e % 2 = 0 THEN 'https://x.breezy.hr/p/' || pid ELSE 'https://' || {_SUB('bz')} || '.breezy.hr/p/' || pid END"
 SQL["breezy"] = _sel(
-    "breezy", _BZ_URL, S.strip_re("title"), "coalesce(nullif(location, ''), '')", _BZ_URL,
-    "date_trunc('second', posted_date)", "coalesce(nullif(department, ''), '')", "reg_url", TRUTHY_TITLE)
+    "breezy", _BZ_URL, S.strip_re("title"),
+    "CASE WHEN e % 5 = 0 THEN coalesce(nullif(location, '') || ', Canada', 'Canada') ELSE coalesce(nullif(location, ''), '') END", _BZ_URL,
+    "date_trunc('second', posted_date)", "coalesce(nullif(department, ''), '')", "reg_url", TRUTHY_TITLE, description=_TEXT)
 SQL["recruitee"] = _sel(
     "recruitee", "'https://co.recruitee.com/o/s' || pid", S.strip_re("title"),
     "CASE WHEN e % 3 <> 0 AND coalesce(location, '') <> '' THEN location ELSE 'Toronto, Canada' END",
     "'https://co.recruitee.com/o/s' || pid", "date_trunc('day', posted_date)", "coalesce(department, '')", "reg_url",
-    TRUTHY_TITLE)
+    TRUTHY_TITLE, description=_TEXT)
 _JV_LOC = S.strip_re(f"regexp_replace({S.strip_re(chr(40) + 'coalesce(location, ' + chr(39) + chr(39) + ') || ' + chr(39) + ', ' + chr(39) + chr(41))}, '^,+|,+$', '', 'g')")
 SQL["jobvite"] = _sel(
     "jobvite", "'/co/job/' || pid", S.strip_re("coalesce(title, '')"), _JV_LOC,
@@ -149,7 +168,7 @@ SQL["jobvite"] = _sel(
 SQL["talentplatform"] = _sel(
     "talentplatform", "'tp' || pid", S.strip_re("title"), "coalesce(nullif(location, ''), '')",
     f"'https://join.co' || {KS} || '.com/jobs/tp' || pid", "date_trunc('second', posted_date)",
-    "coalesce(department, '')", "reg_url", TRUTHY_TITLE)
+    "coalesce(department, '')", "reg_url", TRUTHY_TITLE, description=_TEXT)
 
 
 def p16_search_results(spark, sf_dir):
@@ -201,7 +220,6 @@ QUERIES["P16_search_results"] = (p16_search_results, P16_SQL)
 
 def s7_platform_dispatch(spark, sf_dir):
     """Raw jobs per platform after dispatching every landed page to its parser (search site included)."""
-    from hirewire.plans.run import raw_jobs
     rj = raw_jobs(landing_table(spark, sf_dir), companies_table(spark, sf_dir))
     return rj.groupBy("platform").agg(F.count(F.lit(1)).alias("raw_jobs"))
 
@@ -214,27 +232,29 @@ def _s7_sql() -> str:
 
 
 def s8_response_status_filter(spark, sf_dir):
-    """One outcome per landed list request: usable or not (404s and exhausted retries are not)."""
-    land = landing_table(spark, sf_dir).where(F.col("kind") != "detail")
-    u = LD.usable_pages(LD.co_partition(land.where(F.col("platform") != dims.SEARCH_PLATFORM)))
-    return u.select("platform", "company_seq", "kind", "page_no", "ok")
+    """One outcome per request of every run (lists, details and searches): usable or not."""
+    return LD.request_outcomes(landing_table(spark, sf_dir))
+
+
+_RMK = "(platform = 'successfactors' AND k % 3 = 0)"
+_PAGE = (f"CAST(CASE WHEN {_RMK} THEN idx // {FL.PAGE_SIZE['rmk']} ELSE idx // (CASE "
+         + " ".join(f"WHEN platform = {sql_str(p)} THEN {n}" for p, n in FL.PAGE_SIZE.items() if p != "rmk") + f" ELSE {FL.CHUNK} END) + (CASE "
+         + " ".join(f"WHEN platform = {sql_str(p)} THEN {v}" for p, v in FL.FIRST_PAGE.items())
+         + f" ELSE 0 END) END + CASE WHEN k % 19 = 0 THEN {FL.PAGE_SHIFT} ELSE 0 END AS INTEGER)")
 
 
 def _s8_sql() -> str:
-    size = "CASE " + " ".join(f"WHEN platform = {sql_str(p)} THEN {FL.PAGE_SIZE.get(p, FL.CHUNK)}"
-                              for p in dims.PLATFORMS) + f" ELSE {FL.CHUNK} END"
-    first = "CASE " + " ".join(f"WHEN platform = {sql_str(p)} THEN {v}" for p, v in FL.FIRST_PAGE.items()) + " ELSE 0 END"
-    rmk = "(platform = 'successfactors' AND k % 3 = 0)"
+    cols = "platform, CAST(k AS BIGINT) AS company_seq, 0 AS search_id"
     return f"""WITH {X.postings_sql()},
-it AS (SELECT platform, posting_id % {FL.N_COMPANIES} AS k, posting_id // {FL.N_COMPANIES} AS idx FROM postings)
-SELECT DISTINCT platform, CAST(k AS BIGINT) AS company_seq,
-       CASE WHEN {rmk} OR platform = 'jobvite' THEN 'html_list' ELSE 'list' END AS kind,
-       CAST(CASE WHEN {rmk} THEN idx // {FL.PAGE_SIZE['rmk']} ELSE idx // ({size}) + ({first}) END AS INTEGER) AS page_no,
-       k % 43 <> 0 AS ok
-FROM it
-UNION
-SELECT DISTINCT platform, CAST(k AS BIGINT), 'list', {FL.BROKEN_PAGE}, k % 43 <> 0 FROM it
-WHERE platform IN ('greenhouse', 'lever', 'ashby') AND k % {FL.BROKEN_MOD} = 0"""
+it AS (SELECT run_ts, run, platform, posting_id AS e, posting_id % {FL.N_COMPANIES} AS k, posting_id // {FL.N_COMPANIES} AS idx
+       FROM postings, {_RUNS} WHERE {_LANDED})
+SELECT DISTINCT run_ts, {cols}, CASE WHEN {_RMK} OR platform = 'jobvite' THEN 'html_list' ELSE 'list' END AS kind, {_PAGE} AS page_no,
+       '' AS item_key, k % 43 <> 0 AS ok FROM it
+UNION ALL SELECT run_ts, {cols}, 'detail', 0, CAST(e AS VARCHAR), k % 43 <> 0 FROM it WHERE platform IN ('oracle', 'eightfold', 'bamboohr')
+UNION ALL SELECT DISTINCT r.run_ts, {cols}, 'list', {FL.BROKEN_PAGE}, '', k % 43 <> 0 FROM it, {_RUNS}
+  WHERE platform IN ('greenhouse', 'lever', 'ashby') AND k % {FL.BROKEN_MOD} = 0 AND (r.run = 1 OR k % 11 = 0)
+UNION ALL SELECT DISTINCT TIMESTAMP '{X.RUN_TS}', 'linkedin', CAST(0 AS BIGINT), CAST(posting_id // {FL.SEARCH_CARDS} AS INTEGER), 'html_list', 0, '', TRUE
+  FROM postings"""
 
 
 def s9_company_config_gate(spark, sf_dir):
@@ -249,58 +269,40 @@ S9_SQL = (f"SELECT DISTINCT CAST(event_id % {FL.N_COMPANIES} AS BIGINT) AS compa
           f"FROM events")
 
 
-def s11_detail_join_cap(spark, sf_dir):
-    """Descriptions attached from detail payloads, only for the first N items of a company."""
-    from hirewire.plans.run import join_companies, platform_raw_jobs
-    land = landing_table(spark, sf_dir).where(F.col("platform").isin(*sorted(dims.DETAIL_CAPS)))
-    pages = join_companies(LD.usable_pages(LD.co_partition(land)), companies_table(spark, sf_dir))
-    frames = [platform_raw_jobs(pages, p).withColumn("platform", F.lit(p)) for p in sorted(dims.DETAIL_CAPS)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    from hirewire.operators.extract import finish_descriptions
-    return finish_descriptions(out).select("platform", "item_key", "description")
+WITH_DETAILS = ["bamboohr", "eightfold", "oracle"]
 
 
-def _s11_sql() -> str:
-    html = "('<p>' || coalesce(title, '') || ' &amp; team</p><ul><li>Ship it</li></ul>')"
-    text = lambda h: S.strip_tags_nl(S.unescape4(h))
-    desc = {"oracle": S.truncate_ellipsis(text(f"({html} || chr(10) || '<p>Degree</p>')"), 5000),
-            "eightfold": S.truncate_ellipsis(text(html), 5000),
-            "bamboohr": f"substr({text(html)}, 1, 5000)"}
-    parts = []
-    for p in sorted(dims.DETAIL_CAPS):
-        base = SQL[p].replace(f"WITH {_BASE}\n", "", 1)
-        parts.append(f"SELECT '{p}' AS platform, item_key, CASE WHEN row_number() OVER (PARTITION BY company_seq "
-                     f"ORDER BY page_no, item_pos) <= {dims.DETAIL_CAPS[p]} THEN {desc[p]} ELSE '' END AS description "
-                     f"FROM ({base.replace('SELECT CAST(k AS BIGINT) AS company_seq,', 'SELECT title AS title_raw_, CAST(k AS BIGINT) AS company_seq,')}) "
-                     f"x")
-    sql = "WITH " + _BASE.replace("WITH ", "") + "\n" + "\nUNION ALL\n".join(parts)
-    return sql.replace("coalesce(title, '')", "coalesce(title_raw_, '')")
+def s11_detail_join(spark, sf_dir):
+    """Descriptions attached from the detail payloads of the same run, for every item that has one."""
+    land = landing_table(spark, sf_dir).where(F.col("platform").isin(*WITH_DETAILS))
+    pages = board_pages(land, companies_table(spark, sf_dir))
+    jobs = LD.union_platforms([platform_raw_jobs(pages, p) for p in WITH_DETAILS])
+    return finish_descriptions(jobs).select("run_ts", "platform", "item_key", "description")
 
 
-QUERIES.update({
-    "S7_platform_dispatch": (s7_platform_dispatch, _s7_sql()),
-    "S8_response_status_filter": (s8_response_status_filter, _s8_sql()),
-    "S9_company_config_gate": (s9_company_config_gate, S9_SQL),
-    "S11_detail_join_cap": (s11_detail_join_cap, _s11_sql()),
-})
+def _s11_sql() -> str:
+    parts = [f"SELECT run_ts, platform, item_key, description FROM ({SQL[p].replace(f'WITH {_BASE}' + chr(10), '', 1)})" for p in WITH_DETAILS]
+    return "WITH " + _BASE + "\n" + "\nUNION ALL\n".join(parts)
 
 
-def s10_page_prefix(spark, sf_dir):
-    """Workday pages kept by the page loop (the stop rule, page cap, and missing-page cut)."""
-    from hirewire.operators.extract import workday_pages
+def s10_landed_pages(spark, sf_dir):
+    """All landed workday pages and their postings: no stop rule, gap or page number leaves any out."""
+    doc = F.try_parse_json("body")
     land = landing_table(spark, sf_dir).where(F.col("platform") == "workday")
-    kept = workday_pages(LD.usable_pages(LD.co_partition(land)))
-    return kept.select("company_seq", "page_no",
-                       F.size(F.try_variant_get("doc", "$.jobPostings", "array<variant>")).alias("n_items"))
+    return LD.usable_pages(land).select("run_ts", "company_seq", "page_no",
+                                        F.size(F.try_variant_get(doc, "$.jobPostings", "array<variant>")).alias("n_items"))
 
 
 S10_SQL = f"""WITH {X.postings_sql()},
-it AS (SELECT posting_id % {FL.N_COMPANIES} AS k, (posting_id // {FL.N_COMPANIES}) // {FL.PAGE_SIZE['workday']} AS page
-       FROM postings WHERE platform = 'workday')
-SELECT CAST(k AS BIGINT) AS company_seq, CAST(page AS INTEGER) AS page_no, CAST(count(*) AS INTEGER) AS n_items
-FROM it WHERE k % 43 <> 0 AND NOT (k % 5 = 0 AND page > 0) AND page < {dims.PAGE_POLICY['workday'][1]}
-GROUP BY ALL"""
+it AS (SELECT run_ts, platform, posting_id % {FL.N_COMPANIES} AS k, posting_id // {FL.N_COMPANIES} AS idx
+       FROM postings, {_RUNS} WHERE platform = 'workday' AND {_LANDED})
+SELECT run_ts, CAST(k AS BIGINT) AS company_seq, {_PAGE} AS page_no, CAST(count(*) AS INTEGER) AS n_items
+FROM it WHERE k % 43 <> 0 GROUP BY ALL"""
 
-QUERIES["S10_page_prefix"] = (s10_page_prefix, S10_SQL)
+QUERIES.update({
+    "S7_platform_dispatch": (s7_platform_dispatch, _s7_sql()),
+    "S8_response_status_filter": (s8_response_status_filter, _s8_sql()),
+    "S9_company_config_gate": (s9_company_config_gate, S9_SQL),
+    "S10_landed_pages": (s10_landed_pages, S10_SQL),
+    "S11_detail_join": (s11_detail_join, _s11_sql()),
+})

@@ -16,7 +16,7 @@ def _entries(spark, sf_dir):
 _ENABLED_KEEP = [0, 1, 3, 9, 10]  # s_suppkey % 11 values whose 'enabled' is absent or truthy
 _SUP = f"""sup AS (
   SELECT s_suppkey, s_name,
-         (s_suppkey // {X.REGISTRY_DOC_SIZE}) * {R.SEQ_STRIDE}
+         (s_suppkey // {X.REGISTRY_DOC_SIZE}) * 4294967296
            + row_number() OVER (PARTITION BY s_suppkey // {X.REGISTRY_DOC_SIZE} ORDER BY s_suppkey) - 1 AS company_seq,
          list_extract({sql_list(X.REGISTRY_PLATFORMS)}, (s_suppkey % {len(X.REGISTRY_PLATFORMS)}) + 1) AS ats_platform,
          CASE WHEN s_suppkey % 19 = 0 OR s_suppkey % 23 = 0 THEN NULL ELSE 'slug' || s_suppkey END AS board_slug,

@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from hirewire.functions import text as T
 from hirewire.plans import sqlgen as S
-from hirewire.plans.common import spread, table
+from hirewire.plans.common import table
 
 _TITLE_RE = r"(?s)<title>(.*?)</title>"
-_H1_RE = r"(?s)<h1>(.*?)</h1>"
 
 
 def _pages(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
 def t1_html_unescape(spark, sf_dir):
@@ -33,39 +32,39 @@ T2_SQL = f"SELECT page_id, {S.strip_tags_nl('html')} AS text FROM pages"
 
 def t3_truncate_ellipsis(spark, sf_dir):
     p = _pages(spark, sf_dir).select("page_id", T.html_to_text("html").alias("t"))
-    return p.select("page_id", T.truncate_ellipsis("t", 3000).alias("description"))
+    return p.select("page_id", F.col("t").alias("text"), T.truncate_ellipsis("t", 3000).alias("teaser"))
 
 
-T3_SQL = (f"SELECT page_id, {S.truncate_ellipsis('t', 3000)} AS description FROM "
+T3_SQL = (f"SELECT page_id, t AS text, {S.truncate_ellipsis('t', 3000)} AS teaser FROM "
           f"(SELECT page_id, {S.strip_tags_nl(S.unescape4('html'))} AS t FROM pages)")
 
 
 def t4_truncate_plain(spark, sf_dir):
     p = _pages(spark, sf_dir).select("page_id", T.html_to_text("html").alias("t"))
-    return p.select("page_id", T.truncate_plain("t", 5000).alias("description"))
+    return p.select("page_id", F.col("t").alias("text"), T.truncate_plain("t", 5000).alias("teaser"))
 
 
-T4_SQL = f"SELECT page_id, substr({S.strip_tags_nl(S.unescape4('html'))}, 1, 5000) AS description FROM pages"
+T4_SQL = f"SELECT page_id, t AS text, substr(t, 1, 5000) AS teaser FROM (SELECT page_id, {S.strip_tags_nl(S.unescape4('html'))} AS t FROM pages)"
 
 
 def t5_clean_cell(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    return p.select("page_id", T.clean_cell(F.regexp_extract("html", _H1_RE, 1)).alias("cell"))
+    return p.select("page_id", T.clean_cell("html").alias("cell"))
 
 
-T5_SQL = f"SELECT page_id, {S.clean_cell(f'regexp_extract(html, {S.sql_str(_H1_RE)}, 1)')} AS cell FROM pages"
+T5_SQL = f"SELECT page_id, {S.clean_cell('html')} AS cell FROM pages"
 
 
 def t6_collapse_ws(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return d.select("doc_id", T.truncate_plain(T.collapse_ws("text"), 3000).alias("teaser"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", T.collapse_ws("text").alias("text"))
 
 
-T6_SQL = f"SELECT doc_id, substr({S.collapse_ws('text')}, 1, 3000) AS teaser FROM documents"
+T6_SQL = f"SELECT doc_id, {S.collapse_ws('text')} AS text FROM documents"
 
 
 def t7_unicode_strip(spark, sf_dir):
-    c = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     padded = F.concat(F.lit(" \t "), F.col("text"), F.lit(" \n "))
     return c.select("conv_id", "turn", T.py_strip(padded).alias("text"))
 
@@ -75,13 +74,12 @@ T7_SQL = (f"SELECT conv_id, turn, {S.strip_re(S.sql_str(chr(0xa0) + chr(9) + ' '
 
 
 def t8_description_concat(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
-    first_line = F.regexp_extract("text", r"^([^\n]*)", 1)
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     middle = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.col("source"))
-    return d.select("doc_id", T.join_nonempty([first_line, middle, F.col("lang")], "\n").alias("description"))
+    return d.select("doc_id", T.join_nonempty(["text", middle, F.col("lang")], "\n").alias("description"))
 
 
-T8_SQL = (f"SELECT doc_id, array_to_string(list_filter([regexp_extract(text, '^([^\\n]*)', 1), "
+T8_SQL = (f"SELECT doc_id, array_to_string(list_filter([text, "
           f"CASE WHEN doc_id % 3 = 0 THEN '' ELSE source END, lang], lambda x: x IS NOT NULL AND x <> ''), {S.NL}) "
           f"AS description FROM documents")
 
@@ -166,7 +164,7 @@ def _postings_text(spark, sf_dir):
             .when(k == 1, F.concat(F.lit("Pay is "), _money(c)))
             .otherwise(F.lit("Great team")))
     extra = F.when(k == 1, F.lit("/ hour, paid weekly")).otherwise(F.lit(""))
-    return spread(li.select("l_orderkey", "l_linenumber", F.concat(desc, F.lit(" "), extra).alias("combined")))
+    return li.select("l_orderkey", "l_linenumber", F.concat(desc, F.lit(" "), extra).alias("combined"))
 
 
 def t11_salary_regex_postings(spark, sf_dir):

@@ -9,14 +9,14 @@ from hirewire.functions import urls as U
 from hirewire.operators import dedup as K
 from hirewire.operators.process import ORDER_COLS, process_jobs
 from hirewire.plans import sqlgen as S
-from hirewire.plans.common import spread, table
+from hirewire.plans.common import table
 from hirewire.sources import fixtures as X
 
 UC = X.url_cases_sql()
 
 
 def _cases(spark, sf_dir) -> DataFrame:
-    return spread(X.url_cases(spark, sf_dir))
+    return X.url_cases(spark, sf_dir)
 
 
 def _split_sql(select: str, src: str = "url_cases", col: str = "url") -> str:
@@ -99,7 +99,7 @@ _KCOLS = ["posting_id", "platform", "title", "company", "location", "url", "post
 
 def _candidates(spark, sf_dir) -> DataFrame:
     """F1 survivors with their normalised url, before the gate."""
-    jobs = process_jobs(spread(X.postings(spark, sf_dir)), X.RUN_TS, keep=["posting_id"] + ORDER_COLS)
+    jobs = process_jobs(X.postings(spark, sf_dir), X.RUN_TS, keep=["posting_id"] + ORDER_COLS)
     return K.with_normalized_url(jobs)
 
 

@@ -6,36 +6,32 @@ landing -S8-> usable pages -join companies, S9-> per-platform parsers (S10-S14,
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirewire.functions import dims
 from hirewire.operators import extract as P
+from hirewire.operators import metrics as M
+from hirewire.session import write_shared
 from hirewire.sources import landing as LD
 
-BROADCAST_COMPANIES_LIMIT = 200_000
+KEY = ["run_ts", "platform", "company_seq", "search_id", "page_no", "item_pos"]
+SEARCH_RANK = len(dims.PLATFORMS) + 1  # the search site runs after every board
+TEXTS = ["title", "company", "location", "url", "description", "salary_range", "company_logo", "company_url", "department"]
 
 
 def join_companies(pages: DataFrame, companies: DataFrame) -> DataFrame:
-    """Attach each page's registry entry. The registry is small in practice; it is broadcast
-    only after its row count is checked, otherwise the join shuffles."""
-    cols = companies.select("company_seq", "company_name", "board_slug", "raw",
-                            F.col("ats_platform").alias("platform"))
-    n = cols.count()
-    side = F.broadcast(cols) if n <= BROADCAST_COMPANIES_LIMIT else cols
-    return pages.join(side, ["platform", "company_seq"], "inner")
-
-
-def drop_failed_companies(frame: DataFrame, usable: DataFrame, platform: str) -> DataFrame:
-    """M3: a body that breaks greenhouse/lever/ashby parsing fails the whole company (no rows)."""
-    if platform not in ("greenhouse", "lever", "ashby"):
+    """Attach each page's registry entry; Spark picks the join by the registry's size."""
+    cols = companies.select("company_seq", "company_name", "board_slug", "raw", F.col("ats_platform").alias("platform"))
+    return pages.join(cols, ["platform", "company_seq"], "inner")
+
+
+def drop_failed_companies(frame: DataFrame, failed: DataFrame, platform: str) -> DataFrame:
+    """M3: a body that breaks greenhouse/lever/ashby parsing fails the whole company in that run (no rows)."""
+    if platform not in M.UNGUARDED:
         return frame
-    from hirewire.operators.metrics import body_errors
-    failed = body_errors(usable.where(F.col("platform") == platform)).where("broken") \
-        .select("platform", "company_seq").distinct()
-    return frame.join(failed, ["platform", "company_seq"], "left_anti")
+    mine = failed.where(F.col("platform") == platform)
+    return frame.join(mine, ["run_ts", "platform", "company_seq"], "left_anti")
 
 
 def platform_raw_jobs(pages: DataFrame, platform: str) -> DataFrame:
@@ -43,105 +39,116 @@ def platform_raw_jobs(pages: DataFrame, platform: str) -> DataFrame:
     fn = P.EXTRACTORS[platform]
     if platform in P.WITH_DETAILS:
         lists = sel.where(F.col("kind") == "list")
-        details = sel.where(F.col("kind") == "detail").select("platform", "company_seq", "item_key", "body")
+        details = sel.where(F.col("kind") == "detail").select("run_ts", "platform", "company_seq", "item_key", "body")
         return fn(lists, details)
     return fn(sel)
 
 
-def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_search: bool = True) -> DataFrame:
-    """S8, S9, S7 dispatch, S15 union: the ``raw_job`` rows of a run with arrival-order columns."""
-    usable = LD.usable_pages(LD.co_partition(landing.where(F.col("platform") != dims.SEARCH_PLATFORM)))
-    pages = join_companies(usable, companies)
-    pages = pages.where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
-    frames = [drop_failed_companies(platform_raw_jobs(pages, p), usable, p) for p in (platforms or dims.PLATFORMS)]
+def board_pages(landing: DataFrame, companies: DataFrame) -> DataFrame:
+    """Usable pages of all boards with their registry entries."""
+    usable = LD.usable_pages(landing.where(F.col("platform") != dims.SEARCH_PLATFORM))
+    return join_companies(usable, companies).where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
+
+
+def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_search: bool = True,
+             failed: DataFrame | None = None, searches: DataFrame | None = None) -> DataFrame:
+    """S8, S9, S7 dispatch, S15 union: the ``raw_job`` rows with arrival-order columns."""
+    pages = board_pages(landing, companies)
+    failed = M.failed_companies(landing) if failed is None else failed
+    frames = [drop_failed_companies(platform_raw_jobs(pages, p), failed, p) for p in (platforms or dims.PLATFORMS)]
     if with_search:
-        frames.append(search_raw_jobs(landing))
+        frames.append(search_raw_jobs(landing, searches))
     return LD.union_platforms(frames)
 
 
-def search_raw_jobs(landing: DataFrame) -> DataFrame:
-    """P16 then S16: search-site cards; within the run the first raw URL wins across searches."""
+def default_searches(spark: SparkSession) -> DataFrame:
+    """The search site's searches: (search_id, search_location)."""
+    return spark.createDataFrame([(i, s[1]) for i, s in enumerate(dims.SEARCHES)], "search_id int, search_location string")
+
+
+def search_raw_jobs(landing: DataFrame, searches: DataFrame | None = None) -> DataFrame:
+    """P16 then S16: search-site cards of all landed pages; within a run the first raw URL wins across searches.
+    A card without a location takes its search's (a row of ``searches``; '' for a search not in it)."""
     from hirewire.operators.dedup import first_wins
-    pages = LD.usable_pages(LD.co_partition(landing.where(F.col("platform") == dims.SEARCH_PLATFORM))) \
+    spark = landing.sparkSession
+    searches = default_searches(spark) if searches is None else searches
+    pages = LD.usable_pages(landing.where(F.col("platform") == dims.SEARCH_PLATFORM)).join(searches, "search_id", "left") \
               .withColumn("raw", F.lit(None).cast("variant")).withColumn("board_slug", F.lit(None).cast("string")) \
               .withColumn("company_name", F.lit(""))
-    size, max_pages, first = dims.PAGE_POLICY["linkedin"]
-    pages = LD.page_prefix(pages.withColumn("_n", F.size(F.regexp_extract_all("body", F.lit(P._LI["ids"]), 1))),
-                           F.col("_n") < 20, max_pages, first).drop("_n")
-    locs = F.element_at(F.array(*[F.lit(s[1]) for s in dims.SEARCHES]), (F.col("search_id") % 8) + 1)
-    rows = P.search_results(pages, locs)
-    return first_wins(rows, "url", ["search_id", "page_no", "item_pos"])
-
-
-@dataclass
-class RunResult:
-    new_jobs: DataFrame      # rows to append (K4 enriched, 17 columns + defaults)
-    outcomes: DataFrame      # every raw job with its F2 outcome
-    stats: DataFrame         # M1 one-row counters
+    rows = P.search_results(pages, F.coalesce("search_location", F.lit("")))
+    return first_wins(rows, ["run_ts", "url"], ["search_id", "page_no", "item_pos"])
 
 
 def platform_ranks(companies: DataFrame) -> DataFrame:
     """Registry order of first appearance per platform; the search site comes last (<= 15 rows)."""
     from hirewire.sources.registry import group_by_platform
     g = group_by_platform(companies).select(F.col("ats_platform").alias("platform"), "platform_rank")
-    return g.unionByName(g.sparkSession.createDataFrame([(dims.SEARCH_PLATFORM, 10_000)],
+    return g.unionByName(g.sparkSession.createDataFrame([(dims.SEARCH_PLATFORM, SEARCH_RANK)],
                                                        "platform string, platform_rank int"))
 
 
-def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataFrame, run_ts,
-             platform: str | None = None, company: str | None = None, checkpoint: bool = True):
-    """Everything of a run except the write. Returns (new_rows, outcomes, stats, success)."""
+def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataFrame, platform: str | None = None,
+             company: str | None = None, searches: DataFrame | None = None):
+    """Everything of a run except the write. Returns (new_rows, outcomes, stats, success).
+
+    ``landing`` may hold several runs: each row is judged by its own ``run_ts``, and of a URL that several runs
+    found the earliest counts. A scope without companies gives nothing, as does the search site's name, which
+    is no platform of the registry."""
     from hirewire.operators import dedup as K
-    from hirewire.operators import metrics as M
     from hirewire.operators import sink as SK
-    from hirewire.operators.process import ORDER_COLS, classify_all
+    from hirewire.operators.process import RUN_ORDER, classify_all
     from hirewire.sources.registry import scope
 
     scoped = scope(companies, platform, company)
-    platforms = [platform] if platform else dims.PLATFORMS
+    if scoped.isEmpty():
+        landing = landing.where(F.lit(False))
+    platforms = [platform] if platform in dims.PLATFORMS else dims.PLATFORMS
+    failed = write_shared(spark, M.failed_companies(landing), "failed-companies")
     # The search site runs only without a platform filter (a company filter does not stop it).
-    raw = raw_jobs(landing, scoped, platforms, with_search=platform is None)
-    ranked = raw.join(F.broadcast(platform_ranks(scoped)), "platform", "left") \
-                .fillna({"platform_rank": 10_000})
-    classified = classify_all(ranked, run_ts)
+    raw = raw_jobs(landing, scoped, platforms, platform is None, failed, searches)
+    ranked = raw.join(F.broadcast(platform_ranks(scoped)), "platform", "left").fillna({"platform_rank": SEARCH_RANK})
+    classified = classify_all(ranked, F.col("run_ts"))
     is_cand = F.col("outcome") == "candidate"
-    staged = K.with_normalized_url(classified.withColumn("_cand_url", F.when(is_cand, F.col("url"))),
-                                   "_cand_url", "_cand_url")
-    staged = staged.withColumn("url", F.when(is_cand, F.col("_cand_url")).otherwise(F.col("url"))).drop("_cand_url")
+    staged = K.with_normalized_url(classified.withColumn("_cand_url", F.when(is_cand, F.col("url"))), "_cand_url", "_cand_url")
+    staged = staged.withColumn("url", F.when(is_cand, F.col("_cand_url"))).drop("_cand_url")
     staged = staged.withColumn("gate_ok", is_cand & K.quality_gate(staged))
-    if checkpoint:
-        # One reliable checkpoint (shared checkpoint dir): every later action reads it, and a
-        # lost executor does not send the run back to parsing payloads.
-        staged = staged.checkpoint(eager=True)
+    # Written once: every later action reads it, and a lost executor does not send the run back to parsing.
+    # Rows that were filtered keep only their key and outcome.
+    wide = [c for c in staged.columns if c not in (*KEY, *RUN_ORDER, "outcome", "gate_ok")]
+    staged = staged.select(*KEY, "platform_rank", "outcome", "gate_ok", *[F.when(is_cand, F.col(c)).alias(c) for c in wide])
+    staged = write_shared(spark, staged, "staged")
     cand = staged.where(is_cand)
-    winners = K.first_wins(cand.where("gate_ok"), "url", ORDER_COLS)
-    new = K.new_only(winners, target_urls)
-    new_rows = SK.enrich(new.select(*[c for c in new.columns if c not in ("company_domain",)]))
+    usable = cand.where("gate_ok")
+    storable = usable.where(~SK.unstorable([c for c in TEXTS if c in cand.columns]))
+    # K2, K3 on narrow rows; the stored columns are joined back by the winners' keys
+    first = storable.groupBy("url").agg(F.min(F.struct(*RUN_ORDER, "platform")).alias("w"))
+    new_keys = K.new_only(first, target_urls).select(*[F.col(f"w.{c}").alias(c) for c in KEY])
+    new_keys = write_shared(spark, new_keys, "new-keys")
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"c.{c}")) for c in KEY]
+    new = cand.alias("c").join(new_keys.alias("n"), same, "left_semi")
+    new_rows = SK.enrich(new.drop("company_domain"))
     new_rows = P.finish_descriptions(new_rows)  # the Arrow UDF runs only on rows being stored
-    key = ["platform", "company_seq", "search_id", "page_no", "item_pos"]
-    new_keys = new.select(*key).withColumn("is_new", F.lit(True))
-    filtered = staged.where(~is_cand).select(*key, "outcome")
-    judged = cand.join(new_keys, key, "left").select(
-        *key, F.when(~F.col("gate_ok"), F.lit("gate_reject")).when(F.col("is_new"), F.lit("new"))
-        .otherwise(F.lit("duplicate")).alias("outcome"))
-    outcomes = filtered.unionByName(judged)
-    success = M.company_success(scoped, landing.where(F.col("platform") != dims.SEARCH_PLATFORM))
-    stats = M.run_stats(outcomes, success)
-    return new_rows, outcomes, stats, success
-
-
-def run(spark, landing: DataFrame, companies: DataFrame, target: str, run_ts, batch_id: str,
-        platform: str | None = None, company: str | None = None):
+    bad = SK.unstorable([c for c in TEXTS if c in cand.columns])
+    narrow = cand.select(*KEY, "gate_ok", bad.alias("bad"))
+    marked = narrow.alias("c").join(new_keys.withColumn("is_new", F.lit(True)).alias("n"), same, "left")
+    judged = marked.select(*[F.col(f"c.{c}") for c in KEY], F.when(~F.col("gate_ok"), F.lit("gate_reject")).when(F.col("bad"), F.lit("db_error"))
+                           .when(F.col("is_new"), F.lit("new")).otherwise(F.lit("duplicate")).alias("outcome"))
+    outcomes = staged.where(~is_cand).select(*KEY, "outcome").unionByName(judged)
+    success = M.company_success(scoped, failed)
+    return new_rows, outcomes, M.run_stats(outcomes, success), success
+
+
+def run(spark, landing: DataFrame, companies: DataFrame, target: str, batch_id: str, platform: str | None = None,
+        company: str | None = None, searches: DataFrame | None = None, raise_on_gates: bool = True):
     """A1: run the pipeline and append the new rows to ``target``; returns the stats row.
-    Replaying a ``batch_id`` rewrites only its own partition (the anti-join ignores it)."""
-    from hirewire.operators import metrics as M
+    Replaying a ``batch_id`` rewrites only its own partition (the anti-join ignores it). The health gates (M4, M5)
+    are judged after the write; inside a stream's batch the caller judges them at the end instead."""
     from hirewire.operators import sink as SK
 
-    if platform == dims.SEARCH_PLATFORM:
-        platform = "__none__"  # the search site is not a registry platform: nothing to scrape
     target_urls = SK.stored_urls(spark, target, exclude_batch=batch_id)
-    new_rows, outcomes, stats, success = plan_run(spark, landing, companies, target_urls, run_ts, platform, company)
-    SK.append(SK.to_stored(new_rows, run_ts, batch_id), target)
+    new_rows, outcomes, stats, success = plan_run(spark, landing, companies, target_urls, platform, company, searches)
+    SK.append(SK.to_stored(new_rows, F.col("run_ts"), batch_id), target)
     row = stats.collect()[0]
-    M.check_health(row)
+    if raise_on_gates:
+        M.check_health(row)
     return row

@@ -91,8 +91,6 @@ def staleness_keep(posted: str, run_ts: str) -> str:
 # ---------------------------------------------------------------------------
 # URLs: staged as CTEs (each stage reads the previous one's columns)
 # ---------------------------------------------------------------------------
-USES_PARAMS = ["", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
-               "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel"]
 
 
 def _unquote_plus(x: str) -> str:
@@ -117,7 +115,7 @@ def url_split_ctes(src: str, url: str, prefix: str = "u", prestrip: bool = True)
           f"regexp_extract(_r2, '(?s)^([^#]*)', 1) AS _r3 FROM {prefix}3)")
     c5 = (f"{prefix}5 AS (SELECT *, regexp_extract(_r3, '(?s)^[^?]*\\?(.*)$', 1) AS _query, "
           f"regexp_extract(_r3, '(?s)^([^?]*)', 1) AS _p0 FROM {prefix}4)")
-    c6 = (f"{prefix}6 AS (SELECT *, CASE WHEN _scheme IN {sql_in(USES_PARAMS)} AND contains(_p0, ';') "
+    c6 = (f"{prefix}6 AS (SELECT *, CASE WHEN _scheme IN {sql_in(dims.USES_PARAMS)} AND contains(_p0, ';') "
           f"THEN regexp_replace(_p0, ';[^/]*$', '') ELSE _p0 END AS _path FROM {prefix}5)")
     return [c1, c2, c3, c4, c5, c6], f"{prefix}6"
 

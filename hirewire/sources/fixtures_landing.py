@@ -4,10 +4,16 @@ A company is ``event_id % N_COMPANIES`` (its platform is the posting's platform)
 item's index inside its company is ``event_id // N_COMPANIES``, so page numbers come
 from arithmetic, not from a window. Each body holds at most one page of items, so no
 group grows with the data. Single-payload boards land as page-size chunks and every
-chunk is read. Anomalies: companies with ``k % 7 == 0`` are rate-limited once per page
-before succeeding; ``k % 43 == 0`` get 404 for every page; workday companies with
-``k % 5 == 0`` omit ``total`` (pagination stops after the first page); greenhouse, lever
-and ashby companies with ``k % 53 == 0`` also land one undecodable chunk.
+chunk is read.
+
+Two runs have landed, an hour apart: the second one holds companies with ``k % 11 == 0``
+again, with their items of ``e % 5 == 4`` that the first one lacks. Anomalies: companies
+with ``k % 7 == 0`` are rate-limited once per page before succeeding, ``k % 13 == 0``
+twice; ``k % 17 == 0`` answer each request first with an empty body and then again in
+full; ``k % 43 == 0`` get 404 for every page; ``k % 19 == 0`` number their pages from 40
+on; workday companies with ``k % 5 == 0`` omit ``total``; greenhouse, lever and ashby
+companies with ``k % 53 == 0`` also land one undecodable chunk. Every fiftieth posting has
+a long description.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ WORKDAY_CITIES = ["Ottawa", "New-York", "Austin", "Remote-US", "Berlin"]
 BROKEN_PLATFORMS = ["greenhouse", "lever", "ashby"]
 BROKEN_MOD = 53
 BROKEN_PAGE = 99
+PAGE_SHIFT = 40
+SECOND_RUN = "2024-02-15 01:00:00"
 
 
 def _j(c: Column) -> Column:
@@ -73,17 +81,29 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings with their company, in-company index and the fields every vendor shape uses."""
+    """Postings of both runs with their company, in-company index and the fields every vendor shape uses."""
     p = X.postings(spark, sf_dir)
     e = F.col("posting_id")
+    k = e % N_COMPANIES
+    again = k % 11 == 0
+    runs = F.when(~again, F.array(X.run_ts())).when(e % 5 == 4, F.array(second_run())).otherwise(F.array(X.run_ts(), second_run()))
+    p = p.withColumn("run_ts", F.explode(runs))
     iso = F.date_format("posted_date", "yyyy-MM-dd'T'HH:mm:ss")
+    lines = F.when(e % 50 == 0, F.repeat(F.lit("<li>Ship it</li>"), 400)).otherwise(F.lit("<li>Ship it</li>"))
     return p.select(
-        "posting_id", "platform", "title", "location", "department", "posted_date",
-        (e % N_COMPANIES).alias("company_seq"), (e / N_COMPANIES).cast("long").alias("idx"),
-        iso.alias("iso"),
-        F.concat(F.lit("<p>"), F.coalesce("title", F.lit("")), F.lit(" &amp; team</p><ul><li>Ship it</li></ul>"))
-         .alias("html"),
-    )
+        "run_ts", "posting_id", "platform", "title", "location", "department", "posted_date",
+        k.alias("company_seq"), (e / N_COMPANIES).cast("long").alias("idx"), iso.alias("iso"),
+        F.concat(F.lit("<p>"), F.coalesce("title", F.lit("")), F.lit(" &amp; team</p><ul>"), lines, F.lit("</ul>")).alias("html"))
+
+
+def second_run() -> Column:
+    return F.lit(SECOND_RUN).cast("timestamp_ntz")
+
+
+def landed_runs(keys: DataFrame) -> DataFrame:
+    """(run_ts, ...) of companies: the second run holds some of them."""
+    runs = F.when(F.col("company_seq") % 11 == 0, F.array(X.run_ts(), second_run())).otherwise(F.array(X.run_ts()))
+    return keys.withColumn("run_ts", F.explode(runs))
 
 
 def _item_json(platform: str) -> Column:
@@ -93,20 +113,25 @@ def _item_json(platform: str) -> Column:
     pid = e.cast("string")
     if platform == "greenhouse":
         return _obj(id=pid, title=_s(t), location=_obj(name=_s(loc)), updated_at=_s(F.concat(iso, F.lit("Z"))),
-                    departments=F.concat(F.lit("["), _obj(name=_s(dept)), F.lit("]")), content=_s(F.col("html")))
+                    departments=F.concat(F.lit("["), _obj(name=_s(dept)), F.lit("]")),
+                    content=_s(F.concat(F.col("html"), F.when(e % 6 == 1, F.lit("<p>$90,000 - $120,000</p>")).otherwise(F.lit("")))),
+                    metadata=F.when(e % 6 == 0, F.lit('[{"name":"Level","value":"I"},{"name":"Pay Range","value":"$10 to $20"}]'))
+                    .when(e % 30 == 7, F.lit('[{"name":5,"value":"x"}]')))
     if platform == "lever":
         ms = F.floor(F.unix_micros(F.col("posted_date").cast("timestamp")) / 1000).cast("long")
         return _obj(text=_s(t), hostedUrl=_j(F.concat(F.lit("https://jobs.lever.co/b"), k.cast("string"),
                                                           F.lit("/"), pid)),
                     createdAt=F.when(ms.isNotNull(), ms.cast("string")),
                     categories=_obj(location=_s(loc), team=_s(dept), commitment=F.lit('"Full-time"')),
-                    descriptionPlain=_s(t))
+                    descriptionPlain=_s(t), additional=F.when(e % 4 == 0, F.lit('"Pay: $50/hr &amp; more"')))
     if platform == "ashby":
         lo = F.when(e % 2 == 0, _s(loc)).otherwise(_obj(name=_s(loc)))
         dp = F.when(e % 2 == 1, _s(dept)).otherwise(_obj(name=_s(dept)))
         return _obj(title=_s(t), location=lo, applyUrl=_j(F.concat(F.lit("https://jobs.ashbyhq.com/b"),
                                                                      k.cast("string"), F.lit("/"), pid)),
-                    publishedAt=_s(F.concat(iso, F.lit("-05:00"))), department=dp, descriptionHtml=_s(F.col("html")))
+                    publishedAt=_s(F.concat(iso, F.lit("-05:00"))), department=dp, descriptionHtml=F.when(e % 3 != 0, _s(F.col("html"))),
+                    descriptionPlain=_s(F.concat(F.lit(" plain "), F.coalesce(t, F.lit("")))),
+                    employmentType=F.when(e % 2 == 0, F.lit('"FullTime"')))
     if platform == "workday":
         path = F.concat(F.lit("/job/"), pick(WORKDAY_CITIES, e), F.lit("/Role_R"), pid)
         lt = F.when(e % 3 == 0, F.lit("2 Locations")).otherwise(loc)
@@ -130,9 +155,9 @@ def _item_json(platform: str) -> Column:
         dt = F.when(pdt.isNotNull(), F.concat(F.element_at(F.array(*[F.lit(m) for m in months]), F.month(pdt)),
                                                F.lit(" "), F.dayofmonth(pdt).cast("string"), F.lit(", "),
                                                F.year(pdt).cast("string"))).otherwise(F.lit("n/a"))
-        cell = F.to_json(F.array(loc))
+        cell = F.when(e % 7 == 1, F.coalesce(loc, F.lit(""))).otherwise(F.to_json(F.array(loc)))
         return _obj(jobId=pid, column=F.concat(F.lit("["), _j(t), F.lit(","), _j(cell), F.lit(","), _j(dt),
-                                               F.lit("]")), locationsColumns=F.lit("[1]"))
+                                               F.lit("]")), locationsColumns=F.when(e % 7 == 0, F.lit("[9]")).otherwise(F.lit("[1]")))
     if platform == "successfactors":
         lo = F.when(e % 2 == 0, F.concat(F.lit("["), _j(loc), F.lit("]"))).otherwise(_s(loc))
         return _obj(response=_obj(id=pid, unifiedStandardTitle=_s(t), jobLocationShort=lo))
@@ -141,11 +166,13 @@ def _item_json(platform: str) -> Column:
                     postedDate=_s(F.concat(iso, F.lit(".000+0000"))), category=_s(dept),
                     descriptionTeaser=_s(F.concat(F.lit("  "), F.coalesce(t, F.lit("")), F.lit("\n  team "))))
     if platform == "bamboohr":
-        return _obj(id=pid, jobOpeningName=_s(t), location=_obj(city=_s(loc)),
+        return _obj(id=pid, jobOpeningName=_s(t), location=_obj(city=_s(loc), state=F.when(e % 3 == 0, F.lit('"ON"'))),
                     isRemote=F.when(e % 4 == 0, F.lit("true")).otherwise(F.lit("false")),
                     locationName=F.lit('"Hybrid"'), departmentLabel=_s(dept))
     if platform == "breezy":
-        return _obj(_id=_j(pid), name=_s(t), location=_obj(name=_s(loc)),
+        where = (F.when(e % 5 == 0, _obj(city=_obj(name=_s(loc)), country=F.lit('"Canada"')))
+                 .when(e % 5 == 1, _s(loc)).otherwise(_obj(name=_s(loc))))
+        return _obj(_id=_j(pid), name=_s(t), location=where,
                     url=F.when(e % 2 == 0, _j(F.concat(F.lit("https://x.breezy.hr/p/"), pid))),
                     published_date=_s(F.concat(iso, F.lit("Z"))), department=_s(dept), description=_s(F.col("html")))
     if platform == "recruitee":
@@ -186,96 +213,35 @@ _WRAP = {
 }
 
 
-def _pages_for(it: DataFrame, platform: str, totals: DataFrame) -> DataFrame:
-    sel = it.where(F.col("platform") == platform)
-    k = F.col("company_seq")
-    kind = F.lit("list")
-    if platform == "successfactors":
-        rmk = sel.where(k % 3 == 0)
-        csb = sel.where(k % 3 != 0)
-        a = _pages_json(csb, "successfactors", PAGE_SIZE["successfactors"], 0, totals)
-        size = PAGE_SIZE["rmk"]
-        b = (rmk.withColumn("page_no", (F.col("idx") / size).cast("int"))
-                .groupBy("platform", "company_seq", "page_no")
-                .agg(F.sort_array(F.collect_list(F.struct("idx", _rmk_row().alias("j")))).alias("xs"))
-                .select("platform", "company_seq", "page_no", F.lit("html_list").alias("kind"),
-                        F.concat(F.lit("<html><table>"), F.array_join(F.transform("xs", lambda x: x["j"]), "\n"),
-                                 F.lit("</table></html>")).alias("body")))
-        return a.unionByName(b)
-    if platform == "jobvite":
-        return (sel.withColumn("page_no", (F.col("idx") / CHUNK).cast("int"))
-                   .groupBy("platform", "company_seq", "page_no")
-                   .agg(F.sort_array(F.collect_list(F.struct("idx", _jobvite_row().alias("j")))).alias("xs"))
-                   .select("platform", "company_seq", "page_no", F.lit("html_list").alias("kind"),
-                           F.concat(F.lit('<table class="jv-job-list">'), F.array_join(F.transform("xs", lambda x: x["j"]), ""),
-                                    F.lit("</table>")).alias("body")))
-    size = PAGE_SIZE.get(platform, CHUNK)
-    return _pages_json(sel, platform, size, FIRST_PAGE.get(platform, 0), totals)
-
-
-def _pages_json(sel: DataFrame, platform: str, size: int, first: int, totals: DataFrame) -> DataFrame:
-    j = sel.withColumn("page_no", (F.col("idx") / size).cast("int") + first) \
-           .withColumn("j", _item_json(platform))
-    g = j.groupBy("platform", "company_seq", "page_no") \
-         .agg(F.sort_array(F.collect_list(F.struct("idx", "j"))).alias("xs"))
-    g = g.join(totals, ["platform", "company_seq"], "left")
-    pre, post = _WRAP[platform]
-    body_items = F.array_join(F.transform("xs", lambda x: x["j"]), ",")
-    if "{n}" in pre:
-        a, b = pre.split("{n}")
-        head = F.concat(F.lit(a), F.col("n").cast("string"), F.lit(b))
-    else:
-        head = F.lit(pre)
-    if platform == "workday":
-        head = F.when(F.col("company_seq") % 5 == 0, F.lit('{"jobPostings":[')) \
-                .otherwise(F.concat(F.lit('{"total":'), F.col("n").cast("string"), F.lit(',"jobPostings":[')))
-        post = "]}"
-    return g.select("platform", "company_seq", "page_no", F.lit("list").alias("kind"),
-                    F.concat(head, body_items, F.lit(post)).alias("body"))
-
-
-def _details(it: DataFrame, platform: str) -> DataFrame:
-    sel = it.where(F.col("platform") == platform)
-    html = F.col("html")
-    if platform == "oracle":
-        body = F.concat(F.lit('{"items":['), _obj(ExternalDescriptionStr=_j(html),
-                                                  ExternalQualificationsStr=F.lit('"<p>Degree</p>"')), F.lit("]}"))
-    elif platform == "eightfold":
-        body = _obj(data=_obj(jobDescription=_j(html)))
-    else:
-        body = _obj(result=_obj(jobOpening=_obj(description=_j(html))))
-    return sel.select("platform", "company_seq", F.lit(0).alias("page_no"), F.lit("detail").alias("kind"),
-                      F.col("posting_id").cast("string").alias("item_key"), body.alias("body"))
-
-
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``landing`` table for one run over every platform, built in one pass: every item
-    gets its vendor-shaped JSON (or HTML row) and page number, items are grouped into page
-    bodies per (platform, company, kind, page), and the company total comes from a window
-    over the same partitioning (one shuffle for the list pages)."""
+    """The ``landing`` table of both runs over every platform: each vendor's items get their JSON (or HTML row) and
+    page number in a projection of their own, then items of all vendors are grouped into page bodies per
+    (run, platform, company, kind, page); the company total comes from a window over the same partitioning."""
     from pyspark.sql import Window
 
     it = items(spark, sf_dir)
     plat, k = F.col("platform"), F.col("company_seq")
-    is_rmk = (plat == "successfactors") & (k % 3 == 0)
-    size, first, j = F.lit(CHUNK), F.lit(0), F.lit(None).cast("string")
-    for p in reversed(dims.PLATFORMS):
-        size = F.when(plat == p, F.lit(PAGE_SIZE.get(p, CHUNK))).otherwise(size)
-        first = F.when(plat == p, F.lit(FIRST_PAGE.get(p, 0))).otherwise(first)
-        if p != "jobvite":
-            j = F.when(plat == p, _item_json(p)).otherwise(j)
-    size = F.when(is_rmk, F.lit(PAGE_SIZE["rmk"])).otherwise(size)
-    first = F.when(is_rmk, F.lit(0)).otherwise(first)
-    j = F.when(is_rmk, _rmk_row()).when(plat == "jobvite", _jobvite_row()).otherwise(j)
-    kind = F.when(is_rmk | (plat == "jobvite"), F.lit("html_list")).otherwise(F.lit("list"))
-    staged = it.select("platform", "company_seq", "idx", kind.alias("kind"),
-                       ((F.col("idx") / size).cast("int") + first).alias("page_no"), j.alias("j"))
-    staged = staged.repartition("platform", "company_seq")
-    g = staged.groupBy("platform", "company_seq", "kind", "page_no") \
+    staged = None
+    for p in dims.PLATFORMS:
+        mine = it.where(plat == p)
+        size, first = F.lit(PAGE_SIZE.get(p, CHUNK)), F.lit(FIRST_PAGE.get(p, 0))
+        parts = [(mine, size, "list", None)]
+        if p == "jobvite":
+            parts = [(mine, size, "html_list", _jobvite_row())]
+        elif p == "successfactors":
+            parts = [(mine.where(k % 3 != 0), size, "list", None), (mine.where(k % 3 == 0), F.lit(PAGE_SIZE["rmk"]), "html_list", _rmk_row())]
+        for rows, n, kind, row in parts:
+            page = (F.col("idx") / n).cast("int") + first + F.when(k % 19 == 0, F.lit(PAGE_SHIFT)).otherwise(F.lit(0))
+            one = rows.select("run_ts", "platform", "company_seq", "idx", F.lit(kind).alias("kind"), page.alias("page_no"),
+                              (_item_json(p) if row is None else row).alias("j"))
+            staged = one if staged is None else staged.unionByName(one)
+    staged = staged.repartition("run_ts", "platform", "company_seq")
+    g = staged.groupBy("run_ts", "platform", "company_seq", "kind", "page_no") \
               .agg(F.sort_array(F.collect_list(F.struct("idx", "j"))).alias("xs"), F.count(F.lit(1)).alias("m"))
-    g = g.withColumn("n", F.sum("m").over(Window.partitionBy("platform", "company_seq")))
+    g = g.withColumn("n", F.sum("m").over(Window.partitionBy("run_ts", "platform", "company_seq")))
     n = F.col("n").cast("string")
     items_json = F.array_join(F.transform("xs", lambda x: x["j"]), ",")
+    html = F.col("kind") == "html_list"
     body = F.lit(None).cast("string")
     for p in reversed(dims.PLATFORMS):
         if p == "jobvite":
@@ -286,26 +252,23 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
             head = F.when(k % 5 == 0, F.lit('{"jobPostings":[')).otherwise(head)
         body = F.when(plat == p, F.concat(head, items_json, F.lit(post))).otherwise(body)
     rows_html = lambda sep: F.array_join(F.transform("xs", lambda x: x["j"]), sep)
-    body = (F.when(is_rmk, F.concat(F.lit("<html><table>"), rows_html("\n"), F.lit("</table></html>")))
-            .when(plat == "jobvite", F.concat(F.lit('<table class="jv-job-list">'), rows_html(""), F.lit("</table>")))
-            .otherwise(body))
-    pages = g.select("platform", "company_seq", "page_no", "kind", F.lit("").alias("item_key"), body.alias("body"))
-    details = _all_details(it)
+    body = (F.when(html & (plat == "jobvite"), F.concat(F.lit('<table class="jv-job-list">'), rows_html(""), F.lit("</table>")))
+            .when(html, F.concat(F.lit("<html><table>"), rows_html("\n"), F.lit("</table></html>"))).otherwise(body))
+    pages = g.select("run_ts", "platform", "company_seq", "page_no", "kind", F.lit("").alias("item_key"), body.alias("body"))
     # Boards that do not guard their JSON decode: an undecodable extra chunk fails the company.
-    broken = it.where(plat.isin(*BROKEN_PLATFORMS) & (k % BROKEN_MOD == 0)).select("platform", "company_seq").distinct() \
-               .select("platform", "company_seq", F.lit(BROKEN_PAGE).alias("page_no"), F.lit("list").alias("kind"),
-                       F.lit("").alias("item_key"), F.lit('{"jobs": [{"title": "cut off').alias("body"))
-    allp = pages.unionByName(details).unionByName(broken)
-    # Attempts: companies with k % 7 == 0 are rate-limited once before each answer.
-    kk = F.col("company_seq")
-    att = allp.select("*", F.explode(F.when(kk % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-                      .alias("attempt"))
-    limited = (kk % 7 == 0) & (F.col("attempt") == 0)
-    status = F.when(limited, F.lit(429)).when(kk % 43 == 0, F.lit(404)).otherwise(F.lit(200))
-    return att.select(X.run_ts().alias("run_ts"), "platform", kk.cast("long").alias("company_seq"),
-                      F.lit(0).alias("search_id"), "kind", F.col("page_no").cast("int").alias("page_no"), "item_key",
-                      status.cast("int").alias("status"), F.col("attempt").cast("int").alias("attempt"),
-                      F.when(~limited, F.col("body")).alias("body"))
+    broken = landed_runs(it.where(plat.isin(*BROKEN_PLATFORMS) & (k % BROKEN_MOD == 0)).select("platform", "company_seq").distinct()) \
+        .select("run_ts", "platform", "company_seq", F.lit(BROKEN_PAGE).alias("page_no"), F.lit("list").alias("kind"),
+                F.lit("").alias("item_key"), F.lit('{"jobs": [{"title": "cut off').alias("body"))
+    allp = pages.unionByName(_all_details(it)).unionByName(broken)
+    twice, once, stale = k % 13 == 0, k % 7 == 0, k % 17 == 0
+    attempts = F.when(twice, F.array(F.lit(0), F.lit(1), F.lit(2))).when(once | stale, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    att = allp.select("*", F.explode(attempts).alias("attempt"))
+    limited = F.when(twice, F.col("attempt") < 2).otherwise(once & (F.col("attempt") == 0))
+    early = ~limited & F.coalesce(stale & ~twice & ~once & (F.col("attempt") == 0), F.lit(False))
+    status = F.when(limited, F.lit(429)).when(k % 43 == 0, F.lit(404)).otherwise(F.lit(200))
+    return att.select("run_ts", "platform", k.cast("long").alias("company_seq"), F.lit(0).alias("search_id"), "kind",
+                      F.col("page_no").cast("int").alias("page_no"), "item_key", status.cast("int").alias("status"),
+                      F.col("attempt").cast("int").alias("attempt"), F.when(early, F.lit("{}")).when(~limited, F.col("body")).alias("body"))
 
 
 def _all_details(it: DataFrame) -> DataFrame:
@@ -316,7 +279,7 @@ def _all_details(it: DataFrame) -> DataFrame:
             .when(plat == "eightfold", _obj(data=_obj(jobDescription=_j(html))))
             .otherwise(_obj(result=_obj(jobOpening=_obj(description=_j(html))))))
     return it.where(plat.isin("oracle", "eightfold", "bamboohr")).select(
-        "platform", "company_seq", F.lit(0).alias("page_no"), F.lit("detail").alias("kind"),
+        "run_ts", "platform", "company_seq", F.lit(0).alias("page_no"), F.lit("detail").alias("kind"),
         F.col("posting_id").cast("string").alias("item_key"), body.alias("body"))
 
 

@@ -3,53 +3,48 @@
 ``landing``: run_ts TIMESTAMP_NTZ, platform, company_seq BIGINT, search_id INT, kind
 ('list'|'detail'|'html_list'), page_no INT, item_key, status INT, attempt INT, body.
 Partition it by ``platform`` (and run date) so each platform branch prunes to its files.
-Every window here is per company (bounded by the page cap), never global.
+A run (``run_ts``) is the unit: the same request of another run is another request. All
+that has landed is read; no shuffle carries a body unless a request has several answers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirewire.functions import dims
+from hirewire.session import write_shared
 from hirewire.sources.registry import opt
 
 LANDING_SCHEMA = ("run_ts timestamp_ntz, platform string, company_seq bigint, search_id int, kind string, "
                   "page_no int, item_key string, status int, attempt int, body string")
 
-# Attempts per request before giving up (the default client makes 3).
-MAX_ATTEMPTS = {"workday": 2, "oracle": 2, "taleo": 2, "successfactors": 2, "phenom": 2, "bamboohr": 2,
-                "breezy": 2, "recruitee": 2, "jobvite": 2, "talentplatform": 2, "linkedin": 1}
-RETRYABLE = [429, -1]  # rate limited, timed out (-1)
+REQUEST_KEY = ["run_ts", "platform", "company_seq", "search_id", "kind", "page_no", "item_key"]
 
-REQUEST_KEY = ["platform", "company_seq", "search_id", "kind", "page_no", "item_key"]
+
+def good_answer() -> Column:
+    return F.coalesce(F.col("status").between(200, 299) & F.col("body").isNotNull(), F.lit(False))
+
+
+def request_outcomes(landing: DataFrame) -> DataFrame:
+    """One row per request of a run with ``ok``: whether any of its attempts got a usable answer (429s,
+    timeouts, 404s and errors are none). A narrow aggregate; bodies are not shuffled."""
+    return landing.groupBy(*REQUEST_KEY).agg(F.max(good_answer()).alias("ok"))
 
 
 def usable_pages(landing: DataFrame) -> DataFrame:
-    """One outcome per request. Rate-limited/timed-out attempts are retried up to the
-    platform's attempt budget; the first other answer decides: 2xx gives the body, anything
-    else (404, 5xx, other errors) gives none. Requests without a usable body are kept with
-    ``ok = false`` so pagination can stop at them.
-
-    One aggregate: ``min`` over the non-retryable attempts (NULL when every attempt in the
-    budget was retryable). Partitioning the input by company beforehand (see
-    ``co_partition``) lets this aggregate and the page windows share a single shuffle."""
-    budget = F.coalesce(F.element_at(F.create_map(*[x for k, v in MAX_ATTEMPTS.items()
-                                                    for x in (F.lit(k), F.lit(v))]), F.col("platform")), F.lit(3))
-    tried = landing.where(F.col("attempt") < budget)
-    cols = [c for c in landing.columns if c not in REQUEST_KEY and c != "attempt"]
-    final = F.when(~F.col("status").isin(RETRYABLE), F.struct("attempt", *cols))
-    agg = tried.groupBy(*REQUEST_KEY).agg(F.min(final).alias("a"), F.max("run_ts").alias("_ts"))
-    ok = F.col("a.status").between(200, 299)
-    return agg.select(*REQUEST_KEY, F.coalesce(F.col("a.run_ts"), F.col("_ts")).alias("run_ts"),
-                      F.col("a.status").alias("status"), F.when(ok, F.col("a.body")).alias("body"),
-                      F.coalesce(ok, F.lit(False)).alias("ok"))
-
-
-def co_partition(landing: DataFrame) -> DataFrame:
-    """Hash-partition landed requests by (platform, company, search): S8's per-request
-    aggregate and S10/S11's per-company windows are then satisfied without another shuffle."""
-    return landing.repartition("platform", "company_seq", "search_id")
+    """The latest good answer of every request of every run, whatever the attempt that got it.
+
+    Nearly all requests have one good answer. The keys of those with several are found by a narrow
+    aggregate and written, so that Spark knows their size when it plans the join; bodies stay in
+    the scan. An answer that landed twice byte for byte is read twice (first-wins drops its rows)."""
+    good = landing.where(good_answer())
+    mark = F.struct("attempt", F.xxhash64("body").alias("h"))
+    several = good.groupBy(*REQUEST_KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(mark).alias("_last")).where("_n > 1")
+    several = write_shared(landing.sparkSession, several, "several-answers").alias("k")
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"g.{c}")) for c in REQUEST_KEY]
+    joined = good.alias("g").join(several, same, "left")
+    return joined.where(F.col("_last").isNull() | (F.struct(F.col("g.attempt"), F.xxhash64("g.body").alias("h")) == F.col("_last"))) \
+        .select(*[F.col(f"g.{c}") for c in landing.columns if c not in ("attempt", "status")])
 
 
 def config_ok(platform: Column, raw: Column, board_slug: Column) -> Column:
@@ -71,47 +66,18 @@ def config_ok(platform: Column, raw: Column, board_slug: Column) -> Column:
             .otherwise(F.lit(True)))
 
 
-def page_prefix(pages: DataFrame, stop: Column, max_pages: int, first_page: int = 0,
-                key=("platform", "company_seq", "search_id")) -> DataFrame:
-    """Pages in order up to and including the first stopping page, at most ``max_pages``,
-    and never past a missing page (a fetch that failed ends the loop before it).
-
-    ``stop`` is evaluated per page (it may use window columns prepared by the caller);
-    a page without a usable body is a stop that contributes no items."""
-    w = Window.partitionBy(*key).orderBy("page_no")
-    wall = Window.partitionBy(*key)
-    staged = pages.withColumn("_stop", F.coalesce(stop, F.lit(True)) | ~F.col("ok")) \
-                  .withColumn("_expect", F.row_number().over(w) - 1 + first_page)
-    staged = staged.withColumn("_first_stop", F.min(F.when(F.col("_stop"), F.col("page_no"))).over(wall)) \
-                   .withColumn("_first_gap", F.min(F.when(F.col("page_no") != F.col("_expect"),
-                                                          F.col("_expect"))).over(wall))
-    keep = ((F.col("page_no") >= first_page) & (F.col("page_no") < first_page + max_pages)
-            & (F.col("_first_stop").isNull() | (F.col("page_no") <= F.col("_first_stop")))
-            & (F.col("_first_gap").isNull() | (F.col("page_no") < F.col("_first_gap"))) & F.col("ok"))
-    return staged.where(keep).drop("_stop", "_expect", "_first_stop", "_first_gap")
-
-
-def attach_details(items: DataFrame, details: DataFrame, cap: int, order=("page_no", "item_pos"),
-                   key=("platform", "company_seq"), window_key=("platform", "company_seq", "search_id")) -> DataFrame:
-    """The detail body joins only to the first ``cap`` items of a company (list order,
-    after pre-filters); later items get ''. ``details``: platform, company_seq, item_key, detail."""
-    # search_id is constant per company for board pages; keeping it in the window key
-    # reuses the (platform, company, search) partitioning of the pages.
-    wk = [k for k in window_key if k in items.columns]
-    w = Window.partitionBy(*wk).orderBy(*order)
-    ranked = items.withColumn("_rn", F.row_number().over(w))
-    joined = ranked.join(details, list(key) + ["item_key"], "left")
-    return joined.withColumn("detail", F.when(F.col("_rn") <= cap, F.coalesce("detail", F.lit("")))
-                             .otherwise(F.lit(""))).drop("_rn")
-
-
-def prefer(primary: DataFrame, fallback: DataFrame, key=("platform", "company_seq"),
-           force_primary: Column | None = None) -> DataFrame:
-    """Per company, the primary rows when it has any (or when forced), else the fallback rows."""
+def attach_details(items: DataFrame, details: DataFrame) -> DataFrame:
+    """Each item gets the text of its detail payload of the same run, '' where none landed.
+    ``details``: run_ts, platform, company_seq, item_key, detail (texts only, not the bodies)."""
+    key = ["run_ts", "platform", "company_seq", "item_key"]
+    one = details.groupBy(*key).agg(F.max("detail").alias("detail"))
+    return items.join(one, key, "left").withColumn("detail", F.coalesce("detail", F.lit("")))
+
+
+def prefer(primary: DataFrame, fallback: DataFrame, key=("run_ts", "platform", "company_seq")) -> DataFrame:
+    """Per run and company, the primary rows when it has any, else the fallback rows."""
     has = primary.select(*key).distinct()
     fb = fallback.join(has, list(key), "left_anti")
-    if force_primary is not None:
-        fb = fb.where(~force_primary)
     return primary.unionByName(fb, allowMissingColumns=True)
 
 
@@ -121,12 +87,3 @@ def union_platforms(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
-
-
-def platform_rank_expr(platform: Column) -> Column:
-    """Dispatch order of a platform when the registry's order is not at hand (search site last)."""
-    order = dims.PLATFORMS + [dims.SEARCH_PLATFORM]
-    expr = F.lit(len(order))
-    for i, p in reversed(list(enumerate(order))):
-        expr = F.when(platform == p, F.lit(i)).otherwise(expr)
-    return expr

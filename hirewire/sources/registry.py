@@ -14,14 +14,12 @@ from hirewire.functions import dims
 from hirewire.functions.sqlexpr import array_lit, in_list
 from hirewire.functions.text import variant_truthy
 
-SEQ_STRIDE = 1_000_000  # entries per document never exceed this
-
-
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per registry file (``doc_id`` ranks the files by path; a registry has few files)."""
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    return raw.select(F.dense_rank().over(Window.orderBy("path")).cast("long").alias("doc_id"), "text")
+    """One row per registry file; ``doc_id`` ranks the files by path. Only the paths meet in the ranking window; the
+    texts join their ranks afterwards."""
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    ranks = raw.select("path").distinct().select("path", F.row_number().over(Window.orderBy("path")).cast("long").alias("doc_id"))
+    return raw.join(ranks, "path").select("doc_id", "text")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -31,7 +29,8 @@ def scan(docs: DataFrame) -> DataFrame:
     m = F.try_variant_get("raw", "$", "map<string,variant>")
     s = lambda k: F.try_variant_get("raw", f"$.{k}", "string")
     return e.select(
-        (F.col("doc_id") * SEQ_STRIDE + F.col("pos")).alias("company_seq"),
+        # document rank in the upper half, position in the lower: a position is an int and can't run over
+        (F.shiftleft(F.col("doc_id"), 32) + F.col("pos")).alias("company_seq"),
         s("company_name").alias("company_name"),
         s("ats_platform").alias("ats_platform"),
         s("board_slug").alias("board_slug"),
@@ -87,12 +86,6 @@ def group_by_platform(companies: DataFrame) -> DataFrame:
                     F.rank().over(Window.orderBy("first_seq")).cast("int").alias("platform_rank"))
 
 
-def with_platform_rank(companies: DataFrame) -> DataFrame:
-    """Attach each company's platform rank (platform order of first appearance)."""
-    ranks = group_by_platform(companies).select("ats_platform", "platform_rank")
-    return companies.join(F.broadcast(ranks), "ats_platform", "left")
-
-
 def opt(raw: Column, key: str) -> Column:
     """``entry.get(key, '')`` as a string ('' when absent or null)."""
     return F.coalesce(F.try_variant_get(raw, f"$.{key}", "string"), F.lit(""))

@@ -4,10 +4,12 @@ I1: a file-source stream on the ``landing`` directory; ``trigger(availableNow=Tr
     processes whatever has landed since the last run, then stops (the hourly job).
 I2: the stored table is the dedup state: each micro-batch anti-joins its URLs against
     the stored ``url`` column, so no unbounded state lives in the stream.
-I3: staleness is judged against each batch's own ``run_ts`` (not a watermark: rows
-    without a date pass).
+I3: every row is judged by its own ``run_ts`` (not by a watermark: rows without a date
+    pass), also when a micro-batch holds several runs or a late one.
 I4: a micro-batch writes only its ``batch_id`` partition (dynamic overwrite) and the
-    anti-join ignores that partition, so a replayed batch rewrites the same rows.
+    anti-join ignores that partition, so a replayed batch rewrites the same rows. The id
+    names the stream by its checkpoint location and the batch by its number: a stream
+    started anew with another checkpoint numbers from 0 again, but under its own name.
 
 ``dedup_within_watermark`` is the bounded-state alternative (different semantics: it
 forgets URLs older than the watermark), offered as a separate operator.
@@ -15,8 +17,9 @@ forgets URLs older than the watermark), offered as a separate operator.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirewire.sources.landing import LANDING_SCHEMA
 
@@ -28,33 +31,42 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     return reader.parquet(landing_dir)
 
 
-def process_batch(companies: DataFrame, target: str):
-    """The foreachBatch body: one pipeline run per micro-batch, keyed by the batch id."""
+def stream_name(checkpoint_location: str) -> str:
+    return hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:12]
+
+
+def process_batch(companies: DataFrame, target: str, name: str, results: list):
+    """The foreachBatch body: one pipeline run per micro-batch; its stats row joins ``results``."""
     from hirewire.plans.run import run
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        landed = batch.persist()
-        try:
-            if landed.isEmpty():
-                return
-            run_ts = landed.agg(F.max("run_ts")).collect()[0][0]
-            run(spark, landed, companies, target, F.lit(run_ts).cast("timestamp_ntz"), batch_id=f"b{epoch_id:09d}")
-        finally:
-            landed.unpersist()
+        results.append(run(batch.sparkSession, batch, companies, target, f"{name}-{epoch_id:09d}", raise_on_gates=False))
     return fn
 
 
-def start_incremental(spark: SparkSession, landing_dir: str, companies: DataFrame, target: str,
-                      checkpoint_location: str, available_now: bool = True):
+def start_incremental(spark: SparkSession, landing_dir: str, companies: DataFrame, target: str, checkpoint_location: str,
+                      available_now: bool = True, max_files_per_trigger: int | None = None, results: list | None = None):
     """Start the stream (``availableNow`` by default) and return the StreamingQuery."""
-    w = (landing_stream(spark, landing_dir).writeStream
-         .foreachBatch(process_batch(companies, target))
+    fn = process_batch(companies, target, stream_name(checkpoint_location), [] if results is None else results)
+    w = (landing_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
 
 
+def run_available(spark: SparkSession, landing_dir: str, companies: DataFrame, target: str, checkpoint_location: str,
+                  max_files_per_trigger: int | None = None) -> list:
+    """Process all that has landed and judge the health gates (M4, M5) once, over all batches: a gate that
+    raised inside a batch would stop the stream at that batch on every restart."""
+    from hirewire.operators.metrics import check_health, total_stats
+
+    results: list = []
+    start_incremental(spark, landing_dir, companies, target, checkpoint_location, True, max_files_per_trigger, results).awaitTermination()
+    if results:
+        check_health(total_stats(results))
+    return results
+
+
 def dedup_within_watermark(stream: DataFrame, event_time: str = "run_ts", delay: str = "30 days") -> DataFrame:
     """I2 bounded alternative: drop repeated URLs seen within the watermark delay."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])

@@ -1,5 +1,9 @@
 """K1-K3 first-wins and new-only semantics; the driver contract."""
 
+import datetime as dt
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from hirewire.operators import dedup as K
@@ -35,11 +39,10 @@ def test_first_wins_independent_of_partitioning(spark):
     assert a == b and len(a) == 37
 
 
-def test_new_only_both_paths(spark):
-    batch = spark.createDataFrame([("u1", 1), ("u2", 2), ("u3", 3)], "url string, v int")
-    stored = spark.createDataFrame([("u2",), ("u9",)], "url string")
-    assert sorted(rows(K.new_only(batch, stored), "url")) == ["u1", "u3"]
-    assert sorted(rows(K.new_only(batch, stored, broadcast_limit=0), "url")) == ["u1", "u3"]
+def test_new_only(spark):
+    batch = spark.createDataFrame([("u1", 1), ("u2", 2), ("u3", 3), (None, 4)], "url string, v int")
+    stored = spark.createDataFrame([("u2",), ("u9",), (None,)], "url string")
+    assert sorted(rows(K.new_only(batch, stored), "url"), key=str) == [None, "u1", "u3"]
 
 
 def test_contract_keys(spark):
@@ -51,19 +54,146 @@ def test_contract_keys(spark):
     assert df.count() > 0
 
 
+def _fixture(spark):
+    from hirewire.plans.q_extract import companies_table, landing_table
+    sf = "/root/testdata/sf0.001"
+    return landing_table(spark, sf), companies_table(spark, sf)
+
+
 def test_run_replay_is_idempotent(spark, tmp_path):
     from hirewire.plans import run as R
-    from hirewire.plans.q_extract import companies_table, landing_table
-    from hirewire.sources import fixtures as X
 
-    sf = "/root/testdata/sf0.001"
-    land, co = landing_table(spark, sf), companies_table(spark, sf)
+    land, co = _fixture(spark)
     target = str(tmp_path / "jobs")
-    first = R.run(spark, land, co, target, X.RUN_TS, "b1")
+    first = R.run(spark, land, co, target, "b1")
     n1 = spark.read.parquet(target).count()
-    again = R.run(spark, land, co, target, X.RUN_TS, "b1")
+    again = R.run(spark, land, co, target, "b1")
     assert n1 == first["new_jobs_stored"] > 0 and again["new_jobs_stored"] == first["new_jobs_stored"]
     assert spark.read.parquet(target).count() == n1
-    later = R.run(spark, land, co, target, X.RUN_TS, "b2")
+    later = R.run(spark, land, co, target, "b2")
     assert later["new_jobs_stored"] == 0 and later["duplicates_skipped"] == first["candidates"]
     assert spark.read.parquet(target).select("url").distinct().count() == n1
+
+
+LAND = ("run_ts timestamp_ntz, platform string, company_seq bigint, search_id int, kind string, page_no int, item_key string, "
+        "status int, attempt int, body string")
+COMPANY = "company_seq bigint, company_name string, ats_platform string, board_slug string, j string"
+H1, H2 = dt.datetime(2024, 2, 15, 1), dt.datetime(2024, 2, 15, 2)
+
+
+def _job(i, title="Software Engineer Intern"):
+    return json.dumps({"id": i, "title": title, "location": {"name": "Toronto, ON"}, "updated_at": "2024-02-14T00:00:00Z", "departments": []})
+
+
+def _board(spark, rows_):
+    """Landed greenhouse answers: (run_ts, page, status, attempt, job ids); NULL search ids, as boards have none."""
+    data = [(ts, "greenhouse", 1, None, "list", page, None, status, attempt,
+             None if ids is None else '{"jobs":[' + ",".join(i if isinstance(i, str) else _job(i) for i in ids) + "]}")
+            for ts, page, status, attempt, ids in rows_]
+    co = spark.createDataFrame([(1, "Acme", "greenhouse", "acme", "{}")], COMPANY).withColumn("raw", F.parse_json("j")).drop("j")
+    return spark.createDataFrame(data, LAND), co
+
+
+def _empty(spark):
+    return spark.createDataFrame([], "url string")
+
+
+def test_runs_pages_and_attempts_are_all_read(spark):
+    """Two runs, a page gap, a page beyond any old limit, a late third attempt and a superseded answer; outcomes of
+    rows whose search_id is NULL."""
+    from hirewire.plans import run as R
+
+    land, co = _board(spark, [(H1, 0, 200, 0, [1, 2]), (H2, 0, 200, 0, [2, 3]), (H1, 7, 200, 0, [4]), (H1, 900, 200, 0, [5]),
+                              (H1, 1, 429, 0, None), (H1, 1, -1, 1, None), (H1, 1, 200, 2, [6]), (H1, 2, 200, 0, [7]), (H1, 2, 200, 1, [8]),
+                              (H1, 3, 404, 0, None)])
+    new, outcomes, stats, _ = R.plan_run(spark, land, co, _empty(spark))
+    got = sorted((r["url"].rsplit("/", 1)[1], r["run_ts"].hour) for r in new.collect())
+    assert got == [("1", 1), ("2", 1), ("3", 2), ("4", 1), ("5", 1), ("6", 1), ("8", 1)]
+    assert sorted(r["outcome"] for r in outcomes.collect()) == ["duplicate"] + ["new"] * 7
+    row = stats.first()
+    assert (row["total_jobs_found"], row["new_jobs_stored"], row["duplicates_skipped"], row["db_errors"]) == (8, 7, 1, 0)
+
+
+def test_rows_are_judged_by_their_own_run(spark):
+    from hirewire.plans import run as R
+
+    late = dt.datetime(2024, 6, 1)
+    land, co = _board(spark, [(H1, 0, 200, 0, [1]), (late, 0, 200, 0, [2])])  # both posted in February
+    assert sorted(r["outcome"] for r in R.plan_run(spark, land, co, _empty(spark))[1].collect()) == ["filtered_stale", "new"]
+
+
+def test_failing_rows_and_write_error_gate(spark, tmp_path):
+    from hirewire.plans import run as R
+
+    bad = _job(1, "Software Engineer Intern \x00")
+    land, co = _board(spark, [(H1, 0, 200, 0, [bad, 2])])
+    row = R.run(spark, land, co, str(tmp_path / "a"), "b1")
+    assert (row["db_errors"], row["new_jobs_stored"]) == (1, 1)
+    land, co = _board(spark, [(H1, 0, 200, 0, [bad])])
+    with pytest.raises(RuntimeError, match="write errors"):
+        R.run(spark, land, co, str(tmp_path / "b"), "b1")
+
+
+def test_scope_without_companies_gives_nothing(spark):
+    from hirewire.plans import run as R
+
+    land, co = _fixture(spark)
+    for kw in ({"platform": "linkedin"}, {"platform": "nosuch"}, {"company": "nobody"}):
+        new, _, stats, _ = R.plan_run(spark, land, co, _empty(spark), **kw)
+        assert new.count() == 0
+        assert all(v == 0 for v in stats.first().asDict().values())
+
+
+def test_unguarded_board_fails_in_its_own_run(spark):
+    from hirewire.plans import run as R
+
+    land, co = _board(spark, [(H1, 0, 200, 0, [1]), (H2, 0, 200, 0, [2])])
+    broken = _board(spark, [(H2, 1, 200, 0, [])])[0].withColumn("body", F.lit("{cut"))
+    new, _, stats, success = R.plan_run(spark, land.unionByName(broken), co, _empty(spark))
+    assert [r["run_ts"].hour for r in new.collect()] == [1] and success.first()["failed"]
+    assert stats.first()["companies_failed"] == 1
+
+
+def test_all_details_and_whole_texts(spark):
+    """More details than any old limit, and a text of 20,000 characters."""
+    from hirewire.operators.extract import finish_descriptions
+    from hirewire.plans import run as R
+
+    n, long = 450, "x" * 20_000
+    items = ",".join(json.dumps({"id": i, "jobOpeningName": f"T{i}", "location": {"city": "Ottawa"}}) for i in range(1, n + 1))
+    data = [(H1, "bamboohr", 1, 0, "list", 0, "", 200, 0, '{"result":[' + items + "]}")]
+    data += [(H1, "bamboohr", 1, 0, "detail", 0, str(i), 200, 0, json.dumps({"result": {"jobOpening": {"description": f"<p>{long}&amp;{i}</p>"}}}))
+             for i in range(1, n + 1)]
+    co = spark.createDataFrame([(1, "Acme", "bamboohr", "acme", "{}")], COMPANY).withColumn("raw", F.parse_json("j")).drop("j")
+    jobs = finish_descriptions(R.platform_raw_jobs(R.board_pages(spark.createDataFrame(data, LAND), co), "bamboohr"))
+    assert sorted(rows(jobs, "description")) == sorted(f"{long}&{i}" for i in range(1, n + 1))
+
+
+def test_missing_target_is_empty_but_a_broken_one_raises(spark, tmp_path):
+    from hirewire.operators import sink as SK
+
+    assert SK.read_target(spark, str(tmp_path / "none")) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        SK.stored_urls(spark, str(tmp_path / "broken")).collect()
+
+
+def test_stream_over_runs_restart_and_new_checkpoint(spark, tmp_path):
+    """Three batches, one holding a company's later page alone; a replayed batch; a stream started anew."""
+    from hirewire.streaming.incremental import process_batch, run_available, stream_name
+
+    co = _board(spark, [])[1]
+    target, ck = str(tmp_path / "jobs"), str(tmp_path / "ck")
+    src = str(tmp_path / "landing")
+    for k, answers in enumerate([[(H1, 0, 200, 0, [1, 2])], [(H1, 1, 200, 0, [3])], [(H2, 0, 200, 0, [2, 4])]]):
+        batch = _board(spark, answers)[0]
+        batch.coalesce(1).write.mode("append").parquet(src)
+        run_available(spark, src, co, target, ck, max_files_per_trigger=1)
+        assert len({r["url"] for r in spark.read.parquet(target).collect()}) == [2, 3, 4][k]
+    stored = sorted((r["url"], r["batch_id"]) for r in spark.read.parquet(target).collect())
+    process_batch(co, target, stream_name(ck), [])(batch, 2)  # the last batch once more
+    assert sorted((r["url"], r["batch_id"]) for r in spark.read.parquet(target).collect()) == stored
+    results = run_available(spark, src, co, target, str(tmp_path / "other"))
+    assert sum(r["new_jobs_stored"] for r in results) == 0
+    assert sorted((r["url"], r["batch_id"]) for r in spark.read.parquet(target).collect()) == stored

@@ -1,9 +1,8 @@
 """Registry (S1-S6) and landing (S8, S10-S12) behaviour on literal inputs."""
 
+import datetime as dt
 import json
 
-from pyspark.sql import functions as F
-
 from hirewire.sources import landing as LD
 from hirewire.sources import registry as R
 
@@ -36,47 +35,32 @@ def test_registry_truthiness_and_keys(spark, tmp_path):
     assert R.scope(good, company="ABSENT").count() == 1 and R.scope(good, platform="greenhouse").count() == 0
 
 
-def _pages(spark, data):
-    return spark.createDataFrame(data, "platform string, company_seq bigint, search_id int, page_no int, n int, "
-                                       "total int, ok boolean")
-
+LAND = ("run_ts timestamp_ntz, platform string, company_seq bigint, search_id int, kind string, page_no int, item_key string, "
+        "status int, attempt int, body string")
 
-def test_page_prefix_rules(spark):
-    data = [("w", 1, 0, p, 20, None, True) for p in range(4)]            # total missing -> stops after page 0
-    data += [("w", 2, 0, p, 20, 55, True) for p in range(5)]              # (p+1)*20 >= 55 -> pages 0..2
-    data += [("w", 3, 0, p, 20, 999, True) for p in (0, 1, 3)]            # gap at 2 -> pages 0..1
-    data += [("w", 4, 0, p, 20, 10 ** 6, True) for p in range(15)]        # cap of 10 pages
-    data += [("w", 5, 0, 0, 20, 100, True), ("w", 5, 0, 1, 0, 100, False), ("w", 5, 0, 2, 20, 100, True)]
-    df = _pages(spark, data)
-    stop = (F.col("n") == 0) | ((F.col("page_no") + 1) * 20 >= F.coalesce("total", F.lit(0)))
-    kept = LD.page_prefix(df, stop, 10)
-    got = {}
-    for c, p in rows(kept, "company_seq", "page_no"):
-        got.setdefault(c, []).append(p)
-    assert {k: sorted(v) for k, v in got.items()} == {1: [0], 2: [0, 1, 2], 3: [0, 1], 4: list(range(10)), 5: [0]}
 
+def test_latest_good_answer_of_each_request_and_run(spark):
+    def answer(company, status, attempt, body, hour=0, search=0):
+        return (dt.datetime(2024, 2, 15, hour), "phenom", company, search, "list", 0, "", status, attempt, body)
 
-def test_usable_pages_retries(spark):
-    schema = LD.LANDING_SCHEMA
-    ts = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
-    data = [("phenom", 1, 0, "list", 0, "", 429, 0, None), ("phenom", 1, 0, "list", 0, "", 200, 1, "ok"),
-            ("phenom", 2, 0, "list", 0, "", 404, 0, None), ("phenom", 2, 0, "list", 0, "", 200, 1, "late"),
-            ("phenom", 3, 0, "list", 0, "", 429, 0, None), ("phenom", 3, 0, "list", 0, "", 429, 1, None),
-            ("phenom", 3, 0, "list", 0, "", 200, 2, "beyond budget")]
-    cols = "platform string, company_seq bigint, search_id int, kind string, page_no int, item_key string, " \
-           "status int, attempt int, body string"
-    land = spark.createDataFrame(data, cols).withColumn("run_ts", ts).select(*[c.split()[0] for c in schema.split(", ")])
-    got = {r["company_seq"]: (r["ok"], r["body"]) for r in LD.usable_pages(land).collect()}
-    assert got == {1: (True, "ok"), 2: (False, None), 3: (False, None)}
+    data = [answer(1, 429, 0, None), answer(1, 200, 1, "ok"), answer(2, 404, 0, None), answer(2, 200, 1, "late"),
+            answer(3, 429, 0, None), answer(3, -1, 1, None), answer(3, 200, 9, "ninth"), answer(4, 200, 0, "old"), answer(4, 200, 1, "new"),
+            answer(4, 200, 0, "next hour", hour=1), answer(5, 500, 0, "error page"), answer(6, 200, 0, "a", search=None),
+            answer(6, 200, 1, "b", search=None)]
+    land = spark.createDataFrame(data, LAND)
+    got = sorted((r["company_seq"], r["run_ts"].hour, r["body"]) for r in LD.usable_pages(land).collect())
+    assert got == [(1, 0, "ok"), (2, 0, "late"), (3, 0, "ninth"), (4, 0, "new"), (4, 1, "next hour"), (6, 0, "b")]
+    ok = {(r["company_seq"], r["run_ts"].hour): r["ok"] for r in LD.request_outcomes(land).collect()}
+    assert ok == {(1, 0): True, (2, 0): True, (3, 0): True, (4, 0): True, (4, 1): True, (5, 0): False, (6, 0): True}
 
 
-def test_attach_details_cap_and_prefer(spark):
-    items = spark.createDataFrame([("oracle", 1, 0, i, str(i)) for i in range(5)],
-                                  "platform string, company_seq bigint, page_no int, item_pos int, item_key string")
-    det = spark.createDataFrame([("oracle", 1, str(i), f"d{i}") for i in range(5)],
-                                "platform string, company_seq bigint, item_key string, detail string")
-    out = LD.attach_details(items, det, cap=3)
-    assert sorted(rows(out, "item_pos", "detail")) == [(0, "d0"), (1, "d1"), (2, "d2"), (3, ""), (4, "")]
-    a = spark.createDataFrame([("s", 1, "csb")], "platform string, company_seq bigint, v string")
-    b = spark.createDataFrame([("s", 1, "rmk"), ("s", 2, "rmk")], "platform string, company_seq bigint, v string")
-    assert sorted(rows(LD.prefer(a, b), "company_seq", "v")) == [(1, "csb"), (2, "rmk")]
+def test_attach_details_and_prefer(spark):
+    t = "run_ts string, platform string, company_seq bigint, "
+    items = spark.createDataFrame([("r", "oracle", 1, i, str(i)) for i in range(500)], t + "item_pos int, item_key string")
+    det = spark.createDataFrame([("r", "oracle", 1, str(i), f"d{i}") for i in range(499)] + [("s", "oracle", 1, "499", "other run")],
+                                t + "item_key string, detail string")
+    out = LD.attach_details(items, det)
+    assert sorted(rows(out, "item_pos", "detail")) == [(i, f"d{i}") for i in range(499)] + [(499, "")]
+    a = spark.createDataFrame([("r", "s", 1, "csb")], t + "v string")
+    b = spark.createDataFrame([("r", "s", 1, "rmk"), ("r", "s", 2, "rmk"), ("q", "s", 1, "rmk")], t + "v string")
+    assert sorted(rows(LD.prefer(a, b), "run_ts", "company_seq", "v")) == [("q", 1, "rmk"), ("r", 1, "csb"), ("r", 2, "rmk")]
