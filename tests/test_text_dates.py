@@ -49,3 +49,23 @@ def test_iso_basic_and_week_forms(spark):
              "20260627T100000Z": dt.datetime(2026, 6, 27, 10), "2026-06-2": None, "2026-06-27T1": None,
              "2026-W53-1": dt.datetime(2026, 12, 28), "2025-W53-1": None, "2026-02-30": None}
     assert dict(zip(cases, col(spark, list(cases), D.iso_naive))) == cases
+
+
+def test_html_unescape_full_table(spark):
+    """Numeric, nested, unterminated and unknown entities decode as in HTML5, in one pass."""
+    import html
+
+    cases = ["&#39;&#x27;&#X41;", "&amp;lt;b&amp;gt;", "&ampx &notit; &copy 2024", "&nosuch; &;", "&#0; &#x110000; &#128;", "a & b", "&Aacute;&hearts;&NotEqualTilde;"]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string")
+    got = [r[0] for r in df.orderBy("i").select(T.html_unescape("s")).collect()]
+    assert got == [html.unescape(c) for c in cases]
+    assert got[0] == "\'\'A" and got[1] == "&lt;b&gt;" and got[2] == "&x ¬it; © 2024"
+
+
+def test_word_edges_next_to_letters_outside_ascii(spark):
+    """An accented letter is a letter: 'intern' inside 'internés' is no word, nor is 'vp' in 'évp'."""
+    from hirewire.functions import classify as C
+
+    df = spark.createDataFrame([(0, "Internés"), (1, "Intern – été"), (2, "ÉVP Sales"), (3, "VP Sales")], "i int, s string")
+    out = df.orderBy("i").select(C.experience_level("s").alias("e"), C.is_entry_level("s").alias("k")).collect()
+    assert [r["e"] for r in out[:2]] == ["new_grad", "internship"] and [r["k"] for r in out[2:]] == [True, False]
