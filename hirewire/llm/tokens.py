@@ -15,7 +15,7 @@ from array import array
 from functools import lru_cache
 
 #: Chunks and words in one generation of a Python worker's caches.
-CACHE_SIZE = 400_000
+CACHE_SIZE = 250_000
 #: Below this code point the character classes and case rules of all Unicode versions agree.
 STABLE = "ɐ"
 UNSTABLE = re.compile("[^\x00-\u024f]|İ")

@@ -32,7 +32,7 @@ NGRAMS = (3, 4, 5)
 LANE = 512  # tokens of a lane, see ``marginals``
 FORGET = 1e-12
 LAYER = 5  # inputs of the logistic layer
-CACHE_SIZE = 600_000  # emissions that a worker keeps
+CACHE_SIZE = 200_000  # emissions that a worker keeps
 
 
 def features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +264,7 @@ def held_out(id_col) -> object:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, max_rows: int = 1200, max_chars: int = 20_000, id_col: str = "doc_id",
+def train(documents: DataFrame, labels: DataFrame, max_rows: int = 1000, max_chars: int = 20_000, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic") -> Crf:
     """Fit on at most ``max_rows`` labelled documents of each class (those whose ids have the smallest hashes) of at
     most ``max_chars`` characters, held-out rows left out. That bounds what the driver gets, at any size of the
