@@ -5,13 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirewire.session import ensure_checkpoint_dir
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Rows in one Arrow batch to a Python worker: whole texts are long, so batches stay small.
-ARROW_ROWS = 512
+#: Rows and bytes in one Arrow batch to a Python worker: whole texts are long, so batches stay small.
+ARROW_ROWS, ARROW_BYTES = 512, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound a Python worker's memory by the rows of a batch, as whole texts have no bound of their own."""
+    """Bound a Python worker's memory by the rows and bytes of a batch, as whole texts have no bound of their own."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -42,9 +41,3 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in have:
         wanted = f"_{wanted}"
     return wanted
-
-
-def with_struct(df: DataFrame, fields: dict[str, object], keep: list[str]) -> DataFrame:
-    """``keep`` of ``df`` and then ``fields``; own results win over input columns of the same name."""
-    taken = {k.lower() for k in fields}
-    return df.select(*[F.col(f"`{c}`") for c in keep if c.lower() not in taken], *[v.alias(k) for k, v in fields.items()])

@@ -20,7 +20,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hirewire.llm.common import small_batches, written
 from hirewire.llm.tokens import library_encoder

@@ -17,7 +17,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hirewire.llm.common import free_name, small_batches, written
 from hirewire.llm.components import connected_components

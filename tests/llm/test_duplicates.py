@@ -5,7 +5,6 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-import pytest
 import xxhash
 from pyspark.sql import functions as F
 
