@@ -87,7 +87,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "token-records")
     manifest = token_records.write_records(table(spark, sf_dir, "documents"), folder, public_path("word_bpe_49k.json"), END_ID)
-    return token_records.with_crc(token_records.read_records(manifest, folder))
+    return token_records.read_records(manifest, folder, digest=True)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

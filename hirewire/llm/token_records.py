@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -170,8 +171,9 @@ def wide(ids: bytes, width: int) -> bytes:
     return ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
 
 
-def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
-    """Read the files that the manifest names, checksums verified: (id, start, n_tokens, ids binary).
+def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id", digest: bool = False) -> DataFrame:
+    """Read the files that the manifest names, checksums verified: (id, start, n_tokens, ids binary), or with
+    ``digest`` instead of the ids ids_crc32, the unsigned CRC-32 of the ids as u32.
 
     ``start`` counts the ids of all documents before, over all files; only the manifest, one row for each
     file, meets in a window. A task reads a file as a stream; null ids come back as null."""
@@ -184,8 +186,9 @@ def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Da
                 with store.open_input_stream(f"{base}/{file}", buffer_size=1 << 20) as stream:
                     for payload in unframe(stream):
                         doc, n = struct.unpack("<q", payload[:8])[0], (len(payload) - 8) // width
-                        rows.append((None if doc == NO_ID else doc, start, n, wide(payload[8:], width)))
-                        start, held = start + n, held + len(payload)
+                        ids = wide(payload[8:], width)
+                        rows.append((None if doc == NO_ID else doc, start, n, zlib.crc32(ids) if digest else ids))
+                        start, held = start + n, held + (32 if digest else len(payload))
                         if held >= 4 << 20:
                             yield batch(rows)
                             rows, held = [], 0
@@ -193,21 +196,18 @@ def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Da
                     yield batch(rows)
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                                          ["id", "start", "n_tokens", "ids"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64() if digest else pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["id", "start", "n_tokens", last])
+
+    last = "ids_crc32" if digest else "ids"
 
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = manifest.select("part", "file", "id_bytes", before.cast("long").alias("start"))
     spread = files.repartition(manifest.sparkSession.sparkContext.defaultParallelism * 4, "file")
-    out = spread.select("file", "start", "id_bytes").mapInArrow(run, "id long, start long, n_tokens long, ids binary")
+    out = spread.select("file", "start", "id_bytes").mapInArrow(run, f"id long, start long, n_tokens long, {last} {'long' if digest else 'binary'}")
     return out.withColumnRenamed("id", id_col)
 
 
-def with_crc(records: DataFrame) -> DataFrame:
-    """Instead of the ids their unsigned CRC-32 (JVM-side)."""
-    return records.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-
-
 def read_record(folder: str, file: str, number: int, width: int) -> tuple[int | None, np.ndarray]:
     """One record by its number in a file of ids of ``width`` bytes, by way of the offset index: (id, ids)."""
     store, base = _store(folder)
