@@ -188,7 +188,8 @@ def find_links(vectors: DataFrame, index: MultiIndex, min_cosine: float) -> Data
 
     pick = [*keys, "rid", "v", "copies"]
     met = indexed.select(*pick, F.lit(False).alias("searches")).unionByName(searching.select(*pick, F.lit(True).alias("searches")))
-    return met.groupBy(*keys).applyInArrow(verify, "rid long, n long, other long")
+    # dealt anew by block: the join above has left all blocks of a crowded cell in one partition
+    return met.repartition(*keys).groupBy(*keys).applyInArrow(verify, "rid long, n long, other long")
 
 
 def near_duplicates(df: DataFrame, min_cosine: float = 0.98, codewords: int | None = None, target_recall: float = 0.999,
