@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import small_batches
+from hirewire.llm.common import small_batches, written
 from hirewire.llm.tokens import Cache
 
 LONGEST_WORD = 24
@@ -140,7 +140,7 @@ def word_counts(pages: DataFrame, text_col: str = "html") -> tuple[dict[str, int
     ``WORD_SHARE`` of all of them; and how many there are in all."""
     text = F.regexp_replace(F.lower(F.col(f"`{text_col}`").cast("string")), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("w")).where((F.length("w") > 1) & (F.length("w") <= LONGEST_WORD))
-    counts = words.groupBy("w").agg(F.count("*").alias("n"))
+    counts = written(words.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     often = counts.where(F.col("n") >= max(1.0, WORD_SHARE * total))
     return {r["w"]: r["n"] for r in often.collect()}, total  # at most 1 / WORD_SHARE rows
