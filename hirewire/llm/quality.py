@@ -17,7 +17,8 @@ from hirewire.llm.common import free_name, written
 
 # What separates words, and the characters counted as symbols.
 SPACES = "[ \\t-\\r]+"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+NOT_BLANK = "[^ \\t-\\r]"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
 SALTS = 16  # parts that the rows of one line are dealt to
@@ -37,7 +38,9 @@ class Limits:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACES), lambda w: w != "")
+    """Without separators at its ends, a text splits into words and nothing else."""
+    inner = F.trim(text, F.lit(BLANKS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACES))
 
 
 def let(value: Column, body) -> Column:
@@ -80,13 +83,13 @@ def base_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     with a repeated window pay for its places."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     t, w, l, g, again = (free_name(df, n) for n in ("_t", "_w", "_l", "_g", "_again"))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(NOT_BLANK))
     one = df.select("*", text.alias(t), words(text).alias(w), lines.alias(l))
     two = one.select("*", windows(F.col(w)).alias(g))
     three = two.select("*", (F.size(F.array_distinct(g)) < F.size(g)).alias(again))
     counts = {
-        "n_words": F.size(w), "word_chars": F.length(F.translate(t, BLANKS, "")),
-        "n_symbols": F.length(t) - F.length(F.translate(t, SYMBOLS, "")), "n_dup_lines": F.size(l) - F.size(F.array_distinct(l)),
+        "n_words": F.size(w), "word_chars": F.length(F.array_join(w, "")), "n_symbols": F.regexp_count(t, F.lit(SYMBOLS)),
+        "n_dup_lines": F.size(l) - F.size(F.array_distinct(l)),
         "n_repeat_words": F.when(F.col(again), repeat_words(F.col(g))).otherwise(0)}
     return three.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in counts], *[v.cast("long").alias(k) for k, v in counts.items()])
 
@@ -97,7 +100,12 @@ def short_hash(text: Column) -> Column:
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), SPACES, " "))
+    """Lower case, digits as one 0, single spaces between words; only runs of white space that aren't one space match."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), "[ \\t-\\r]*[\\t-\\r][ \\t-\\r]*|  +", " "))
+
+
+def word_count(normal: Column) -> Column:
+    return F.when(normal == "", F.lit(0)).otherwise(F.length(normal) - F.length(F.translate(normal, " ", "")) + 1)
 
 
 def document_lines(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -106,7 +114,8 @@ def document_lines(df: DataFrame, host_col: str = "source", text_col: str = "tex
     of its other lines (empty if there is none), ``n`` the line's words. Written to the shared folder, as three
     steps read it and it is a small part of the texts."""
     text = F.col(f"`{text_col}`").cast("string")
-    pairs = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("place"), short_hash(normalised(x)).alias("line"), F.size(words(x)).alias("n")))
+    lines = F.transform(F.split(text, "\n"), lambda x: normalised(x))
+    pairs = F.transform(lines, lambda x, i: F.struct(i.alias("place"), short_hash(x).alias("line"), word_count(x).alias("n")))
     rows = df.select(F.col(f"`{host_col}`").cast("string").alias("host"), short_hash(F.coalesce(text, F.lit(""))).alias("doc"), F.filter(pairs, lambda p: p["n"] > 0).alias("p"))
     sorted_ = rows.select("host", "doc", "p", F.array_sort(F.array_distinct(F.transform("p", lambda p: p["line"]))).alias("h"))
     flat = sorted_.select("host", "doc", F.get("h", F.lit(0)).alias("key"), F.get("h", F.lit(1)).alias("second"), F.explode("p").alias("q"))
