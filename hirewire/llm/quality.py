@@ -2,8 +2,8 @@
 
 Lines are normalised (case, digits, white space) and hashed; a line that more distinct documents of a host
 contain than the limits allow is removed from all of them but its first; documents that this depletes are
-rejected. Documents that differ in nothing but that line, and near copies whose other lines
-have the same smallest hash, count as one, so a group of copies doesn't make its own lines common.
+rejected. Documents with the same set of lines count as one, so a group of copies doesn't make its own lines
+common; near copies with a line of their own count apart.
 """
 
 from __future__ import annotations
@@ -109,28 +109,27 @@ def word_count(normal: Column) -> Column:
 
 
 def document_lines(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(host, doc, key, others, place, line, n) for each line with a word: ``doc`` is the hash of the whole text,
-    ``line`` that of the normalised line, ``key`` the document's smallest line hash, ``others`` the smallest one
-    of its other lines (empty if there is none), ``n`` the line's words. Written to the shared folder, as three
-    steps read it and it is a small part of the texts."""
+    """(host, doc, key, place, line, n) for each line with a word: ``doc`` is the hash of the whole text, ``line``
+    that of the normalised line, ``key`` that of the sorted set of all the document's lines, ``n`` the line's words.
+    Written to the shared folder, as three steps read it and it is a small part of the texts."""
     text = F.col(f"`{text_col}`").cast("string")
     lines = F.transform(F.split(text, "\n"), lambda x: normalised(x))
     pairs = F.transform(lines, lambda x, i: F.struct(i.alias("place"), short_hash(x).alias("line"), word_count(x).alias("n")))
     rows = df.select(F.col(f"`{host_col}`").cast("string").alias("host"), short_hash(F.coalesce(text, F.lit(""))).alias("doc"), F.filter(pairs, lambda p: p["n"] > 0).alias("p"))
-    sorted_ = rows.select("host", "doc", "p", F.array_sort(F.array_distinct(F.transform("p", lambda p: p["line"]))).alias("h"))
-    flat = sorted_.select("host", "doc", F.get("h", F.lit(0)).alias("key"), F.get("h", F.lit(1)).alias("second"), F.explode("p").alias("q"))
-    others = F.when(F.col("q.line") != F.col("key"), F.col("key")).otherwise(F.coalesce("second", F.lit("")))
-    return written(flat.select("host", "doc", "key", others.alias("others"), "q.place", "q.line", "q.n"), "lines")
+    key = short_hash(F.array_join(F.array_sort(F.array_distinct(F.transform("p", lambda p: p["line"]))), ""))
+    flat = rows.select("host", "doc", "p", key.alias("key")).select("host", "doc", "key", F.explode("p").alias("q"))
+    return written(flat.select("host", "doc", "key", "q.place", "q.line", "q.n"), "lines")
 
 
 def common_lines(lines: DataFrame, limits: Limits) -> DataFrame:
     """(host, line, n_documents, first): the lines above both limits, ``first`` being the least document hash that
-    has it. Null hosts are one host. Documents are distinct if their other lines are, by the smallest hash; finding
-    them by (host, line, others) spreads the rows of a line before its counts meet."""
-    per_key = lines.groupBy("host", "line", "others").agg(F.min("doc").alias("first"))
+    has it. Null hosts are one host. Documents of a line are distinct if the sets of their other lines are, and as
+    they share the line, if the sets of all their lines are; finding them by (host, line, key) spreads the rows of
+    a line before its counts meet."""
+    per_key = lines.groupBy("host", "line", "key").agg(F.min("doc").alias("first"))
     counts = per_key.groupBy("host", "line").agg(F.count("*").alias("n_documents"), F.min("first").alias("first"))
     often = counts.where(F.col("n_documents") > limits.line_documents)
-    hosts = lines.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("n_host")).withColumnRenamed("host", "h")
+    hosts = lines.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("n_host")).withColumnRenamed("host", "h")
     joined = often.join(hosts, F.col("host").eqNullSafe(F.col("h")))
     return joined.where(100 * F.col("n_documents") > limits.line_percent * F.col("n_host")).select("host", "line", "n_documents", "first")
 

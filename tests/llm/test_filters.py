@@ -56,6 +56,17 @@ def test_common_lines(spark, documents):
     assert quality.judge(documents([])).count() == 0
 
 
+def test_distinct_documents_of_a_line(spark, documents):
+    """Unrelated documents that share a second line, whose hash is the least of all, are counted one by one."""
+    letters = lambda n: chr(97 + n // 26) + chr(97 + n % 26)
+    low = next(x for x in (f"line {letters(i % 676)} {letters(i // 676)}" for i in range(400_000)) if hashlib.md5(x.encode()).hexdigest() < "0002")
+    rows = [(k, f"own {letters(k)} text\n{low}\nread more", "many") for k in range(25)]
+    rows += [(100 + k, f"own {letters(k % 20)} text\n{low}\nread more" + " " * (k // 20), "few") for k in range(60)]
+    lines = quality.document_lines(documents(rows))
+    found = {(r["host"], r["line"]): r["n_documents"] for r in quality.common_lines(lines, quality.Limits()).collect()}
+    assert found == {("many", hashlib.md5(x.encode()).hexdigest()[:16]): 25 for x in (low, "read more")}
+
+
 RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("org", "/fr/", "allow")]
 
 
