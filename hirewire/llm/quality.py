@@ -1,7 +1,7 @@
 """Quality rules on DataFrame functions only: counts of one document, and lines that many documents share.
 
 Lines are normalised (case, digits, white space) and hashed; a line that more distinct documents of a host
-contain than the limits allow is removed from all of them but its first; documents that this depletes are
+contain than the limit allows is removed from all of them but its first; documents that this depletes are
 rejected. Documents with the same set of lines count as one, so a group of copies doesn't make its own lines
 common; near copies with a line of their own count apart.
 """
@@ -27,13 +27,12 @@ SALTS = 16  # parts that the rows of one line are dealt to
 @dataclass(frozen=True)
 class Limits:
     """``min_words`` and ``repeat_percent``: the base rules. A line is common in a host if more than
-    ``line_documents`` distinct documents and more than ``line_percent`` of the host's contain it. A document is
-    depleted if its common lines hold more than ``depleted_percent`` of its words."""
+    ``line_documents`` distinct documents contain it, however many the host has. A document is depleted if its
+    common lines hold more than ``depleted_percent`` of its words."""
 
     min_words: int = 20
     repeat_percent: int = 30
     line_documents: int = 20
-    line_percent: float = 1.0
     depleted_percent: int = 80
 
 
@@ -122,16 +121,13 @@ def document_lines(df: DataFrame, host_col: str = "source", text_col: str = "tex
 
 
 def common_lines(lines: DataFrame, limits: Limits) -> DataFrame:
-    """(host, line, n_documents, first): the lines above both limits, ``first`` being the least document hash that
+    """(host, line, n_documents, first): the lines above the limit, ``first`` being the least document hash that
     has it. Null hosts are one host. Documents of a line are distinct if the sets of their other lines are, and as
     they share the line, if the sets of all their lines are; finding them by (host, line, key) spreads the rows of
     a line before its counts meet."""
     per_key = lines.groupBy("host", "line", "key").agg(F.min("doc").alias("first"))
     counts = per_key.groupBy("host", "line").agg(F.count("*").alias("n_documents"), F.min("first").alias("first"))
-    often = counts.where(F.col("n_documents") > limits.line_documents)
-    hosts = lines.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("n_host")).withColumnRenamed("host", "h")
-    joined = often.join(hosts, F.col("host").eqNullSafe(F.col("h")))
-    return joined.where(100 * F.col("n_documents") > limits.line_percent * F.col("n_host")).select("host", "line", "n_documents", "first")
+    return counts.where(F.col("n_documents") > limits.line_documents).select("host", "line", "n_documents", "first")
 
 
 def removals(lines: DataFrame, common: DataFrame) -> DataFrame:

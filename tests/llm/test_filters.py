@@ -67,6 +67,15 @@ def test_distinct_documents_of_a_line(spark, documents):
     assert found == {("many", hashlib.md5(x.encode()).hexdigest()[:16]): 25 for x in (low, "read more")}
 
 
+def test_common_lines_of_a_large_host(spark, documents):
+    """The same line of 21 documents goes in a host of any size, that of 20 stays."""
+    rows = [(k, f"own text {chr(97 + k % 26)}x{chr(97 + k // 26 % 26)}x{chr(97 + k // 676)}" + "\nread more" * (k < 21) + "\nsee also" * (k < 20), "large") for k in range(2300)]
+    rows += [(10_000 + i, t, "small") for i, t, _ in rows[:30]]
+    lines = quality.document_lines(documents(rows))
+    found = {(r["host"], r["line"]): r["n_documents"] for r in quality.common_lines(lines, quality.Limits()).collect()}
+    assert found == {(h, hashlib.md5(b"read more").hexdigest()[:16]): 21 for h in ("large", "small")}
+
+
 RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("org", "/fr/", "allow")]
 
 
