@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and character Markov models for strings that no pattern knows.
 
 Two first-order models, one of random strings and one of ordinary identifiers, give each run of token
-characters a log-likelihood ratio; runs that are likelier random are spans of kind ``markov``. The models are
+characters, less what a pattern matched in it, a log-likelihood ratio; runs and parts of runs that are likelier random
+are spans of kind ``markov``. The models are
 trained from labelled samples: ordinary are the runs of a bounded sample of documents that no pattern matches,
 random are values that patterns matched there and strings drawn uniformly from the usual key alphabets.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,7 @@ ASSIGN_VALUE = 12
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # 18 characters or more; a run is matched whole or not at all
 HEX = re.compile(r"[0-9a-f]{16,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")  # every hexadecimal match lies within one of these
+LEAST, JOINERS = 16, "+/_=-"  # characters that a span of the models has at least; those that join parts of a run
 ANY_RUN = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
 
 #: Letters count without case: capitals are no sign of randomness.
@@ -73,6 +76,23 @@ def random_samples(n: int = 2000, length: int = 32, seed: int = 7) -> list[str]:
     return ["".join(draw.choices(a, k=length)) for a in KEY_ALPHABETS for _ in range(n // len(KEY_ALPHABETS))]
 
 
+def nearest_joints(run: str, s: int, e: int) -> tuple[int, int]:
+    """Each end of a part moved to the joining character (or end of the run) nearest to it, outwards if both are as near
+    and by the part's length at most; joining characters at the new ends stay outside."""
+    low, high = max(0, 2 * s - e), min(len(run), 2 * e - s)
+    a = next((i for i in range(s, low, -1) if run[i - 1] in JOINERS), s if low else 0)
+    inner = next((i for i in range(s, min(e, 2 * s - a)) if run[i] in JOINERS), None)
+    a = a if inner is None else inner
+    b = next((i for i in range(e, high) if run[i] in JOINERS), high if high == len(run) else e)
+    inner = next((i for i in range(e, max(a, 2 * e - b), -1) if run[i - 1] in JOINERS), None)
+    b = b if inner is None else inner
+    while a < b and run[a] in JOINERS:
+        a += 1
+    while b > a and run[b - 1] in JOINERS:
+        b -= 1
+    return a, b
+
+
 class MarkovPair:
     """``ratio[last, next]``: log-likelihood of a step under the random model less that under the ordinary one."""
 
@@ -89,25 +109,90 @@ class MarkovPair:
             last = i
         return total
 
+    def varied(self, run: str) -> bool:
+        """Some variety and a digit or two cases of letters (a plain word has neither); no part has it if the run hasn't."""
+        return len(set(run)) >= self.min_distinct and (any(c.isdigit() for c in run) or run != run.lower() and run != run.upper())
+
     def is_random(self, run: str) -> bool:
-        """Both the whole and the mean step speak for random, and the run has some variety and a digit or two
-        cases of letters (a plain word has neither)."""
-        if len(set(run)) < self.min_distinct or not (any(c.isdigit() for c in run) or run != run.lower() and run != run.upper()):
+        """Both the whole and the mean step speak for random, and the run is varied."""
+        if not self.varied(run):
             return False
         score = self.score(run)
         return score >= self.min_ratio and score >= self.min_per_char * len(run)
 
+    def best_parts(self, run: str) -> list[tuple[int, int]]:
+        """The maximal parts of a run by the sum of ratios, each step less ``min_per_char`` (Ruzzo and Tompa): disjoint,
+        in order, in linear time."""
+        parts: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum after, last part with a smaller sum before
+        last, total = START, 0.0
+        for at, c in enumerate(run):
+            i = CODE[c]
+            before, step = total, self.ratio[last][i] - self.min_per_char
+            last, total = i, total + step
+            if step <= 0:
+                continue
+            start, k = at, len(parts) - 1
+            while True:
+                while k >= 0 and parts[k][2] >= before:
+                    k = parts[k][4]
+                if k < 0 or parts[k][3] >= total:
+                    break
+                start, before = parts[k][0], parts[k][2]
+                del parts[k:]
+                k = len(parts) - 1
+            parts.append((start, at + 1, before, total, k))
+        return [p[:2] for p in parts]
+
+    def random_parts(self, run: str) -> list[tuple[int, int]]:
+        """(start, end) of what is random: the whole run, or else its best parts, each end moved to the nearest
+        joining character where that is random too."""
+        if self.is_random(run):
+            return [(0, len(run))]
+        if not self.varied(run):
+            return []
+        out: list[tuple[int, int]] = []
+        for s, e in self.best_parts(run):
+            if self.score(run[s:e]) < self.min_ratio:
+                continue
+            for x, y in (nearest_joints(run, s, e), (s, e)):
+                if y - x >= LEAST and self.is_random(run[x:y]):
+                    if out and x < out[-1][1]:
+                        out[-1] = (out[-1][0], max(y, out[-1][1]))
+                    else:
+                        out.append((x, y))
+                    break
+        return out
+
+
+def free_parts(s: int, e: int, taken: list[tuple[int, int]], text: str) -> list[tuple[int, int]]:
+    """What the sorted spans ``taken`` leave of a run, without the joining characters beside a span."""
+    out, at = [], s
+    for a, b in [*((a, b) for a, b in taken if a < e and b > s), (e, e)]:
+        end = min(a, e)
+        begin = at
+        while begin > s and begin < end and text[begin] in JOINERS:
+            begin += 1
+        while end < e and end > begin and text[end - 1] in JOINERS:
+            end -= 1
+        if end - begin >= LEAST:
+            out.append((begin, end))
+        at = max(at, b)
+    return out
+
 
 def all_spans(text: str | None, model: MarkovPair) -> list[tuple[int, str, int]]:
-    """Base spans and, where none of them lies, runs that the models call random; by start, then kind."""
+    """Base spans and, in what they leave of each run, what the models call random; by start, then kind."""
     if not text:
         return []
     found = base_spans(text)
-    taken = [(s, e) for s, _, e in found]
+    taken, k = sorted((s, e) for s, _, e in found), 0
     for m in RUN.finditer(text):
         s, e = m.span()
-        if not any(s < b and a < e for a, b in taken) and model.is_random(m.group()):
-            found.append((s, "markov", e))
+        while k < len(taken) and taken[k][1] <= s:
+            k += 1
+        n = bisect_left(taken, (e,))
+        for a, b in free_parts(s, e, taken[k:n], text):
+            found += [(a + x, "markov", a + y) for x, y in model.random_parts(text[a:b])]
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
