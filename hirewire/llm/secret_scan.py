@@ -3,8 +3,8 @@
 Two first-order models, one of random strings and one of ordinary identifiers, give each run of token
 characters, less what a pattern matched in it, a log-likelihood ratio; runs and parts of runs that are likelier random
 are spans of kind ``markov``. The models are
-trained from labelled samples: ordinary are the runs of a bounded sample of documents that no pattern matches,
-random are values that patterns matched there and strings drawn uniformly from the usual key alphabets.
+trained from all documents: ordinary are the runs that no pattern matches, random are values that patterns matched
+and strings drawn uniformly from the usual key alphabets.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ ANY_RUN = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
 ALPHABET = string.ascii_lowercase + string.digits + "+/_=-"
 START = len(ALPHABET)
 CODE = {c: i for i, c in enumerate(ALPHABET)} | {c.upper(): i for i, c in enumerate(ALPHABET) if c.isalpha()}
+CODES = np.full(256, -1, np.int64)  # by byte; a line break starts a string
+CODES[[ord(c) for c in CODE]], CODES[ord("\n")] = list(CODE.values()), START
 KEY_ALPHABETS = ["0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
                  string.ascii_letters + string.digits + "-_", string.ascii_uppercase + "234567"]
 
@@ -56,15 +58,25 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def transitions(strings) -> np.ndarray:
-    counts = np.zeros((START + 1, START))
-    for s in strings:
-        last = START
-        for c in s:
-            i = CODE.get(c)
-            if i is not None:
-                counts[last, i] += 1
-                last = i
-    return counts
+    """Counts of steps between characters of each string; other characters are passed over."""
+    text = "\n".join(["", *strings]).encode("ascii", "ignore")
+    codes = CODES[np.frombuffer(text, np.uint8)]
+    codes = codes[codes >= 0]
+    last, following = codes[:-1], codes[1:]
+    steps = (last * START + following)[following != START]
+    return np.bincount(steps, minlength=(START + 1) * START).reshape(START + 1, START).astype(float)
+
+
+def secret_values(text: str, spans: list[tuple[int, str, int]]) -> list[str]:
+    """What the patterns matched, of ``assign`` only the value; overlapping matches once. Values of one kind of
+    character, digits or letters, say little and are left out."""
+    places = sorted((ASSIGN.match(text, s, e).start(2) if kind == "assign" else s, e) for s, kind, e in spans)
+    out, at = [], 0
+    for s, e in places:
+        if e > at:
+            out.append(text[max(s, at):e])
+            at = e
+    return [v for v in out if not v.isdigit() and not v.isalpha()]
 
 
 def log_model(counts: np.ndarray, smoothing: float = 0.5) -> np.ndarray:
@@ -164,6 +176,17 @@ class MarkovPair:
         return out
 
 
+def merged(spans) -> list[tuple[int, int]]:
+    """The spans in order, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def free_parts(s: int, e: int, taken: list[tuple[int, int]], text: str) -> list[tuple[int, int]]:
     """What the sorted spans ``taken`` leave of a run, without the joining characters beside a span."""
     out, at = [], s
@@ -185,7 +208,7 @@ def all_spans(text: str | None, model: MarkovPair) -> list[tuple[int, str, int]]
     if not text:
         return []
     found = base_spans(text)
-    taken, k = sorted((s, e) for s, _, e in found), 0
+    taken, k = merged((s, e) for s, _, e in found), 0
     for m in RUN.finditer(text):
         s, e = m.span()
         while k < len(taken) and taken[k][1] <= s:
@@ -196,9 +219,8 @@ def all_spans(text: str | None, model: MarkovPair) -> list[tuple[int, str, int]]
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_documents: int = 4000) -> MarkovPair:
-    """Train both models on the ``max_documents`` documents whose ids have the smallest hashes: a bounded sample
-    that is the same in every run. Workers return counts of steps (at most one row for each pair of
+def train(df: DataFrame, text_col: str = "text") -> MarkovPair:
+    """Train both models on all documents. Workers return counts of steps (at most one row for each pair of
     characters); no text reaches the driver. Without any text the models are those of the random samples and
     a flat one."""
     small_batches(df.sparkSession)
@@ -210,21 +232,25 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_doc
                 if not text:
                     continue
                 spans = base_spans(text)
-                values = [text[s:e] for s, kind, e in spans if kind == "hex"]
-                rnd += transitions(v for v in values if not v.isdigit() and not v.isalpha())
-                plain += transitions(m.group() for m in ANY_RUN.finditer(text)
-                                     if not any(s < m.end() and m.start() < e for s, _, e in spans))
+                if not spans:
+                    plain += transitions(ANY_RUN.findall(text))
+                    continue
+                rnd += transitions(secret_values(text, spans))
+                taken, k, ordinary = merged((s, e) for s, _, e in spans), 0, []
+                for m in ANY_RUN.finditer(text):
+                    while k < len(taken) and taken[k][1] <= m.start():
+                        k += 1
+                    if k == len(taken) or taken[k][0] >= m.end():
+                        ordinary.append(m.group())
+                plain += transitions(ordinary)
         for k, counts in enumerate((rnd, plain)):
             at = np.argwhere(counts)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.int32()), pa.array(at[:, 0], pa.int32()),
                                               pa.array(at[:, 1], pa.int32()), pa.array(counts[counts > 0], pa.float64())],
                                              ["model", "last", "next", "n"])
 
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    order = F.xxhash64(F.col("id").cast("string"))
-    ids = rows.select("id", order.alias("h")).where("id is not null").distinct().orderBy("h", "id").limit(max_documents).select("id")
-    sample = rows.join(F.broadcast(ids), "id", "left_semi").select("text")
-    steps = sample.mapInArrow(count, "model int, last int, next int, n double").groupBy("model", "last", "next").agg(F.sum("n").alias("n"))
+    steps = df.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(count, "model int, last int, next int, n double")
+    steps = steps.groupBy("model", "last", "next").agg(F.sum("n").alias("n"))
     counts = np.zeros((2, START + 1, START))
     for r in steps.collect():  # at most 2 * 42 * 41 rows
         counts[r["model"], r["last"], r["next"]] = r["n"]
