@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirewire.llm import bpe, embedding_dedup, packing, quality, secret_scan, sharding, simhash, token_records, toxicity, url_filter
+from hirewire.llm import (bpe, conversation_repair, embedding_dedup, exact_dedup, importance_resampling, packing, quality, secret_scan, sharding, simhash,
+                          token_records, toxicity, url_filter)
 from hirewire.llm.common import shared_path, table
 from hirewire.llm.tokens import public_path
 
@@ -99,6 +100,26 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"), END_ID, size=1024)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), fraction_percent=10, least_words=20, seed=2024)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit_and_digest(damaged, gone=F.col("lost"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 QUERIES = {
     "op1_bpe_codec": (op1_bpe_codec, None),
     "op2_quality_rules": (op2_quality_rules, OP2_SQL),
@@ -110,4 +131,7 @@ QUERIES = {
     "op8_token_records": (op8_token_records, None),
     "op9_secret_scan": (op9_secret_scan, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_importance_resampling": (op11_importance_resampling, None),
+    "op12_conversation_repair": (op12_conversation_repair, None),
+    "op13_exact_dedup": (op13_exact_dedup, OP13_SQL),
 }
