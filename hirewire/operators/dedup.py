@@ -1,9 +1,9 @@
 """First-wins deduplication and the new-only anti-join.
 
-First-wins is a ``min`` over a struct whose leading fields are the arrival-order
-keys: the aggregate runs map-side before the shuffle, so a URL that holds a third of
-all rows is reduced to one row per input partition before it is exchanged (a
-``row_number`` window would sort the whole hot key in one task).
+First-wins is a ``min`` over the arrival-order columns alone: the aggregate runs map-side
+before the shuffle, so a URL that holds a third of all rows is reduced to one narrow row
+per input partition before it is exchanged (a ``row_number`` window would sort the whole
+hot key in one task). The other columns are joined back by the winners' keys.
 """
 
 from __future__ import annotations
@@ -24,13 +24,20 @@ def quality_gate(df: DataFrame) -> Column:
     return F.coalesce(url.isNotNull() & (url != "") & ~is_blank("company") & ~is_blank("title"), F.lit(False))
 
 
+def first_keys(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
+    """Per ``key`` the smallest ``order`` values; nulls come first."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_w")).select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order])
+
+
 def first_wins(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
-    """One row per ``key`` -- the one smallest in ``order`` (ties broken by the rest)."""
+    """The rows of ``df`` that come first of their ``key``. ``order`` tells the rows of a key apart, as arrival
+    order does; rows that agree in it are one arrival, and all of them stay. ``df`` is read twice, so what is
+    dear to compute should be written first."""
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]).alias("_w")
-    win = df.groupBy(*keys).agg(F.min(packed).alias("_w"))
-    return win.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    firsts = first_keys(df, keys, order)
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in [*keys, *order]]
+    return df.alias("d").join(firsts.alias("f"), same, "left_semi").select(*df.columns)
 
 
 def new_only(batch: DataFrame, target_urls: DataFrame, key: str = "url") -> DataFrame:

@@ -19,6 +19,7 @@ from hirewire.functions import dims
 from hirewire.functions import text as T
 from hirewire.functions.domains import search_logo
 from hirewire.functions.staging import materialize
+from hirewire.session import write_shared
 from hirewire.sources import landing as LD
 from hirewire.sources.registry import opt
 
@@ -263,8 +264,31 @@ def oracle_na(primary_country: Column, secondary: Column) -> Column:
         F.coalesce(F.arrays_overlap(codes, F.array(*[F.lit(c) for c in dims.ORACLE_NA_COUNTRIES])), F.lit(False))
 
 
-def _detail_text(details: DataFrame, pick: Column) -> DataFrame:
-    return details.select("run_ts", "platform", "company_seq", "item_key", pick.alias("detail"))
+def _oracle_text() -> Column:
+    item = F.get(F.try_variant_get(F.try_parse_json("body"), "$.items", "array<variant>"), 0)
+    parts = ("ExternalDescriptionStr", "ExternalResponsibilitiesStr", "ExternalQualificationsStr")
+    return T.join_nonempty([F.coalesce(nz(vs(item, k)), F.lit("")) for k in parts], "\n")
+
+
+def _field_text(path: str) -> Column:
+    return F.coalesce(nz(F.try_variant_get(F.try_parse_json("body"), path, "string")), F.lit(""))
+
+
+def detail_texts(details: DataFrame) -> DataFrame:
+    """(run_ts, platform, company_seq, item_key, detail) of usable detail pages; '' where a body has no text."""
+    p = F.col("platform")
+    text = (F.when(p == "oracle", _oracle_text()).when(p == "eightfold", _field_text("$.data.jobDescription"))
+            .when(p == "bamboohr", _field_text("$.result.jobOpening.description")))
+    return details.select("run_ts", "platform", "company_seq", "item_key", text.alias("detail"))
+
+
+def describe_late(rows: DataFrame, details: DataFrame) -> DataFrame:
+    """S11 for raw jobs that were parsed without details: their description becomes the detail's text, to be cleaned as
+    HTML; rows without one stay as they are."""
+    out = LD.attach_details(rows, detail_texts(details))
+    found = F.col("detail") != ""
+    return out.withColumns({"description": F.when(found, F.col("detail")).otherwise(F.col("description")),
+                            "description_mode": F.when(found, F.lit(DESC_HTML)).otherwise(F.col("description_mode"))}).drop("detail").select(*rows.columns)
 
 
 def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
@@ -275,12 +299,7 @@ def oracle(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     sec = F.coalesce(F.try_variant_get(i, "$.secondaryLocations", "array<variant>"), F.array().cast("array<variant>"))
     na = it.where(oracle_na(vs(i, "PrimaryLocationCountry"), sec)).withColumn("item_key", py_str(vv(i, "Id")))
     if details is not None:
-        parts = [F.coalesce(nz(vs(F.get(F.try_variant_get(F.try_parse_json("body"), "$.items", "array<variant>"), 0),
-                                   k)), F.lit("")) for k in
-                 ("ExternalDescriptionStr", "ExternalResponsibilitiesStr", "ExternalQualificationsStr")]
-        joined = T.join_nonempty(parts, "\n")
-        det = _detail_text(details, joined)
-        na = LD.attach_details(na, det)
+        na = LD.attach_details(na, detail_texts(details))
     else:
         na = na.withColumn("detail", F.lit(""))
     site = F.trim(or_(opt(F.col("raw"), "oracle_site"), F.lit("CX_1")))
@@ -325,9 +344,7 @@ def eightfold(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     na = it.withColumn("_loc", loc).where(T.contains_any(F.lower("_loc"), dims.EIGHTFOLD_NA_MARKERS)) \
            .withColumn("item_key", py_str(vv(i, "id")))
     if details is not None:
-        html = nz(F.try_variant_get(F.try_parse_json("body"), "$.data.jobDescription", "string"))
-        det = _detail_text(details, F.coalesce(html, F.lit("")))
-        na = LD.attach_details(na, det)
+        na = LD.attach_details(na, detail_texts(details))
     else:
         na = na.withColumn("detail", F.lit(""))
     host = F.regexp_replace(F.trim(opt(F.col("raw"), "eightfold_host")), "/+$", "")
@@ -433,6 +450,10 @@ def rmk_location(slug: Column, title: Column) -> Column:
     return F.regexp_replace(removed, r"(?U)\s{2,}", " ")
 
 
+def rmk_row_count(body: Column) -> Column:
+    return F.size(F.regexp_extract_all(body, F.lit(_RMK_ROW), 1))
+
+
 def successfactors_rmk(pages: DataFrame) -> DataFrame:
     it = pages.select(*[c for c in pages.columns if c != "body"],
                       F.posexplode(F.regexp_extract_all("body", F.lit(_RMK_ROW), 1)).alias("item_pos", "row"))
@@ -449,12 +470,24 @@ def successfactors_rmk(pages: DataFrame) -> DataFrame:
 
 
 def successfactors(pages: DataFrame) -> DataFrame:
-    """CSB rows when the company has any (or when sf_mode is 'csb'), else the RMK rows."""
-    mode = F.lower(F.coalesce(nz(F.trim(opt(F.col("raw"), "sf_mode"))), F.lit("auto")))
-    csb = successfactors_csb(pages.where(F.col("kind") == "list"))
-    rmk_pages = pages.where((F.col("kind") == "html_list") & mode.isin("auto", "rmk"))
-    rmk = successfactors_rmk(rmk_pages)
-    return LD.prefer(csb, rmk)
+    """By ``sf_mode``, 'csb' takes the CSB rows, 'auto' (or none) those too but the RMK rows where a company has none in
+    that run, and any other mode the RMK rows.
+
+    Which companies landed pages of both kinds under 'auto' is a narrow aggregate without bodies. Only their CSB rows
+    decide something; they are parsed once and written. Pages of all others are parsed where they are read."""
+    mode = F.lower(T.py_strip(or_(opt(F.col("raw"), "sf_mode"), F.lit("auto"))))
+    moded = pages.withColumn("_mode", mode)
+    lists = moded.where((F.col("kind") == "list") & F.col("_mode").isin("auto", "csb")).drop("_mode")
+    html = moded.where((F.col("kind") == "html_list") & (F.col("_mode") != "csb"))
+    company = ["run_ts", "platform", "company_seq"]
+    kinds = moded.where("_mode = 'auto' and kind in ('list', 'html_list')").groupBy(*company).agg(F.countDistinct("kind").alias("n"))
+    both = write_shared(pages.sparkSession, kinds.where("n = 2").select(*company), "both-kinds")
+    if both.isEmpty():
+        return successfactors_csb(lists).unionByName(successfactors_rmk(html.drop("_mode")))
+    decisive = write_shared(pages.sparkSession, successfactors_csb(lists.join(both, company, "left_semi")), "csb-rows")
+    has = decisive.select(*company, F.lit("auto").alias("_mode")).distinct()
+    rmk = successfactors_rmk(html.join(has, [*company, "_mode"], "left_anti").drop("_mode"))
+    return successfactors_csb(lists.join(both, company, "left_anti")).unionByName(decisive).unionByName(rmk)
 
 
 # --- P10 phenom --------------------------------------------------------------------
@@ -496,9 +529,7 @@ def bamboohr(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     i = F.col("it")
     it = it.withColumn("item_key", py_str(vv(i, "id")))
     if details is not None:
-        html = nz(F.try_variant_get(F.try_parse_json("body"), "$.result.jobOpening.description", "string"))
-        det = _detail_text(details, F.coalesce(html, F.lit("")))
-        it = LD.attach_details(it, det)
+        it = LD.attach_details(it, detail_texts(details))
     else:
         it = it.withColumn("detail", F.lit(""))
     sub = T.py_strip(or_(opt(F.col("raw"), "bamboohr_subdomain"), F.col("board_slug"), F.lit("")))
@@ -619,6 +650,10 @@ _LI = {
 }
 
 
+def search_card_count(body: Column) -> Column:
+    return F.size(F.regexp_extract_all(body, F.lit(_LI["ids"]), 1))
+
+
 def search_results(pages: DataFrame, search_location: Column) -> DataFrame:
     """Five independent lists zipped by index up to min(#ids, #titles); misalignment kept."""
     keep_cols = [c for c in pages.columns if c != "body"]

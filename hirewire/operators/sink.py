@@ -81,6 +81,11 @@ def conform(df: DataFrame) -> DataFrame:
     return df
 
 
+def batch_urls(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
+    """(url, batch_id) of one appended batch; a batch without rows has none."""
+    return spark.read.schema("url string, batch_id string").parquet(path).where(F.col("batch_id") == F.lit(batch_id))
+
+
 def stored_urls(spark: SparkSession, path: str, exclude_batch: str | None = None) -> DataFrame:
     """The url column of the target (the unique key), without the batch being replayed."""
     t = read_target(spark, path)

@@ -14,6 +14,7 @@ from hirewire.plans import sqlgen as S
 from hirewire.plans.common import written_table
 from hirewire.operators.extract import finish_descriptions
 from hirewire.operators.metrics import failed_companies
+from hirewire.operators.paging import PAGED, page_accounts
 from hirewire.plans.run import board_pages, drop_failed_companies, platform_raw_jobs, raw_jobs, search_raw_jobs
 from hirewire.sources import fixtures as X
 from hirewire.sources import fixtures_landing as FL
@@ -133,7 +134,7 @@ _RMK_LOC = f"regexp_replace({S.strip_re(f'replace(replace({_SLUG}, {chr(39)}-{ch
 SQL["successfactors"] = (
     _sel("successfactors", "pid", S.strip_re("title"), S.strip_re("coalesce(location, '')"),
          f"'https://jobs.co' || {KS} || '.com/job/' || pid", "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS VARCHAR)",
-         "reg_url", f"{TRUTHY_TITLE} AND k % 3 <> 0")
+         "reg_url", f"{TRUTHY_TITLE} AND k % 3 <> 0 AND k % 5 <> 1")
     + "\nUNION ALL\n" +
     _sel("successfactors", f"'/job/' || {_SLUG} || '/' || pid || '/'", S.strip_re(_T), _RMK_LOC,
          f"'https://jobs.co' || {KS} || '.com/job/' || {_SLUG} || '/' || pid || '/'", "CAST(NULL AS TIMESTAMP)",
@@ -236,11 +237,15 @@ def s8_response_status_filter(spark, sf_dir):
     return LD.request_outcomes(landing_table(spark, sf_dir))
 
 
+_GAP = f"CASE WHEN k % {FL.GAP_MOD} = 3 AND idx >= {FL.GAP_FROM} THEN {FL.GAP_PAGES} ELSE 0 END"
 _RMK = "(platform = 'successfactors' AND k % 3 = 0)"
 _PAGE = (f"CAST(CASE WHEN {_RMK} THEN idx // {FL.PAGE_SIZE['rmk']} ELSE idx // (CASE "
          + " ".join(f"WHEN platform = {sql_str(p)} THEN {n}" for p, n in FL.PAGE_SIZE.items() if p != "rmk") + f" ELSE {FL.CHUNK} END) + (CASE "
          + " ".join(f"WHEN platform = {sql_str(p)} THEN {v}" for p, v in FL.FIRST_PAGE.items())
-         + f" ELSE 0 END) END + CASE WHEN k % 19 = 0 THEN {FL.PAGE_SHIFT} ELSE 0 END AS INTEGER)")
+         + f" ELSE 0 END) END + CASE WHEN k % 19 = 0 THEN {FL.PAGE_SHIFT} ELSE 0 END + {_GAP} AS INTEGER)")
+_CSB_PAGE, _RMK_PAGE = [f"CAST(idx // {FL.PAGE_SIZE[p]} + CASE WHEN k % 19 = 0 THEN {FL.PAGE_SHIFT} ELSE 0 END + {_GAP} AS INTEGER)" for p in ("successfactors", "rmk")]
+_RMK_MODE_TOO = "(platform = 'successfactors' AND k % 3 = 0 AND k % 5 = 1)"
+_BOTH_KINDS = "(platform = 'successfactors' AND k % 3 = 1 AND k % 5 = 2)"
 
 
 def _s8_sql() -> str:
@@ -250,6 +255,8 @@ it AS (SELECT run_ts, run, platform, posting_id AS e, posting_id % {FL.N_COMPANI
        FROM postings, {_RUNS} WHERE {_LANDED})
 SELECT DISTINCT run_ts, {cols}, CASE WHEN {_RMK} OR platform = 'jobvite' THEN 'html_list' ELSE 'list' END AS kind, {_PAGE} AS page_no,
        '' AS item_key, k % 43 <> 0 AS ok FROM it
+UNION ALL SELECT DISTINCT run_ts, {cols}, 'list', {_CSB_PAGE}, '', k % 43 <> 0 FROM it WHERE {_RMK_MODE_TOO}
+UNION ALL SELECT DISTINCT run_ts, {cols}, 'html_list', {_RMK_PAGE}, '', k % 43 <> 0 FROM it WHERE {_BOTH_KINDS}
 UNION ALL SELECT run_ts, {cols}, 'detail', 0, CAST(e AS VARCHAR), k % 43 <> 0 FROM it WHERE platform IN ('oracle', 'eightfold', 'bamboohr')
 UNION ALL SELECT DISTINCT r.run_ts, {cols}, 'list', {FL.BROKEN_PAGE}, '', k % 43 <> 0 FROM it, {_RUNS}
   WHERE platform IN ('greenhouse', 'lever', 'ashby') AND k % {FL.BROKEN_MOD} = 0 AND (r.run = 1 OR k % 11 = 0)
@@ -286,18 +293,30 @@ def _s11_sql() -> str:
 
 
 def s10_landed_pages(spark, sf_dir):
-    """All landed workday pages and their postings: no stop rule, gap or page number leaves any out."""
-    doc = F.try_parse_json("body")
-    land = landing_table(spark, sf_dir).where(F.col("platform") == "workday")
-    return LD.usable_pages(land).select("run_ts", "company_seq", "page_no",
-                                        F.size(F.try_variant_get(doc, "$.jobPostings", "array<variant>")).alias("n_items"))
+    """Page accounts of all paged vendors and the search site: no stop rule, gap or page number leaves a page out."""
+    pages = page_accounts(LD.usable_pages(landing_table(spark, sf_dir)))
+    # as text, since a nullable number would surface as a float in pandas-based comparisons
+    return pages.withColumns({c: F.col(c).cast("string") for c in ("announced", "short")})
 
 
+_PAGED = sql_list(list(PAGED))
 S10_SQL = f"""WITH {X.postings_sql()},
-it AS (SELECT run_ts, platform, posting_id % {FL.N_COMPANIES} AS k, posting_id // {FL.N_COMPANIES} AS idx
-       FROM postings, {_RUNS} WHERE platform = 'workday' AND {_LANDED})
-SELECT run_ts, CAST(k AS BIGINT) AS company_seq, {_PAGE} AS page_no, CAST(count(*) AS INTEGER) AS n_items
-FROM it WHERE k % 43 <> 0 GROUP BY ALL"""
+it AS (SELECT run_ts, run, platform, posting_id % {FL.N_COMPANIES} AS k, posting_id // {FL.N_COMPANIES} AS idx
+       FROM postings, {_RUNS} WHERE {_LANDED} AND list_contains({_PAGED}, platform) AND (posting_id % {FL.N_COMPANIES}) % 43 <> 0),
+landed AS (SELECT run_ts, platform, CASE WHEN {_RMK} THEN 'html_list' ELSE 'list' END AS kind, k, {_PAGE} AS page_no FROM it
+  UNION ALL SELECT run_ts, platform, 'list', k, {_CSB_PAGE} FROM it WHERE {_RMK_MODE_TOO}
+  UNION ALL SELECT run_ts, platform, 'html_list', k, {_RMK_PAGE} FROM it WHERE {_BOTH_KINDS}),
+pages AS (SELECT run_ts, platform, kind, k, page_no, count(*) AS n FROM landed GROUP BY ALL),
+gaps AS (SELECT *, coalesce(lag(page_no) OVER (PARTITION BY run_ts, platform, kind, k ORDER BY page_no) + 1,
+    CASE WHEN platform IN ('taleo', 'talentplatform') THEN 1 ELSE 0 END) AS a FROM pages)
+SELECT run_ts, platform, kind, CAST(k AS BIGINT) AS company_seq, 0 AS search_id, count(*) AS pages, CAST(sum(n) AS BIGINT) AS items,
+    CASE WHEN kind = 'html_list' OR platform = 'phenom' OR (platform = 'workday' AND k % 5 = 0) THEN NULL ELSE CAST(sum(n) AS VARCHAR) END AS announced,
+    CASE WHEN kind = 'html_list' OR platform = 'phenom' OR (platform = 'workday' AND k % 5 = 0) THEN NULL ELSE '0' END AS short,
+    coalesce(string_agg(CASE WHEN a < page_no THEN CAST(a AS VARCHAR) || CASE WHEN a < page_no - 1 THEN '-' || CAST(page_no - 1 AS VARCHAR) ELSE '' END END, ','
+             ORDER BY page_no), '') AS missing
+FROM gaps GROUP BY run_ts, platform, kind, k
+UNION ALL SELECT TIMESTAMP '{X.RUN_TS}', 'linkedin', 'html_list', CAST(0 AS BIGINT), CAST(posting_id // {FL.SEARCH_CARDS} AS INTEGER), 1, count(*), NULL, NULL, ''
+FROM postings GROUP BY posting_id // {FL.SEARCH_CARDS}"""
 
 QUERIES.update({
     "S7_platform_dispatch": (s7_platform_dispatch, _s7_sql()),

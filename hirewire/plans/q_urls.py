@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirewire.functions import urls as U
 from hirewire.operators import dedup as K
 from hirewire.operators.process import ORDER_COLS, process_jobs
+from hirewire.operators.url_index import UrlIndex
 from hirewire.plans import sqlgen as S
 from hirewire.plans.common import table
+from hirewire.session import ensure_checkpoint_dir, write_shared
 from hirewire.sources import fixtures as X
 
 UC = X.url_cases_sql()
@@ -108,6 +112,11 @@ def _gated(spark, sf_dir) -> DataFrame:
     return c.filter(K.quality_gate(c))
 
 
+def _winners(spark, sf_dir) -> DataFrame:
+    """K2 over the gated rows, which are written once, as a run writes its staged rows."""
+    return K.first_wins(write_shared(spark, _gated(spark, sf_dir), "gated"), "url", ORDER_COLS)
+
+
 def _gate_sql() -> str:
     blank = lambda x: f"({x} IS NULL OR {S.py_strip(x)} = '')"
     return f"nurl IS NOT NULL AND nurl <> '' AND NOT {blank('company')} AND NOT {blank('title')}"
@@ -122,8 +131,7 @@ K1_SQL = _norm_sql(f"{P},\n{_JOBS_SQL}", "kept", "url", "nurl", _KSEL, f"WHERE {
 
 
 def k2_in_batch_dedup(spark, sf_dir):
-    g = _gated(spark, sf_dir)
-    return K.first_wins(g, "url", ORDER_COLS).select(*_KCOLS)
+    return _winners(spark, sf_dir).select(*_KCOLS)
 
 
 _RANKED = (f"(SELECT *, row_number() OVER (PARTITION BY nurl ORDER BY platform_rank, company_seq, page_no, "
@@ -152,8 +160,16 @@ _STORED_SQL = ("SELECT 'https://jobs.example.com/p/' || CAST(event_id % 703 AS V
 
 
 def k3_new_only_anti_join(spark, sf_dir):
-    winners = K.first_wins(_gated(spark, sf_dir), "url", ORDER_COLS).select(*_KCOLS)
-    return K.new_only(winners, _stored_urls(spark, sf_dir))
+    return K.new_only(_winners(spark, sf_dir).select(*_KCOLS), _stored_urls(spark, sf_dir))
+
+
+def k3_indexed_new_only(spark, sf_dir):
+    """K3 against a table of 100 stored batches through its URL index: only files that may hold a new row's URL are read."""
+    stored = _stored_urls(spark, sf_dir).distinct().withColumn("batch_id", F.format_string("b-%09d", F.pmod(F.xxhash64("url"), F.lit(100))))
+    index = UrlIndex(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/indexed-{uuid.uuid4().hex[:12]}")
+    index.add(stored)
+    index.compact(keep_last=24)
+    return index.new_only(write_shared(spark, _winners(spark, sf_dir).select(*_KCOLS), "winners"))
 
 
 K3_SQL = _k2_sql(f"AND nurl NOT IN ({_STORED_SQL})")
@@ -205,6 +221,7 @@ QUERIES = {
     "K1_quality_gate": (k1_quality_gate, K1_SQL),
     "K2_in_batch_dedup": (k2_in_batch_dedup, K2_SQL),
     "K3_new_only_anti_join": (k3_new_only_anti_join, K3_SQL),
+    "K3_I2_indexed_new_only": (k3_indexed_new_only, K3_SQL),
     "S16_search_run_dedup": (s16_search_run_dedup, S16_SQL),
     "M7_search_counts": (m7_search_counts, M7_SQL),
 }

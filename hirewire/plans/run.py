@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hirewire.functions import dims
 from hirewire.operators import extract as P
 from hirewire.operators import metrics as M
+from hirewire.operators.url_index import UrlIndex
 from hirewire.session import write_shared
 from hirewire.sources import landing as LD
 
@@ -34,9 +35,12 @@ def drop_failed_companies(frame: DataFrame, failed: DataFrame, platform: str) ->
     return frame.join(mine, ["run_ts", "platform", "company_seq"], "left_anti")
 
 
-def platform_raw_jobs(pages: DataFrame, platform: str) -> DataFrame:
+def platform_raw_jobs(pages: DataFrame, platform: str, with_details: bool = True) -> DataFrame:
+    """A platform's raw jobs; without details, the texts of the vendors that send them apart are left out."""
     sel = pages.where(F.col("platform") == platform)
     fn = P.EXTRACTORS[platform]
+    if platform in P.WITH_DETAILS and not with_details:
+        return fn(sel.where(F.col("kind") == "list"))
     if platform in P.WITH_DETAILS:
         lists = sel.where(F.col("kind") == "list")
         details = sel.where(F.col("kind") == "detail").select("run_ts", "platform", "company_seq", "item_key", "body")
@@ -52,10 +56,11 @@ def board_pages(landing: DataFrame, companies: DataFrame) -> DataFrame:
 
 def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_search: bool = True,
              failed: DataFrame | None = None, searches: DataFrame | None = None) -> DataFrame:
-    """S8, S9, S7 dispatch, S15 union: the ``raw_job`` rows with arrival-order columns."""
-    pages = board_pages(landing, companies)
+    """S8, S9, S7 dispatch, S15 union: the ``raw_job`` rows with arrival-order columns. Details are no part of them: no
+    detail body is read here (``late_details`` gets those of the rows that need one)."""
+    pages = board_pages(landing.where(F.coalesce(F.col("kind") != "detail", F.lit(True))), companies)
     failed = M.failed_companies(landing) if failed is None else failed
-    frames = [drop_failed_companies(platform_raw_jobs(pages, p), failed, p) for p in (platforms or dims.PLATFORMS)]
+    frames = [drop_failed_companies(platform_raw_jobs(pages, p, False), failed, p) for p in (platforms or dims.PLATFORMS)]
     if with_search:
         frames.append(search_raw_jobs(landing, searches))
     return LD.union_platforms(frames)
@@ -87,9 +92,21 @@ def platform_ranks(companies: DataFrame) -> DataFrame:
                                                        "platform string, platform_rank int"))
 
 
-def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataFrame, platform: str | None = None,
+def late_details(rows: DataFrame, landing: DataFrame) -> DataFrame:
+    """S11 after C1-K3: ``rows`` with the texts of their detail pages. The details are cut down to the rows' keys before
+    anything else, so that no text of a filtered or known posting is parsed or shuffled."""
+    key, sent = ["run_ts", "platform", "company_seq", "item_key"], F.col("platform").isin(*sorted(P.WITH_DETAILS))
+    wanted = write_shared(rows.sparkSession, rows.where(sent).select(*key).distinct(), "wanted-details")
+    if wanted.isEmpty():
+        return rows
+    details = landing.where(sent & (F.col("kind") == "detail")).join(wanted, key, "left_semi")
+    return P.describe_late(rows, LD.usable_pages(details))
+
+
+def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls, platform: str | None = None,
              company: str | None = None, searches: DataFrame | None = None):
-    """Everything of a run except the write. Returns (new_rows, outcomes, stats, success).
+    """Everything of a run except the write. Returns (new_rows, outcomes, stats, success). ``target_urls`` is the stored
+    URLs: a DataFrame (url) or a ``UrlIndex``, of which only the files that may hold one of the run's URLs are read.
 
     ``landing`` may hold several runs: each row is judged by its own ``run_ts``, and of a URL that several runs
     found the earliest counts. A scope without companies gives nothing, as does the search site's name, which
@@ -120,19 +137,30 @@ def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataF
     cand = staged.where(is_cand)
     usable = cand.where("gate_ok")
     storable = usable.where(~SK.unstorable([c for c in TEXTS if c in cand.columns]))
-    # K2, K3 on narrow rows; the stored columns are joined back by the winners' keys
-    first = storable.groupBy("url").agg(F.min(F.struct(*RUN_ORDER, "platform")).alias("w"))
-    new_keys = K.new_only(first, target_urls).select(*[F.col(f"w.{c}").alias(c) for c in KEY])
+    # K2, K3 on narrow rows; the stored columns are joined back by the winners' keys, and the winners get their details
+    first = K.first_keys(storable, "url", [*RUN_ORDER, "platform"])
+    new_keys = (target_urls.new_only(first) if isinstance(target_urls, UrlIndex) else K.new_only(first, target_urls)).select(*KEY)
     new_keys = write_shared(spark, new_keys, "new-keys")
     same = [F.col(f"n.{c}").eqNullSafe(F.col(f"c.{c}")) for c in KEY]
-    new = cand.alias("c").join(new_keys.alias("n"), same, "left_semi")
+    among = lambda rows, keys, how="left_semi": rows.alias("c").join(keys.alias("n"), same, how)
+    new = write_shared(spark, late_details(among(cand, new_keys), landing), "new-rows")
+    no_text = SK.unstorable(["description"])
+    verdicts = new_keys.withColumn("verdict", F.lit("new"))
+    refused = new.where(no_text)
+    if not refused.isEmpty():
+        # A detail text that the database refuses: the next row of its URL is tried, with its detail
+        again = write_shared(spark, late_details(storable.join(refused.select("url").distinct(), "url", "left_semi"), landing), "second-rows")
+        second = write_shared(spark, K.first_keys(again.where(~no_text), "url", [*RUN_ORDER, "platform"]).select(*KEY), "second-keys")
+        verdicts = (among(new_keys, refused, "left_anti").select(*KEY).unionByName(second).withColumn("verdict", F.lit("new"))
+                    .unionByName(again.where(no_text).select(*KEY).withColumn("verdict", F.lit("db_error"))))
+        new = new.where(~no_text).unionByName(among(again, second))
     new_rows = SK.enrich(new.drop("company_domain"))
     new_rows = P.finish_descriptions(new_rows)  # the Arrow UDF runs only on rows being stored
     bad = SK.unstorable([c for c in TEXTS if c in cand.columns])
     narrow = cand.select(*KEY, "gate_ok", bad.alias("bad"))
-    marked = narrow.alias("c").join(new_keys.withColumn("is_new", F.lit(True)).alias("n"), same, "left")
+    marked = among(narrow, verdicts, "left")
     judged = marked.select(*[F.col(f"c.{c}") for c in KEY], F.when(~F.col("gate_ok"), F.lit("gate_reject")).when(F.col("bad"), F.lit("db_error"))
-                           .when(F.col("is_new"), F.lit("new")).otherwise(F.lit("duplicate")).alias("outcome"))
+                           .otherwise(F.coalesce("verdict", F.lit("duplicate"))).alias("outcome"))
     outcomes = staged.where(~is_cand).select(*KEY, "outcome").unionByName(judged)
     success = M.company_success(scoped, failed)
     return new_rows, outcomes, M.run_stats(outcomes, success), success
@@ -141,13 +169,16 @@ def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls: DataF
 def run(spark, landing: DataFrame, companies: DataFrame, target: str, batch_id: str, platform: str | None = None,
         company: str | None = None, searches: DataFrame | None = None, raise_on_gates: bool = True):
     """A1: run the pipeline and append the new rows to ``target``; returns the stats row.
-    Replaying a ``batch_id`` rewrites only its own partition (the anti-join ignores it). The health gates (M4, M5)
+    Replaying a ``batch_id`` rewrites only its own partition (the anti-join ignores it). The batch's URLs are indexed
+    after its write; a run that dies in between is made up for by the next one's ``sync``. The health gates (M4, M5)
     are judged after the write; inside a stream's batch the caller judges them at the end instead."""
     from hirewire.operators import sink as SK
 
-    target_urls = SK.stored_urls(spark, target, exclude_batch=batch_id)
-    new_rows, outcomes, stats, success = plan_run(spark, landing, companies, target_urls, platform, company, searches)
+    index = UrlIndex(spark, target, exclude_batch=batch_id)
+    index.sync(exclude=batch_id)
+    new_rows, outcomes, stats, success = plan_run(spark, landing, companies, index, platform, company, searches)
     SK.append(SK.to_stored(new_rows, F.col("run_ts"), batch_id), target)
+    index.add(SK.batch_urls(spark, target, batch_id))
     row = stats.collect()[0]
     if raise_on_gates:
         M.check_health(row)

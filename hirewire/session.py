@@ -70,9 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def write_shared(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def write_shared(spark: SparkSession, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a derived table below the shared checkpoint folder and read it back: its lineage ends there
     and the planner knows its size."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

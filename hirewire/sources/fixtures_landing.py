@@ -11,7 +11,10 @@ again, with their items of ``e % 5 == 4`` that the first one lacks. Anomalies: c
 with ``k % 7 == 0`` are rate-limited once per page before succeeding, ``k % 13 == 0``
 twice; ``k % 17 == 0`` answer each request first with an empty body and then again in
 full; ``k % 43 == 0`` get 404 for every page; ``k % 19 == 0`` number their pages from 40
-on; workday companies with ``k % 5 == 0`` omit ``total``; greenhouse, lever and ashby
+on; ``k % 31 == 3`` leave out two page numbers after their fourth item; ``k % 23 == 0`` land
+each last answer twice, byte for byte; successfactors companies of mode rmk with ``k % 3 == 0``
+land CSB pages too, those of mode auto with ``k % 15 == 7`` RMK pages beside CSB pages;
+workday companies with ``k % 5 == 0`` omit ``total``; greenhouse, lever and ashby
 companies with ``k % 53 == 0`` also land one undecodable chunk. Every fiftieth posting has
 a long description.
 """
@@ -35,6 +38,9 @@ BROKEN_PLATFORMS = ["greenhouse", "lever", "ashby"]
 BROKEN_MOD = 53
 BROKEN_PAGE = 99
 PAGE_SHIFT = 40
+GAP_MOD, GAP_FROM, GAP_PAGES = 31, 4, 2
+AGAIN_MOD = 23
+RMK_MODE_TOO, BOTH_KINDS = "company_seq % 3 = 0 AND company_seq % 5 = 1", "company_seq % 3 = 1 AND company_seq % 5 = 2"
 SECOND_RUN = "2024-02-15 01:00:00"
 
 
@@ -70,7 +76,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
         oracle_careers_host=F.when(k % 2 == 0, _j(co("jobs.co", ".com"))),
         eightfold_host=_j(co("s", ".eightfold.ai")), eightfold_domain=_j(co("co", ".com")),
         taleo_host=_j(co("co", ".taleo.net")), taleo_portal=_j(co("1")),
-        sf_host=_j(co("jobs.co", ".com")), sf_mode=F.when(k % 5 == 0, F.lit('"csb"')),
+        sf_host=_j(co("jobs.co", ".com")), sf_mode=F.when(k % 5 == 0, F.lit('"csb"')).when(k % 5 == 1, F.lit('" RMK "')),
         phenom_host=_j(co("careers.co", ".com")), tp_host=_j(co("join.co", ".com")),
         bamboohr_subdomain=F.when(k % 2 == 0, _j(co("bhr"))), breezy_subdomain=F.when(k % 2 == 0, _j(co("bz"))),
         recruitee_subdomain=F.when(k % 2 == 0, _j(co("rc"))), jobvite_company=F.when(k % 2 == 0, _j(co("jv"))),
@@ -229,16 +235,18 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         if p == "jobvite":
             parts = [(mine, size, "html_list", _jobvite_row())]
         elif p == "successfactors":
-            parts = [(mine.where(k % 3 != 0), size, "list", None), (mine.where(k % 3 == 0), F.lit(PAGE_SIZE["rmk"]), "html_list", _rmk_row())]
+            parts = [(mine.where((k % 3 != 0) | F.expr(RMK_MODE_TOO)), size, "list", None),
+                     (mine.where((k % 3 == 0) | F.expr(BOTH_KINDS)), F.lit(PAGE_SIZE["rmk"]), "html_list", _rmk_row())]
         for rows, n, kind, row in parts:
-            page = (F.col("idx") / n).cast("int") + first + F.when(k % 19 == 0, F.lit(PAGE_SHIFT)).otherwise(F.lit(0))
+            page = (F.col("idx") / n).cast("int") + first + F.when(k % 19 == 0, F.lit(PAGE_SHIFT)).otherwise(F.lit(0)) \
+                + F.when((k % GAP_MOD == 3) & (F.col("idx") >= GAP_FROM), F.lit(GAP_PAGES)).otherwise(F.lit(0))
             one = rows.select("run_ts", "platform", "company_seq", "idx", F.lit(kind).alias("kind"), page.alias("page_no"),
                               (_item_json(p) if row is None else row).alias("j"))
             staged = one if staged is None else staged.unionByName(one)
     staged = staged.repartition("run_ts", "platform", "company_seq")
     g = staged.groupBy("run_ts", "platform", "company_seq", "kind", "page_no") \
               .agg(F.sort_array(F.collect_list(F.struct("idx", "j"))).alias("xs"), F.count(F.lit(1)).alias("m"))
-    g = g.withColumn("n", F.sum("m").over(Window.partitionBy("run_ts", "platform", "company_seq")))
+    g = g.withColumn("n", F.sum("m").over(Window.partitionBy("run_ts", "platform", "company_seq", "kind")))
     n = F.col("n").cast("string")
     items_json = F.array_join(F.transform("xs", lambda x: x["j"]), ",")
     html = F.col("kind") == "html_list"
@@ -262,6 +270,7 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     allp = pages.unionByName(_all_details(it)).unionByName(broken)
     twice, once, stale = k % 13 == 0, k % 7 == 0, k % 17 == 0
     attempts = F.when(twice, F.array(F.lit(0), F.lit(1), F.lit(2))).when(once | stale, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    attempts = F.when(k % AGAIN_MOD == 0, F.concat(attempts, F.slice(attempts, -1, 1))).otherwise(attempts)
     att = allp.select("*", F.explode(attempts).alias("attempt"))
     limited = F.when(twice, F.col("attempt") < 2).otherwise(once & (F.col("attempt") == 0))
     early = ~limited & F.coalesce(stale & ~twice & ~once & (F.col("attempt") == 0), F.lit(False))

@@ -32,19 +32,26 @@ def request_outcomes(landing: DataFrame) -> DataFrame:
 
 
 def usable_pages(landing: DataFrame) -> DataFrame:
-    """The latest good answer of every request of every run, whatever the attempt that got it.
-
-    Nearly all requests have one good answer. The keys of those with several are found by a narrow
-    aggregate and written, so that Spark knows their size when it plans the join; bodies stay in
-    the scan. An answer that landed twice byte for byte is read twice (first-wins drops its rows)."""
+    """One row per request of every run that got a good answer: the latest one, whatever its attempt.
+
+    Nearly all requests were answered once. The keys of the others are found by an aggregate that reads no body and are
+    written, so that Spark knows their size when it plans the joins; if there are none, that is all. Only the bodies of
+    those requests are compared (latest attempt, then greatest hash) and shuffled, one for each request and input
+    partition; an answer that landed twice byte for byte is one answer. All other bodies stay in the scan."""
+    spark = landing.sparkSession
+    cols = [c for c in landing.columns if c not in ("attempt", "status")]
+    answered = landing.where(F.col("status").between(200, 299))
+    several = answered.groupBy(*REQUEST_KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*REQUEST_KEY)
+    several = write_shared(spark, several, "several-answers")
+    platforms = [r[0] for r in several.select("platform").distinct().collect()]
     good = landing.where(good_answer())
-    mark = F.struct("attempt", F.xxhash64("body").alias("h"))
-    several = good.groupBy(*REQUEST_KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(mark).alias("_last")).where("_n > 1")
-    several = write_shared(landing.sparkSession, several, "several-answers").alias("k")
+    if not platforms:
+        return good.select(*cols)
     same = [F.col(f"k.{c}").eqNullSafe(F.col(f"g.{c}")) for c in REQUEST_KEY]
-    joined = good.alias("g").join(several, same, "left")
-    return joined.where(F.col("_last").isNull() | (F.struct(F.col("g.attempt"), F.xxhash64("g.body").alias("h")) == F.col("_last"))) \
-        .select(*[F.col(f"g.{c}") for c in landing.columns if c not in ("attempt", "status")])
+    once = good.alias("g").join(several.alias("k"), same, "left_anti").select(*cols)
+    among = good.where(F.col("platform").isin(*platforms)).alias("g").join(several.alias("k"), same, "left_semi")
+    latest = among.groupBy(*REQUEST_KEY).agg(F.max_by("body", F.struct("attempt", F.xxhash64("body"))).alias("body"))
+    return once.unionByName(write_shared(spark, latest.select(*cols), "latest-answers", "platform"))
 
 
 def config_ok(platform: Column, raw: Column, board_slug: Column) -> Column:
@@ -74,13 +81,6 @@ def attach_details(items: DataFrame, details: DataFrame) -> DataFrame:
     return items.join(one, key, "left").withColumn("detail", F.coalesce("detail", F.lit("")))
 
 
-def prefer(primary: DataFrame, fallback: DataFrame, key=("run_ts", "platform", "company_seq")) -> DataFrame:
-    """Per run and company, the primary rows when it has any, else the fallback rows."""
-    has = primary.select(*key).distinct()
-    fb = fallback.join(has, list(key), "left_anti")
-    return primary.unionByName(fb, allowMissingColumns=True)
-
-
 def union_platforms(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL of every platform's raw jobs (provenance columns carry arrival order)."""
     out = frames[0]
