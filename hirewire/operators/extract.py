@@ -19,7 +19,6 @@ from hirewire.functions import dims
 from hirewire.functions import text as T
 from hirewire.functions.domains import search_logo
 from hirewire.functions.staging import materialize
-from hirewire.session import write_shared
 from hirewire.sources import landing as LD
 from hirewire.sources.registry import opt
 
@@ -473,21 +472,17 @@ def successfactors(pages: DataFrame) -> DataFrame:
     """By ``sf_mode``, 'csb' takes the CSB rows, 'auto' (or none) those too but the RMK rows where a company has none in
     that run, and any other mode the RMK rows.
 
-    Which companies landed pages of both kinds under 'auto' is a narrow aggregate without bodies. Only their CSB rows
-    decide something; they are parsed once and written. Pages of all others are parsed where they are read."""
+    Only where a company under 'auto' landed RMK pages do its CSB rows decide something: whether it has any. Only those
+    companies' CSB pages are parsed for that, besides the one parse of every page that counts."""
     mode = F.lower(T.py_strip(or_(opt(F.col("raw"), "sf_mode"), F.lit("auto"))))
     moded = pages.withColumn("_mode", mode)
     lists = moded.where((F.col("kind") == "list") & F.col("_mode").isin("auto", "csb")).drop("_mode")
     html = moded.where((F.col("kind") == "html_list") & (F.col("_mode") != "csb"))
     company = ["run_ts", "platform", "company_seq"]
-    kinds = moded.where("_mode = 'auto' and kind in ('list', 'html_list')").groupBy(*company).agg(F.countDistinct("kind").alias("n"))
-    both = write_shared(pages.sparkSession, kinds.where("n = 2").select(*company), "both-kinds")
-    if both.isEmpty():
-        return successfactors_csb(lists).unionByName(successfactors_rmk(html.drop("_mode")))
-    decisive = write_shared(pages.sparkSession, successfactors_csb(lists.join(both, company, "left_semi")), "csb-rows")
-    has = decisive.select(*company, F.lit("auto").alias("_mode")).distinct()
+    unsure = html.where("_mode = 'auto'").select(*company).distinct()
+    has = successfactors_csb(lists.join(unsure, company, "left_semi")).select(*company, F.lit("auto").alias("_mode")).distinct()
     rmk = successfactors_rmk(html.join(has, [*company, "_mode"], "left_anti").drop("_mode"))
-    return successfactors_csb(lists.join(both, company, "left_anti")).unionByName(decisive).unionByName(rmk)
+    return successfactors_csb(lists).unionByName(rmk)
 
 
 # --- P10 phenom --------------------------------------------------------------------

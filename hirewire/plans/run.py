@@ -50,7 +50,10 @@ def platform_raw_jobs(pages: DataFrame, platform: str, with_details: bool = True
 
 def board_pages(landing: DataFrame, companies: DataFrame) -> DataFrame:
     """Usable pages of all boards with their registry entries."""
-    usable = LD.usable_pages(landing.where(F.col("platform") != dims.SEARCH_PLATFORM))
+    return gated_pages(LD.usable_pages(landing.where(F.col("platform") != dims.SEARCH_PLATFORM)), companies)
+
+
+def gated_pages(usable: DataFrame, companies: DataFrame) -> DataFrame:
     return join_companies(usable, companies).where(LD.config_ok(F.col("platform"), F.col("raw"), F.col("board_slug")))
 
 
@@ -58,11 +61,12 @@ def raw_jobs(landing: DataFrame, companies: DataFrame, platforms=None, with_sear
              failed: DataFrame | None = None, searches: DataFrame | None = None) -> DataFrame:
     """S8, S9, S7 dispatch, S15 union: the ``raw_job`` rows with arrival-order columns. Details are no part of them: no
     detail body is read here (``late_details`` gets those of the rows that need one)."""
-    pages = board_pages(landing.where(F.coalesce(F.col("kind") != "detail", F.lit(True))), companies)
+    usable = LD.usable_pages(landing.where(F.coalesce(F.col("kind") != "detail", F.lit(True))))
+    pages = gated_pages(usable.where(F.col("platform") != dims.SEARCH_PLATFORM), companies)
     failed = M.failed_companies(landing) if failed is None else failed
     frames = [drop_failed_companies(platform_raw_jobs(pages, p, False), failed, p) for p in (platforms or dims.PLATFORMS)]
     if with_search:
-        frames.append(search_raw_jobs(landing, searches))
+        frames.append(search_cards(usable, searches))
     return LD.union_platforms(frames)
 
 
@@ -72,12 +76,17 @@ def default_searches(spark: SparkSession) -> DataFrame:
 
 
 def search_raw_jobs(landing: DataFrame, searches: DataFrame | None = None) -> DataFrame:
-    """P16 then S16: search-site cards of all landed pages; within a run the first raw URL wins across searches.
+    """P16 then S16: search-site cards of all landed pages."""
+    return search_cards(LD.usable_pages(landing.where(F.col("platform") == dims.SEARCH_PLATFORM)), searches)
+
+
+def search_cards(usable: DataFrame, searches: DataFrame | None = None) -> DataFrame:
+    """P16 then S16: cards of the search site's usable pages; within a run the first raw URL wins across searches.
     A card without a location takes its search's (a row of ``searches``; '' for a search not in it)."""
     from hirewire.operators.dedup import first_wins
-    spark = landing.sparkSession
+    spark = usable.sparkSession
     searches = default_searches(spark) if searches is None else searches
-    pages = LD.usable_pages(landing.where(F.col("platform") == dims.SEARCH_PLATFORM)).join(searches, "search_id", "left") \
+    pages = usable.where(F.col("platform") == dims.SEARCH_PLATFORM).join(searches, "search_id", "left") \
               .withColumn("raw", F.lit(None).cast("variant")).withColumn("board_slug", F.lit(None).cast("string")) \
               .withColumn("company_name", F.lit(""))
     rows = P.search_results(pages, F.coalesce("search_location", F.lit("")))

@@ -197,3 +197,117 @@ def test_stream_over_runs_restart_and_new_checkpoint(spark, tmp_path):
     results = run_available(spark, src, co, target, str(tmp_path / "other"))
     assert sum(r["new_jobs_stored"] for r in results) == 0
     assert sorted((r["url"], r["batch_id"]) for r in spark.read.parquet(target).collect()) == stored
+
+def test_byte_equal_answers_count_once(spark):
+    """The same answer landed twice is one answer, in rows and in the found and skipped counters; of several attempts the last good one counts."""
+    from hirewire.plans import run as R
+
+    land, co = _board(spark, [(H1, 0, 200, 0, [1, 2]), (H1, 0, 200, 0, [1, 2]), (H1, 1, 200, 0, [3]), (H1, 1, 200, 1, [4]), (H1, 1, 200, 1, [4]),
+                              (H1, 1, 200, 2, None), (H1, 1, 500, 3, [9])])
+    new, outcomes, stats, _ = R.plan_run(spark, land, co, _empty(spark))
+    assert sorted(r["url"].rsplit("/", 1)[1] for r in new.collect()) == ["1", "2", "4"]
+    assert stats.first()["total_jobs_found"] == 3 and stats.first()["duplicates_skipped"] == 0
+    assert {r["outcome"] for r in outcomes.collect()} == {"new"}
+
+
+def test_no_body_in_the_aggregate_of_answers(spark, tmp_path):
+    """What finds the requests with several answers reads no body."""
+    from hirewire.sources import landing as LD
+
+    _board(spark, [(H1, 0, 200, 0, [1])])[0].write.parquet(str(tmp_path / "landing"))
+    land = spark.read.parquet(str(tmp_path / "landing"))
+    several = land.where(F.col("status").between(200, 299)).groupBy(*LD.REQUEST_KEY).agg(F.count(F.lit(1)).alias("n"))
+    assert "body" not in several._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split("\n")[0]
+    pages = LD.usable_pages(land)  # every request answered once: a plain scan
+    assert "Join" not in pages._jdf.queryExecution().executedPlan().toString() and pages.count() == 1
+
+
+SF_COMPANY = '{"sf_host":"jobs.x.com"%s}'
+
+
+def _successfactors(spark, companies):
+    """companies: (seq, sf_mode or None, CSB titles or None, RMK titles or None) -> raw jobs by company."""
+    from hirewire.plans import run as R
+
+    data = []
+    for seq, _, csb, rmk in companies:
+        if csb is not None:
+            items = ",".join(json.dumps({"response": {"id": f"{seq}{i}", "jobTitle": t}}) for i, t in enumerate(csb, 1))
+            data.append((H1, "successfactors", seq, 0, "list", 0, "", 200, 0, '{"jobSearchResult":[' + items + "]}"))
+        if rmk is not None:
+            rows_ = "".join(f'<tr class="data-row"><td><a href="/job/Ottawa-{i}/{seq}{i}/" class="jobTitle-link">{t}</a></td></tr>' for i, t in enumerate(rmk, 1))
+            data.append((H1, "successfactors", seq, 0, "html_list", 0, "", 200, 0, f"<table>{rows_}</table>"))
+    co = spark.createDataFrame([(seq, f"C{seq}", "successfactors", "b", SF_COMPANY % ("" if mode is None else f',"sf_mode":"{mode}"')) for seq, mode, _, _ in companies],
+                               COMPANY).withColumn("raw", F.parse_json("j")).drop("j")
+    jobs = R.platform_raw_jobs(R.board_pages(spark.createDataFrame(data, LAND), co), "successfactors")
+    return sorted((r["company_seq"], r["title"]) for r in jobs.collect())
+
+
+def test_successfactors_modes(spark):
+    """auto prefers CSB rows and falls back per company, csb never falls back, rmk and unknown modes read RMK pages only."""
+    got = _successfactors(spark, [(1, None, ["csb"], ["rmk"]), (2, "auto", [], ["rmk"]), (3, "csb", [], ["rmk"]), (4, "csb", ["csb"], ["rmk"]), (5, " RMK ", ["csb"], ["rmk"]),
+                                  (6, "rmk", ["csb"], None), (7, "other", ["csb"], ["rmk"]), (8, "auto", ["", "csb"], None), (9, "AUTO", [""], ["rmk", "rmk2"]), (10, "  ", ["csb"], ["rmk"])])
+    assert got == [(1, "csb"), (2, "rmk"), (4, "csb"), (5, "rmk"), (7, "rmk"), (8, "csb"), (9, "rmk"), (9, "rmk2"), (10, "rmk")]
+
+
+def _bamboo(spark, details):
+    """A bamboohr board of jobs 1..n; ``details``: job id -> description or None (no detail landed)."""
+    items = ",".join(json.dumps({"id": i, "jobOpeningName": t, "location": {"city": "Ottawa"}}) for i, (t, _) in details.items())
+    data = [(H1, "bamboohr", 1, 0, "list", 0, "", 200, 0, '{"result":[' + items + "]}")]
+    data += [(H1, "bamboohr", 1, 0, "detail", 0, str(i), 200, 0, json.dumps({"result": {"jobOpening": {"description": d}}})) for i, (_, d) in details.items() if d is not None]
+    co = spark.createDataFrame([(1, "Acme", "bamboohr", "acme", "{}")], COMPANY).withColumn("raw", F.parse_json("j")).drop("j")
+    return spark.createDataFrame(data, LAND), co
+
+
+def test_details_come_late(spark, monkeypatch):
+    """Only the details of new rows are looked at: filtered and known postings cost no text."""
+    from hirewire.plans import run as R
+
+    intern = "Software Engineer Intern"
+    land, co = _bamboo(spark, {1: (intern, "<p>one &amp; all</p>"), 2: ("Senior Software Engineer", "<p>two</p>"), 3: (intern, None), 4: (intern, "<p>known</p>"), 5: (intern, "")})
+    stored = spark.createDataFrame([("https://acme.bamboohr.com/careers/4",)], "url string")
+    seen, plain = [], R.LD.usable_pages
+
+    def spy(pages):
+        seen.extend(r["item_key"] for r in pages.where("kind = 'detail'").collect())
+        return plain(pages)
+    monkeypatch.setattr(R.LD, "usable_pages", spy)
+    new = R.plan_run(spark, land, co, stored)[0]
+    assert sorted((r["item_key"], r["description"]) for r in new.collect()) == [("1", "one & all"), ("3", ""), ("5", "")]
+    assert sorted(seen) == ["1", "5"]
+
+
+def test_details_that_the_database_refuses(spark):
+    """A new row whose detail holds a NUL is a write error, and the next row of its URL takes its place."""
+    from hirewire.plans import run as R
+
+    intern = "Software Engineer Intern"
+    land, co = _bamboo(spark, {1: (intern, "bad \x00"), 2: (intern, "good")})
+    again = land.where("kind = 'list'").withColumn("page_no", F.lit(1))
+    detail = land.where("item_key = '2'").withColumn("item_key", F.lit("1")).withColumn("page_no", F.lit(0)).withColumn("attempt", F.lit(0))
+    new, outcomes, stats, _ = R.plan_run(spark, land, co, _empty(spark))
+    assert [r["item_key"] for r in new.collect()] == ["2"] and stats.first()["db_errors"] == 1 and stats.first()["new_jobs_stored"] == 1
+    # the same URL with a good detail in a later run: that row is stored
+    later = again.withColumn("run_ts", F.lit(H2)).unionByName(detail.withColumn("run_ts", F.lit(H2)))
+    new, outcomes, stats, _ = R.plan_run(spark, land.unionByName(later), co, _empty(spark))
+    assert sorted((r["item_key"], r["run_ts"].hour, r["description"]) for r in new.collect()) == [("1", 2, "good"), ("2", 1, "good")]
+    assert sorted(r["outcome"] for r in outcomes.collect()) == ["db_error", "duplicate", "new", "new"]
+
+
+def test_page_accounts(spark):
+    """Pages, items, announced totals and the ranges of missing pages, from the vendor's first page on."""
+    from hirewire.operators.paging import page_accounts
+
+    wd = lambda n, total: json.dumps({"total": total, "jobPostings": [{"title": "x"}] * n})
+    row = lambda platform, seq, page, body, kind="list", search=0: (H1, platform, seq, search, kind, page, "", body)
+    data = [row("workday", 1, p, wd(20, 95)) for p in (0, 1, 4, 5, 9)] + [row("workday", 2, 3, "{cut")] + [row("workday", 3, 0, wd(2, None))]
+    data += [row("taleo", 1, p, json.dumps({"pagingData": {"totalCount": 7}, "requisitionList": [{}] * 3})) for p in (1, 2)] + [row("greenhouse", 1, 0, '{"jobs":[{}]}')]
+    data += [row("oracle", 1, 1, json.dumps({"items": [{"TotalJobsCount": 60, "requisitionList": [{}] * 10}]}))]
+    data += [row("successfactors", 1, 0, '<tr class="data-row">x</tr><tr class="data-row">y</tr>', "html_list")]
+    data += [row("linkedin", 0, 0, 'data-entity-urn="urn:li:jobPosting:7" ' * 3, "html_list", 4)]
+    pages = spark.createDataFrame(data, "run_ts timestamp_ntz, platform string, company_seq bigint, search_id int, kind string, page_no int, item_key string, body string")
+    got = {(r["platform"], r["kind"], r["company_seq"], r["search_id"]): tuple(r)[5:] for r in page_accounts(pages).collect()}
+    assert got == {("workday", "list", 1, 0): (5, 100, 95, -5, "2-3,6-8"), ("workday", "list", 2, 0): (1, 0, None, None, "0-2"), ("workday", "list", 3, 0): (1, 2, None, None, ""),
+                   ("taleo", "list", 1, 0): (2, 6, 7, 1, ""), ("oracle", "list", 1, 0): (1, 10, 60, 50, "0"), ("successfactors", "html_list", 1, 0): (1, 2, None, None, ""),
+                   ("linkedin", "html_list", 0, 4): (1, 3, None, None, "")}
+    assert page_accounts(pages.limit(0)).count() == 0
