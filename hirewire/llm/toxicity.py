@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import small_batches
+from hirewire.llm.common import small_batches, written
 
 TOKEN = re.compile(r"[^\W\d_]+")
 BITS = 18  # features are hashed to 2^18 weights, which bounds the model
@@ -264,19 +264,20 @@ def held_out(id_col) -> object:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, max_rows: int = 1000, max_chars: int = 20_000, id_col: str = "doc_id",
+def train(documents: DataFrame, labels: DataFrame, max_rows: int = 1200, max_chars: int = 20_000, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic") -> Crf:
     """Fit on at most ``max_rows`` labelled documents of each class (those whose ids have the smallest hashes) of at
     most ``max_chars`` characters, held-out rows left out. That bounds what the driver gets, at any size of the
-    tables. Rows without a label, an id or a text aren't learned from; an id with several labels counts as
-    toxic if one of them is."""
+    tables. They are drawn among the ids that have such a document, so a label without one costs no place. Rows
+    without a label, an id or a text aren't learned from; an id with several labels counts as toxic if one of them is."""
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y")))
     prior = known.agg(F.avg("y")).first()[0]
     order = F.xxhash64(F.col("id").cast("string"))
-    picked = [known.where(F.col("y") == value).orderBy(order, "id").limit(max_rows) for value in (0, 1)]
     texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     small = texts.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    usable = written(known.join(small.select("id").distinct(), "id", "left_semi"), "usable-labels")
+    picked = [usable.where(F.col("y") == value).orderBy(order, "id").limit(max_rows) for value in (0, 1)]
     sample = small.join(F.broadcast(picked[0].unionByName(picked[1])), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
     rows = sorted((r["id"], r["text"], r["y"]) for r in sample.collect())  # <= 2 * max_rows texts of max_chars
     return fit([r[1] for r in rows], [r[2] for r in rows], prior)
