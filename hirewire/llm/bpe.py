@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import small_batches
+from hirewire.llm.common import held, small_batches
 from hirewire.llm.tokens import Cache, Splitting, public_path
 
 PAIRS_KEPT = 1_000_000
@@ -153,10 +152,9 @@ class BpeCodec:
         return out.decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=4)
 def codec(path: str) -> BpeCodec:
-    """One codec for each Python worker and file."""
-    return BpeCodec(path)
+    """The codec of a file, which a Python worker holds while its tasks ask for it."""
+    return held(f"codec {path}", lambda: BpeCodec(path))
 
 
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

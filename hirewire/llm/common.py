@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,23 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str | None, make: Callable[[], object] | None = None) -> object:
+    """What a Python worker keeps from task to task: one thing at a time. A worker outlives the stages of a pipeline, so
+    what an operator holds (a tokenizer with its caches) goes as soon as another operator's task asks for something
+    else, or for nothing (None)."""
+    if name not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+        if name is None:
+            return None
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"

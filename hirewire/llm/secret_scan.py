@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import free_name, small_batches
+from hirewire.llm.common import free_name, held, small_batches
 
 # The base patterns, each with the length that a match must have.
 KINDS = ["assign", "access", "hex", "markov"]
@@ -226,6 +226,7 @@ def train(df: DataFrame, text_col: str = "text") -> MarkovPair:
     small_batches(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         rnd, plain = np.zeros((START + 1, START)), np.zeros((START + 1, START))
         for b in batches:
             for text in b.column(0).to_pylist():

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirewire.llm.common import free_name, small_batches, written
+from hirewire.llm.common import free_name, held, small_batches, written
 from hirewire.llm.components import connected_components
 
 BITS = 64
@@ -54,6 +54,7 @@ def with_fingerprints(df: DataFrame, name: str, text_col: str = "text", words_pe
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
+        held(None)
         return pd.Series([v - (1 << 64) if (v := fingerprint(t, words_per_shingle, seed)) >> 63 else v for t in texts], dtype="int64")
 
     return df.withColumn(name, fp(F.col(f"`{text_col}`").cast("string")))

@@ -12,7 +12,8 @@ import json
 import os
 import re
 from array import array
-from functools import lru_cache
+
+from hirewire.llm.common import held
 
 #: Chunks and words in one generation of a Python worker's caches.
 CACHE_SIZE = 250_000
@@ -111,6 +112,7 @@ class LibraryEncoder:
         self.split = Splitting(path)
         self.model = self.split.tokenizer.model
         self.words = self.split.kind == "words"
+        del self.split.spec  # the parsed file is large, and the tokenizer has read it for itself
         self.by_word = Cache(self._word)
         self.by_chunk = Cache(self._words_chunk if self.words else self._spaces_chunk)
 
@@ -169,10 +171,9 @@ class NotAlone(Exception):
     """A chunk with white space at an end: its tokens depend on what stands beside it."""
 
 
-@lru_cache(maxsize=4)
 def library_encoder(path: str) -> LibraryEncoder:
-    """One encoder for each Python worker and file."""
-    return LibraryEncoder(path)
+    """The encoder of a file, which a Python worker holds while its tasks ask for it."""
+    return held(f"encoder {path}", lambda: LibraryEncoder(path))
 
 
 def public_path(name: str) -> str:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import small_batches, written
+from hirewire.llm.common import held, small_batches, written
 
 TOKEN = re.compile(r"[^\W\d_]+")
 BITS = 18  # features are hashed to 2^18 weights, which bounds the model
@@ -302,6 +302,7 @@ def score_documents(df: DataFrame, model: Crf, id_col: str = "doc_id", text_col:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         crf = shared.value
         known: dict[str, float] = {}
         for b in batches:
@@ -326,6 +327,7 @@ def keep_clean(df: DataFrame, model: Crf, text_col: str = "text", threshold: flo
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held(None)
         crf = shared.value
         known: dict[str, float] = {}
         for texts in batches:
