@@ -39,13 +39,9 @@ line AS (SELECT doc_id, source, substr(md5(t), 1, 16) AS doc, unnest(ls) AS x FR
 hashed AS (SELECT doc_id, source, doc,
     substr(md5(trim(regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '[ \t-\r]+', ' ', 'g'))), 1, 16) AS line,
     len(list_filter(regexp_split_to_array(x, '[ \t-\r]+'), lambda y: y <> '')) AS n FROM line),
-least AS (SELECT *, min(line) OVER (PARTITION BY doc_id) AS key FROM hashed),
-second AS (SELECT *, min(CASE WHEN line <> key THEN line END) OVER (PARTITION BY doc_id) AS next FROM least),
-keyed AS (SELECT *, CASE WHEN line <> key THEN key ELSE coalesce(next, '') END AS others FROM second),
-hosts AS (SELECT source, count(DISTINCT key) AS n_host FROM keyed GROUP BY source),
-common AS (SELECT k.source, k.line, min(k.doc) AS first FROM keyed k GROUP BY k.source, k.line
-    HAVING count(DISTINCT k.others) > 20
-    AND 100 * count(DISTINCT k.others) > 1.0 * (SELECT n_host FROM hosts h WHERE h.source IS NOT DISTINCT FROM k.source)),
+keys AS (SELECT doc_id, substr(md5(array_to_string(list_sort(list_distinct(list(line))), '')), 1, 16) AS key FROM hashed GROUP BY doc_id),
+keyed AS (SELECT h.*, key FROM hashed h JOIN keys k ON k.doc_id = h.doc_id),
+common AS (SELECT source, line, min(doc) AS first FROM keyed GROUP BY source, line HAVING count(DISTINCT key) > 20),
 gone AS (SELECT k.doc_id, sum(k.n)::BIGINT AS removed FROM keyed k JOIN common c
     ON k.source IS NOT DISTINCT FROM c.source AND k.line = c.line AND k.doc <> c.first GROUP BY k.doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
