@@ -89,36 +89,12 @@ def domain_from_name(company) -> Column:
             .when(F.length(token) >= 2, F.concat(token, F.lit(".com"))))
 
 
-def resolve_domain(company, company_url=None, logo_url=None) -> Column:
-    """First of URL domain, logo domain, name domain."""
-    parts = []
-    if company_url is not None:
-        parts.append(domain_from_url(company_url))
-    if logo_url is not None:
-        parts.append(domain_from_logo_url(logo_url))
-    parts.append(domain_from_name(company))
-    return F.coalesce(*parts)
-
-
 def favicon(domain) -> Column:
     d = col_(domain)
     pre, post = dims.FAVICON_TEMPLATE.split("{domain}")
     return F.when(d.isNotNull() & (d != ""), F.concat(F.lit(pre), d, F.lit(post))).otherwise(F.lit(""))
 
 
-def resolve_logo(company, company_url=None, logo_url=None) -> Column:
-    """struct(logo, domain): keep a real http logo, else the favicon of the resolved domain."""
-    domain = resolve_domain(company, company_url, logo_url)
-    if logo_url is None:
-        logo_out = favicon(domain)
-    else:
-        lg = col_(logo_url)
-        real = (lg.isNotNull() & (lg != "") & lg.startswith("http")
-                & ~contains_any(lg, dims.GENERATED_LOGO_MARKERS))
-        logo_out = F.when(real, lg).otherwise(favicon(domain))
-    return F.struct(logo_out.alias("logo"), F.coalesce(domain, F.lit("")).alias("domain"))
-
-
 def search_logo(company) -> Column:
     """Favicon guess from the lower-cased company without spaces; '' for an empty company."""
     c = col_(company)

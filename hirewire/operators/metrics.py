@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewire.sources.landing import good_answer
@@ -51,6 +51,22 @@ def run_stats(outcomes: DataFrame, success: DataFrame) -> DataFrame:
         F.count_if(job & ~F.col("outcome").startswith("filtered")).alias("candidates"))
 
 
+def staged_counters(unstorable: Column) -> dict[str, Column]:
+    """What M1 needs of the staged rows (outcome, gate_ok), to be observed on their write."""
+    cand = F.col("outcome") == "candidate"
+    return {"found": F.count(F.lit(1)), "candidates": F.count_if(cand), "gate_reject": F.count_if(cand & ~F.col("gate_ok")),
+            "refused": F.count_if(cand & F.col("gate_ok") & unstorable)}
+
+
+def observed_stats(success: DataFrame, seen: dict[str, int], new: int, refused_late: int = 0) -> DataFrame:
+    """M1 from what was observed on the writes of a run: no job outcome is read again. The same row as ``run_stats``."""
+    co = success.agg(F.count(F.lit(1)).alias("n"), F.count_if("failed").alias("failed")).first()
+    refused = seen["refused"] + refused_late
+    row = {"total_companies": co["n"], "companies_succeeded": co["n"] - co["failed"], "companies_failed": co["failed"], "total_jobs_found": seen["found"],
+           "jobs_after_filter": 0, "new_jobs_stored": new, "duplicates_skipped": seen["candidates"] - refused - new, "db_errors": refused, "candidates": seen["candidates"]}
+    return success.sparkSession.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row))
+
+
 def stats_by_platform(outcomes: DataFrame) -> DataFrame:
     """M2: outcomes per platform and per company, with platform subtotals (ROLLUP)."""
     return outcomes.rollup("platform", "company_seq").agg(

@@ -9,8 +9,6 @@ from hirewire.functions import text as T
 from hirewire.plans import sqlgen as S
 from hirewire.plans.common import table
 
-_TITLE_RE = r"(?s)<title>(.*?)</title>"
-
 
 def _pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", "html")
@@ -186,11 +184,10 @@ FROM t"""
 
 def t12_entity_decode_3(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    return p.select("page_id", T.entity_decode_3(F.regexp_extract("html", _TITLE_RE, 1)).alias("company"))
+    return p.select("page_id", T.entity_decode_3("html").alias("text"))
 
 
-T12_SQL = (f"SELECT page_id, replace(replace(replace(regexp_extract(html, {S.sql_str(_TITLE_RE)}, 1), '&amp;', '&'), "
-           f"'&#39;', ''''), '&quot;', '\"') AS company FROM pages")
+T12_SQL = """SELECT page_id, replace(replace(replace(html, '&amp;', '&'), '&#39;', chr(39)), '&quot;', chr(34)) AS text FROM pages"""
 
 QUERIES = {
     "T1_html_unescape": (t1_html_unescape, T1_SQL),

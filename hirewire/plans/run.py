@@ -13,7 +13,7 @@ from hirewire.functions import dims
 from hirewire.operators import extract as P
 from hirewire.operators import metrics as M
 from hirewire.operators.url_index import UrlIndex
-from hirewire.session import write_shared
+from hirewire.session import write_counted, write_shared
 from hirewire.sources import landing as LD
 
 KEY = ["run_ts", "platform", "company_seq", "search_id", "page_no", "item_pos"]
@@ -142,37 +142,39 @@ def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls, platf
     # Rows that were filtered keep only their key and outcome.
     wide = [c for c in staged.columns if c not in (*KEY, *RUN_ORDER, "outcome", "gate_ok")]
     staged = staged.select(*KEY, "platform_rank", "outcome", "gate_ok", *[F.when(is_cand, F.col(c)).alias(c) for c in wide])
-    staged = write_shared(spark, staged, "staged")
+    bad = SK.unstorable([c for c in TEXTS if c in staged.columns])
+    staged, seen = write_counted(spark, staged, "staged", M.staged_counters(bad))
     cand = staged.where(is_cand)
     usable = cand.where("gate_ok")
-    storable = usable.where(~SK.unstorable([c for c in TEXTS if c in cand.columns]))
+    storable = usable.where(~bad)
     # K2, K3 on narrow rows; the stored columns are joined back by the winners' keys, and the winners get their details
     first = K.first_keys(storable, "url", [*RUN_ORDER, "platform"])
     new_keys = (target_urls.new_only(first) if isinstance(target_urls, UrlIndex) else K.new_only(first, target_urls)).select(*KEY)
-    new_keys = write_shared(spark, new_keys, "new-keys")
+    new_keys, n_new = write_counted(spark, new_keys, "new-keys", {"n": F.count(F.lit(1))})
+    stored, refused_late = n_new["n"], 0
     same = [F.col(f"n.{c}").eqNullSafe(F.col(f"c.{c}")) for c in KEY]
     among = lambda rows, keys, how="left_semi": rows.alias("c").join(keys.alias("n"), same, how)
     new = write_shared(spark, late_details(among(cand, new_keys), landing), "new-rows")
     no_text = SK.unstorable(["description"])
     verdicts = new_keys.withColumn("verdict", F.lit("new"))
     refused = new.where(no_text)
-    if not refused.isEmpty():
+    if n_refused := refused.count():
         # A detail text that the database refuses: the next row of its URL is tried, with its detail
         again = write_shared(spark, late_details(storable.join(refused.select("url").distinct(), "url", "left_semi"), landing), "second-rows")
         second = write_shared(spark, K.first_keys(again.where(~no_text), "url", [*RUN_ORDER, "platform"]).select(*KEY), "second-keys")
         verdicts = (among(new_keys, refused, "left_anti").select(*KEY).unionByName(second).withColumn("verdict", F.lit("new"))
                     .unionByName(again.where(no_text).select(*KEY).withColumn("verdict", F.lit("db_error"))))
         new = new.where(~no_text).unionByName(among(again, second))
+        stored, refused_late = stored - n_refused + second.count(), again.where(no_text).count()
     new_rows = SK.enrich(new.drop("company_domain"))
     new_rows = P.finish_descriptions(new_rows)  # the Arrow UDF runs only on rows being stored
-    bad = SK.unstorable([c for c in TEXTS if c in cand.columns])
     narrow = cand.select(*KEY, "gate_ok", bad.alias("bad"))
     marked = among(narrow, verdicts, "left")
     judged = marked.select(*[F.col(f"c.{c}") for c in KEY], F.when(~F.col("gate_ok"), F.lit("gate_reject")).when(F.col("bad"), F.lit("db_error"))
                            .otherwise(F.coalesce("verdict", F.lit("duplicate"))).alias("outcome"))
     outcomes = staged.where(~is_cand).select(*KEY, "outcome").unionByName(judged)
     success = M.company_success(scoped, failed)
-    return new_rows, outcomes, M.run_stats(outcomes, success), success
+    return new_rows, outcomes, M.observed_stats(success, seen, stored, refused_late), success
 
 
 def run(spark, landing: DataFrame, companies: DataFrame, target: str, batch_id: str, platform: str | None = None,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -70,6 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def write_counted(spark: SparkSession, df: DataFrame, name: str, counters: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """``write_shared``, and aggregates of the rows taken on their way into the files, instead of by a pass over them."""
+    seen = Observation(name)
+    out = write_shared(spark, df.observe(seen, *[c.alias(k) for k, c in counters.items()]), name)
+    return out, {k: v or 0 for k, v in seen.get.items()}
+
+
 def write_shared(spark: SparkSession, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a derived table below the shared checkpoint folder and read it back: its lineage ends there
     and the planner knows its size."""

@@ -292,6 +292,9 @@ def test_details_that_the_database_refuses(spark):
     new, outcomes, stats, _ = R.plan_run(spark, land.unionByName(later), co, _empty(spark))
     assert sorted((r["item_key"], r["run_ts"].hour, r["description"]) for r in new.collect()) == [("1", 2, "good"), ("2", 1, "good")]
     assert sorted(r["outcome"] for r in outcomes.collect()) == ["db_error", "duplicate", "new", "new"]
+    from hirewire.operators.metrics import run_stats
+    success = spark.createDataFrame([("bamboohr", 1, False)], "platform string, company_seq long, failed boolean")
+    assert run_stats(outcomes, success).first() == stats.first()  # observed on the writes, or counted over the outcomes
 
 
 def test_page_accounts(spark):
