@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirewire.llm.common import held, small_batches
-from hirewire.llm.tokens import Cache, Splitting, public_path
+from hirewire.llm.tokens import Cache, Splitting
 
 PAIRS_KEPT = 1_000_000
 END = 0xE000  # the last character of a word is shifted by this much, so that word ends are characters of their own
@@ -215,7 +215,3 @@ def round_trip_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_co
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     out = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, schema)
     return out.withColumnRenamed("id", id_col)
-
-
-def word_bpe() -> str:
-    return public_path("word_bpe_49k.json")

@@ -41,6 +41,12 @@ def held(name: str | None, make: Callable[[], object] | None = None) -> object:
     return _HELD[name]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark takes it for, so that workers open the same store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import small_batches
+from hirewire.llm.common import qualified, small_batches
 from hirewire.llm.tokens import library_encoder
 
 NO_ID = -(1 << 63)  # stands in a payload for a null doc_id
@@ -116,12 +116,13 @@ MANIFEST = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("
 def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """Encode each whole text with the tokenizer file ``path``, append ``end_id`` and write record files in
-    ascending id order below ``folder``, which all executors must reach. Returns the manifest: part (ascending
-    as the ids do), file, id_bytes (width of an id), records, tokens.
+    ascending id order below ``folder``, which all executors must reach; a path without a scheme is one of Spark's default
+    file system, for the records as for the manifest. Returns the manifest: part (ascending as the ids do), file, id_bytes (width of an id), records, tokens.
 
     A range exchange on the id deals out the documents; each task streams its part to one file, so memory is
     a batch. Null texts: empty; null ids come first; repeated ids: by text; an empty table: an empty manifest."""
     small_batches(df.sparkSession)
+    folder = qualified(df.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -177,6 +178,8 @@ def read_records(manifest: DataFrame, folder: str, id_col: str = "doc_id", diges
 
     ``start`` counts the ids of all documents before, over all files; only the manifest, one row for each
     file, meets in a window. A task reads a file as a stream; null ids come back as null."""
+    folder = qualified(manifest.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         for b in batches:
