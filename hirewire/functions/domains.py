@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hirewire.functions import dims
 from hirewire.functions.sqlexpr import in_list, map_lit
 from hirewire.functions.text import PY_WS, col_, contains_any, py_strip
-from hirewire.functions.urls import url_split, with_url_parts
+from hirewire.functions.urls import with_url_parts
 
 _NOISE_RE = r"(?i)\b(?:" + "|".join(dims.NAME_NOISE_WORDS) + r")\b"
 
@@ -39,22 +39,6 @@ def registrable(host) -> Column:
     return F.when(n <= 2, h).when(in_list(last2, dims.MULTI_PART_TLDS), last3).otherwise(last2)
 
 
-def domain_from_url(url) -> Column:
-    """L1: registrable domain of an http(s) URL (scheme optional); NULL for non-company hosts."""
-    u = col_(url)
-    raw = py_strip(u)
-    raw = F.when(raw.contains("://"), raw).otherwise(F.concat(F.lit("http://"), raw))
-    parts = url_split(raw, prestrip=False)
-    bad_brackets = parts["netloc"].contains("[") != parts["netloc"].contains("]")
-    host = hostname(parts["netloc"])
-    host = F.when(host.startswith("www."), F.substring(host, 5, 1 << 30)).otherwise(host)
-    reg = registrable(host)
-    ok = (u.isNotNull() & (py_strip(u) != "") & parts["scheme"].isin("http", "https") & ~bad_brackets
-          & (host != "") & host.contains(".")
-          & ~in_list(reg, dims.NON_COMPANY_HOSTS) & ~in_list(host, dims.NON_COMPANY_HOSTS))
-    return F.when(ok, reg)
-
-
 def _between(s: Column, marker: str) -> Column:
     seg = F.substring_index(F.substring_index(s, marker, 2), marker, -1)
     return F.when(F.substring_index(seg, "?", 1) != "", F.substring_index(seg, "?", 1))
@@ -77,18 +61,6 @@ def normalize_name(name) -> Column:
     return F.trim(s)
 
 
-def domain_from_name(company) -> Column:
-    """Known name, else the name without noise words as ``token.com`` (>= 2 chars)."""
-    c = col_(company)
-    norm = normalize_name(c)
-    known = F.try_element_at(_known_map(), norm)
-    token = F.regexp_replace(F.regexp_replace(norm, _NOISE_RE, " "), r"[^a-z0-9]", "")
-    token = F.when(F.length(token) >= 2, token).otherwise(F.regexp_replace(norm, r"[^a-z0-9]", ""))
-    return (F.when(c.isNull() | (c == "") | (norm == ""), F.lit(None).cast("string"))
-            .when(known.isNotNull(), known)
-            .when(F.length(token) >= 2, F.concat(token, F.lit(".com"))))
-
-
 def favicon(domain) -> Column:
     d = col_(domain)
     pre, post = dims.FAVICON_TEMPLATE.split("{domain}")

@@ -3,17 +3,21 @@
 The target is a parquet table partitioned by ``batch_id``. Appending a batch is a
 dynamic-partition overwrite of its own partition, so replaying a batch rewrites the
 same rows instead of adding more; the new-only anti-join excludes the current batch.
+Old batches, an hour's few rows each, are merged into few files by ``compact``.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirewire.functions import dims
 from hirewire.functions.domains import with_resolved_logo
+from hirewire.operators.versions import VersionLog
 
 STORED_COLS = ["platform", "title", "company", "location", "url", "description", "posted_date", "salary_range",
                "company_logo", "company_domain", "company_url", "ats_type", "source_platform", "work_type",
@@ -36,8 +40,8 @@ def enrich(new_rows: DataFrame) -> DataFrame:
     return with_resolved_logo(new_rows, "company", "company_url", "company_logo", "company_logo", "company_domain")
 
 
-def to_stored(df: DataFrame, run_ts, batch_id: str) -> DataFrame:
-    """K5 shape: the 17 written columns, the owner-side defaults, ``scraped_at`` and ``batch_id``."""
+def to_stored(df: DataFrame, run_ts, batch_id: str | Column) -> DataFrame:
+    """K5 shape: the 17 written columns, the owner-side defaults, ``scraped_at`` and ``batch_id`` (a value or a column)."""
     ts = F.lit(run_ts).cast("timestamp_ntz") if isinstance(run_ts, str) else run_ts
     if "ats_type" not in df.columns:
         df = df.withColumn("ats_type", F.col("platform"))
@@ -51,9 +55,59 @@ def to_stored(df: DataFrame, run_ts, batch_id: str) -> DataFrame:
 
 
 def append(df: DataFrame, path: str) -> None:
-    """K5/I4: write the batch's partition; a replay of the same batch overwrites only it."""
+    """K5/I4: write the batch's partition; a replay of the same batch overwrites only it. If the batch was merged with
+    others meanwhile, its merged rows stop counting when the new ones are there."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("batch_id").parquet(path))
+    log = merged_log(df.sparkSession, path)
+    number, merged = log.newest({})
+    if merged:
+        again = {r[0] for r in df.select("batch_id").distinct().collect()}
+        if any(again & set(batches) for batches in merged.values()):
+            log.commit(number, {name: [b for b in batches if b not in again] for name, batches in merged.items()})
+
+
+def merged_log(spark: SparkSession, path: str) -> VersionLog:
+    """Which folders of merged batches count, and for which batches: {folder: [batch_id]}."""
+    return VersionLog(spark, f"{path.rstrip('/')}/_merged/versions")
+
+
+def compact(spark: SparkSession, path: str, keep_last: int = 24, rows_per_file: int = 1_000_000, schema: str | None = None,
+            most_folders: int = 16) -> int:
+    """I4: rewrite the batches that have partitions of their own, but for the newest ``keep_last`` (by id), into few files
+    of a folder below ``_merged``; returns how many. With ``most_folders`` folders they become one. Rows keep their ``batch_id``, so a batch can still be replayed. The change is one new
+    version: readers see the batches in the one place or the other. The old partitions stay for readers that have
+    planned already, until ``remove_merged`` is called."""
+    log = merged_log(spark, path)
+    number, merged = log.newest({})
+    done = {b for batches in merged.values() for b in batches}
+    own = sorted(unquote(n.split("=", 1)[1]) for n in log.names(path) if n.startswith("batch_id="))
+    old = [b for b in own[:len(own) - keep_last] if b not in done]
+    if len(old) < 2:
+        return 0
+    rows = spark.read.schema(schema or STORED_SCHEMA).parquet(path).where(F.col("batch_id").isin(*old))
+    again = merged if len(merged) >= most_folders and done else {}
+    if again:
+        rows = rows.unionByName(_merged_rows(spark, path, again, schema or STORED_SCHEMA))
+    name = f"m-{uuid.uuid4().hex[:12]}"
+    rows.repartition(max(1, -(-rows.count() // rows_per_file))).write.parquet(f"{path.rstrip('/')}/_merged/{name}")
+    log.commit(number, {**({} if again else merged), name: old + (sorted(done) if again else [])})
+    return len(old)
+
+
+def remove_merged(spark: SparkSession, path: str) -> list[str]:
+    """Delete the own partitions of merged batches and merged folders without a batch; to be called when no reader that planned
+    before the last ``compact`` is at work. Returns the batches."""
+    log = merged_log(spark, path)
+    merged = log.newest({})[1]
+    there = {unquote(n.split("=", 1)[1]): n for n in log.names(path) if n.startswith("batch_id=")}
+    gone = [b for batches in merged.values() for b in batches if b in there]
+    for b in gone:
+        log.delete(f"{path.rstrip('/')}/{there[b]}")
+    for name in log.names(f"{path.rstrip('/')}/_merged"):
+        if name.startswith("m-") and not merged.get(name):  # replayed since, or merged into another folder
+            log.delete(f"{path.rstrip('/')}/_merged/{name}")
+    return gone
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -68,7 +122,19 @@ def read_target(spark: SparkSession, path: str, schema: str | None = None) -> Da
     older batches lack come back as NULL, so no footers are merged, and ``conform`` fills them in."""
     if not exists(spark, path):
         return None
-    return conform(spark.read.schema(schema or STORED_SCHEMA).parquet(path))
+    table = spark.read.schema(schema or STORED_SCHEMA).parquet(path)
+    merged = merged_log(spark, path).newest({})[1]
+    if any(merged.values()):
+        moved = F.col("batch_id").isin(*[b for batches in merged.values() for b in batches])
+        table = table.where(~moved).unionByName(_merged_rows(spark, path, merged, schema or STORED_SCHEMA))
+    return conform(table)
+
+
+def _merged_rows(spark: SparkSession, path: str, merged: dict[str, list[str]], schema: str) -> DataFrame:
+    """The rows of merged batches: of each folder those of the batches that count there (others were replayed since)."""
+    folders = [spark.read.schema(schema).parquet(f"{path.rstrip('/')}/_merged/{name}").where(F.col("batch_id").isin(*batches))
+               for name, batches in merged.items() if batches]
+    return reduce(DataFrame.unionByName, folders)
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -5,17 +5,15 @@ Beside the jobs table (``<target>/_url_index``) every appended batch leaves a se
     keys/segment=<name>/slot=<n>/   its URLs (url, batch_id), dealt to 2^k slots by the low bits of their hash
     words/segment=<name>/           its Bloom filter: 2^m words of 64 bits (word, bits, size, slots); a URL sets
                                     ``PROBES`` bits of the one word that the low bits of its hash name
-    versions/<number>               which segments count: a small JSON file, written under a new number by each change
+    versions/<number>               which segments count (see ``versions``)
 
 A batch's URLs meet the words in an equi-join on (size, word), a few bytes for each stored URL; only slots in which some
 URL has all its bits set are opened, and there the URLs themselves are compared, so the result is exact. Segments
-appear and go by the version file alone, which a writer can't overwrite: a failed or repeated attempt leaves files that no
-version names. ``compact`` merges small segments, which bounds how many filters a URL meets.
+appear and go by the version alone: a failed or repeated attempt leaves files that no version names. ``compact`` merges small segments, which bounds how many filters a URL meets.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import asdict, dataclass, field
 from urllib.parse import unquote
@@ -23,6 +21,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirewire.operators.versions import VersionLog
 from hirewire.session import write_shared
 
 PROBES = 6  # bits that a URL sets, of the 64 in its word
@@ -65,40 +64,17 @@ class UrlIndex:
                  exclude_batch: str | None = None):
         self.spark, self.target, self.path = spark, target.rstrip("/"), f"{target.rstrip('/')}/_url_index"
         self.keys_per_file, self.bits_per_key, self.exclude_batch = keys_per_file, bits_per_key, exclude_batch
-
-    # --- versions: small files, through the table's own file system ---------------------
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _names(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        self.log = VersionLog(spark, f"{self.path}/versions")
 
     def _version(self) -> tuple[int, list[Segment]]:
-        numbers = sorted(int(n) for n in self._names(f"{self.path}/versions") if n.isdigit())
-        if not numbers:
-            return 0, []
-        text = self.spark.read.text(f"{self.path}/versions/{numbers[-1]:012d}", wholetext=True).first()[0]
-        return numbers[-1], [Segment(**s) for s in json.loads(text)]
+        number, segments = self.log.newest([])
+        return number, [Segment(**s) for s in segments]
 
     def segments(self) -> list[Segment]:
         return self._version()[1]
 
     def _commit(self, number: int, segments: list[Segment]) -> None:
-        """Written under a name of its own, then renamed: a rename onto a version that another writer has made meanwhile
-        fails, and so does the change (its files stay unnamed)."""
-        text = json.dumps([asdict(s) for s in segments])
-        fs, draft = self._fs(f"{self.path}/versions/_{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-        final = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/{number + 1:012d}")
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise RuntimeError(f"the URL index {self.path} was changed by another writer; run again")
+        self.log.commit(number, [asdict(s) for s in segments])
 
     # --- writing ------------------------------------------------------------------------
 
@@ -135,11 +111,14 @@ class UrlIndex:
     def sync(self, exclude: str | None = None) -> None:
         """Index the target's batches that no segment has: a table that is older than its index, or a batch whose run died
         between its write and its indexing."""
+        from hirewire.operators import sink as SK
+
         have = {b for s in self.segments() for b in s.batches}
-        there = [unquote(n.split("=", 1)[1]) for n in self._names(self.target) if n.startswith("batch_id=")]
-        missing = [b for b in there if b not in have and b != exclude]
+        there = {unquote(n.split("=", 1)[1]) for n in self.log.names(self.target) if n.startswith("batch_id=")}
+        there |= {b for batches in SK.merged_log(self.spark, self.target).newest({})[1].values() for b in batches}
+        missing = sorted(b for b in there if b not in have and b != exclude)
         if missing:
-            stored = self.spark.read.schema("url string, batch_id string").parquet(self.target)
+            stored = SK.read_target(self.spark, self.target, "url string, batch_id string")
             self.add(stored.where(F.col("batch_id").isin(*missing)))
 
     def compact(self, keep_last: int = 24, most_keys: int | None = None) -> None:
@@ -157,15 +136,11 @@ class UrlIndex:
     def vacuum(self, keep_versions: int = 10) -> list[str]:
         """Remove segments that none of the newest ``keep_versions`` versions names; returns their names. Not to be called
         while a writer that hasn't committed yet is at work."""
-        numbers = sorted(int(n) for n in self._names(f"{self.path}/versions") if n.isdigit())
-        named = set()
-        for v in numbers[-keep_versions:]:
-            named |= {s["name"] for s in json.loads(self.spark.read.text(f"{self.path}/versions/{v:012d}", wholetext=True).first()[0])}
-        there = {n.split("=", 1)[1] for kind in ("keys", "words") for n in self._names(f"{self.path}/{kind}") if n.startswith("segment=")}
+        named = {s["name"] for v in self.log.numbers()[-keep_versions:] for s in self.log.at(v)}
+        there = {n.split("=", 1)[1] for kind in ("keys", "words") for n in self.log.names(f"{self.path}/{kind}") if n.startswith("segment=")}
         for name in there - named:
             for kind in ("keys", "words"):
-                fs, p = self._fs(f"{self.path}/{kind}/segment={name}")
-                fs.delete(p, True)
+                self.log.delete(f"{self.path}/{kind}/segment={name}")
         return sorted(there - named)
 
     # --- reading ------------------------------------------------------------------------
