@@ -156,8 +156,10 @@ def judge(df: DataFrame, limits: Limits = Limits(), host_col: str = "source", te
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
     own = {"base_failed", "n_removed_words", "gone", "kept"}
     counted = counted.select(*[F.col(f"`{c}`") for c in counted.columns if c.lower() not in own])
-    out = counted.join(gone, F.col(host).eqNullSafe(F.col("h")) & (F.col(doc) == F.col("d")), "left")
-    removed = F.coalesce("removed", F.lit(0)).cast("long")
+    h, d, words_gone = (free_name(counted, n) for n in ("_gone_host", "_gone_doc", "_gone_words"))
+    gone = gone.select(F.col("h").alias(h), F.col("d").alias(d), F.col("removed").alias(words_gone), "gone")
+    out = counted.join(gone, F.col(host).eqNullSafe(F.col(h)) & (F.col(doc) == F.col(d)), "left")
+    removed = F.coalesce(words_gone, F.lit(0)).cast("long")
     kept = ~failed & (100 * removed <= limits.depleted_percent * F.col("n_words"))
     cols = [c for c in counted.columns if c not in (host, doc)]
     return out.select(*[F.col(f"`{c}`") for c in cols], failed.alias("base_failed"), removed.alias("n_removed_words"), "gone", kept.alias("kept"))
@@ -170,8 +172,12 @@ def without_lines(text: Column, gone: Column) -> Column:
 
 
 def keep_good(df: DataFrame, limits: Limits = Limits(), host_col: str = "source", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """The kept rows of ``df`` without their common lines; ``length_col`` follows where the text changed."""
-    judged = judge(df, limits, host_col, text_col).where("kept")
-    text, changed = without_lines(F.col(f"`{text_col}`"), F.col("gone")), F.col("gone").isNotNull()
-    new = {text_col: text, length_col: F.when(changed, F.length(text).cast("long")).otherwise(F.col(f"`{length_col}`")) if length_col in df.columns else None}
-    return judged.select(*[new[c].alias(c) if new.get(c) is not None else F.col(f"`{c}`") for c in df.columns])
+    """The kept rows of ``df`` without their common lines; ``length_col`` follows where the text changed. All other columns
+    stay as they are, whatever their names; cases as in ``judge``."""
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}  # apart from the names that judge gives
+    judged = judge(df.toDF(*names.values()), limits, names[host_col], names[text_col]).where("kept")
+    text, changed = without_lines(F.col(names[text_col]), F.col("gone")), F.col("gone").isNotNull()
+    new = {text_col: text}
+    if length_col in names:
+        new[length_col] = F.when(changed, F.length(text).cast("long")).otherwise(F.col(names[length_col]))
+    return judged.select(*[new.get(c, F.col(name)).alias(c) for c, name in names.items()])
