@@ -89,7 +89,7 @@ def search_cards(usable: DataFrame, searches: DataFrame | None = None) -> DataFr
     pages = usable.where(F.col("platform") == dims.SEARCH_PLATFORM).join(searches, "search_id", "left") \
               .withColumn("raw", F.lit(None).cast("variant")).withColumn("board_slug", F.lit(None).cast("string")) \
               .withColumn("company_name", F.lit(""))
-    rows = P.search_results(pages, F.coalesce("search_location", F.lit("")))
+    rows = write_shared(spark, P.search_results(pages, F.coalesce("search_location", F.lit(""))), "search-cards")
     return first_wins(rows, ["run_ts", "url"], ["search_id", "page_no", "item_pos"])
 
 
