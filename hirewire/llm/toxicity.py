@@ -128,6 +128,13 @@ class Crf:
         new = list({t for ts in token_lists for t in ts if t not in known})
         known.update(zip(new, self.emissions(new).tolist()))
         emission = np.fromiter((x for ts in token_lists for x in map(known.__getitem__, ts)), np.float64, int(lengths.sum()))
+        return self._split(emission, lengths)
+
+    def marked(self, ids: list[np.ndarray], emission: np.ndarray) -> list[np.ndarray]:
+        """``tagged`` for documents of word numbers, with the emission of each word."""
+        return self._split(emission[np.concatenate(ids)] if ids else np.zeros(0), np.array([len(d) for d in ids], np.int64))
+
+    def _split(self, emission: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
         ends = np.cumsum(lengths)
         forward, back = marginals(emission, ends - lengths, self.trans, self.start)
         p = 1 / (1 + np.exp(-np.clip(forward + back, -60, 60)))
@@ -149,6 +156,41 @@ def layer_input(p: np.ndarray) -> list[float]:
             float(np.log1p(p[p > 0.5].sum())), float(np.log1p(len(p))) / 6]
 
 
+WORDS_AT_ONCE = 20_000  # words of the sample whose features are looked at together, which bounds a fit's memory
+
+
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(flat, edges): the features of word i are flat[edges[i]:edges[i + 1]]."""
+    flat, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for i in range(0, len(words), WORDS_AT_ONCE):
+        block = words[i:i + WORDS_AT_ONCE]
+        at, owner = features(block)
+        flat.append(at[np.argsort(owner, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(owner, minlength=len(block)))
+    return np.concatenate(flat), np.cumsum(np.concatenate(sizes))
+
+
+def word_blocks(edges: np.ndarray) -> Iterator[tuple[int, int]]:
+    n = len(edges) - 1
+    return ((lo, min(lo + WORDS_AT_ONCE, n)) for lo in range(0, n, WORDS_AT_ONCE))
+
+
+def word_sums(weights: np.ndarray, flat: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The sum of each word's feature weights."""
+    out = np.zeros(len(edges) - 1)
+    for lo, hi in word_blocks(edges):
+        out[lo:hi] = np.add.reduceat(weights[flat[edges[lo]:edges[hi]]], edges[lo:hi] - edges[lo])
+    return out
+
+
+def feature_sums(by_word: np.ndarray, flat: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """For each feature the sum over the words that have it."""
+    out = np.zeros(1 << BITS)
+    for lo, hi in word_blocks(edges):
+        out += np.bincount(flat[edges[lo]:edges[hi]], weights=np.repeat(by_word[lo:hi], np.diff(edges[lo:hi + 1])), minlength=1 << BITS)
+    return out
+
+
 def fit(texts: list[str], labels: list[int], prior: float | None = None, folds: int = 3) -> Crf:
     """Train on labelled texts; runs on one machine, on a sample of bounded size. The logistic layer learns from
     marginals of documents that the field it uses hasn't seen (``folds``), the final field from all. ``prior``:
@@ -158,22 +200,19 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, folds:
     if share in (0.0, 1.0):
         return Crf(constant=share)
     prior = min(max(share if prior is None else prior, 1e-6), 1 - 1e-6)
-    docs = [TOKEN.findall(t.lower()) for t in texts]
     index: dict[str, int] = {}
-    ids = [np.fromiter((index.setdefault(w, len(index)) for w in d), np.int64, len(d)) for d in docs]
+    ids = [np.fromiter((index.setdefault(w, len(index)) for w in TOKEN.findall(t.lower())), np.int64) for t in texts]
     words = list(index)
-    flat, owner = features(words)
-    order = np.argsort(owner, kind="stable")
-    flat, owner = flat[order], owner[order]
-    model = _field(ids, y, flat, owner, len(words))
+    del index
+    flat, edges = word_features(words)
+    model = _field(ids, y, flat, edges)
     if model is None:
         return Crf(constant=prior)
     x = np.zeros((len(y), LAYER))
     for k in range(folds):
         mine = np.arange(len(y)) % folds == k
-        part = _field([d for d, m in zip(ids, mine) if not m], y[~mine], flat, owner, len(words)) or model
-        known = dict(zip(words, np.bincount(owner, weights=part.weights[flat], minlength=len(words)).tolist()))
-        x[mine] = [layer_input(p) for p in part.tagged([d for d, m in zip(docs, mine) if m], known)]
+        part = _field([d for d, m in zip(ids, mine) if not m], y[~mine], flat, edges) or model
+        x[mine] = [layer_input(p) for p in part.marked([d for d, m in zip(ids, mine) if m], word_sums(part.weights, flat, edges))]
     w = np.zeros(LAYER)
     w[0] = np.log(share / (1 - share))
     calm = np.diag([1e-3] + [1.0] * (LAYER - 1))
@@ -188,14 +227,13 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, folds:
     return model
 
 
-def _field(ids: list[np.ndarray], y: np.ndarray, flat: np.ndarray, owner: np.ndarray, n_words: int, min_evidence: float = 16.0,
+def _field(ids: list[np.ndarray], y: np.ndarray, flat: np.ndarray, edges: np.ndarray, min_evidence: float = 16.0,
            min_share: float = 0.3, rounds: int = 32, l2: float = 2e-3) -> Crf | None:
-    """The field of documents given as word numbers; ``flat``, ``owner``: features of words, by word. None if no
-    feature tells toxic documents from others."""
+    """The field of documents given as word numbers; ``flat``, ``edges``: features of words. None if no feature tells
+    toxic documents from others."""
     share = float(y.mean())
     if share in (0.0, 1.0):
         return None
-    edges = np.searchsorted(owner, np.arange(n_words + 1))
     # features that toxic documents have significantly more often than their share of documents
     seen = np.zeros((2, 1 << BITS))
     for d, label in zip(ids, y):
@@ -205,7 +243,7 @@ def _field(ids: list[np.ndarray], y: np.ndarray, flat: np.ndarray, owner: np.nda
     q = np.clip(k / np.maximum(n, 1), 1e-9, 1 - 1e-9)
     gain = 2 * (k * np.log(q / share) + (n - k) * np.log((1 - q) / (1 - share)))
     telling = (gain >= min_evidence) & (q >= max(min_share, 1.5 * share if share < 0.6 else share))
-    toxic_word = np.bincount(owner, weights=telling[flat], minlength=n_words) > 0
+    toxic_word = word_sums(telling.astype(float), flat, edges) > 0
     lengths = np.array([len(d) for d in ids])
     tokens = np.concatenate(ids) if len(ids) else np.zeros(0, np.int64)
     tag = toxic_word[tokens] & np.repeat(y == 1, lengths)
@@ -213,11 +251,11 @@ def _field(ids: list[np.ndarray], y: np.ndarray, flat: np.ndarray, owner: np.nda
         return None
     starts = np.cumsum(lengths) - lengths
     model = Crf(constant=None)
-    _train_field(model, tokens, tag, starts[lengths > 0], flat, owner, edges, rounds, l2)
+    _train_field(model, tokens, tag, starts[lengths > 0], flat, edges, rounds, l2)
     return model
 
 
-def _train_field(model: Crf, tokens, tag, starts, flat, owner, edges, rounds, l2) -> None:
+def _train_field(model: Crf, tokens, tag, starts, flat, edges, rounds, l2) -> None:
     """Maximum conditional likelihood by Adam on the whole sample; toxic tokens weigh as their number does."""
     n_words, n = len(edges) - 1, len(tokens)
     w = np.zeros(1 << BITS)
@@ -234,11 +272,11 @@ def _train_field(model: Crf, tokens, tag, starts, flat, owner, edges, rounds, l2
             pairs[i, j] = np.sum((tag[prev] == i) & (tag[nxt] == j))
     scale = max(1, int(tag.sum()))
     for r in range(1, rounds + 1):
-        emission = np.add.reduceat(w[flat], edges[:-1])[tokens] if n_words else np.zeros(0)
+        emission = word_sums(w, flat, edges)[tokens]
         f, b = marginals(emission, starts, trans, start)
         p = 1 / (1 + np.exp(-np.clip(f + b, -60, 60)))
         by_word = np.bincount(tokens, weights=tag - p, minlength=n_words)
-        grad = np.bincount(flat, weights=by_word[owner], minlength=1 << BITS) / scale - l2 * w
+        grad = feature_sums(by_word, flat, edges) / scale - l2 * w
         # expected steps: message before, transition, token and message after
         after = b[nxt] + np.clip(emission[nxt], -30, 30)
         logs = np.stack([trans[i, j] + i * f[prev] + j * after for i in (0, 1) for j in (0, 1)])
