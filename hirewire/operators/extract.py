@@ -478,10 +478,10 @@ def successfactors(pages: DataFrame) -> DataFrame:
     moded = pages.withColumn("_mode", mode)
     lists = moded.where((F.col("kind") == "list") & F.col("_mode").isin("auto", "csb")).drop("_mode")
     html = moded.where((F.col("kind") == "html_list") & (F.col("_mode") != "csb"))
-    company = ["run_ts", "platform", "company_seq"]
-    unsure = html.where("_mode = 'auto'").select(*company).distinct()
-    has = successfactors_csb(lists.join(unsure, company, "left_semi")).select(*company, F.lit("auto").alias("_mode")).distinct()
-    rmk = successfactors_rmk(html.join(has, [*company, "_mode"], "left_anti").drop("_mode"))
+    auto, only = html.where("_mode = 'auto'").drop("_mode"), html.where("_mode <> 'auto'").drop("_mode")
+    unsure = auto.select(*LD.COMPANY_RUN).distinct()
+    decisive = successfactors_csb(lists.join(unsure, list(LD.COMPANY_RUN), "left_semi"))
+    rmk = successfactors_rmk(only.unionByName(LD.lacking(auto, decisive)))
     return successfactors_csb(lists).unionByName(rmk)
 
 

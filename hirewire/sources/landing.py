@@ -81,6 +81,19 @@ def attach_details(items: DataFrame, details: DataFrame) -> DataFrame:
     return items.join(one, key, "left").withColumn("detail", F.coalesce("detail", F.lit("")))
 
 
+COMPANY_RUN = ("run_ts", "platform", "company_seq")
+
+
+def lacking(fallback: DataFrame, primary: DataFrame, key=COMPANY_RUN) -> DataFrame:
+    """The rows of ``fallback`` whose run and company have no row in ``primary``."""
+    return fallback.join(primary.select(*key).distinct(), list(key), "left_anti")
+
+
+def prefer(primary: DataFrame, fallback: DataFrame, key=COMPANY_RUN) -> DataFrame:
+    """Per run and company, the primary rows when it has any, else the fallback rows."""
+    return primary.unionByName(lacking(fallback, primary, key), allowMissingColumns=True)
+
+
 def union_platforms(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL of every platform's raw jobs (provenance columns carry arrival order)."""
     out = frames[0]
