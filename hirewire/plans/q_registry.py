@@ -65,11 +65,14 @@ def s4b_registry_rejects(spark, sf_dir):
     return bad.select("company_seq", "reason")
 
 
-S4B_SQL = f"""WITH {_SUP} SELECT company_seq, CASE WHEN missing_keys <> '' THEN 'missing_keys'
+REJECTS_SQL = f"""WITH {_SUP} SELECT company_seq, ats_platform, missing_keys, CASE WHEN missing_keys <> '' THEN 'missing_keys'
   WHEN NOT coalesce({_VALID}, false) THEN 'bad_platform' ELSE 'disabled' END AS reason
 FROM sup WHERE NOT (missing_keys = '' AND {_VALID} AND s_suppkey % 11 IN ({', '.join(map(str, _ENABLED_KEEP))}))"""
 
 
+S4B_SQL = f"SELECT company_seq, reason FROM ({REJECTS_SQL})"
+
+
 def s5_run_scope_filter(spark, sf_dir):
     good, _ = R.validate(_entries(spark, sf_dir))
     return R.scope(good, platform="workday").select("company_seq", "company_name")

@@ -178,11 +178,14 @@ def plan_run(spark, landing: DataFrame, companies: DataFrame, target_urls, platf
 
 
 def run(spark, landing: DataFrame, companies: DataFrame, target: str, batch_id: str, platform: str | None = None,
-        company: str | None = None, searches: DataFrame | None = None, raise_on_gates: bool = True):
+        company: str | None = None, searches: DataFrame | None = None, raise_on_gates: bool = True, rejects: str | None = None,
+        registry_rejects: DataFrame | None = None):
     """A1: run the pipeline and append the new rows to ``target``; returns the stats row.
     Replaying a ``batch_id`` rewrites only its own partition (the anti-join ignores it). The batch's URLs are indexed
     after its write; a run that dies in between is made up for by the next one's ``sync``. The health gates (M4, M5)
-    are judged after the write; inside a stream's batch the caller judges them at the end instead."""
+    are judged after the write; inside a stream's batch the caller judges them at the end instead. ``rejects`` is the path
+    of the quarantine table: what wasn't stored goes there with its reason, ``registry_rejects`` too if given."""
+    from hirewire.operators import quarantine as Q
     from hirewire.operators import sink as SK
 
     index = UrlIndex(spark, target, exclude_batch=batch_id)
@@ -191,6 +194,8 @@ def run(spark, landing: DataFrame, companies: DataFrame, target: str, batch_id:
     SK.append(SK.to_stored(new_rows, F.col("run_ts"), batch_id), target)
     index.add(SK.batch_urls(spark, target, batch_id))
     row = stats.collect()[0]
+    if rejects is not None:
+        Q.write(spark, outcomes, success, row, rejects, batch_id, registry_rejects)
     if raise_on_gates:
         M.check_health(row)
     return row

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -72,9 +73,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def write_counted(spark: SparkSession, df: DataFrame, name: str, counters: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
     """``write_shared``, and aggregates of the rows taken on their way into the files, instead of by a pass over them."""
+    counted, seen = observed(df, name, counters)
+    return write_shared(spark, counted, name), seen()
+
+
+def observed(df: DataFrame, name: str, counters: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with aggregates taken while an action runs over it, and what gives them afterwards."""
     seen = Observation(name)
-    out = write_shared(spark, df.observe(seen, *[c.alias(k) for k, c in counters.items()]), name)
-    return out, {k: v or 0 for k, v in seen.get.items()}
+    return df.observe(seen, *[c.alias(k) for k, c in counters.items()]), lambda: {k: v or 0 for k, v in seen.get.items()}
 
 
 def write_shared(spark: SparkSession, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

@@ -35,19 +35,21 @@ def stream_name(checkpoint_location: str) -> str:
     return hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:12]
 
 
-def process_batch(companies: DataFrame, target: str, name: str, results: list):
+def process_batch(companies: DataFrame, target: str, name: str, results: list, rejects: str | None = None):
     """The foreachBatch body: one pipeline run per micro-batch; its stats row joins ``results``."""
     from hirewire.plans.run import run
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        results.append(run(batch.sparkSession, batch, companies, target, f"{name}-{epoch_id:09d}", raise_on_gates=False))
+        results.append(run(batch.sparkSession, batch, companies, target, f"{name}-{epoch_id:09d}", raise_on_gates=False,
+                           rejects=rejects))
     return fn
 
 
 def start_incremental(spark: SparkSession, landing_dir: str, companies: DataFrame, target: str, checkpoint_location: str,
-                      available_now: bool = True, max_files_per_trigger: int | None = None, results: list | None = None):
-    """Start the stream (``availableNow`` by default) and return the StreamingQuery."""
-    fn = process_batch(companies, target, stream_name(checkpoint_location), [] if results is None else results)
+                      available_now: bool = True, max_files_per_trigger: int | None = None, results: list | None = None,
+                      rejects: str | None = None):
+    """Start the stream (``availableNow`` by default) and return the StreamingQuery; ``rejects`` as in ``run``."""
+    fn = process_batch(companies, target, stream_name(checkpoint_location), [] if results is None else results, rejects)
     w = (landing_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
@@ -55,13 +57,13 @@ def start_incremental(spark: SparkSession, landing_dir: str, companies: DataFram
 
 
 def run_available(spark: SparkSession, landing_dir: str, companies: DataFrame, target: str, checkpoint_location: str,
-                  max_files_per_trigger: int | None = None) -> list:
+                  max_files_per_trigger: int | None = None, rejects: str | None = None) -> list:
     """Process all that has landed and judge the health gates (M4, M5) once, over all batches: a gate that
     raised inside a batch would stop the stream at that batch on every restart."""
     from hirewire.operators.metrics import check_health, total_stats
 
     results: list = []
-    start_incremental(spark, landing_dir, companies, target, checkpoint_location, True, max_files_per_trigger, results).awaitTermination()
+    start_incremental(spark, landing_dir, companies, target, checkpoint_location, True, max_files_per_trigger, results, rejects).awaitTermination()
     if results:
         check_health(total_stats(results))
     return results
