@@ -66,3 +66,14 @@ def test_lost_rows_raise(spark, tmp_path):
     with pytest.raises(Q.RowsLost, match="4 postings read, 1 stored, 2 quarantined"):
         Q.write(spark, outcomes, success, stats, str(tmp_path / "r"), "b")
     assert Q.write(spark, outcomes, success, {**stats, "new_jobs_stored": 2}, str(tmp_path / "r"), "b") == 2
+
+
+def test_stream_batches_leave_their_rejects(spark, tmp_path):
+    from hirewire.streaming.incremental import run_available
+
+    land, co = _board(spark, [(H1, 0, 200, 0, [1, _job(2, "Senior Director")])])
+    land.write.partitionBy("platform").parquet(str(tmp_path / "landing"))
+    rejects = str(tmp_path / "rejects")
+    stats = run_available(spark, str(tmp_path / "landing"), co, str(tmp_path / "jobs"), str(tmp_path / "checkpoint"), rejects=rejects)
+    assert [r["new_jobs_stored"] for r in stats] == [1]
+    assert [r[2:4] for r in _reasons(spark, rejects)] == [("filtered_title", 0)]
