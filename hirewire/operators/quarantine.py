@@ -8,8 +8,8 @@ One table, partitioned by ``batch_id`` like the jobs table, so a replayed batch
 - ``batch``: two rows for each batch, ``n`` postings ``read`` and ``stored``, which also replace the rows of a batch
   that a replay finds nothing wrong with.
 
-The rows come from tables that the run has written anyway (keys and outcomes, no texts): nothing is parsed again and
-nothing is shuffled.
+The rows come from tables that the run has written anyway: nothing is parsed again, and what the join of candidates with
+their verdicts shuffles is keys and outcomes, no texts.
 """
 
 from __future__ import annotations
