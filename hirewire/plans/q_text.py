@@ -9,6 +9,8 @@ from hirewire.functions import text as T
 from hirewire.plans import sqlgen as S
 from hirewire.plans.common import table
 
+_TITLE_RE = r"(?s)<title>(.*?)</title>"
+
 
 def _pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", "html")
@@ -184,10 +186,16 @@ FROM t"""
 
 def t12_entity_decode_3(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    return p.select("page_id", T.entity_decode_3("html").alias("text"))
+    return p.select("page_id", T.entity_decode_3(F.regexp_extract("html", _TITLE_RE, 1)).alias("company"),
+                    T.entity_decode_3("html").alias("text"))
+
+
+def _decode_sql(c: str) -> str:
+    return f"replace(replace(replace({c}, '&amp;', '&'), '&#39;', chr(39)), '&quot;', chr(34))"
 
 
-T12_SQL = """SELECT page_id, replace(replace(replace(html, '&amp;', '&'), '&#39;', chr(39)), '&quot;', chr(34)) AS text FROM pages"""
+T12_SQL = (f"SELECT page_id, {_decode_sql(f'regexp_extract(html, {S.sql_str(_TITLE_RE)}, 1)')} AS company, "
+           f"{_decode_sql('html')} AS text FROM pages")
 
 QUERIES = {
     "T1_html_unescape": (t1_html_unescape, T1_SQL),

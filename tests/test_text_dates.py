@@ -69,3 +69,13 @@ def test_word_edges_next_to_letters_outside_ascii(spark):
     df = spark.createDataFrame([(0, "Internés"), (1, "Intern – été"), (2, "ÉVP Sales"), (3, "VP Sales")], "i int, s string")
     out = df.orderBy("i").select(C.experience_level("s").alias("e"), C.is_entry_level("s").alias("k")).collect()
     assert [r["e"] for r in out[:2]] == ["new_grad", "internship"] and [r["k"] for r in out[2:]] == [True, False]
+
+
+def test_entity_decoding_of_company_and_whole_page(spark, tmp_path):
+    """The query gives the company in the page's title and the whole page, both decoded."""
+    from hirewire.plans.q_text import t12_entity_decode_3
+
+    html = ["<title>A &amp;amp; B&#39;s\n</title><p>&quot;x&quot; &lt;</p>", "&amp;quot;", None]
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = [tuple(r) for r in t12_entity_decode_3(spark, str(tmp_path)).orderBy("page_id").select("company", "text").collect()]
+    assert got == [("A &amp; B's\n", "<title>A &amp; B's\n</title><p>\"x\" &lt;</p>"), ("", '"'), (None, None)]
