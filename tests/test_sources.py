@@ -64,3 +64,16 @@ def test_attach_details_and_prefer(spark):
     a = spark.createDataFrame([("r", "s", 1, "csb")], t + "v string")
     b = spark.createDataFrame([("r", "s", 1, "rmk"), ("r", "s", 2, "rmk"), ("q", "s", 1, "rmk")], t + "v string")
     assert sorted(rows(LD.prefer(a, b), "run_ts", "company_seq", "v")) == [("q", 1, "rmk"), ("r", 1, "csb"), ("r", 2, "rmk")]
+
+
+def test_dispatch_counts_postings_of_rmk_companies(spark, tmp_path):
+    """A company of mode rmk that landed CSB pages only counts with its RMK pages; other companies count once."""
+    from hirewire.plans.q_extract import s7_platform_dispatch
+    from hirewire.sources import fixtures as X
+    from hirewire.sources import fixtures_landing as FL
+
+    titled = [e for e in range(7, 20_000, 14) if X.TITLES[e % len(X.TITLES)] and X.TITLES[e % len(X.TITLES)].strip() and e % FL.N_COMPANIES % 43 and e % FL.N_COMPANIES % 11]
+    of = lambda test: [e for e in titled if test(e % FL.N_COMPANIES)][:3]
+    ids = of(lambda k: k % 3 and k % 5 == 1) + of(lambda k: k % 3 and k % 5 == 3) + of(lambda k: k % 3 == 0 and k % 5 == 1)
+    spark.createDataFrame([(e,) for e in ids], "event_id long").selectExpr("event_id", "timestamp_ntz'2024-02-14 00:00:00' AS ts").write.parquet(str(tmp_path / "events.parquet"))
+    assert {tuple(r) for r in s7_platform_dispatch(spark, str(tmp_path)).collect()} == {("successfactors", 9), ("linkedin", 9)}
