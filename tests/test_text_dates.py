@@ -79,3 +79,22 @@ def test_entity_decoding_of_company_and_whole_page(spark, tmp_path):
     spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = [tuple(r) for r in t12_entity_decode_3(spark, str(tmp_path)).orderBy("page_id").select("company", "text").collect()]
     assert got == [("A &amp; B's\n", "<title>A &amp; B's\n</title><p>\"x\" &lt;</p>"), ("", '"'), (None, None)]
+
+
+def test_arguments_are_evaluated_once(spark):
+    """A date's text and an item's fields are looked up once for a row, whatever uses them; details after a date stay out."""
+    from hirewire.operators import extract as P
+
+    df = spark.createDataFrame([("2026-06-27T10", ":00:01.5Z\n"), ("2026-06-27", "|x")], "a string, b string")
+    out = df.select(D.iso_naive(F.concat("a", "b")).alias("d"))
+    assert out._jdf.queryExecution().analyzed().toString().count("concat(a#") == 1
+    assert [r[0] for r in out.collect()] == [dt.datetime(2026, 6, 27, 10, 0, 1, 500000), None]
+    pages = spark.createDataFrame([('{"jobs":[{"title":"A","location":{"name":"Ottawa"},"updated_at":"2026-06-27T10:00Z"}]}',)], "body string").selectExpr(
+        "body", "timestamp_ntz'2024-02-15 00:00:00' AS run_ts", "'greenhouse' AS platform", "1L AS company_seq", "0 AS search_id", "0 AS page_no",
+        "'C' AS company_name", "'b' AS board_slug", "parse_json('{}') AS raw")
+    jobs = P.greenhouse(pages)
+    assert jobs._jdf.queryExecution().optimizedPlan().toString().count("$.updated_at") <= 2  # its value, and whether it is empty
+    assert [tuple(r) for r in jobs.select("title", "location", "posted_date").collect()] == [("A", "Ottawa", dt.datetime(2026, 6, 27, 10))]
+    truth = ["null", "true", "false", '""', '"x"', "[]", "[0]", "{}", '{"a":0}', "0", "0.0", "-1", "1e3"]
+    vs = spark.createDataFrame([(i, x) for i, x in enumerate(truth)], "i int, s string").orderBy("i").select(T.variant_truthy(F.parse_json("s")))
+    assert [r[0] for r in vs.collect()] == [False, True, False, False, True, False, True, False, True, False, False, True, True]
