@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirewire.llm.common import qualified, small_batches
-from hirewire.llm.tokens import library_encoder
+from hirewire.llm.common import joined, qualified, small_batches
+from hirewire.llm.tokens import SLICE_BYTES, library_encoder
 
 NO_ID = -(1 << 63)  # stands in a payload for a null doc_id
 BLOCK = 2048  # bytes that one table lookup of the checksum covers
@@ -120,7 +120,7 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = No
     file system, for the records as for the manifest. Returns the manifest: part (ascending as the ids do), file, id_bytes (width of an id), records, tokens.
 
     A range exchange on the id deals out the documents; each task streams its part to one file, so memory is
-    a batch. Null texts: empty; null ids come first; repeated ids: by text; an empty table: an empty manifest."""
+    some MB of batches, or one that is larger. Null texts: empty; null ids come first; repeated ids: by text; an empty table: an empty manifest."""
     small_batches(df.sparkSession)
     folder = qualified(df.sparkSession, folder)
 
@@ -134,9 +134,9 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int | None = No
         store.create_dir(base, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         offsets, at, tokens, stream = [], 0, 0, None
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = encoder.encode(text) + end
+        for b in joined(batches, SLICE_BYTES):
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_all(b.column(1))):
+                ids += end
                 data = frame(struct.pack("<q", NO_ID if doc is None else doc) + (ids if width == 4 else narrow(ids)))
                 if stream is None:
                     stream = store.open_output_stream(f"{base}/{name}.rec")

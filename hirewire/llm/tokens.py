@@ -13,14 +13,21 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from hirewire.llm.common import held
 
 #: Chunks and words in one generation of a Python worker's caches.
 CACHE_SIZE = 250_000
+#: Bytes of text that ``encode_all`` splits at a time, about.
+SLICE_BYTES = 8 << 20
 #: Below this code point the character classes and case rules of all Unicode versions agree.
 STABLE = "ɐ"
 UNSTABLE = re.compile("[^\x00-\u024f]|İ")
 MARK = re.compile(r"(?<=[a-z])([.,])(?=\s)")
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # all that ASCII has besides letters, digits, white space and controls
 CONTROL_SPACES = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the tokenizers' patterns
 
 
@@ -45,11 +52,30 @@ class Cache(dict):
             if len(key) > 64:
                 return value
         if len(self) >= CACHE_SIZE:
-            self.older = dict(self)
-            self.clear()
+            self._turn()
         self[key] = value
         return value
 
+    def _turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+    def keep(self, values: dict) -> None:
+        """All at once, so that a generation may pass its size by as many."""
+        if values and len(self) >= CACHE_SIZE:
+            self._turn()
+        self.update(values)
+
+    def found(self, keys: list) -> list:
+        """What is known of each key, and None for the others; what the older generation has comes back."""
+        values = list(map(self.get, keys))
+        back = {}
+        for i, value in enumerate(values):
+            if value is None and (value := self.older.get(keys[i])) is not None:
+                values[i] = back[keys[i]] = value
+        self.keep(back)
+        return values
+
 
 class Splitting:
     """How a tokenizer file splits text, read from the file itself."""
@@ -112,6 +138,14 @@ class LibraryEncoder:
         self.split = Splitting(path)
         self.model = self.split.tokenizer.model
         self.words = self.split.kind == "words"
+        self.ends, self.units = None, None
+        if self.words and (suffix := self.split.spec["model"].get("end_of_word_suffix")):
+            from tokenizers import Tokenizer
+
+            vocab = self.split.spec["model"]["vocab"]
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)  # the ids that end a word
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+            self.units = Tokenizer(self.model)  # takes words in the byte alphabet as they are
         del self.split.spec  # the parsed file is large, and the tokenizer has read it for itself
         self.by_word = Cache(self._word)
         self.by_chunk = Cache(self._words_chunk if self.words else self._spaces_chunk)
@@ -123,12 +157,13 @@ class LibraryEncoder:
         return b"".join(map(self.by_word.__getitem__, self.split.words(chunk)))
 
     def _words_chunk(self, chunk: str) -> bytes:
-        """Most chunks are a word, or one with a mark behind it; their parts are chunks as well."""
+        """Most chunks are a word, or one with marks behind it; their parts are chunks as well."""
         if chunk.isascii():
             if chunk.isalpha() and chunk.islower():
                 return self._word(chunk)
-            if len(chunk) > 1 and chunk[-1] in ".,!?;:" and chunk[:-1].isalpha():
-                return self.by_chunk[chunk[:-1]] + self.by_word[chunk[-1]]
+            word = chunk.rstrip(MARKS)
+            if word != chunk and word.isalpha():
+                return self.by_chunk[word] + self.by_word[chunk[len(word):]]
         return self._own(chunk)
 
     def _spaces_chunk(self, chunk: str) -> bytes:
@@ -166,6 +201,59 @@ class LibraryEncoder:
                 pass
         return array("I", self.split.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of each text of a column. A vocabulary of words splits some MB of texts at a time, looks each of their
+        distinct chunks up once and deals the ids out again; in memory are a slice, its longest text and their ids."""
+        if not self.words:
+            return [self.encode(t) for t in texts.to_pylist()]
+        texts = pc.fill_null(texts, "")
+        until = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        slices = max(1, round(int(until[-1]) / SLICE_BYTES)) if len(until) else 1
+        cuts = [0, *(np.flatnonzero(np.diff(until * slices // (until[-1:] + 1))) + 1).tolist(), len(texts)]
+        return [ids for a, b in zip(cuts, cuts[1:]) for ids in self._encode_slice(texts.slice(a, b - a))]
+
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks. Those that are one word of stable lower-case letters and not in the cache are encoded by
+        one call: a word's ids reach up to one that ends a word. If that doesn't give one run for each word, all go one by one."""
+        known = self.by_chunk.found(chunks)
+        lacking = [i for i, ids in enumerate(known) if ids is None]
+        words = [c for i in lacking if len(c := chunks[i]) <= 64 and c.isalpha() and c.islower() and max(c) < STABLE]
+        if words and self.ends is not None:
+            self._learn(words)
+        for i in lacking:
+            known[i] = self.by_chunk[chunks[i]]
+        return known
+
+    def _learn(self, words: list[str]) -> None:
+        units = "\n".join(words).encode().decode("latin-1").translate("".join(self.split.alphabet)).split(self.newline)
+        ids = np.array(self.units.encode_batch_fast([units], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) == len(words):
+            data = ids.tobytes()
+            self.by_chunk.keep({w: data[a:b] for w, a, b in zip(words, [0, *ends], ends)})
+
+    def _encode_slice(self, texts: pa.Array) -> list[bytes]:
+        """The chunks are those of ``Splitting.chunks``, and empty ones at white space at a text's ends, which have no ids."""
+        whole = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
+        for s in self.split.special:
+            whole = pc.or_(whole, pc.match_substring(texts, s))
+        unstable = pc.match_substring_regex(texts, r"[^\x{0}-\x{24f}]|\x{130}")
+        marked = pc.replace_substring_regex(pc.utf8_lower(texts), r"([a-z])([.,])(\s)", r"\1 \2\3")
+        chunks = pc.utf8_split_whitespace(pc.if_else(whole, "", pc.if_else(unstable, texts, marked)))
+        coded = chunks.flatten().dictionary_encode()
+        ids_of = self._chunk_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes, chunk = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4, coded.indices.to_numpy()
+        n = sizes[chunk]
+        ends = np.cumsum(n)
+        places = np.repeat(np.cumsum(sizes)[chunk] - ends, n)  # from a chunk's place among the texts' ids to that in ids_of
+        places += np.arange(len(places))
+        data = np.frombuffer(b"".join(ids_of), "<u4").take(places).tobytes()
+        bounds = (4 * np.append(0, ends)[chunks.offsets.to_numpy()]).tolist()
+        out = [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.encode(texts[i].as_py())
+        return out
+
 
 class NotAlone(Exception):
     """A chunk with white space at an end: its tokens depend on what stands beside it."""

@@ -6,12 +6,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hirewire.llm import bpe, packing, token_records
-from hirewire.llm.common import shared_path
+from hirewire.llm.common import joined, shared_path
 from hirewire.llm.tokens import LibraryEncoder, public_path
 
 WORD, BYTE = public_path("word_bpe_49k.json"), public_path("byte_bpe_50k.json")
@@ -42,6 +43,39 @@ def test_cache_that_overflows_changes_nothing(monkeypatch):
         assert np.frombuffer(library.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@pytest.mark.parametrize("cache, slice_bytes", [(250_000, 8 << 20), (7, 100)])
+def test_a_column_of_texts_encodes_as_the_library_does(path, cache, slice_bytes, monkeypatch):
+    from hirewire.llm import tokens
+    monkeypatch.setattr(tokens, "CACHE_SIZE", cache)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", slice_bytes)
+    texts = [None, *hard_texts(300), *(f"Ab{chr(c)}cD, {chr(c)} x{chr(c)}. it's.. e{chr(c)}***" for c in range(0x300)), "mar-ked?! don't!?", "long" * 900, None]
+    whole = Tokenizer.from_file(path)
+    got = LibraryEncoder(path).encode_all(pa.array([*texts, "not this one"]).slice(0, len(texts)))
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+    assert LibraryEncoder(path).encode_all(pa.array([], pa.string())) == []
+
+
+def test_a_column_looks_each_distinct_chunk_up_once(monkeypatch):
+    """op8's time was one look-up, and often one call of the library, for each word of the texts."""
+    library, asked, encoded = LibraryEncoder(WORD), [], []
+    look_up, word = library.by_chunk.found, library._word
+    monkeypatch.setattr(library.by_chunk, "found", lambda keys: asked.extend(keys) or look_up(keys))
+    library.by_word.compute = lambda w: encoded.append(w) or word(w)
+    one = "Some words, of a text. and marks***"
+    got = library.encode_all(pa.array([one] * 1000))
+    assert sorted(asked) == sorted(["some", "words", ",", "of", "a", "text", ".", "and", "marks***"]) and sorted(encoded) == ["***", ",", "."]
+    assert got == [LibraryEncoder(WORD).encode(one)] * 1000
+
+
+def test_small_batches_are_joined_without_loss():
+    batches = [pa.RecordBatch.from_pydict({"x": [i, i], "t": pa.array(["a" * 50, None])}) for i in range(9)]
+    together = list(joined(iter(batches), 300))
+    assert pa.Table.from_batches(together).to_pydict() == pa.Table.from_batches(batches).to_pydict()
+    assert [b.num_rows for b in together] == [8, 8, 2] and list(joined(iter([]), 300)) == []
+
+
 def test_round_trip_of_odd_rows(spark, documents, odd_rows):
     df = documents(odd_rows).withColumn("ids_sha256", F.lit("clash"))
     rows = bpe.round_trip_digests(df, WORD).collect()
