@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirewire.llm.common import small_batches, written
+from hirewire.llm.common import joined, small_batches, written
 from hirewire.llm.tokens import library_encoder
 
+TEXT_BYTES = 4 << 20  # batches of texts are put together to so many, as each of their distinct chunks is looked up once
+
 
 def cut_lengths(total: int, size: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: only one longer than ``size`` is cut, and then only the first
@@ -46,10 +48,10 @@ def pieces_of(df: DataFrame, path: str, end_id: int, size: int, id_col: str = "d
 
         encoder, task = library_encoder(path), TaskContext.get().partitionId()
         end, seen = np.array([end_id], "<u4").tobytes(), defaultdict(int)
-        for b in batches:
+        for b in joined(batches, TEXT_BYTES):
             rows = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = encoder.encode(text) + end
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_all(b.column(1))):
+                ids += end
                 for i, (start, n) in enumerate(cut_lengths(len(ids) // 4, size)):
                     part = ids[4 * start:4 * (start + n)]
                     rows.append((doc, i, start, n, zlib.crc32(part), task, seen[n], part))

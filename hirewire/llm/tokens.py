@@ -23,6 +23,10 @@ from hirewire.llm.common import held
 CACHE_SIZE = 250_000
 #: Bytes of text that ``encode_all`` splits at a time, about.
 SLICE_BYTES = 8 << 20
+#: Characters of new chunks that are split into words at a time, about.
+TOGETHER = 1 << 19
+#: Longer chunks aren't kept.
+LONG = 64
 #: Below this code point the character classes and case rules of all Unicode versions agree.
 STABLE = "ɐ"
 UNSTABLE = re.compile("[^\x00-\u024f]|İ")
@@ -49,7 +53,7 @@ class Cache(dict):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
-            if len(key) > 64:
+            if len(key) > LONG:
                 return value
         if len(self) >= CACHE_SIZE:
             self._turn()
@@ -149,6 +153,7 @@ class LibraryEncoder:
         del self.split.spec  # the parsed file is large, and the tokenizer has read it for itself
         self.by_word = Cache(self._word)
         self.by_chunk = Cache(self._words_chunk if self.words else self._spaces_chunk)
+        self.known = Known()
 
     def _word(self, word: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
@@ -202,22 +207,23 @@ class LibraryEncoder:
         return array("I", self.split.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
-        """``encode`` of each text of a column. A vocabulary of words splits some MB of texts at a time, looks each of their
-        distinct chunks up once and deals the ids out again; in memory are a slice, its longest text and their ids."""
-        if not self.words:
+        """``encode`` of each text of a column. Some MB of texts are split at a time, each of their distinct chunks is looked up
+        once and the ids are dealt out again; in memory are a slice, its longest text and their ids."""
+        if self.split.kind == "whole":
             return [self.encode(t) for t in texts.to_pylist()]
         texts = pc.fill_null(texts, "")
         until = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
         slices = max(1, round(int(until[-1]) / SLICE_BYTES)) if len(until) else 1
         cuts = [0, *(np.flatnonzero(np.diff(until * slices // (until[-1:] + 1))) + 1).tolist(), len(texts)]
-        return [ids for a, b in zip(cuts, cuts[1:]) for ids in self._encode_slice(texts.slice(a, b - a))]
+        one = self._encode_slice if self.words else self._encode_spaced
+        return [ids for a, b in zip(cuts, cuts[1:]) for ids in one(texts.slice(a, b - a))]
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """The ids of distinct chunks. Those that are one word of stable lower-case letters and not in the cache are encoded by
         one call: a word's ids reach up to one that ends a word. If that doesn't give one run for each word, all go one by one."""
         known = self.by_chunk.found(chunks)
         lacking = [i for i, ids in enumerate(known) if ids is None]
-        words = [c for i in lacking if len(c := chunks[i]) <= 64 and c.isalpha() and c.islower() and max(c) < STABLE]
+        words = [c for i in lacking if len(c := chunks[i]) <= LONG and c.isalpha() and c.islower() and max(c) < STABLE]
         if words and self.ends is not None:
             self._learn(words)
         for i in lacking:
@@ -234,26 +240,111 @@ class LibraryEncoder:
 
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
         """The chunks are those of ``Splitting.chunks``, and empty ones at white space at a text's ends, which have no ids."""
-        whole = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
-        for s in self.split.special:
-            whole = pc.or_(whole, pc.match_substring(texts, s))
+        whole = self._taken_whole(texts)
         unstable = pc.match_substring_regex(texts, r"[^\x{0}-\x{24f}]|\x{130}")
         marked = pc.replace_substring_regex(pc.utf8_lower(texts), r"([a-z])([.,])(\s)", r"\1 \2\3")
         chunks = pc.utf8_split_whitespace(pc.if_else(whole, "", pc.if_else(unstable, texts, marked)))
         coded = chunks.flatten().dictionary_encode()
         ids_of = self._chunk_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes, chunk = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4, coded.indices.to_numpy()
-        n = sizes[chunk]
-        ends = np.cumsum(n)
-        places = np.repeat(np.cumsum(sizes)[chunk] - ends, n)  # from a chunk's place among the texts' ids to that in ids_of
-        places += np.arange(len(places))
-        data = np.frombuffer(b"".join(ids_of), "<u4").take(places).tobytes()
-        bounds = (4 * np.append(0, ends)[chunks.offsets.to_numpy()]).tolist()
-        out = [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+        out = dealt(np.frombuffer(b"".join(ids_of), "<u4"), sizes, coded.indices.to_numpy(), chunks.offsets.to_numpy())
         for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
             out[i] = self.encode(texts[i].as_py())
         return out
 
+    def _taken_whole(self, texts: pa.Array) -> pa.Array:
+        whole = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
+        for s in self.split.special:
+            whole = pc.or_(whole, pc.match_substring(texts, s))
+        return whole
+
+    def _encode_spaced(self, texts: pa.Array) -> list[bytes]:
+        """The chunks are those of ``Splitting.chunks``, the first one with a line break before it, whose id goes again. They are
+        numbered together with the known ones, so the new ones are those with higher numbers."""
+        whole = pc.or_(self._taken_whole(texts), pc.match_substring(texts, " \n"))
+        broken = pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n")
+        chunks = pc.split_pattern(pc.binary_join_element_wise("\n", broken, ""), " ")
+        words, known = chunks.flatten(), self.known
+        coded = pa.concat_arrays([known.chunks.cast(words.type), words]).dictionary_encode()
+        chunk, offsets = coded.indices.to_numpy()[len(known.chunks):], chunks.offsets.to_numpy()
+        new = coded.dictionary.slice(len(known.chunks))
+        known.add(new, self._spaced_ids(new.to_numpy(zero_copy_only=False).tolist()))
+        alone = np.append(0, np.cumsum(known.sizes[chunk] == 0))[offsets]
+        out = [ids[4:] for ids in dealt(known.ids, known.sizes, chunk, offsets)]
+        for i in np.flatnonzero(np.diff(alone)).tolist():  # empty texts and those taken whole are an empty chunk
+            out[i] = self.encode(texts[i].as_py())
+        known.used(chunk)
+        return out
+
+    def _spaced_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks, none for one that doesn't encode on its own. Short stable ones are split into words
+        together."""
+        ids, short, size = [b""] * len(chunks), [], 0
+        for i, c in enumerate(chunks):
+            body = c[1:] if c[:1] == "\n" else c
+            if not body or body[0].isspace() or body[-1].isspace():
+                continue
+            if len(c) > LONG or not c.isascii() and max(c) >= STABLE:
+                ids[i] = self._spaces_chunk(c)
+                continue
+            short.append(i)
+            size += len(c)
+            if size >= TOGETHER:
+                self._split_together(chunks, ids, short)
+                short, size = [], 0
+        if short:
+            self._split_together(chunks, ids, short)
+        return ids
+
+    def _split_together(self, chunks: list[str], ids: list[bytes], short: list[int]) -> None:
+        """A word that begins with a space or is a line break begins a chunk: chunks have no others, and no white space at their
+        ends. ``CONTROL_SPACES`` aren't in any, so one can stand between the words while all go into the byte alphabet."""
+        words = self.split.pattern.findall("".join([c if c[0] == "\n" else f" {c}" for c in map(chunks.__getitem__, short)]))
+        between = CONTROL_SPACES[0]
+        units = between.join(words).encode().decode("latin-1").translate("".join(self.split.alphabet)).split(self.split.alphabet[ord(between)])
+        of_words = list(map(self.by_word.__getitem__, units))
+        data, ends = b"".join(of_words), np.cumsum(np.fromiter(map(len, of_words), np.int64, len(units)))
+        starts = np.append(0, ends)[[*(k for k, w in enumerate(words) if w[0] in " \n"), len(words)]].tolist()
+        for i, a, b in zip(short, starts[:-1], starts[1:], strict=True):
+            ids[i] = data[a:b]
+
+
+class Known:
+    """Distinct chunks and their ids in flat arrays, each with the number of the last slice that had it. Long ones go after their
+    slice; of more than two generations of a cache one stays, the last used."""
+
+    def __init__(self):
+        self.chunks, self.sizes, self.ids = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.last, self.slice = np.zeros(0, np.int32), 0
+
+    def add(self, chunks: pa.Array, ids: list[bytes]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.chunks, self.sizes = pa.concat_arrays([self.chunks.cast(chunks.type), chunks]), np.append(self.sizes, sizes)
+        self.ids = np.append(self.ids, np.frombuffer(b"".join(ids), "<u4"))
+        self.last = np.append(self.last, np.zeros(len(ids), np.int32))
+
+    def used(self, chunk: np.ndarray) -> None:
+        self.slice += 1
+        self.last[chunk] = self.slice
+        stay = pc.binary_length(self.chunks).to_numpy() <= 4 * LONG
+        if stay.all() and len(stay) <= 2 * CACHE_SIZE:
+            return
+        if len(stay) > 2 * CACHE_SIZE:
+            stay[np.argsort(-self.last, kind="stable")[CACHE_SIZE:]] = False
+        self.ids = self.ids[np.repeat(stay, self.sizes)]
+        self.chunks, self.sizes, self.last = self.chunks.filter(pa.array(stay)), self.sizes[stay], self.last[stay]
+
+
+def dealt(ids: np.ndarray, sizes: np.ndarray, chunk: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The ids of each text, whose chunks are ``chunk`` from its offset to the next: numbers of runs of ``ids`` with ``sizes``."""
+    n = sizes[chunk]
+    ends = np.cumsum(n)
+    places = np.repeat(np.cumsum(sizes)[chunk] - ends, n)  # from a chunk's place among the texts' ids to that in ids
+    places += np.arange(len(places))
+    data = ids.take(places).tobytes()
+    bounds = (4 * np.append(0, ends)[offsets]).tolist()
+    return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
 
 class NotAlone(Exception):
     """A chunk with white space at an end: its tokens depend on what stands beside it."""

@@ -69,6 +69,31 @@ def test_a_column_looks_each_distinct_chunk_up_once(monkeypatch):
     assert got == [LibraryEncoder(WORD).encode(one)] * 1000
 
 
+def test_a_column_of_spaced_texts_asks_for_each_new_chunk_once(monkeypatch):
+    """op10's time was one look-up, and often a pattern and a call of the library, for each word of the texts."""
+    library, asked = LibraryEncoder(BYTE), []
+    new_chunks = library._spaced_ids
+    monkeypatch.setattr(library, "_spaced_ids", lambda chunks: asked.extend(chunks) or new_chunks(chunks))
+    one = "Some words, of a text.\nand it's words, \xe9t\xe9* " + "x" * 300 + " end"
+    got = library.encode_all(pa.array([one] * 1000))
+    assert sorted(asked) == sorted(["\nSome", "words,", "of", "a", "text.", "\nand", "it's", "\xe9t\xe9*", "x" * 300, "end"])
+    assert got == [LibraryEncoder(BYTE).encode(one)] * 1000
+    del asked[:]
+    assert library.encode_all(pa.array([f"{one} new"])) == [LibraryEncoder(BYTE).encode(f"{one} new")] and asked == ["x" * 300, "new"]
+
+
+def test_known_chunks_are_bounded(monkeypatch):
+    from hirewire.llm import tokens
+    monkeypatch.setattr(tokens, "CACHE_SIZE", 50)
+    library, whole = LibraryEncoder(BYTE), Tokenizer.from_file(BYTE)
+    for i in range(12):
+        texts = [f"always here w{i}x{k}" for k in range(20)] + ["", None, " led", "a  b", "<|endoftext|> x", "trails ", "two \nlines"]
+        got = library.encode_all(pa.array(texts))
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert len(library.known.chunks) == len(library.known.sizes) == len(library.known.last) <= 100
+        assert len(library.known.ids) == library.known.sizes.sum() and "here" in library.known.chunks.to_pylist()
+
+
 def test_small_batches_are_joined_without_loss():
     batches = [pa.RecordBatch.from_pydict({"x": [i, i], "t": pa.array(["a" * 50, None])}) for i in range(9)]
     together = list(joined(iter(batches), 300))
