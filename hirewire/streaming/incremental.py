@@ -18,8 +18,11 @@ forgets URLs older than the watermark), offered as a separate operator.
 from __future__ import annotations
 
 import hashlib
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirewire.sources.landing import LANDING_SCHEMA
 
@@ -35,12 +38,24 @@ def stream_name(checkpoint_location: str) -> str:
     return hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:12]
 
 
-def process_batch(companies: DataFrame, target: str, name: str, results: list, rejects: str | None = None):
-    """The foreachBatch body: one pipeline run per micro-batch; its stats row joins ``results``."""
+def as_files(batch: DataFrame, landing_dir: str | None) -> DataFrame:
+    """A micro-batch as a table over the files that it consists of. Spark hands a batch on as rows of an RDD, from which neither
+    columns nor the partitions of other platforms are pruned, so that each vendor's branch would read all bodies of all vendors,
+    in tasks dealt for the whole batch. What goes to the driver is the files' names. A batch that isn't of files is left as it is."""
+    names = [r[0] for r in batch.select(F.input_file_name()).distinct().collect()]
+    if landing_dir is None or not names or not all(names):
+        return batch
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(n)) for n in names]  # names are URL-encoded, and a reader's paths are patterns
+    return batch.sparkSession.read.schema(LANDING_SCHEMA).option("basePath", landing_dir).parquet(*paths).select(*batch.columns)
+
+
+def process_batch(companies: DataFrame, target: str, name: str, results: list, rejects: str | None = None, landing_dir: str | None = None):
+    """The foreachBatch body: one pipeline run per micro-batch; its stats row joins ``results``. ``landing_dir`` is the folder
+    that the stream reads."""
     from hirewire.plans.run import run
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        results.append(run(batch.sparkSession, batch, companies, target, f"{name}-{epoch_id:09d}", raise_on_gates=False,
+        results.append(run(batch.sparkSession, as_files(batch, landing_dir), companies, target, f"{name}-{epoch_id:09d}", raise_on_gates=False,
                            rejects=rejects))
     return fn
 
@@ -49,7 +64,7 @@ def start_incremental(spark: SparkSession, landing_dir: str, companies: DataFram
                       available_now: bool = True, max_files_per_trigger: int | None = None, results: list | None = None,
                       rejects: str | None = None):
     """Start the stream (``availableNow`` by default) and return the StreamingQuery; ``rejects`` as in ``run``."""
-    fn = process_batch(companies, target, stream_name(checkpoint_location), [] if results is None else results, rejects)
+    fn = process_batch(companies, target, stream_name(checkpoint_location), [] if results is None else results, rejects, landing_dir)
     w = (landing_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
